@@ -13,9 +13,9 @@ BROADCAST_ROWS = 500_000
 SALTS = 16
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``limit`` rows; reads no more than it must."""
-    return df.limit(limit + 1).count() <= limit
+def fits_broadcast(df: DataFrame) -> bool:
+    """True if ``df`` has at most ``BROADCAST_ROWS`` rows; reads no more than it must."""
+    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
 
 def row_salt(df: DataFrame, salts: int):
@@ -23,25 +23,22 @@ def row_salt(df: DataFrame, salts: int):
     return F.pmod(F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]), F.lit(salts))
 
 
-def lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    limit: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``rows`` to ``table``, which has at most one row per key.
 
     A table of checked small size is broadcast, so ``rows`` is not shuffled. A
-    larger one is copied ``salts`` times and joined on key and salt: a key that
-    holds a third of all rows, or a null key, then spreads over ``salts`` tasks.
+    larger one is copied ``SALTS`` times and joined on key and salt: a key that
+    holds a third of all rows, or a null key, then spreads over ``SALTS`` tasks.
+
+    The size check computes ``table`` once more, so keep one that takes a pass over
+    large data in scratch.
     """
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"a lookup keeps the rows' side; {how!r} does not")
     on = list(on)
-    if fits_broadcast(table, limit):
+    if fits_broadcast(table):
         return rows.join(F.broadcast(table), on, how)
-    salted_rows = rows.withColumn("_salt", row_salt(rows, salts))
-    salted_table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    salted_rows = rows.withColumn("_salt", row_salt(rows, SALTS))
+    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    salted_table = table.withColumn("_salt", F.explode(every_salt))
     return salted_rows.join(salted_table, [*on, "_salt"], how).drop("_salt")

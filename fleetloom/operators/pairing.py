@@ -1,8 +1,8 @@
 """Putting two bands of each key side by side, the second topped up by sampling.
 
-Keys can be of any size: rows are numbered within a key by a range-partitioned
-sort, and the sampled side is joined on key and row number, so no key's rows ever
-meet in one task.
+Keys can be of any size: the rows of a large key are numbered in slices, and the
+sampled side is joined on key and row number, so a large key's rows never meet in
+one task.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from fleetloom import fixed
 from fleetloom.functions.columns import quoted
 from fleetloom.functions.draws import draw
 from fleetloom.operators.lookups import lookup
-from fleetloom.operators.position import index_within
+from fleetloom.operators.position import index_within, largest, random_rank
 from fleetloom.session import scratch_table
 
 # Left rows that may share one copy of a right row.
@@ -69,7 +69,6 @@ def pair_rows(
     prefixes: tuple[str, str] = ("low_", "medium_"),
     keys: DataFrame | None = None,
     name: str = "pos",
-    rows_per_copy: int = ROWS_PER_COPY,
 ) -> DataFrame:
     """Put the left and right rows of each key side by side, numbered by ``name``.
 
@@ -88,33 +87,32 @@ def pair_rows(
     # Each left row is a slot. Its rank in a random order of the key's slots says
     # which right row it takes: a rank below the right side's size takes that very
     # row, a rank beyond it takes a drawn one.
-    numbered = index_within(left.withColumnRenamed(key, "_key"), ["_key"], left_order, "_pos")
-    slots = lookup(numbered, sizes, ["_key"], "inner")
-    ranked = index_within(
+    left_sized = lookup(left.withColumnRenamed(key, "_key"), sizes, ["_key"], "inner")
+    slots = index_within(left_sized, ["_key"], left_order, "_pos", sizes, "left_rows")
+    topped_up = F.col("right_rows") < F.col("left_rows")
+    ranked = random_rank(
         slots,
         ["_key"],
-        [
-            F.when(F.col("right_rows") < F.col("left_rows"), draw(seed, F.col("_key"), F.col("_pos"))).asc_nulls_first(),
-            F.col("_pos"),
-        ],
+        F.col("left_rows"),
+        largest(sizes, "left_rows"),
+        draw(seed, F.col("_key"), F.col("_pos")),
+        ["_pos"],
         "_rank",
-    )
+    ).withColumn("_rank", F.when(topped_up, F.col("_rank")).otherwise(F.col("_pos")))
     drawn = F.pmod(draw(seed + 1, F.col("_key"), F.col("_rank")), F.col("right_rows"))
     # A right row wanted by very many left rows is copied, and they share the copies.
-    copies = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("left_rows") / F.col("right_rows") / rows_per_copy))
+    copies = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("left_rows") / F.col("right_rows") / F.lit(ROWS_PER_COPY)))
     takers = ranked.select(
         "_key",
         F.when(F.col("_rank") < F.col("right_rows"), F.col("_rank"))
-        .when(F.col("right_rows") < F.col("left_rows"), drawn)
-        .otherwise(F.col("_rank"))
+        .otherwise(drawn)
         .alias("_take"),
         F.pmod(F.col("_rank"), copies).alias("_copy"),
         "_pos",
         *[quoted(c).alias(prefixes[0] + c) for c in left_names],
     )
-    offered = lookup(
-        index_within(right.withColumnRenamed(key, "_key"), ["_key"], right_order, "_take"), sizes, ["_key"], "inner"
-    ).select(
+    right_sized = lookup(right.withColumnRenamed(key, "_key"), sizes, ["_key"], "inner")
+    offered = index_within(right_sized, ["_key"], right_order, "_take", sizes, "right_rows").select(
         "_key",
         "_take",
         F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1)).alias("_copy"),

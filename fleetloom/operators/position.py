@@ -6,6 +6,8 @@ the whole order key, so rows that share a date, a file or a group still spread
 over many slices as long as the key's last part is unique. The sorted slices are
 written to the shared scratch folder once; then only per-slice counts, a handful
 of rows, go through a window to turn places within slices into global places.
+A random order needs no such sort: its numbers are even, so they are cut at even
+distances.
 """
 
 from __future__ import annotations
@@ -16,12 +18,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetloom.functions.columns import quoted
+from fleetloom.functions.dates import date_of_text
 from fleetloom.functions.draws import draw
+from fleetloom.operators.lookups import lookup
 from fleetloom.session import scratch_table
 
 # monotonically_increasing_id(): the slice above this bit, the row's place below.
 _SLICE_SHIFT = 33
 
+# Rows of one key, or of one piece of it, that one task may sort.
+ROWS_PER_TASK = 500_000
+
 
 def sorted_slices(
     df: DataFrame, order: Sequence[Column | str], label: str, keep: Sequence[Column] | None = None
@@ -37,42 +44,109 @@ def sorted_slices(
     return stored.withColumn("_slice", F.shiftright("_line", _SLICE_SHIFT))
 
 
-def index_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column | str],
-    name: str = "pos",
-    size: str | None = None,
+def _sliced_index(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str
 ) -> DataFrame:
-    """Number the rows of each key from 0 along ``order``; no keys: all rows.
-
-    ``size`` names a column for the number of rows of the key. A key of any size
-    is spread over as many slices as its rows need.
-    """
-    keys = list(keys)
+    """Number the rows of each key through sorted slices; a key may fill many of them."""
     sliced = sorted_slices(df, [*[quoted(k).asc_nulls_first() for k in keys], *order], name)
     renamed = {k: f"_key{i}" for i, k in enumerate(keys)}
     runs = sliced.groupBy("_slice", *[quoted(k).alias(renamed[k]) for k in keys]).agg(
         F.min("_line").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
     # One row per slice and key: a key has at most as many rows here as there are slices.
-    of_key = Window.partitionBy(*renamed.values())
-    earlier = of_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*renamed.values()).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")
-    total = [F.sum("_rows").over(of_key).alias(size)] if size else []
-    runs = runs.select(F.col("_slice").alias("_run_slice"), *renamed.values(), shift.alias("_shift"), *total)
+    runs = runs.select(F.col("_slice").alias("_run_slice"), *renamed.values(), shift.alias("_shift"))
     # Without keys there is one row per slice. With keys the stored size decides the join.
     runs = scratch_table(runs, f"{name}-runs") if keys else F.broadcast(runs)
     same = F.col("_slice") == F.col("_run_slice")
     for key, other in renamed.items():
         same = same & quoted(key).eqNullSafe(F.col(other))
     return sliced.join(runs, same).select(
-        *[quoted(c) for c in df.columns],
-        (F.col("_line") + F.col("_shift")).alias(name),
-        *([size] if size else []),
+        *[quoted(c) for c in df.columns], (F.col("_line") + F.col("_shift")).alias(name)
     )
 
 
+def group_sizes(df: DataFrame, keys: Sequence[str], name: str = "rows") -> DataFrame:
+    """Rows per key, kept in scratch."""
+    return scratch_table(df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias(name)), "sizes")
+
+
+def largest(sizes: DataFrame, name: str = "rows") -> int:
+    """The biggest number of rows a key has; 0 without keys."""
+    return sizes.agg(F.max(name)).first()[0] or 0
+
+
+def _of_sizes(df: DataFrame, sizes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is in ``sizes``, a null key too."""
+    group = F.struct(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    return lookup(df.withColumn("_group", group), sizes.select(group.alias("_group")), ["_group"], "left_semi").drop("_group")
+
+
+def index_within(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    name: str = "pos",
+    sizes: DataFrame | None = None,
+    size: str = "rows",
+) -> DataFrame:
+    """Number the rows of each key from 0 along ``order``; no keys: all rows.
+
+    Keys of up to ``ROWS_PER_TASK`` rows are numbered by a window. Larger ones go
+    through sorted slices, so none is ever sorted by one task. ``sizes`` saves the
+    count per key where the caller has it.
+    """
+    keys = list(keys)
+    if not keys:
+        return _sliced_index(df, keys, order, name)
+    sizes = group_sizes(df, keys, size) if sizes is None else sizes
+    numbered = (F.row_number().over(Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*order)) - 1).cast("bigint")
+    if largest(sizes, size) <= ROWS_PER_TASK:
+        return df.withColumn(name, numbered)
+    small = _of_sizes(df, sizes.where(F.col(size) <= ROWS_PER_TASK), keys)
+    large = _of_sizes(df, sizes.where(F.col(size) > ROWS_PER_TASK), keys)
+    return small.withColumn(name, numbered).union(_sliced_index(large, keys, order, name))
+
+
+def random_rank(
+    df: DataFrame, keys: Sequence[str], size: Column, biggest: int, number: Column, tie: Sequence[str], name: str
+) -> DataFrame:
+    """Number the rows of each key from 0 along a random ``number`` below 2**60.
+
+    As the numbers are spread evenly, a key of ``size`` rows is cut at even
+    distances into pieces of about ``ROWS_PER_TASK`` rows. Pieces are sorted apart,
+    and the counts of the pieces before a row's own give its rank. ``biggest`` is
+    the largest size there is.
+    """
+    keys = list(keys)
+    half = 30
+    pieces = F.greatest(F.lit(1).cast("bigint"), F.ceil(size / F.lit(ROWS_PER_TASK)))
+    cut = df.withColumn("_number", number).withColumn(
+        "_piece", F.shiftright(F.shiftright("_number", half) * pieces, half)
+    )
+    of_piece = Window.partitionBy(*[quoted(k) for k in keys], "_piece")
+    inside = (F.row_number().over(of_piece.orderBy("_number", *[quoted(t) for t in tie])) - 1).cast("bigint")
+    columns = [quoted(c) for c in df.columns]
+    if biggest <= ROWS_PER_TASK:
+        return cut.withColumn(name, inside).select(*columns, name)
+    renamed = {k: f"_key{i}" for i, k in enumerate(keys)}
+    earlier = Window.partitionBy(*renamed.values()).orderBy("_cut_piece").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per piece: a millionth of the rows or less.
+    starts = (
+        cut.where(pieces > 1)
+        .groupBy(*[quoted(k).alias(renamed[k]) for k in keys], F.col("_piece").alias("_cut_piece"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(*renamed.values(), "_cut_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    )
+    starts = scratch_table(starts, f"{name}-pieces")
+    same = F.col("_piece") == F.col("_cut_piece")
+    for key, other in renamed.items():
+        same = same & quoted(key).eqNullSafe(F.col(other))
+    ranked = cut.withColumn("_inside", inside).join(starts, same, "left")
+    return ranked.select(*columns, (F.col("_inside") + F.coalesce("_start", F.lit(0))).alias(name))
+
+
 def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "pos") -> DataFrame:
     """Number all rows from 0 along ``order``."""
     return index_within(df, [], order, name)
@@ -104,15 +178,13 @@ def sort_by_text_date(df: DataFrame, column: str, tie: Sequence[str], name: str
     Rows without a date come last. ``tie`` orders the rows of one day and must be
     unique: it also lets one day's rows spread over several slices.
     """
-    from fleetloom.functions.dates import date_of_text
-
     return row_index(df, [date_of_text(quoted(column)).asc_nulls_last(), *[quoted(t) for t in tie]], name)
 
 
 def shuffle_rows(df: DataFrame, key: Sequence[str], seed: int, name: str = "pos") -> DataFrame:
     """Number the rows in a random order fixed by ``seed`` and the unique ``key``."""
-    keys = [quoted(k) for k in key]
-    return row_index(df, [draw(seed, *keys), *keys], name)
+    rows = df.count()
+    return random_rank(df, [], F.lit(rows), rows, draw(seed, *[quoted(k) for k in key]), key, name)
 
 
 def shuffle_right(

@@ -9,6 +9,7 @@ from fleetloom import fixed
 from fleetloom.functions import dates
 from fleetloom.functions.columns import ColumnNotFound, columns_by_keyword, quoted
 from fleetloom.operators.lookups import lookup
+from fleetloom.session import scratch_table
 
 
 def plate_text(column: Column) -> Column:
@@ -119,7 +120,9 @@ def content_dates(
 
 def with_file_date(df: DataFrame, src_file: str, name_date: Column, content: DataFrame) -> DataFrame:
     """Add ``file_date``: from the file's name, else from its content, else null."""
-    known = content.select(F.col("src_file").alias(src_file), F.col("file_date").alias("_content_date"))
+    known = scratch_table(
+        content.select(F.col("src_file").alias(src_file), F.col("file_date").alias("_content_date")), "content-dates"
+    )
     return (
         lookup(df, known, [src_file])
         .withColumn("file_date", F.coalesce(name_date, F.col("_content_date")))

@@ -107,7 +107,7 @@ def rename_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PLATE_FILES_SQL = """
-    SELECT page_id, 'data/' || CAST(page_id % 50 AS VARCHAR) || CASE WHEN page_id % 3 = 0 THEN 'ԥ' ELSE '豫' END || '.csv' AS path
+    SELECT page_id, 'data/' || CAST(page_id % 20 AS VARCHAR) || CASE WHEN page_id % 3 = 0 THEN 'ԥ' ELSE '豫' END || '.csv' AS path
     FROM pages
 """
 
@@ -122,7 +122,7 @@ _PLATE_FILES_SQL = """
 def rename_clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     char = F.when(F.col("page_id") % 3 == 0, "ԥ").otherwise("豫")
     files = table(spark, sf_dir, "pages").select(
-        F.concat(F.lit("data/"), (F.col("page_id") % 50).cast("string"), char, F.lit(".csv")).alias("path")
+        F.concat(F.lit("data/"), (F.col("page_id") % 20).cast("string"), char, F.lit(".csv")).alias("path")
     )
     return cleanse.rename_clashes(cleanse.rename_files(files, "path"), "path")
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from fleetloom.functions.paths import plain_path
 from fleetloom.operators.lookups import lookup
 from fleetloom.operators.position import index_within, running_total
+from fleetloom.session import scratch_table
 
 RAW_CELLS = T.StructType(
     [
@@ -150,23 +151,28 @@ def cells_of_lines(lines: DataFrame) -> DataFrame:
     """
     order = ["src_file", "_block", "_at"]
     quotes = F.length("_text") - F.length(F.replace("_text", F.lit('"'), F.lit("")))
-    files = lines.groupBy("src_file").agg(
-        F.bool_and(F.is_valid_utf8("_text")).alias("_readable"),
-        F.bool_or(quotes % 2 == 1).alias("_runs_on"),
+    files = scratch_table(
+        lines.groupBy("src_file").agg(
+            F.bool_and(F.is_valid_utf8("_text")).alias("_readable"),
+            F.bool_or(quotes % 2 == 1).alias("_runs_on"),
+        ),
+        "long-files",
     )
     known = lookup(lines, files, ["src_file"], "inner")
 
     plain = index_within(known.where("_readable and not _runs_on"), ["src_file"], ["_block", "_at"], "row_no")
 
     counted = running_total(known.where("_readable and _runs_on"), order, quotes, "_before")
-    firsts = counted.groupBy("src_file").agg(F.min("_before").alias("_first"))
+    firsts = scratch_table(counted.groupBy("src_file").agg(F.min("_before").alias("_first")), "first-quotes")
     opened = lookup(counted, firsts, ["src_file"], "inner").withColumn(
         "_starts", F.when((F.col("_before") - F.col("_first")) % 2 == 0, 1).otherwise(0)
     )
     starts = running_total(opened, order, F.col("_starts"), "_record").withColumn(
         "_record", F.col("_record") + F.col("_starts")
     )
-    first_records = starts.groupBy("src_file").agg(F.min("_record").alias("_first_record"))
+    first_records = scratch_table(
+        starts.groupBy("src_file").agg(F.min("_record").alias("_first_record")), "first-records"
+    )
     # One group is one record, never a file.
     joined = (
         lookup(starts, first_records, ["src_file"], "inner")
