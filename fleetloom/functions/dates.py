@@ -10,7 +10,7 @@ from fleetloom import fixed
 # --- fixed values: the accepted shapes ---------------------------------------
 YEAR_FIRST_SLASH = r"(\d{4}/\d{1,2}/\d{1,2})"
 YEAR_FIRST_DASH = r"(\d{4}-\d{1,2}-\d{1,2})"
-YEAR_LAST_SLASH = r"(\d{1,2})/(\d{1,2})/(\d{4})"
+YEAR_LAST_SLASH = r"(\d{1,2}/\d{1,2}/\d{4})"
 NAME_WITH_YEAR = r"^(\d{4})_(\d{4})_"
 NAME_WITHOUT_YEAR = r"^(\d{4})_"
 LIST_NAME = r"^from_(\d{4})_(\d{2})_(\d{2})\.csv"
@@ -22,9 +22,19 @@ def _found(text: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
-def _strict_date(digits: Column) -> Column:
-    """yyyyMMdd to a date; null for days no calendar has."""
-    return F.try_to_date(digits, "yyyyMMdd")
+def _date(year: Column, month: Column, day: Column) -> Column:
+    """Digits to a date; null for days no calendar has."""
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day).try_cast("date")
+
+
+def _date_of_month_day(year: Column, month_day: Column) -> Column:
+    return _date(year, F.substring(month_day, 1, 2), F.substring(month_day, 3, 2))
+
+
+def _date_of_tidy(text: Column) -> Column:
+    """year/month/day to a date; null for anything else."""
+    tidy = text.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$")
+    return F.when(tidy, F.replace(text, F.lit("/"), F.lit("-")).try_cast("date"))
 
 
 def tidy_date_text(column: Column) -> Column:
@@ -34,18 +44,17 @@ def tidy_date_text(column: Column) -> Column:
     month/day/year. A text without any of them stays as it is.
     """
     text = column.cast("string")
-    year_last = F.concat_ws("/", *[_found(text, YEAR_LAST_SLASH, g) for g in (3, 1, 2)])
     return F.coalesce(
         _found(text, YEAR_FIRST_SLASH),
         F.replace(_found(text, YEAR_FIRST_DASH), F.lit("-"), F.lit("/")),
-        F.nullif(year_last, F.lit("")),
+        F.regexp_replace(_found(text, YEAR_LAST_SLASH), r"^(\d+)/(\d+)/(\d+)$", "$3/$1/$2"),
         text,
     )
 
 
 def date_of_text(column: Column) -> Column:
     """The date a text stands for, null where it has none; for ordering only."""
-    return F.try_to_date(tidy_date_text(column), "y/M/d")
+    return _date_of_tidy(tidy_date_text(column))
 
 
 def short_day_text(day: Column) -> Column:
@@ -64,7 +73,7 @@ def summary_cell_date(column: Column) -> Column:
     """The date a summary text starts with; null where it is not y/m/d."""
     before = F.trim(F.split_part(column.cast("string"), F.lit(fixed.SUMMARY_RANGE_MARK), F.lit(1)))
     first_word = F.regexp_extract(before, r"^(\d{4}/\d{1,2}/\d{1,2})(?:\s|$)", 1)
-    return F.try_to_date(F.nullif(first_word, F.lit("")), "y/M/d")
+    return _date_of_tidy(first_word)
 
 
 def month_day_name_date(stem: Column, year: int, accept_year: bool = False) -> Column:
@@ -72,34 +81,32 @@ def month_day_name_date(stem: Column, year: int, accept_year: bool = False) -> C
 
     ``accept_year`` also takes eight digits, yyyyMMdd.
     """
-    dated = F.when(stem.rlike(r"^[0-9]{4}$"), _strict_date(F.concat(F.lit(f"{year:04d}"), stem)))
+    dated = F.when(stem.rlike(r"^[0-9]{4}$"), _date_of_month_day(F.lit(f"{year:04d}"), stem))
     if accept_year:
-        dated = dated.when(stem.rlike(r"^[0-9]{8}$"), _strict_date(stem))
+        dated = dated.when(stem.rlike(r"^[0-9]{8}$"), _date_of_month_day(F.substring(stem, 1, 4), F.substring(stem, 5, 4)))
     return dated
 
 
-def prefixed_name_date(stem: Column, default_year: int = fixed.DEFAULT_NAME_YEAR) -> Column:
-    """Date of a YYYY_MMDD_* stem, else of MMDD_* in ``default_year``, else null."""
+def _with_year_date(stem: Column) -> Column:
     year = _found(stem, NAME_WITH_YEAR, 1)
-    with_year = F.when(
-        year.cast("int").between(1900, 2100),
-        _strict_date(F.concat(year, _found(stem, NAME_WITH_YEAR, 2))),
+    return F.when(
+        year.cast("int").between(1900, 2100), _date_of_month_day(year, _found(stem, NAME_WITH_YEAR, 2))
     )
-    return F.coalesce(with_year, _default_year_date(stem, default_year))
 
 
 def _default_year_date(stem: Column, default_year: int) -> Column:
-    return _strict_date(F.concat(F.lit(f"{default_year:04d}"), _found(stem, NAME_WITHOUT_YEAR)))
+    return _date_of_month_day(F.lit(f"{default_year:04d}"), _found(stem, NAME_WITHOUT_YEAR))
+
+
+def prefixed_name_date(stem: Column, default_year: int = fixed.DEFAULT_NAME_YEAR) -> Column:
+    """Date of a YYYY_MMDD_* stem, else of MMDD_* in ``default_year``, else null."""
+    return F.coalesce(_with_year_date(stem), _default_year_date(stem, default_year))
 
 
 def name_date_kind(stem: Column, default_year: int = fixed.DEFAULT_NAME_YEAR) -> Column:
     """Which shape gave the date: with_year, without_year or failed."""
-    year = _found(stem, NAME_WITH_YEAR, 1)
-    with_year = year.cast("int").between(1900, 2100) & _strict_date(
-        F.concat(year, _found(stem, NAME_WITH_YEAR, 2))
-    ).isNotNull()
     return (
-        F.when(with_year, "with_year")
+        F.when(_with_year_date(stem).isNotNull(), "with_year")
         .when(_default_year_date(stem, default_year).isNotNull(), "without_year")
         .otherwise("failed")
     )
@@ -108,4 +115,4 @@ def name_date_kind(stem: Column, default_year: int = fixed.DEFAULT_NAME_YEAR) ->
 def list_name_date(file_name: Column) -> Column:
     """Date in a list's file name, from_yyyy_mm_dd.csv."""
     parts = [_found(file_name, LIST_NAME, g) for g in (1, 2, 3)]
-    return _strict_date(F.concat(*parts))
+    return _date(*parts)

@@ -23,7 +23,9 @@ def row_salt(df: DataFrame, salts: int):
     return F.pmod(F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]), F.lit(salts))
 
 
-def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+def lookup(
+    rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", table_rows: int | None = None
+) -> DataFrame:
     """Join ``rows`` to ``table``, which has at most one row per key.
 
     A table of checked small size is broadcast, so ``rows`` is not shuffled. A
@@ -31,12 +33,12 @@ def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "lef
     holds a third of all rows, or a null key, then spreads over ``SALTS`` tasks.
 
     The size check computes ``table`` once more, so keep one that takes a pass over
-    large data in scratch.
+    large data in scratch; or give ``table_rows`` where its size is known.
     """
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"a lookup keeps the rows' side; {how!r} does not")
     on = list(on)
-    if fits_broadcast(table):
+    if fits_broadcast(table) if table_rows is None else table_rows <= BROADCAST_ROWS:
         return rows.join(F.broadcast(table), on, how)
     salted_rows = rows.withColumn("_salt", row_salt(rows, SALTS))
     every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))

@@ -16,7 +16,7 @@ from fleetloom import fixed
 from fleetloom.functions.columns import quoted
 from fleetloom.functions.draws import draw
 from fleetloom.operators.lookups import lookup
-from fleetloom.operators.position import index_within, largest, random_rank
+from fleetloom.operators.position import index_within, random_rank
 from fleetloom.session import scratch_table
 
 # Left rows that may share one copy of a right row.
@@ -83,18 +83,21 @@ def pair_rows(
     right_names = [c for c in right.columns if c != key]
     sizes = scratch_table(pair_sizes(left, right, key, keys).withColumnRenamed(key, "_key"), "pair-sizes")
     sizes = sizes.where("right_rows > 0")
+    key_count, most_left, most_right = sizes.agg(
+        F.count(F.lit(1)), F.coalesce(F.max("left_rows"), F.lit(0)), F.coalesce(F.max("right_rows"), F.lit(0))
+    ).first()
 
     # Each left row is a slot. Its rank in a random order of the key's slots says
     # which right row it takes: a rank below the right side's size takes that very
     # row, a rank beyond it takes a drawn one.
-    left_sized = lookup(left.withColumnRenamed(key, "_key"), sizes, ["_key"], "inner")
-    slots = index_within(left_sized, ["_key"], left_order, "_pos", sizes, "left_rows")
+    left_sized = lookup(left.withColumnRenamed(key, "_key"), sizes, ["_key"], "inner", key_count)
+    slots = index_within(left_sized, ["_key"], left_order, "_pos", sizes, "left_rows", most_left)
     topped_up = F.col("right_rows") < F.col("left_rows")
     ranked = random_rank(
         slots,
         ["_key"],
         F.col("left_rows"),
-        largest(sizes, "left_rows"),
+        most_left,
         draw(seed, F.col("_key"), F.col("_pos")),
         ["_pos"],
         "_rank",
@@ -111,8 +114,8 @@ def pair_rows(
         "_pos",
         *[quoted(c).alias(prefixes[0] + c) for c in left_names],
     )
-    right_sized = lookup(right.withColumnRenamed(key, "_key"), sizes, ["_key"], "inner")
-    offered = index_within(right_sized, ["_key"], right_order, "_take", sizes, "right_rows").select(
+    right_sized = lookup(right.withColumnRenamed(key, "_key"), sizes, ["_key"], "inner", key_count)
+    offered = index_within(right_sized, ["_key"], right_order, "_take", sizes, "right_rows", most_right).select(
         "_key",
         "_take",
         F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1)).alias("_copy"),

@@ -36,7 +36,8 @@ def sorted_slices(
     """The rows in sorted slices, kept in scratch, with ``_slice`` and ``_line``.
 
     ``_line`` grows along the order over all slices and without gaps inside one.
-    ``order`` should end in a unique column. ``keep`` picks what is stored.
+    ``order`` should end in a unique column, and be of columns rather than costly
+    expressions. ``keep`` picks what is stored.
     """
     kept = list(keep) if keep is not None else [quoted(c) for c in df.columns]
     placed = df.orderBy(*order).select(*kept, F.monotonically_increasing_id().alias("_line"))
@@ -72,11 +73,6 @@ def group_sizes(df: DataFrame, keys: Sequence[str], name: str = "rows") -> DataF
     return scratch_table(df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias(name)), "sizes")
 
 
-def largest(sizes: DataFrame, name: str = "rows") -> int:
-    """The biggest number of rows a key has; 0 without keys."""
-    return sizes.agg(F.max(name)).first()[0] or 0
-
-
 def _of_sizes(df: DataFrame, sizes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is in ``sizes``, a null key too."""
     group = F.struct(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)])
@@ -90,19 +86,22 @@ def index_within(
     name: str = "pos",
     sizes: DataFrame | None = None,
     size: str = "rows",
+    biggest: int | None = None,
 ) -> DataFrame:
     """Number the rows of each key from 0 along ``order``; no keys: all rows.
 
     Keys of up to ``ROWS_PER_TASK`` rows are numbered by a window. Larger ones go
-    through sorted slices, so none is ever sorted by one task. ``sizes`` saves the
-    count per key where the caller has it.
+    through sorted slices, so none is ever sorted by one task. ``sizes``, with the
+    rows per key in column ``size``, and ``biggest`` save counting where the caller
+    has them.
     """
     keys = list(keys)
     if not keys:
         return _sliced_index(df, keys, order, name)
     sizes = group_sizes(df, keys, size) if sizes is None else sizes
     numbered = (F.row_number().over(Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*order)) - 1).cast("bigint")
-    if largest(sizes, size) <= ROWS_PER_TASK:
+    biggest = (sizes.agg(F.max(size)).first()[0] or 0) if biggest is None else biggest
+    if biggest <= ROWS_PER_TASK:
         return df.withColumn(name, numbered)
     small = _of_sizes(df, sizes.where(F.col(size) <= ROWS_PER_TASK), keys)
     large = _of_sizes(df, sizes.where(F.col(size) > ROWS_PER_TASK), keys)
@@ -178,7 +177,9 @@ def sort_by_text_date(df: DataFrame, column: str, tie: Sequence[str], name: str
     Rows without a date come last. ``tie`` orders the rows of one day and must be
     unique: it also lets one day's rows spread over several slices.
     """
-    return row_index(df, [date_of_text(quoted(column)).asc_nulls_last(), *[quoted(t) for t in tie]], name)
+    # The date is a column, as a sort would read it off the text at every comparison.
+    dated = df.withColumn("_day", date_of_text(quoted(column)))
+    return row_index(dated, [F.col("_day").asc_nulls_last(), *[quoted(t) for t in tie]], name).drop("_day")
 
 
 def shuffle_rows(df: DataFrame, key: Sequence[str], seed: int, name: str = "pos") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetloom import fixed
 from fleetloom.functions import paths
 from fleetloom.operators import cleanse, reports
+from fleetloom.session import scratch_table
 from fleetloom.sources.csv_files import read_ragged_csv, small_csv_files
 from fleetloom.sources.sinks import write_by, write_ragged_csv
 from fleetloom.streaming.ingest import clean_rows
@@ -24,14 +25,24 @@ def clean_directory(
     column_index: int | None = 0,
     old: str = fixed.MISREAD_CHAR,
     new: str = fixed.CORRECT_CHAR,
-    format: str = "parquet",
+    layout: str = "table",
     allow_clashes: bool = False,
 ) -> DataFrame:
     """Drop a column and replace the character in cells and names of all CSV files.
 
-    Writes a new dataset, one directory per new file name, beside ``source`` unless
-    ``target`` is given; ``format`` is parquet or csv. Returns the outcome per file.
+    Writes beside ``source`` unless ``target`` is given, and returns the outcome per
+    file. ``layout`` is
+
+    * ``table``: one parquet table of ``new_name``, ``row_no`` and ``cells``, with a
+      row holding ``error`` for each file that cannot be read. Files are read, cleaned
+      and written in one stage without a shuffle.
+    * ``folders``: a folder of parquet files per new file name.
+    * ``csv``: a folder of CSV lines per new file name.
+
+    Folders are for thousands of files rather than millions.
     """
+    if layout not in ("table", "folders", "csv"):
+        raise ValueError(f"layout is table, folders or csv, not {layout!r}")
     target = paths.processed_dir(source) if target is None else target
     if not allow_clashes:
         names = cleanse.rename_files(small_csv_files(spark, source).select("path"), "path", old, new)
@@ -39,12 +50,17 @@ def clean_directory(
         if clash is not None:
             raise RenameClash(f"{clash.files} files would be named {clash.new_path}")
     rows = clean_rows(read_ragged_csv(spark, source), column_index, old, new)
-    good = rows.where("error is null and row_no >= 0").select("new_name", "row_no", "cells")
-    if format == "csv":
-        write_ragged_csv(good, target, "new_name")
+    if layout == "table":
+        rows.write.parquet(target)
+        stored = spark.read.schema(rows.schema).parquet(target)
     else:
-        write_by(good, target, "new_name", format=format)
-    return reports.file_outcomes(rows, "src_file", F.lit(True), F.col("error"), F.col("row_no") >= 0)
+        stored = scratch_table(rows, "cleaned")
+        good = stored.where("status = 'ok' and row_no >= 0").select("new_name", "row_no", "cells")
+        if layout == "csv":
+            write_ragged_csv(good, target, "new_name")
+        else:
+            write_by(good, target, "new_name")
+    return reports.file_outcomes(stored, "src_file", F.lit(True), F.col("error"), F.col("row_no") >= 0)
 
 
 def dry_run_directory(spark: SparkSession, source: str, old: str = fixed.MISREAD_CHAR) -> DataFrame:

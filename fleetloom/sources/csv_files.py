@@ -7,7 +7,7 @@ import io
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +32,7 @@ FILE_CONTENTS = "path string, modificationTime timestamp, length bigint, content
 
 # Files up to this many bytes are parsed whole; longer ones line by line.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
-_ROWS_PER_FRAME = 20_000
+_ROWS_PER_BATCH = 20_000
 
 
 def read_csv_tree(
@@ -90,30 +90,41 @@ def _parse_text(text: str) -> Iterator[list[str]]:
     return csv.reader(io.StringIO(text, newline=""))
 
 
-def _note(path: str, error: str | None) -> pd.DataFrame:
-    """The one row of a file that has no rows or cannot be read."""
-    return pd.DataFrame({"src_file": [path], "row_no": [-1], "cells": [None], "error": [error]})
+class RowBuffer:
+    """Rows of many files, handed on in Arrow batches."""
 
+    def __init__(self) -> None:
+        self._columns: list[list] = [[], [], [], []]
 
-def _frames(path: str, rows: list[list[str]]) -> Iterator[pd.DataFrame]:
-    if not rows:
-        yield _note(path, None)
-    for start in range(0, len(rows), _ROWS_PER_FRAME):
-        part = rows[start : start + _ROWS_PER_FRAME]
-        yield pd.DataFrame(
-            {"src_file": path, "row_no": range(start, start + len(part)), "cells": part, "error": None}
-        )
+    def add(self, path: str, rows: list[list[str]], error: str | None = None) -> Iterator[pa.RecordBatch]:
+        """Take a file's rows; a file without any leaves one row that notes it."""
+        first = 0 if rows else -1
+        rows = rows or [None]
+        new = ([path] * len(rows), range(first, first + len(rows)), rows, [error] * len(rows))
+        for column, values in zip(self._columns, new):
+            column.extend(values)
+        if len(self._columns[0]) >= _ROWS_PER_BATCH:
+            yield from self.rest()
 
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        columns, self._columns = self._columns, [[], [], [], []]
+        types = (pa.string(), pa.int64(), pa.list_(pa.string()), pa.string())
+        for start in range(0, len(columns[0]), _ROWS_PER_BATCH):
+            part = [pa.array(c[start : start + _ROWS_PER_BATCH], t) for c, t in zip(columns, types)]
+            yield pa.RecordBatch.from_arrays(part, ["src_file", "row_no", "cells", "error"])
 
-def _parse_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    buffer = RowBuffer()
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+            rows, error = [], None
             try:
-                rows = list(_parse_text(bytes(content).decode("utf-8-sig")))
+                rows = list(_parse_text(content.as_py().decode("utf-8-sig")))
             except (UnicodeDecodeError, csv.Error) as problem:
-                yield _note(path, f"{type(problem).__name__}: {problem}")
-            else:
-                yield from _frames(path, rows)
+                error = f"{type(problem).__name__}: {problem}"
+            yield from buffer.add(path, rows, error)
+    yield from buffer.rest()
 
 
 def cells_of_files(files: DataFrame) -> DataFrame:
@@ -123,13 +134,19 @@ def cells_of_files(files: DataFrame) -> DataFrame:
     without; both have ``row_no`` -1 and no cells. Spark does not open files of zero
     bytes.
     """
-    return files.select("path", "content").mapInPandas(_parse_files, RAW_CELLS)
+    return files.select("path", "content").mapInArrow(_parse_files, RAW_CELLS)
 
 
-def _parse_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cells = [next(_parse_text(text), []) for text in batch["_text"]]
-        yield pd.DataFrame({"src_file": batch["src_file"], "row_no": batch["row_no"], "cells": cells, "error": None})
+        cells = [next(_parse_text(text), []) for text in batch.column("_text").to_pylist()]
+        columns = [
+            batch.column("src_file").cast(pa.string()),
+            batch.column("row_no"),
+            pa.array(cells, pa.list_(pa.string())),
+            pa.nulls(len(cells), pa.string()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["src_file", "row_no", "cells", "error"])
 
 
 def _long_file_lines(spark: SparkSession, path: str, longer_than: int, name_glob: str) -> DataFrame:
@@ -187,7 +204,7 @@ def cells_of_lines(lines: DataFrame) -> DataFrame:
         F.lit(None).cast("array<string>").alias("cells"),
         F.lit("UnicodeDecodeError: not UTF-8").alias("error"),
     )
-    return records.mapInPandas(_parse_records, RAW_CELLS).union(broken)
+    return records.mapInArrow(_parse_records, RAW_CELLS).union(broken)
 
 
 def read_ragged_csv(

@@ -17,9 +17,17 @@ def write_by(df: DataFrame, path: str, *keys: str, format: str = "parquet", mode
     df.hint("rebalance", *keys).write.format(format).mode(mode).partitionBy(*keys).save(path)
 
 
+def write_clustered(df: DataFrame, path: str, *order: str, format: str = "parquet", mode: str = "errorifexists") -> None:
+    """One table whose part files follow ``order``, each sorted inside.
+
+    Readers that filter on the order's columns skip the other files by their statistics.
+    """
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.format(format).mode(mode).save(path)
+
+
 def write_in_order(df: DataFrame, path: str, pos: str = "pos", format: str = "parquet", mode: str = "errorifexists") -> None:
-    """One table whose part files follow ``pos``, each sorted inside."""
-    df.repartitionByRange(pos).sortWithinPartitions(pos).write.format(format).mode(mode).save(path)
+    """One consolidated table in row order."""
+    write_clustered(df, path, pos, format=format, mode=mode)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -35,8 +43,14 @@ def csv_line(cells: Column) -> Column:
         doubled = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
         return F.when(text.rlike('[",\r\n]'), doubled).otherwise(text)
 
-    line = F.concat_ws(",", F.transform(cells, written))
-    return F.when((F.size(cells) == 1) & (line == ""), F.lit('""')).otherwise(line)
+    plain = F.array_join(cells, ",", "")
+    commas = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit("")))
+    needs_quotes = (commas >= F.size(cells)) | plain.rlike('["\r\n]')
+    return (
+        F.when((F.size(cells) == 1) & (plain == ""), F.lit('""'))
+        .when(needs_quotes & (F.size(cells) > 0), F.array_join(F.transform(cells, written), ","))
+        .otherwise(plain)
+    )
 
 
 def write_ragged_csv(
@@ -44,10 +58,10 @@ def write_ragged_csv(
 ) -> None:
     """Rows of cells as CSV text, one directory per ``key``, rows in order."""
     (
-        rows.select(quoted(key).alias(key), quoted(row_no).alias("_row_no"), csv_line(quoted(cells)).alias("value"))
+        rows.select(quoted(key).alias(key), quoted(row_no).alias("_row_no"), quoted(cells).alias("_cells"))
         .repartitionByRange(key, "_row_no")
         .sortWithinPartitions(key, "_row_no")
-        .drop("_row_no")
+        .select(key, csv_line(F.col("_cells")).alias("value"))
         .write.mode(mode)
         .partitionBy(key)
         .text(path)

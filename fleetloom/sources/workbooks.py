@@ -14,13 +14,13 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetloom.functions.columns import quoted
-from fleetloom.sources.csv_files import RAW_CELLS
+from fleetloom.sources.csv_files import RAW_CELLS, RowBuffer
 from fleetloom.sources.day_tables import valid_name_glob
 
 # --- fixed values of the format ----------------------------------------------
@@ -29,7 +29,6 @@ _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationship
 _DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 _DAY_ZERO = datetime(1899, 12, 30)
 # -----------------------------------------------------------------------------
-_ROWS_PER_FRAME = 20_000
 
 
 def _xml(book: zipfile.ZipFile, name: str):
@@ -109,21 +108,17 @@ def sheet_rows(content: bytes) -> list[list[str | None]]:
         return rows
 
 
-def _parse_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse_workbooks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    buffer = RowBuffer()
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
             rows, error = [], None
             try:
-                rows = sheet_rows(bytes(content))
+                rows = sheet_rows(content.as_py())
             except (zipfile.BadZipFile, ElementTree.ParseError, LookupError, ValueError, AttributeError) as problem:
                 error = f"{type(problem).__name__}: {problem}"
-            if not rows:
-                yield pd.DataFrame({"src_file": [path], "row_no": [-1], "cells": [None], "error": [error]})
-            for start in range(0, len(rows), _ROWS_PER_FRAME):
-                part = rows[start : start + _ROWS_PER_FRAME]
-                yield pd.DataFrame(
-                    {"src_file": path, "row_no": range(start, start + len(part)), "cells": part, "error": None}
-                )
+            yield from buffer.add(path, rows, error)
+    yield from buffer.rest()
 
 
 def read_workbooks(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
@@ -134,7 +129,7 @@ def read_workbooks(spark: SparkSession, path: str, recursive: bool = False) -> D
         .option("recursiveFileLookup", recursive)
         .load(path)
     )
-    return files.select("path", "content").mapInPandas(_parse_workbooks, RAW_CELLS)
+    return files.select("path", "content").mapInArrow(_parse_workbooks, RAW_CELLS)
 
 
 def headers_of(cells: DataFrame) -> DataFrame:

@@ -40,9 +40,7 @@ def clean_rows(
 
 def _store(rows: DataFrame, target: str, run: str) -> None:
     """Write one run to its own folder; writing the run again replaces it."""
-    rows.withColumn("stored_at", F.current_timestamp()).write.mode("overwrite").partitionBy("status").parquet(
-        f"{target}/run={run}"
-    )
+    rows.withColumn("stored_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{target}/run={run}")
 
 
 def clean_new_files(

@@ -175,7 +175,7 @@ def test_clean_directory(spark, folder):
         ("bad.csv", 0, "failed"),
     }
     stored = spark.read.parquet(str(folder / "in_处理后"))
-    assert {(r.new_name, r.row_no): r.cells for r in stored.collect()} == {
+    assert {(r.new_name, r.row_no): r.cells for r in stored.where("error is null").collect()} == {
         ("豫N00775D.csv", 0): ["线路", "b"],
         ("豫N00775D.csv", 1): ["1", "2"],
         ("豫N00775D.csv", 2): [],
@@ -189,7 +189,7 @@ def test_clean_directory(spark, folder):
 
 
 def test_clean_directory_to_csv_reads_back(spark, folder):
-    clean.clean_directory(spark, str(folder / "in"), str(folder / "out"), column_index=None, format="csv")
+    clean.clean_directory(spark, str(folder / "in"), str(folder / "out"), column_index=None, layout="csv")
     back = csv_files.read_ragged_csv(spark, str(folder / "out"), name_glob="*.txt").where("row_no >= 0")
     assert [r.cells for r in back.where("src_file like '%豫N00775D%'").orderBy("row_no").collect()] == [
         ["线路", "a", "b"], ["1", "豫x", "2"], [], ["3"],
@@ -199,6 +199,15 @@ def test_clean_directory_to_csv_reads_back(spark, folder):
     ]
 
 
+def test_clean_directory_to_folders(spark, folder):
+    clean.clean_directory(spark, str(folder / "in"), str(folder / "out"), layout="folders")
+    assert sorted(r.new_name for r in spark.read.parquet(str(folder / "out")).select("new_name").distinct().collect()) == [
+        "a b%20+.csv", "豫N00775D.csv",
+    ]
+    with pytest.raises(ValueError):
+        clean.clean_directory(spark, str(folder / "in"), str(folder / "x"), layout="zip")
+
+
 def test_clashing_names_are_refused(spark, tmp_path):
     for name in ("ԥ1.csv", "豫1.csv"):
         (tmp_path / name).write_text("a\n")
