@@ -11,8 +11,8 @@ from fleetloom import fixed
 YEAR_FIRST_SLASH = r"(\d{4}/\d{1,2}/\d{1,2})"
 YEAR_FIRST_DASH = r"(\d{4}-\d{1,2}-\d{1,2})"
 YEAR_LAST_SLASH = r"(\d{1,2}/\d{1,2}/\d{4})"
-NAME_WITH_YEAR = r"^(\d{4})_(\d{4})_"
-NAME_WITHOUT_YEAR = r"^(\d{4})_"
+NAME_WITH_YEAR = r"^\d{4}_\d{4}_"
+NAME_WITHOUT_YEAR = r"^\d{4}_"
 LIST_NAME = r"^from_(\d{4})_(\d{2})_(\d{2})\.csv"
 # -----------------------------------------------------------------------------
 
@@ -88,14 +88,13 @@ def month_day_name_date(stem: Column, year: int, accept_year: bool = False) -> C
 
 
 def _with_year_date(stem: Column) -> Column:
-    year = _found(stem, NAME_WITH_YEAR, 1)
-    return F.when(
-        year.cast("int").between(1900, 2100), _date_of_month_day(year, _found(stem, NAME_WITH_YEAR, 2))
-    )
+    year = F.substring(stem, 1, 4)
+    dated = stem.rlike(NAME_WITH_YEAR) & year.between("1900", "2100")
+    return F.when(dated, _date_of_month_day(year, F.substring(stem, 6, 4)))
 
 
 def _default_year_date(stem: Column, default_year: int) -> Column:
-    return _date_of_month_day(F.lit(f"{default_year:04d}"), _found(stem, NAME_WITHOUT_YEAR))
+    return F.when(stem.rlike(NAME_WITHOUT_YEAR), _date_of_month_day(F.lit(f"{default_year:04d}"), F.substring(stem, 1, 4)))
 
 
 def prefixed_name_date(stem: Column, default_year: int = fixed.DEFAULT_NAME_YEAR) -> Column:

@@ -59,9 +59,8 @@ def header_offenders(headers: DataFrame, src_file: str = "src_file", columns: st
     ``headers`` has one or more rows per file; equal ones are merged map-side.
     """
     distinct = headers.select(src_file, columns).distinct()
-    # One row.
-    expected = distinct.agg(F.min_by(columns, F.struct(src_file, columns)).alias("expected"))
-    return distinct.join(F.broadcast(expected), F.col(columns) != F.col("expected"))
+    expected = headers.agg(F.min_by(columns, F.struct(src_file, columns)))
+    return distinct.withColumn("expected", expected.scalar()).where(F.col(columns) != F.col("expected"))
 
 
 def check_headers(headers: DataFrame, src_file: str = "src_file", columns: str = "columns") -> None:

@@ -269,9 +269,8 @@ def shuffle_audit(before: DataFrame, after: DataFrame, name: str = "pos", first:
     for c in columns:
         same = same & F.col("b.`" + c + "`").eqNullSafe(F.col("a.`" + c + "`"))
     heads = before.where(F.col(name) < first).alias("b").join(after.where(F.col(name) < first).alias("a"), name)
-    stayed = heads.agg(
-        F.count(F.lit(1)).alias("compared"), F.count_if(same).alias("stayed")
-    )
+    none = F.lit(0).cast("bigint")
+    stayed = heads.agg(F.count(F.lit(1)).alias("compared"), F.count_if(same).alias("stayed"))
     moved = multiset_difference(before.drop(name), after.drop(name))
-    # One row beside one row.
-    return stayed.join(moved)
+    both = stayed.select("*", none.alias("lost"), none.alias("added")).union(moved.select(none, none, "lost", "added"))
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetloom.functions.columns import prefix_columns
 from fleetloom.operators import bands, pairing
 from fleetloom.operators.bands import Band
+from fleetloom.operators.position import index_within
 from fleetloom.queries.registry import draw_sql, query, table
+from fleetloom.session import scratch_path
+from fleetloom.sources.sinks import write_by
 
 LOW, MEDIUM = bands.DEFAULT_BANDS
 _OVERLAPPING = (LOW, Band(25.0, 85.0, "medium"), Band(900.0, 999.0, "none"))
@@ -72,6 +76,24 @@ def _sides(spark: SparkSession, sf_dir: str, key: str = "day") -> tuple[DataFram
 
 _LOW_SQL = f"SELECT * FROM ({EVENTS_SQL}) WHERE value BETWEEN 0 AND 30"
 _MEDIUM_SQL = f"SELECT * FROM ({EVENTS_SQL}) WHERE value BETWEEN 45 AND 85"
+
+
+@query(
+    f"""
+    WITH l AS (SELECT day, event_id AS low_event_id, value AS low_value, row_number() OVER (PARTITION BY day ORDER BY event_id) - 1 AS pos FROM ({_LOW_SQL})),
+    r AS (SELECT day, event_id AS medium_event_id, value AS medium_value, row_number() OVER (PARTITION BY day ORDER BY event_id) - 1 AS pos FROM ({_MEDIUM_SQL}))
+    SELECT day, pos, low_event_id, low_value, medium_event_id, medium_value FROM l FULL JOIN r USING (day, pos)
+    """
+)
+def zip_unaligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both bands side by side as they are, nulls below the shorter one."""
+    sides = []
+    for prefix, side in zip(("low_", "medium_"), _sides(spark, sf_dir)):
+        numbered = index_within(side.select("day", "event_id", "value"), ["day"], ["event_id"])
+        sides.append(prefix_columns(numbered, prefix, ["day", "pos"]))
+    return pairing.zip_rows(*sides, "day")
+
+
 _KEY_SQL = "SELECT DISTINCT day || '_' || user_id AS user_day FROM ({0})"
 
 
@@ -171,9 +193,6 @@ def pair_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def band_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bands written to a directory per label and file, and read back."""
-    from fleetloom.session import scratch_path
-    from fleetloom.sources.sinks import write_by
-
     path = scratch_path(spark, "bands")
     write_by(bands.band_fan_out(events(spark, sf_dir), "value", _OVERLAPPING), path, "range_label", "day")
     stored = spark.read.schema("event_id bigint, range_label string, day string").parquet(path)

@@ -17,6 +17,8 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str =
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # Many small files per task; see the README for clusters.
+        .config("spark.sql.files.openCostInBytes", str(64 * 1024))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.host", "127.0.0.1")

@@ -92,6 +92,12 @@ def ledger(spark: SparkSession, target: str) -> DataFrame:
     )
 
 
+def pending_files(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Files of ``source`` that no run has stored yet. Reads the listing only."""
+    done = _stored(spark, target).select(F.col("src_file").alias("path")).distinct()
+    return small_csv_files(spark, source).select("path", "length").join(done, "path", "left_anti")
+
+
 def ledger_report(spark: SparkSession, target: str) -> DataFrame:
     """One row per status: files, rows, and the time of the last attempt."""
     return (

@@ -222,7 +222,9 @@ def test_ingestion_runs_once_per_file(spark, folder):
     assert len(first) == 7
     ingest.clean_new_files(spark, source, target, checkpoint)
     assert values(ingest.cleaned_rows(spark, target)) == first
+    assert ingest.pending_files(spark, source, target).isEmpty()
     (folder / "in" / "new.csv").write_text("x,y\n1,2\n")
+    assert [r.path.rsplit("/", 1)[1] for r in ingest.pending_files(spark, source, target).collect()] == ["new.csv"]
     ingest.clean_new_files(spark, source, target, checkpoint)
     assert len(values(ingest.cleaned_rows(spark, target))) == 9
     assert [_name(r) for r in ingest.quarantine(spark, target).collect()] == ["bad.csv"]

@@ -15,6 +15,7 @@ LARGE_WAYS = [
     "align_top_up",
     "zip_positional",
     "align_by_user",
+    "zip_unaligned",
     "shuffle_right_half",
     "shuffle_rows",
     "purge_listed",
