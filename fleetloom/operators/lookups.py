@@ -4,27 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side of at most this many narrow rows is broadcast.
+from fleetloom.functions.columns import quoted
+
+# A lookup side of at most this many rows, with at most this much text, is broadcast.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 # Beyond it, every key is spread over this many sub-keys.
 SALTS = 16
 
 
+def text_bytes(*columns: str) -> Column:
+    """Bytes of the rows' values as text, added up."""
+    return F.coalesce(F.sum(F.octet_length(F.concat_ws("", *[quoted(c).cast("string") for c in columns]))), F.lit(0))
+
+
+def is_small(rows: int, size: int) -> bool:
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """True if ``df`` has at most ``BROADCAST_ROWS`` rows; reads no more than it must."""
-    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    """True if ``df`` is small enough to be broadcast; counted in one pass."""
+    return is_small(*df.agg(F.count(F.lit(1)), text_bytes(*df.columns)).first())
 
 
-def row_salt(df: DataFrame, salts: int):
+def row_salt(df: DataFrame, salts: int) -> Column:
     """A sub-key from the row's content, so a task run again salts alike."""
-    return F.pmod(F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]), F.lit(salts))
+    return F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(salts))
 
 
 def lookup(
-    rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", table_rows: int | None = None
+    rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", small: bool | None = None
 ) -> DataFrame:
     """Join ``rows`` to ``table``, which has at most one row per key.
 
@@ -33,12 +45,12 @@ def lookup(
     holds a third of all rows, or a null key, then spreads over ``SALTS`` tasks.
 
     The size check computes ``table`` once more, so keep one that takes a pass over
-    large data in scratch; or give ``table_rows`` where its size is known.
+    large data in scratch; or say whether it is ``small`` where that is known.
     """
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"a lookup keeps the rows' side; {how!r} does not")
     on = list(on)
-    if fits_broadcast(table) if table_rows is None else table_rows <= BROADCAST_ROWS:
+    if fits_broadcast(table) if small is None else small:
         return rows.join(F.broadcast(table), on, how)
     salted_rows = rows.withColumn("_salt", row_salt(rows, SALTS))
     every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fleetloom import fixed
 from fleetloom.functions.columns import quoted
 from fleetloom.functions.draws import draw
-from fleetloom.operators.lookups import lookup
+from fleetloom.operators.lookups import is_small, lookup, text_bytes
 from fleetloom.operators.position import index_within, random_rank
 from fleetloom.session import scratch_table
 
@@ -83,14 +83,18 @@ def pair_rows(
     right_names = [c for c in right.columns if c != key]
     sizes = scratch_table(pair_sizes(left, right, key, keys).withColumnRenamed(key, "_key"), "pair-sizes")
     sizes = sizes.where("right_rows > 0")
-    key_count, most_left, most_right = sizes.agg(
-        F.count(F.lit(1)), F.coalesce(F.max("left_rows"), F.lit(0)), F.coalesce(F.max("right_rows"), F.lit(0))
+    key_count, key_bytes, most_left, most_right = sizes.agg(
+        F.count(F.lit(1)),
+        text_bytes(*sizes.columns),
+        F.coalesce(F.max("left_rows"), F.lit(0)),
+        F.coalesce(F.max("right_rows"), F.lit(0)),
     ).first()
+    few_keys = is_small(key_count, key_bytes)
 
     # Each left row is a slot. Its rank in a random order of the key's slots says
     # which right row it takes: a rank below the right side's size takes that very
     # row, a rank beyond it takes a drawn one.
-    left_sized = lookup(left.withColumnRenamed(key, "_key"), sizes, ["_key"], "inner", key_count)
+    left_sized = lookup(left.withColumnRenamed(key, "_key"), sizes, ["_key"], "inner", few_keys)
     slots = index_within(left_sized, ["_key"], left_order, "_pos", sizes, "left_rows", most_left)
     topped_up = F.col("right_rows") < F.col("left_rows")
     ranked = random_rank(
@@ -114,7 +118,7 @@ def pair_rows(
         "_pos",
         *[quoted(c).alias(prefixes[0] + c) for c in left_names],
     )
-    right_sized = lookup(right.withColumnRenamed(key, "_key"), sizes, ["_key"], "inner", key_count)
+    right_sized = lookup(right.withColumnRenamed(key, "_key"), sizes, ["_key"], "inner", few_keys)
     offered = index_within(right_sized, ["_key"], right_order, "_take", sizes, "right_rows", most_right).select(
         "_key",
         "_take",

@@ -31,7 +31,7 @@ RAW_CELLS = T.StructType(
 FILE_CONTENTS = "path string, modificationTime timestamp, length bigint, content binary"
 
 # Files up to this many bytes are parsed whole; longer ones line by line.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
+WHOLE_FILE_BYTES = 16 * 1024 * 1024
 _ROWS_PER_BATCH = 20_000
 
 
