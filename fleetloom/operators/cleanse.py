@@ -17,7 +17,8 @@ def drop_cell(cells: Column, index: int = 0) -> Column:
     """The cells without the one at ``index``; shorter rows stay as they are."""
     if index < 0:
         raise ValueError("column index must not be negative")
-    return F.filter(cells, lambda _, place: place != index)
+    after = F.slice(cells, index + 2, F.greatest(F.size(cells) - (index + 1), F.lit(0)))
+    return F.concat(F.slice(cells, 1, index), after)
 
 
 def replace_text(text: Column, old: str = fixed.MISREAD_CHAR, new: str = fixed.CORRECT_CHAR) -> Column:

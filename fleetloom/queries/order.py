@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from fleetloom.functions.dates import date_of_text, prefixed_name_date, short_day_text
 from fleetloom.operators import concat, position, reports
+from fleetloom.operators.lookups import lookup
 from fleetloom.queries.cleanse import MIXED_DATE_SQL, SHORT_DAY_SQL, TIDY_SQL, mixed_date_texts
 from fleetloom.queries.registry import draw_sql, query, table
-from fleetloom.session import scratch_path
-from fleetloom.sources.sinks import write_in_order
+from fleetloom.session import scratch_path, scratch_table
+from fleetloom.sources.csv_files import number_csv_rows, read_csv_tree
+from fleetloom.sources.day_tables import read_day_tables
+from fleetloom.sources.sinks import write_by, write_csv, write_in_order
 
 SEED = 42
 
@@ -255,3 +258,32 @@ def ordered_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = spark.read.schema("o_orderkey bigint, day_text string").parquet(path)
     files = stored.select("*", F.col("_metadata.file_name").alias("src_name"), F.col("_metadata.row_index").alias("row_no"))
     return concat.concat_by_name(files, "src_name", "row_no", dense=True).drop("src_name", "row_no")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderpriority, true AS numbered FROM orders")
+def csv_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as CSV files and read back with row numbers.
+
+    ``numbered`` says that the numbers of a row's file run from 0 without gaps.
+    """
+    path = scratch_path(spark, "tree")
+    write_csv(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), f"{path}/sub")
+    rows = number_csv_rows(read_csv_tree(spark, path, "o_orderkey bigint, o_custkey bigint, o_orderpriority string"))
+    rows = scratch_table(rows, "numbered")
+    files = rows.groupBy("src_file").agg(
+        ((F.min("row_no") == 0) & (F.max("row_no") + 1 == F.count(F.lit(1))) & (F.count_distinct("row_no") == F.count(F.lit(1)))).alias("numbered")
+    )
+    return lookup(rows, files, ["src_file"], "inner").drop("src_file", "row_no")
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS event_ids FROM events GROUP BY 1, 2")
+def day_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of day tables per day, read back as one table with file and row number."""
+    path = scratch_path(spark, "days")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", F.to_date("ts").cast("string").alias("day"))
+    write_by(events, path, "day")
+    read = read_day_tables(spark, path, recursive=True, schema="event_id bigint, event_type string")
+    return (
+        read.groupBy(F.regexp_extract("src_file", "/day=([^/]*)/", 1).alias("day"), "event_type")
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("event_ids"))
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetloom.operators import purge, reports
+from fleetloom.plans import vehicles
 from fleetloom.queries.registry import query, table
 
 
@@ -119,8 +120,7 @@ def _marked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    """
+_CONTENT_DATE_SQL = """
     WITH days AS (
         SELECT o_custkey, o_orderkey, year(o_orderdate) || '/' || month(o_orderdate) || '/' || day(o_orderdate) AS d FROM orders
     ), cells AS (
@@ -140,13 +140,43 @@ def _marked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT o_custkey, place, CAST(try_strptime(split_part(cell, ' ', 1), '%Y/%m/%d') AS DATE) AS d FROM firsts
     )
     SELECT o_custkey AS src_file, CAST(arg_min(d, place) AS VARCHAR) AS file_date FROM parsed WHERE d IS NOT NULL GROUP BY o_custkey
-    """
-)
+"""
+
+
+@query(_CONTENT_DATE_SQL)
 def content_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = purge.content_dates(_marked_records(spark, sf_dir), "src_file", "o_orderkey")
     return found.withColumn("file_date", F.col("file_date").cast("string"))
 
 
+@query(
+    f"""
+    WITH dates AS ({_CONTENT_DATE_SQL}),
+    lists AS (
+        SELECT 'P' || n_nationkey AS plate,
+               CASE WHEN n_nationkey % 5 <> 0 THEN DATE '1996-01-01' + n_regionkey * 365 END AS from_date FROM nation
+    ), records AS (
+        SELECT o_custkey AS src_file, o_orderkey, 'P' || (o_orderkey % 40) AS "Plate", CAST(d.file_date AS DATE) AS file_date
+        FROM orders LEFT JOIN dates d ON d.src_file = o_custkey
+    )
+    SELECT src_file, o_orderkey, "Plate" FROM records r
+    WHERE NOT EXISTS (SELECT 1 FROM lists l WHERE l.plate = r."Plate"
+                      AND (l.from_date IS NULL OR r.file_date IS NULL OR r.file_date >= l.from_date))
+    """
+)
+def purge_by_content_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole purge: file dates from the content, plates found by column name."""
+    plate = F.concat(F.lit("P"), (F.col("o_orderkey") % 40).cast("string"))
+    records = _marked_records(spark, sf_dir).withColumn("Plate", plate)
+    nation = F.col("n_nationkey")
+    lists = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("P"), nation.cast("string")).alias("plate"),
+        F.when(nation % 5 != 0, F.date_add(F.lit("1996-01-01").cast("date"), F.col("n_regionkey") * 365)).alias("from_date"),
+    )
+    flagged = vehicles.purge_files(records, lists, order="o_orderkey")
+    return flagged.where(~F.col("purged")).select("src_file", "o_orderkey", "Plate")
+
+
 @query(
     """
     SELECT src_file, rows_before, rows_after, CAST(NULL AS VARCHAR) AS error, 'ok' AS status
