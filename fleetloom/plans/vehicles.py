@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetloom import fixed
-from fleetloom.functions import paths
+from fleetloom.functions import dates, paths
 from fleetloom.functions.columns import mileage_column, plate_column, quoted
 from fleetloom.operators import bands, calendar, cleanse, concat, pairing, position, purge
 from fleetloom.operators.bands import Band
 from fleetloom.sources.plate_lists import read_dated_lists
+from fleetloom.sources.workbooks import headers_of, table_of_cells
 
 
 def purge_files(
@@ -76,6 +77,36 @@ def consolidate(
     return shuffled.drop("pos")
 
 
+class UnreadableFile(ValueError):
+    """A file that should be stacked could not be read."""
+
+
+def stack_files(cells: DataFrame, by_date: bool = True, default_year: int = fixed.DEFAULT_NAME_YEAR) -> DataFrame:
+    """Stack the files of a cell table under one header, numbered by ``pos``.
+
+    Files come by the date in their name, undated ones first, or by name alone. All
+    must be readable and have the same columns in the same order, or nothing is
+    stacked. The rows are not sorted: only the files' row counts are.
+    """
+    broken = cells.where("error is not null").orderBy("src_file").first()
+    if broken is not None:
+        raise UnreadableFile(f"{broken.src_file}: {broken.error}")
+    headers = headers_of(cells)
+    concat.check_headers(headers)
+    first = headers.first()
+    if first is None:
+        raise UnreadableFile("no file has a header")
+    src_file = F.col("src_file")
+    table = table_of_cells(cells, first.columns).withColumns(
+        {
+            "_file_date": dates.prefixed_name_date(paths.stem(src_file), default_year),
+            "_src_name": paths.file_name(src_file),
+        }
+    )
+    order = ["_file_date", "_src_name", "src_file"] if by_date else ["_src_name", "src_file"]
+    return concat.concat_in_order(table, order, "row_no", dense=True).drop("_file_date", "_src_name")
+
+
 def add_calendar(spark: SparkSession, folder: str, table: DataFrame | None, end: str = fixed.CALENDAR_END) -> DataFrame:
     """The calendar of the dated lists in ``folder``, stacked below ``table`` by name."""
     return concat.concat_lenient(table, calendar.plate_calendar(read_dated_lists(spark, folder), end))

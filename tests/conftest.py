@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from fleetloom.session import local_session  # noqa: E402
+from fleetloom.session import drop_scratch, local_session  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,6 +15,7 @@ def spark():
     session = local_session(8, shuffle_partitions=4, app="fleetloom-tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 

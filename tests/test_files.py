@@ -313,6 +313,28 @@ class _Session:
         return False
 
 
+def test_stack_files(spark, tmp_path):
+    def day(value):
+        return f"车牌号,日期\nv{value}a,x\nv{value}b,y\n"
+
+    names = ["2023_1102_x.csv", "0101_x.csv", "zz.csv", "2023_0328_x.csv"]
+    for name in names:
+        (tmp_path / name).write_text(day(name[:6]))
+    cells = csv_files.read_ragged_csv(spark, str(tmp_path))
+    by_date = vehicles.stack_files(cells).orderBy("pos").collect()
+    assert [r.pos for r in by_date] == list(range(8))
+    assert [r["车牌号"][:3] for r in by_date] == ["vzz", "vzz", "v20", "v20", "v20", "v20", "v01", "v01"]
+    assert [_name(r) for r in by_date[2:6:2]] == ["2023_0328_x.csv", "2023_1102_x.csv"]
+    by_name = vehicles.stack_files(cells, by_date=False).orderBy("pos").collect()
+    assert [_name(r) for r in by_name[::2]] == ["0101_x.csv", "2023_0328_x.csv", "2023_1102_x.csv", "zz.csv"]
+    (tmp_path / "other.csv").write_text("日期,车牌号\n1,2\n")
+    with pytest.raises(concat.SchemaMismatch, match="other.csv"):
+        vehicles.stack_files(csv_files.read_ragged_csv(spark, str(tmp_path)))
+    (tmp_path / "bad.csv").write_bytes(b"\xff")
+    with pytest.raises(vehicles.UnreadableFile, match="bad.csv"):
+        vehicles.stack_files(csv_files.read_ragged_csv(spark, str(tmp_path)))
+
+
 def test_scratch_is_where_the_cluster_says():
     named = _Session("yarn", **{"spark.checkpoint.dir": "hdfs://shared/cp/"})
     assert session.scratch_root(named) == "hdfs://shared/cp/fleetloom/app-1"
