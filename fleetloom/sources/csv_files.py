@@ -9,13 +9,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetloom.functions.paths import plain_path
 from fleetloom.operators.lookups import lookup
-from fleetloom.operators.position import index_within, running_total
 from fleetloom.session import scratch_table
 
 RAW_CELLS = T.StructType(
@@ -59,9 +58,28 @@ def read_csv_tree(
     )
 
 
+def _over_blocks(value: str) -> Column:
+    """Sum of ``value`` over the earlier blocks of a file; one row per block goes through."""
+    earlier = Window.partitionBy("src_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(earlier), F.lit(0))
+
+
 def number_csv_rows(df: DataFrame) -> DataFrame:
-    """Replace ``_block`` and ``_at`` by ``row_no``, counted from 0 in each file."""
-    return index_within(df, ["src_file"], ["_block", "_at"], "row_no").drop("_block", "_at")
+    """Replace ``_block`` and ``_at`` by ``row_no``, counted from 0 in each file.
+
+    A block's rows are read one after the other, so a row's number is the count of
+    the file's earlier blocks plus its distance from the block's first row. No row
+    is sorted or shuffled.
+    """
+    blocks = df.groupBy("src_file", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+    shifts = scratch_table(blocks, "blocks").select(
+        "src_file", "_block", (_over_blocks("_rows") - F.col("_first")).alias("_shift")
+    )
+    return (
+        lookup(df, shifts, ["src_file", "_block"], "inner")
+        .withColumn("row_no", F.col("_at") + F.col("_shift"))
+        .drop("_block", "_at", "_shift")
+    )
 
 
 def small_csv_files(
@@ -159,52 +177,72 @@ def _long_file_lines(spark: SparkSession, path: str, longer_than: int, name_glob
     )
 
 
+def _numbered_records(lines: DataFrame, quotes: Column) -> DataFrame:
+    """Lines put together to records where a quoted cell runs over lines.
+
+    ``_quote_start`` holds the quotes before a line's block. An odd number of quotes
+    before a line means the line goes on inside a cell. Only the lines of one block,
+    whose length is bounded, are ever ordered together.
+    """
+    in_block = Window.partitionBy("src_file", "_block").orderBy("_at")
+    before = F.coalesce(F.sum(quotes).over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.when((F.col("_quote_start") + before) % 2 == 0, 1).otherwise(0)
+    opened = scratch_table(lines.select("src_file", "_block", "_at", "_text", starts.alias("_starts")), "opened")
+    records = scratch_table(opened.groupBy("src_file", "_block").agg(F.sum("_starts").alias("_records")), "records")
+    so_far = F.sum("_starts").over(in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    record_starts = records.select("src_file", "_block", _over_blocks("_records").alias("_record_start"))
+    return (
+        lookup(opened.withColumn("_so_far", so_far), record_starts, ["src_file", "_block"], "inner")
+        # One group is one record, never a file.
+        .groupBy("src_file", (F.col("_record_start") + F.col("_so_far") - 1).alias("row_no"))
+        .agg(F.array_sort(F.collect_list(F.struct("_block", "_at", "_text"))).alias("_lines"))
+        .select("src_file", "row_no", F.concat_ws("\n", F.col("_lines._text")).alias("_text"))
+    )
+
+
 def cells_of_lines(lines: DataFrame) -> DataFrame:
     """Rows of cells out of the lines of files too long for one task.
 
-    A line is a record unless a quoted cell runs on into the next line. Files
-    where that happens are put together by the running number of quotes: an odd
-    number before a line means the line goes on inside a cell.
+    In most files a line is a record, and its number follows from the counts of the
+    file's blocks. Files with a quoted cell that runs on into the next line are put
+    together by the running number of quotes.
     """
-    order = ["src_file", "_block", "_at"]
     quotes = F.length("_text") - F.length(F.replace("_text", F.lit('"'), F.lit("")))
-    files = scratch_table(
-        lines.groupBy("src_file").agg(
-            F.bool_and(F.is_valid_utf8("_text")).alias("_readable"),
-            F.bool_or(quotes % 2 == 1).alias("_runs_on"),
+    blocks = scratch_table(
+        lines.groupBy("src_file", "_block").agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.min("_at").alias("_first"),
+            F.sum(quotes).alias("_quotes"),
+            F.bool_and(F.is_valid_utf8("_text")).alias("_valid"),
+            F.bool_or(quotes % 2 == 1).alias("_odd"),
         ),
-        "long-files",
-    )
-    known = lookup(lines, files, ["src_file"], "inner")
-
-    plain = index_within(known.where("_readable and not _runs_on"), ["src_file"], ["_block", "_at"], "row_no")
-
-    counted = running_total(known.where("_readable and _runs_on"), order, quotes, "_before")
-    firsts = scratch_table(counted.groupBy("src_file").agg(F.min("_before").alias("_first")), "first-quotes")
-    opened = lookup(counted, firsts, ["src_file"], "inner").withColumn(
-        "_starts", F.when((F.col("_before") - F.col("_first")) % 2 == 0, 1).otherwise(0)
-    )
-    starts = running_total(opened, order, F.col("_starts"), "_record").withColumn(
-        "_record", F.col("_record") + F.col("_starts")
+        "blocks",
     )
-    first_records = scratch_table(
-        starts.groupBy("src_file").agg(F.min("_record").alias("_first_record")), "first-records"
+    of_file = Window.partitionBy("src_file")
+    starts = scratch_table(
+        blocks.select(
+            "src_file",
+            "_block",
+            (_over_blocks("_rows") - F.col("_first")).alias("_shift"),
+            _over_blocks("_quotes").alias("_quote_start"),
+            F.min("_valid").over(of_file).alias("_readable"),
+            F.max("_odd").over(of_file).alias("_runs_on"),
+        ),
+        "block-starts",
     )
-    # One group is one record, never a file.
-    joined = (
-        lookup(starts, first_records, ["src_file"], "inner")
-        .groupBy("src_file", (F.col("_record") - F.col("_first_record")).alias("row_no"))
-        .agg(F.array_sort(F.collect_list(F.struct("_block", "_at", "_text"))).alias("_lines"))
-        .withColumn("_text", F.concat_ws("\n", F.col("_lines._text")))
+    known = lookup(lines, starts, ["src_file", "_block"], "inner")
+    records = known.where("_readable and not _runs_on").select(
+        "src_file", (F.col("_at") + F.col("_shift")).alias("row_no"), "_text"
     )
-    records = plain.select("src_file", "row_no", "_text").union(joined.select("src_file", "row_no", "_text"))
-    broken = files.where("not _readable").select(
+    if not starts.where("_readable and _runs_on").isEmpty():
+        records = records.union(_numbered_records(known.where("_readable and _runs_on"), quotes))
+    broken = starts.where("not _readable").select(
         "src_file",
         F.lit(-1).cast("bigint").alias("row_no"),
         F.lit(None).cast("array<string>").alias("cells"),
         F.lit("UnicodeDecodeError: not UTF-8").alias("error"),
     )
-    return records.mapInArrow(_parse_records, RAW_CELLS).union(broken)
+    return records.mapInArrow(_parse_records, RAW_CELLS).union(broken.distinct())
 
 
 def read_ragged_csv(

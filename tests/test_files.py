@@ -58,6 +58,13 @@ def test_long_file_is_split_and_numbered(spark, tmp_path):
         split = csv_files.read_ragged_csv(spark, str(tmp_path / "in"), 0)
         assert values(split) == whole
         assert len(whole) == 3000
+        plain = "\n".join(f"{i},{i * 2}" for i in range(5000))
+        (tmp_path / "in" / "long.csv").write_text("a,b\n" + plain)
+        (tmp_path / "in" / "longer.csv").write_text("a,b\n" + plain + "\n5000,1")
+        tree = csv_files.read_csv_tree(spark, str(tmp_path / "in"), "a bigint, b bigint")
+        assert tree.select("_block").distinct().count() > 2
+        numbered = csv_files.number_csv_rows(tree)
+        assert numbered.where("row_no <> a").isEmpty() and numbered.count() == 10001
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
