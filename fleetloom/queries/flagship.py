@@ -17,40 +17,36 @@ _LIST_SQL = """
     FROM customer WHERE c_acctbal < 0
 """
 _TIDY_SQL = f"""
-    SELECT event_id, strftime(ts, '%Y%m%d') AS src_file, {SHORT_DAY_SQL.format('ts')} AS "日期", user_id, event_type, value
+    SELECT event_id, strftime(ts, '%Y%m%d') AS src_file, {SHORT_DAY_SQL.format('ts')} AS day_text, user_id, event_type, value
     FROM events e
     WHERE NOT EXISTS (SELECT 1 FROM ({_LIST_SQL}) l WHERE l.plate = e.user_id
                       AND (l.from_date IS NULL OR CAST(e.ts AS DATE) >= l.from_date))
 """
-_COLUMNS = ["event_id", '"日期"', "user_id", "event_type", "value"]
+_COLUMNS = ["event_id", "day_text", "user_id", "event_type", "value"]
 
 
 def _band(lo: int, hi: int) -> str:
     return f"SELECT * FROM ({_TIDY_SQL}) WHERE value BETWEEN {lo} AND {hi}"
 
 
-def _side(prefix: str, columns: list[str]) -> str:
-    return ", ".join(f"{prefix}_{c}" for c in columns)
+def _side(prefix: str) -> str:
+    return ", ".join(f"{prefix}_{c}" for c in _COLUMNS)
 
 
-_PAIRED_SQL = pairing_sql(
-    _band(0, 30).replace('"日期"', "day_text"),
-    _band(45, 85).replace('"日期"', "day_text"),
-    "src_file",
-    "event_id",
-    [c.replace('"日期"', "day_text") for c in _COLUMNS],
-)
-_LEFT = [c.replace('"日期"', "day_text") for c in _COLUMNS]
+def _renamed(alias: str, prefix: str) -> str:
+    return ", ".join(f'{alias}.{prefix}_{c} AS "{prefix}_{c.replace("day_text", "日期")}"' for c in _COLUMNS)
+
+
+_PAIRED_SQL = pairing_sql(_band(0, 30), _band(45, 85), "src_file", "event_id", _COLUMNS)
 
 
 @query(
     f"""
     WITH placed AS (SELECT *, row_number() OVER (ORDER BY src_file, pos) - 1 AS row_no FROM ({_PAIRED_SQL})),
     moved AS (
-        SELECT {_side('medium', _LEFT)}, row_number() OVER (ORDER BY {draw_sql(42, 'row_no')}, row_no) - 1 AS row_no FROM placed
+        SELECT {_side('medium')}, row_number() OVER (ORDER BY {draw_sql(42, 'row_no')}, row_no) - 1 AS row_no FROM placed
     )
-    SELECT row_no, src_file, {_side('p.low', _LEFT).replace('p.low_day_text', 'p.low_day_text AS "low_日期"')},
-           {_side('m.medium', _LEFT).replace('m.medium_day_text', 'm.medium_day_text AS "medium_日期"')}
+    SELECT row_no, src_file, {_renamed('p', 'low')}, {_renamed('m', 'medium')}
     FROM placed p JOIN moved m USING (row_no)
     """
 )
