@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetloom.llm import chat, substrings, url_graph
+from fleetloom.llm import chat, packing, substrings, url_graph
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,3 +147,16 @@ FROM rows LEFT JOIN t_{last} ON rows.host = t_{last}.host LEFT JOIN d_{last} ON
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, rule and verdict."""
     return url_graph.judged(table(spark, sf_dir, "pages"), URL_RULES).drop("trust", "distrust")
+
+
+def tokenizer_file() -> str:
+    """The vocabulary that packing counts tokens by."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.packed_pieces(table(spark, sf_dir, "documents"), tokenizer_file())

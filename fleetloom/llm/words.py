@@ -76,6 +76,18 @@ def windows_hash(values: np.ndarray, size: int, base: int = WORD_BASE) -> np.nda
     return spans_hash(values, starts, starts + size, base)
 
 
+def byte_spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BYTE_BASE) -> np.ndarray:
+    """The hash of ``data[start:end]`` for every span, over a bounded run of bytes at a time."""
+    out = np.empty(len(starts), dtype=U64)
+    first = 0
+    while first < len(out):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + SLICE_BYTES // 4, side="right")))
+        low, high = starts[first], ends[last - 1]
+        out[first:last] = spans_hash(data[low:high].astype(U64) + U64(1), starts[first:last] - low, ends[first:last] - low, base)
+        first = last
+    return out
+
+
 class Texts:
     """Words of a few texts: ``data`` holds the bytes, ``bounds`` the words of each text.
 
@@ -104,15 +116,7 @@ class Texts:
 
     def word_hashes(self) -> np.ndarray:
         """A hash of each word, computed over a bounded run of bytes at a time."""
-        out = np.empty(len(self.starts), dtype=U64)
-        first = 0
-        while first < len(out):
-            last = max(first + 1, int(np.searchsorted(self.ends, self.starts[first] + SLICE_BYTES, side="right")))
-            low, high = self.starts[first], self.ends[last - 1]
-            values = self.data[low:high].astype(U64) + U64(1)
-            out[first:last] = spans_hash(values, self.starts[first:last] - low, self.ends[first:last] - low, BYTE_BASE)
-            first = last
-        return out
+        return byte_spans_hash(self.data, self.starts, self.ends)
 
     def inside(self, size: int) -> np.ndarray:
         """For every window of ``size`` words, whether it lies in one text."""
@@ -137,14 +141,19 @@ def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int
         yield first, len(lengths)
 
 
-def texts_of(column: pa.Array, first: int, last: int, lower: bool = False) -> Texts:
-    """The words of rows ``first`` to ``last``."""
+def bytes_of(column: pa.Array, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of rows ``first`` to ``last``, and where each row's begin and end."""
     part = pc.fill_null(column.slice(first, last - first).cast(pa.large_binary()), b"")
     part = pa.concat_arrays([part])
     offsets = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset : part.offset + len(part) + 1]
     values = part.buffers()[2]
     data = np.frombuffer(values, dtype=np.uint8) if values is not None else np.zeros(0, dtype=np.uint8)
-    return Texts(data[offsets[0] : offsets[-1]], offsets - offsets[0], lower)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def texts_of(column: pa.Array, first: int, last: int, lower: bool = False) -> Texts:
+    """The words of rows ``first`` to ``last``."""
+    return Texts(*bytes_of(column, first, last), lower)
 
 
 def signed(x: np.ndarray) -> np.ndarray:
