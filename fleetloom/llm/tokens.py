@@ -12,7 +12,9 @@ import pyarrow as pa
 
 from fleetloom.llm import words
 
-# Equal pieces of text are encoded once in this many bytes of texts.
+# A worker remembers the ids of at most about this many pieces, or of one batch's.
+REMEMBERED = 1_000_000
+# Texts are worked on in batches of about this many bytes.
 BATCH_BYTES = 4 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
@@ -23,10 +25,11 @@ class TokenIds:
     """The ids that the vocabulary file at ``path`` gives; special strings are ordinary text.
 
     No merge crosses a single space between two other characters. Texts are cut there,
-    and equal pieces, found by two hashes, are encoded once.
+    and equal pieces, known by two hashes, are encoded once and remembered.
     """
 
     def __init__(self, path: str):
+        self._forget()
         ranks = Path(path).with_suffix(".tiktoken")
         if ranks.exists():  # the same vocabulary for a faster encoder
             import public_tokenizers
@@ -56,7 +59,9 @@ class TokenIds:
         single[:-1] &= ~space[1:]
         single[offsets[:-1][offsets[:-1] < len(data)]] = False
         single[offsets[1:][offsets[1:] > 0] - 1] = False
-        return np.union1d(np.flatnonzero(single), offsets)
+        edges = np.append(single, False)
+        edges[offsets] = True
+        return np.flatnonzero(edges)
 
     def of(self, column: pa.Array, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of rows ``first`` to ``last`` in one array, and where each row's begin and end."""
@@ -72,13 +77,11 @@ class TokenIds:
         _, one, which = np.unique(key, return_index=True, return_inverse=True)
         if np.any(check != check[one][which]):  # two pieces with one hash
             return self._whole(raw, offsets)
-        low, high = starts[shared[one]], ends[shared[one]]
-        known = np.array(self.encode(b"".join([raw[a:b] for a, b in zip(low, high, strict=True)]).decode("utf-8", "replace")), dtype="<u4")
-        known_ends = np.searchsorted(np.cumsum(self.sizes[known]), np.cumsum(high - low)) + 1
+        at = self._known(raw, key[one], check[one], starts[shared[one]], ends[shared[one]])
         extra = self._each([raw[a:b] for a, b in zip(starts[single], ends[single], strict=True)])
-        pool = np.concatenate([known, *extra])
-        pool_ends = np.concatenate([known_ends, len(known) + np.cumsum([0, *map(len, extra)])[1:]]).astype(np.int64)
-        pool_starts = np.concatenate([[0], pool_ends[:-1]]).astype(np.int64)
+        pool = np.concatenate([self.pool, *extra])
+        extra_ends = len(self.pool) + np.cumsum([0, *map(len, extra)])
+        pool_starts, pool_ends = np.concatenate([self.starts[at], extra_ends[:-1]]), np.concatenate([self.ends[at], extra_ends[1:]])
         entry = np.empty(len(starts), dtype=np.int64)
         entry[shared], entry[single] = which, len(one) + np.arange(len(single))
         counts = (pool_ends - pool_starts)[entry]
@@ -86,6 +89,32 @@ class TokenIds:
         places = np.repeat(pool_starts[entry] - upto[:-1], counts) + np.arange(upto[-1])
         return pool[places], upto[np.searchsorted(cuts, offsets)]
 
+    def _known(self, raw: bytes, key: np.ndarray, check: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Where the ids of each piece stand in ``pool``; new pieces are encoded together."""
+        if len(self.keys) + len(key) > REMEMBERED:
+            self._forget()
+        at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+        new = self.keys[at] != key if len(self.keys) else np.ones(len(key), dtype=bool)
+        if len(self.keys) and np.any(self.checks[at[~new]] != check[~new]):  # another piece has the hash
+            self._forget()
+            return self._known(raw, key, check, low, high)
+        if new.any():
+            low, high = low[new], high[new]
+            ids = np.array(self.encode(b"".join([raw[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)]).decode("utf-8", "replace")), dtype="<u4")
+            ends = len(self.pool) + np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(high - low)) + 1
+            starts = np.concatenate([[len(self.pool)], ends[:-1]])
+            keys = np.concatenate([self.keys, key[new]])
+            order = np.argsort(keys)
+            self.keys, self.checks = keys[order], np.concatenate([self.checks, check[new]])[order]
+            self.starts, self.ends = np.concatenate([self.starts, starts])[order], np.concatenate([self.ends, ends])[order]
+            self.pool = np.concatenate([self.pool, ids])
+        return np.searchsorted(self.keys, key)
+
+    def _forget(self) -> None:
+        self.keys = self.checks = np.zeros(0, dtype=np.uint64)
+        self.starts = self.ends = np.zeros(0, dtype=np.int64)
+        self.pool = np.zeros(0, dtype="<u4")
+
     def _whole(self, raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         each = self._each([raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
         return np.concatenate([np.zeros(0, "<u4"), *each]), np.cumsum([0, *map(len, each)])
