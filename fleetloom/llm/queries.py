@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetloom.llm import chat, packing, substrings, url_graph
+from fleetloom.llm import chat, jaccard_join, packing, substrings, url_graph
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,3 +160,9 @@ def tokenizer_file() -> str:
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.packed_pieces(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query()
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by 4-word shingles at 0.85."""
+    return jaccard_join.grouped(table(spark, sf_dir, "documents")).drop("_text")
