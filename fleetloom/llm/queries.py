@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetloom.llm import chat, jaccard_join, packing, substrings, url_graph
+from fleetloom.llm import chat, jaccard_join, packing, quality_votes, substrings, url_graph
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,3 +166,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by 4-word shingles at 0.85."""
     return jaccard_join.grouped(table(spark, sf_dir, "documents")).drop("_text")
+
+
+@query()
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts and whether the votes keep it."""
+    counts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return quality_votes.judged(table(spark, sf_dir, "documents")).select(*counts, "base_failed", "kept", "quality")
