@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetloom.llm import chat, jaccard_join, packing, quality_votes, substrings, url_graph
+from fleetloom.llm import chat, jaccard_join, language, packing, quality_votes, substrings, url_graph
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -173,3 +173,9 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's counts and whether the votes keep it."""
     counts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return quality_votes.judged(table(spark, sf_dir, "documents")).select(*counts, "base_failed", "kept", "quality")
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from two thirds of them."""
+    return language.identified(table(spark, sf_dir, "documents"))
