@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetloom.llm import chat, jaccard_join, language, packing, quality_votes, substrings, url_graph
+from fleetloom.llm import chat, jaccard_join, language, layout, packing, quality_votes, substrings, url_graph
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,3 +179,9 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learned from two thirds of them."""
     return language.identified(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    return layout.rendered(table(spark, sf_dir, "pages"))
