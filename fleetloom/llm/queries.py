@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetloom.llm import chat, jaccard_join, language, layout, packing, quality_votes, substrings, url_graph
+from fleetloom.llm import backoff, chat, jaccard_join, language, layout, packing, quality_votes, substrings, url_graph
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,3 +186,30 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The visible text of every page."""
     return layout.rendered(table(spark, sf_dir, "pages"))
+
+
+BACKOFF_SQL = rf"""
+WITH w AS MATERIALIZED (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS p
+  FROM (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents)
+),
+one AS MATERIALIZED (SELECT word, count(*) AS n FROM w GROUP BY word),
+pair AS MATERIALIZED (SELECT doc_id, lag(word) OVER (PARTITION BY doc_id ORDER BY p) AS a, word AS b, p FROM w),
+two AS MATERIALIZED (SELECT a, b, count(*) AS n FROM pair WHERE p > 0 GROUP BY ALL),
+scores AS (
+  SELECT doc_id, count(*) AS n_words,
+         sum(CASE WHEN p = 0 THEN log10(ob.n / total) WHEN two.n >= {backoff.SEEN} THEN log10(two.n / oa.n) ELSE log10({backoff.ALPHA} * ob.n / total) END) AS score
+  FROM pair JOIN one ob ON ob.word = b LEFT JOIN one oa ON oa.word = a LEFT JOIN two ON two.a = pair.a AND two.b = pair.b,
+       (SELECT sum(n) AS total FROM one)
+  GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(score, 0), 4) AS score, round(score / n_words, 6) AS mean
+FROM documents LEFT JOIN scores USING (doc_id)
+"""
+
+
+@query(BACKOFF_SQL)
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score; up to half a million words, none is unknown."""
+    scores = backoff.scored(table(spark, sf_dir, "documents"))
+    return scores.select("doc_id", "n_words", F.round("score", 4).alias("score"), F.round("mean", 6).alias("mean"))
