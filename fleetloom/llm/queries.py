@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.llm import backoff, chat, jaccard_join, language, layout, packing, quality_votes, substrings, url_graph
+from fleetloom.llm import backoff, chat, decontaminate, jaccard_join, language, layout, packing, quality_votes, substrings, url_graph
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -213,3 +213,9 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score; up to half a million words, none is unknown."""
     scores = backoff.scored(table(spark, sf_dir, "documents"))
     return scores.select("doc_id", "n_words", F.round("score", 4).alias("score"), F.round("mean", 6).alias("mean"))
+
+
+@query()
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of the benchmark found in a document."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_text")
