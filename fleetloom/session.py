@@ -59,11 +59,22 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete what ``scratch_table`` wrote, once all that reads it has been written itself."""
+    for table in tables:
+        _delete(table.sparkSession, table._scratch_path)
 
 
 def drop_scratch(spark: SparkSession) -> bool:
     """Delete every intermediate table this application wrote."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+    return _delete(spark, scratch_root(spark))
