@@ -114,7 +114,7 @@ def _explode(known: Words, frequent: np.ndarray, buckets: int):
                 rows = np.arange(part + done, part + done + last - first)
                 done += last - first
                 n = np.diff(texts.bounds)
-                score = np.bincount(texts.text_of_word, weights=log[number] - log_total, minlength=len(n))
+                score = np.bincount(texts.text_of_word, weights=log[number] - log_total, minlength=len(n)).astype(np.float64)
                 score += np.maximum(0, n - 1) * np.log10(ALPHA)
                 apart = (a < FREQUENT) & (b < FREQUENT)
                 count = frequent[a[apart] * FREQUENT + b[apart]]
@@ -172,13 +172,12 @@ def _meet(known: Words):
     log_total = np.log10(max(1, known.counts.sum()))
 
     def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        flat = {c: pa.concat_arrays([x.flatten() for x in group[c].chunks]) if group[c].num_chunks else None for c in ("rows", "low", "doc_ids", "n_words", "score")}
-        of_pairs = np.asarray(group["low"].combine_chunks().value_lengths() if group["low"].num_chunks < 2 else np.concatenate([np.asarray(x.value_lengths()) for x in group["low"].chunks]))
-        of_rows = np.concatenate([np.asarray(x.value_lengths()) for x in group["rows"].chunks])
-        paired = np.repeat(of_pairs == of_rows, of_rows) & np.repeat(of_pairs > 0, of_rows)
+        columns = {c: pa.concat_arrays(group[c].chunks) for c in group.column_names}
+        flat = {c: columns[c].flatten() for c in ("rows", "low", "doc_ids", "n_words", "score")}
+        lengths = np.asarray(columns["rows"].value_lengths())
+        paired = np.repeat(np.asarray(columns["low"].value_lengths()) > 0, lengths)
         rows = np.asarray(flat["rows"])
-        high = np.frombuffer(b"".join(group["high"].to_pylist()), dtype=np.uint8).astype(np.int64)
+        high = np.frombuffer(b"".join(columns["high"].to_pylist()), dtype=np.uint8).astype(np.int64)
         pair = (high << 32) | np.asarray(flat["low"]).view(np.uint32).astype(np.int64)
         owner = rows[paired]
         _, which, n = np.unique(pair, return_inverse=True, return_counts=True)

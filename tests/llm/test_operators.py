@@ -1,0 +1,378 @@
+"""Each operator on rows of every odd kind: null, empty, repeated, tied, long, clashing names."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from fleetloom.llm import (
+    backoff,
+    chat,
+    components,
+    decontaminate,
+    jaccard_join,
+    language,
+    layout,
+    packing,
+    quality_votes,
+    queries,
+    substrings,
+    url_graph,
+    words,
+)
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def text(seed, n):
+    draw = random.Random(str(seed))
+    return " ".join("".join(draw.choices("abcdefghijklmnop", k=draw.randint(2, 7))) for _ in range(n))
+
+
+PASSAGE = text("passage", 60)
+NEAR = text("near", 120)
+
+
+@pytest.fixture(scope="module")
+def odd_docs(spark):
+    """Nulls in every column, copies, near copies, a shared passage, an overlong word, repeated rows."""
+    near = NEAR.split()
+    near[60] = "other"
+    rows = [
+        (1, NEAR, "en", "a", 1),
+        (2, " ".join(near), "en", None, None),
+        (3, NEAR.replace(" ", "\n"), None, "a", 1),
+        (4, text(4, 30) + " " + PASSAGE + " " + text(5, 30), "en", "a", 1),
+        (5, text(6, 20) + "\t" + PASSAGE + "  " + text(7, 10), "en", "a", 1),
+        (6, "", "en", "a", 1),
+        (7, None, None, None, None),
+        (8, " \n\t ", "en", "a", 1),
+        (9, "x" * 50_000, "en", "a", 1),
+        (10, "é\u00a0\u3000ü", "fr", "a", 1),
+        (None, NEAR, "en", "a", 1),
+        (11, text(11, 25), "en", "a", 1),
+        (11, text(11, 25), "en", "a", 1),
+        (12, text(12, 3000), "en", "a", 1),
+        (13, "one two", "en", "a", 1),
+        (14, "One two", "en", "a", 1),
+    ]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty_docs(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+CLASHING = ["_text", "_row", "kept", "copy", "starts", "node", "n", "words", "key", "at", "_rows", "component_id"]
+
+
+@pytest.fixture(scope="module")
+def clashing(odd_docs):
+    return odd_docs.withColumns({c: F.lit(c) for c in CLASHING})
+
+
+def test_words_and_hashes():
+    import pyarrow as pa
+
+    found = words.texts_of(pa.array(["a b  c\nd", None, "", " x ", "A b", "\u00a0"]), 0, 6)
+    assert found.bounds.tolist() == [0, 4, 4, 4, 5, 7, 8]
+    hashes = found.word_hashes()
+    assert hashes[1] == hashes[6] and hashes[0] != hashes[5]
+    several = words.windows_hash(hashes, 2)
+    assert len(set(several.tolist())) == len(several) == 7
+
+
+def test_substrings(odd_docs, empty_docs):
+    found = {(r["doc_id"], r["n_words"]): r["n_removed"] for r in substrings.digest(odd_docs).collect()}
+    assert found[1, 120] == 0 and found[3, 120] == 120 and found[None, 120] == 0
+    assert found[4, 120] == 0 and found[5, 90] == 60
+    assert found[2, 120] == 119
+    assert found[7, 0] == found[6, 0] == 0 and found[11, 25] == 0
+    assert substrings.digest(odd_docs).count() == odd_docs.count()
+    assert substrings.digest(empty_docs).collect() == []
+
+
+def test_substrings_keep_all_columns(odd_docs, clashing):
+    kept = substrings.without_repeats(clashing)
+    assert kept.columns == clashing.columns
+    by_id = {r["doc_id"]: r for r in kept.collect()}
+    assert 3 not in by_id and by_id[5]["text"] == text(6, 20) + " " + text(7, 10)
+    assert by_id[4]["text"].endswith(text(5, 30)) and by_id[9]["n_chars"] == 1 and by_id[9]["_row"] == "_row"
+    assert kept.where("doc_id = 11").count() == 2 and kept.where("doc_id is null").count() == 1
+
+
+def test_jaccard_groups(odd_docs, empty_docs):
+    found = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard_join.grouped(odd_docs).collect()}
+    assert {k: v for k, v in found.items() if k[0] in (1, 2, 3)} == {(1, 117): 1, (2, 117): 1, (3, 117): 1}
+    assert found[None, 117] is None and found[7, 0] == 7 and found[6, 0] == 6 and found[8, 0] == 8
+    assert found[13, 1] == found[14, 1] == 13 and found[11, 22] == 11
+    assert jaccard_join.grouped(empty_docs).collect() == []
+
+
+@pytest.mark.parametrize("common", [2, 64])
+def test_jaccard_chains(spark, monkeypatch, common):
+    """Links in a chain, a hub that is not like all others, and shingles that all texts share."""
+    from test_queries import groups
+
+    monkeypatch.setattr(jaccard_join, "COMMON", common)
+    base = text("chain", 90).split()
+    shared = text("shared", 40)
+    texts = {}
+    for i in range(24):
+        mine = list(base)
+        mine[: i * 2] = text(("part", i // 3), 90).split()[: i * 2]
+        texts[i] = " ".join(mine)
+    texts |= {100 + i: shared + " " + text(("own", i), 30) for i in range(20)}
+    texts |= {200 + i: text(("short", i // 2), 6 + i % 2) for i in range(40)}
+    texts |= {300 + i: " ".join([*text("tail", 12).split(), *(["x"] if i % 2 else [])]) for i in range(4)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    for width, percent in ((4, 85), (2, 60)):
+        found = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.grouped(frame, width, percent).collect())
+        assert found == groups(texts, width, percent)
+
+
+def test_one_of_each(clashing):
+    kept = jaccard_join.one_of_each(clashing, 5, 80)
+    assert kept.columns == clashing.columns
+    ids = sorted(r["doc_id"] or -1 for r in kept.collect())
+    assert ids == [-1, 1, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13]
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 103), (103, 101), (7, 7), (50, 51), (51, 50)]
+    found = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert {found[i] for i in range(41)} == {0} and {found[100], found[101], found[103]} == {100}
+    assert found[50] == found[51] == 50
+    assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_packing_plan():
+    draw = random.Random(3)
+    for _ in range(200):
+        capacity = draw.choice([10, 30, 100])
+        counts = {draw.randint(1, capacity): draw.randint(1, 40) for _ in range(draw.randint(1, 25))}
+        used = {}
+        for times, content in packing.plan(counts, capacity):
+            assert times > 0 and sum(content) <= capacity
+            for length in content:
+                used[length] = used.get(length, 0) + times
+        assert used == counts
+    assert packing.plan({}) == []
+    # Perfect pairs are fixed, and a piece that fits with nothing stands alone.
+    fixed = packing.reduced(packing.Lengths({7: 3, 3: 2, 10: 1}), 10)
+    assert (1, (10,)) in fixed and (2, (7, 3)) in fixed
+    with pytest.raises(ValueError):
+        packing.plan({11: 1}, 10)
+
+
+def test_sequences_hold_the_documents(odd_docs, empty_docs):
+    made = packing.sequences(odd_docs, queries.tokenizer_file(), 64).collect()
+    assert all(len(r["ids"]) == 4 * r["length"] <= 256 for r in made)
+    whole = packing.pieces(odd_docs, queries.tokenizer_file(), 64).agg(F.sum("length")).first()[0]
+    assert sum(r["length"] for r in made) == whole
+    assert packing.packed_pieces(empty_docs, queries.tokenizer_file()).collect() == []
+
+
+def test_token_ids_of_odd_spaces():
+    import numpy as np
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from fleetloom.llm.tokens import TokenIds
+
+    texts = ["a  b", " a", "a ", "a\n b", "a 's b", "é  x  y", "1 2 3..  !", "a\x1c b", "", "\n", " ", "x <|endoftext|> y", None, "ab cd ab", "a b\n", "\n a"]
+    plain = Tokenizer.from_file(queries.tokenizer_file())
+    plain.encode_special_tokens = True
+    for some in (texts, [*texts, "a\u00a0 b"]):
+        ids, bounds = TokenIds(queries.tokenizer_file()).of(pa.array(some), 0, len(some))
+        for i, t in enumerate(some):
+            assert np.array_equal(ids[bounds[i] : bounds[i + 1]], plain.encode(t or "", add_special_tokens=False).ids)
+
+
+def test_quality_of_odd_rows(odd_docs, empty_docs, clashing):
+    judged = quality_votes.judged(odd_docs)
+    assert judged.count() == odd_docs.count()
+    assert all(r["base_failed"] and not r["kept"] for r in judged.where("n_words < 20").collect())
+    assert quality_votes.judged(empty_docs).collect() == []
+    assert quality_votes.kept_documents(clashing).columns == clashing.columns
+
+
+def test_votes_find_the_bad_ones(spark):
+    """Nobody says which rules are right; documents with faults that go together are found."""
+    good = [(i, "The " + text(("g", i), 80) + " and to of in it is.") for i in range(60)]
+    symbols = [(100 + i, " ".join(w + "###" for w in text(("s", i), 80).split())) for i in range(12)]
+    plain = spark.createDataFrame(good + symbols, "doc_id bigint, text string")
+    kept = {r["doc_id"] for r in quality_votes.judged(plain).where("kept").collect()}
+    assert kept == {i for i, _ in good}
+
+
+def test_repeated_windows_are_counted(spark):
+    line = text("line", 9)
+    frame = spark.createDataFrame([(1, f"{line}\n{line}\n{line}"), (2, " ".join(["w"] * 12)), (3, line)], "doc_id bigint, text string")
+    found = {r["doc_id"]: (r["n_repeat_words"], r["n_dup_lines"]) for r in quality_votes.measured(frame).collect()}
+    assert found == {1: (27, 2), 2: (12, 0), 3: (0, 0)}
+
+
+def test_leaks(spark, odd_docs, empty_docs, clashing):
+    item = PASSAGE.split()
+    items = spark.createDataFrame([(1, " ".join(item[:40]).upper()), (2, None), (3, "two words"), (4, ""), (1, " ".join(item[:40]).upper()), (5, text("else", 30))], "item_id bigint, text string")
+    found = sorted((r["doc_id"], r["item_id"], r["start"], r["similarity"]) for r in decontaminate.leaks(odd_docs, items).collect())
+    assert found == [(4, 1, 30, 1.0), (5, 1, 20, 1.0)]
+    kept = decontaminate.clean_documents(clashing, items)
+    assert kept.columns == clashing.columns and kept.count() == clashing.count() - 2
+    assert decontaminate.leaks(empty_docs, items).collect() == []
+    assert decontaminate.leaks(odd_docs, items.limit(0)).collect() == []
+
+
+def test_a_changed_passage_is_found(spark):
+    item = text("item", 59).split()
+    near, far = list(item), list(item)
+    near[30] = "changed"
+    far[10] = far[30] = far[50] = "changed"
+    docs = spark.createDataFrame([(1, "- ".join(["x", *near, "y"])), (2, " ".join(far))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    assert [(r["doc_id"], r["start"]) for r in decontaminate.leaks(docs, items).collect()] == [(1, 1)]
+
+
+def test_majority_of_bits(spark):
+    draw = random.Random(5)
+    values = [draw.getrandbits(64) - (1 << 63) for _ in range(63)]
+    frame = spark.createDataFrame([(values,)], "h array<bigint>").select(*[F.get("h", F.lit(i)).alias(f"x{i}") for i in range(63)])
+    for n in decontaminate.SIZES:
+        found = decontaminate._majority(frame, [f"x{i}" for i in range(n)], "f").first()["f"]
+        expected = sum(1 << bit for bit in range(64) if 2 * sum(v >> bit & 1 for v in values[:n]) > n)
+        assert found & ((1 << 64) - 1) == expected
+
+
+def test_backoff_scores(spark, odd_docs, empty_docs):
+    import math
+
+    frame = spark.createDataFrame([(1, "A b a b c"), (2, "a b"), (2, "a b"), (None, "c"), (3, None)], "doc_id bigint, text string")
+    found = sorted(((r["doc_id"] or 0, r["n_words"], round(r["score"], 9)) for r in backoff.scored(frame).collect()))
+    total, a, b, c = 10, 4, 4, 2
+    one = math.log10(a / total) + math.log10(4 / a) + math.log10(0.4 * a / total) + math.log10(4 / a) + math.log10(0.4 * c / total)
+    two = math.log10(a / total) + math.log10(4 / a)
+    assert b == a
+    assert found == [(0, 1, round(math.log10(c / total), 9)), (1, 5, round(one, 9)), (2, 2, round(two, 9)), (2, 2, round(two, 9)), (3, 0, 0.0)]
+    assert backoff.scored(empty_docs).collect() == []
+    assert backoff.scored(odd_docs).count() == odd_docs.count()
+
+
+def test_backoff_without_frequent_pairs(spark, monkeypatch):
+    """Pairs counted apart and pairs that meet in buckets score alike; rare words become one."""
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    usual = {r["doc_id"]: r["score"] for r in backoff.scored(frame).collect()}
+    monkeypatch.setattr(backoff, "FREQUENT", 2)
+    assert {r["doc_id"]: r["score"] for r in backoff.scored(frame).collect()} == pytest.approx(usual)
+    known = backoff.counted_words(frame, 10)
+    assert len(known.hashes) == 10 and known.counts.sum() == sum(r["n_words"] for r in backoff.scored(frame).collect())
+
+
+def test_language_of_odd_rows(odd_docs, empty_docs):
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identified(odd_docs).collect()}
+    assert found[7] == found[6] == found[8] == ("und", 0.0)
+    assert found[1][0] in ("en", "fr")
+    assert language.identified(empty_docs).collect() == []
+
+
+def test_language_without_anything_to_learn(odd_docs):
+    found = language.identified(odd_docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {(r["lang_pred"], r["score"]) for r in found.collect()} == {("und", 0.0)}
+
+
+def test_weights_are_sparse_and_scores_calibrated(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id % 3 = 0")
+    model = language.trained(frame.select("text", "lang", F.xxhash64("doc_id").alias("_place")))
+    assert set(model.languages) == {"de", "en", "es", "fr"}
+    assert (model.weights == 0).mean() > 0.8 and 0.05 <= model.temperature <= 20
+
+
+PAGE = """<html><head><title>x</title><style>p{}</style></head><body>A  b<p>Para &amp; one<br>two<p>three <b>bold</b>text
+<ul><li>one<li>two<ol start=3><li>x<li>y</ol><li>three</ul>
+<table><tr><th>Name<th>Qty<tr><td>apple<td>10<tr><td colspan=2>wide cell here</table><div hidden>no</div>
+<div style="display: none">no</div><span style='visibility:hidden'>no</span><pre>a  b
+  c</pre>end <script>var t="</p>";</script>tail<!-- c --><details><summary>S</summary>no</details><template>no</template>"""
+SEEN = """A b
+
+Para & one
+two
+
+three boldtext
+
+- one
+- two
+  3. x
+  4. y
+- three
+
+Name            Qty
+apple           10
+wide cell here
+
+a  b
+  c
+
+end tail
+S"""
+
+
+def test_layout():
+    assert layout.visible_text(PAGE) == SEEN
+    assert layout.visible_text("a < b and <3 <p class=\"x>y\">z</p>") == "a < b and <3\n\nz"
+    assert layout.visible_text("") == layout.visible_text("<p>") == layout.visible_text("<!-- x") == ""
+    assert layout.visible_text("<div>" * 5000 + "x") == "x"
+    assert layout.visible_text("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>") == "a  b\n   c"
+    assert layout.visible_text("<textarea>a <b></textarea><p>x</div>y") == "a <b>\n\nxy"
+
+
+def test_pages_of_every_kind(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>x"), (2, None, None), (None, "u", ""), (1, "u", "<p>x")], "page_id bigint, url string, html string")
+    found = sorted(((r["page_id"] or 0), r["text"]) for r in layout.rendered(pages).collect())
+    assert found == [(0, ""), (1, "x"), (1, "x"), (2, "")]
+    assert layout.rendered(pages.limit(0)).collect() == []
+
+
+TURNS = "conv_id bigint, turn bigint, role string, text string"
+
+
+def test_chat_examples(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "u\\<|x"), (1, 2, "assistant", "a<|im_end|>\n"), (1, 3, "assistant", ""), (1, 4, "user", None), (2, 0, None, "q"), (None, None, "as\nsistant", "x\\")]
+    made = chat.examples(spark.createDataFrame(rows, TURNS).repartition(3))
+    found = sorted(((r["conv_id"] or 0), r["example"], r["n_turns"], r["loss_chars"]) for r in made.collect())
+    assert found == [(0, 0, 1, None), (1, 0, 3, 13), (1, 1, 4, 0), (1, 2, 5, None), (2, 0, 1, None)]
+    back = {r["conv_id"]: r for r in chat.read_back(made).collect()}
+    assert [tuple(t) for t in back[1]["turns"]] == [(r, t or "") for _, _, r, t in rows[:5]]
+    assert back[1]["replies"] == ["a<|im_end|>\n", ""] and [tuple(t) for t in back[None]["turns"]] == [("as\nsistant", "x\\")]
+    for r in made.collect():
+        assert r["text"].count("<|im_start|>") == r["n_turns"] == r["text"].count("<|im_end|>")
+    assert chat.digest(spark.createDataFrame([], TURNS)).collect() == []
+
+
+def test_ties_and_repeated_turns(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "assistant", "z"), (1, 0, "user", "a")]
+    back = chat.read_back(chat.examples(spark.createDataFrame(rows, TURNS))).first()
+    assert [tuple(t) for t in back["turns"]] == [("assistant", "z"), ("user", "a"), ("user", "a"), ("user", "b")]
+
+
+def test_urls(spark):
+    urls = ["HTTP://A.Example.ORG/es/x?q", "http://example.org", "x://notorg/", "http://org/en", None, "nothing", "http://b.com/fr/1#f", "http://com/de/", "http://é.COM/de"]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id bigint, url string, html string")
+    found = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_graph.judged(pages, queries.URL_RULES).collect()}
+    assert found[0] == ("a.example.org", "/es/x", "example.org/es/", "block")
+    assert found[1] == ("example.org", "", None, "allow") and found[2] == ("notorg", "/", None, "allow")
+    assert found[3] == ("org", "/en", "org/", "allow") and found[4] == found[5] == ("", "", None, "allow")
+    assert found[6][2:] == ("com/fr/", "allow") and found[7][2:] == ("com/de/", "block") and found[8] == ("é.com", "/de", None, "allow")
+
+
+def test_trust_and_distrust_follow_links(spark):
+    def page(i, host, *links):
+        return i, f"http://{host}/x", "".join(f"<a href='http://{x}/'>" for x in links)
+
+    rows = [page(1, "good.org", "fine.net", "fine.net"), page(2, "bad.com", "else.net"), page(3, "farm.net", "bad.com"), page(4, "fine.net"), page(5, "else.net", "good.org"), page(6, "alone.net")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    judged = {r["host"]: r for r in url_graph.judged(pages, [("org/", "allow"), ("com/", "block")]).collect()}
+    assert {h for h, r in judged.items() if r["verdict"] == "block"} == {"bad.com", "farm.net"}
+    assert judged["fine.net"]["trust"] > 0 == judged["alone.net"]["trust"] and judged["farm.net"]["distrust"] > 0
+    assert sum(r["trust"] for r in judged.values()) == pytest.approx(1)
+    assert url_graph.judged(pages.limit(0), queries.URL_RULES).collect() == []
