@@ -21,9 +21,6 @@ MILEAGE_COLUMNS = ("总里程(公里)", "总里程", "mileage", "total_mileage")
 SUMMARY_RANGE_MARK = "---"
 SUMMARY_TOTAL_MARK = "合计"
 
-# Non-null values looked at per column when searching a file's date.
-CONTENT_DATE_DEPTH = 10
-
 # Header of a plate list; text that must not be read as a plate.
 LIST_HEADER = "车牌号"
 NOT_A_PLATE = ("", "nan")

@@ -262,15 +262,15 @@ def multiset_difference(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def shuffle_audit(before: DataFrame, after: DataFrame, name: str = "pos", first: int = 5) -> DataFrame:
-    """One row: of the ``first`` places, how many hold the same row; rows lost and added."""
+def shuffle_audit(before: DataFrame, after: DataFrame, name: str = "pos") -> DataFrame:
+    """One row: of all places, how many hold the same row; rows lost and added."""
     columns = [c for c in before.columns if c != name]
     same = F.lit(True)
     for c in columns:
         same = same & F.col("b.`" + c + "`").eqNullSafe(F.col("a.`" + c + "`"))
-    heads = before.where(F.col(name) < first).alias("b").join(after.where(F.col(name) < first).alias("a"), name)
+    places = before.alias("b").join(after.alias("a"), name)
     none = F.lit(0).cast("bigint")
-    stayed = heads.agg(F.count(F.lit(1)).alias("compared"), F.count_if(same).alias("stayed"))
+    stayed = places.agg(F.count(F.lit(1)).alias("compared"), F.count_if(same).alias("stayed"))
     moved = multiset_difference(before.drop(name), after.drop(name))
     both = stayed.select("*", none.alias("lost"), none.alias("added")).union(moved.select(none, none, "lost", "added"))
     return both.agg(*[F.sum(c).alias(c) for c in both.columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetloom import fixed
@@ -12,12 +12,6 @@ from fleetloom.operators.lookups import lookup
 from fleetloom.session import scratch_table
 
 
-def plate_text(column: Column) -> Column:
-    """A list entry without surrounding blanks; null for what is no plate."""
-    text = F.trim(column.cast("string"))
-    return F.when(~text.isin(*fixed.NOT_A_PLATE), text)
-
-
 def purge_terms(lists: DataFrame, plate: str = "plate", from_date: str = "from_date") -> DataFrame:
     """All lists in one row per plate: from which date it is purged, or always.
 
@@ -88,13 +82,12 @@ def content_dates(
     src_file: str,
     order: str,
     columns: list[str] | None = None,
-    depth: int = fixed.CONTENT_DATE_DEPTH,
 ) -> DataFrame:
     """Each file's date, read from the first summary cell of its date columns.
 
-    A column's first ``depth`` non-null values are looked at. Its first summary
-    cell gives the date; if that is no date, the next column is tried. Only the
-    leading values of a file leave each task, however many rows the file has.
+    A column's first summary cell by ``order`` gives the date, wherever it stands; if
+    that is no date, the next column is tried. One cell per file and column leaves each
+    task, however many rows the file has.
     """
     columns = columns_by_keyword(df, fixed.CONTENT_DATE_KEYWORDS) if columns is None else columns
     if not columns:
@@ -102,17 +95,12 @@ def content_dates(
     cells = F.explode(
         F.array(*[F.struct(F.lit(i).alias("place"), quoted(c).cast("string").alias("cell")) for i, c in enumerate(columns)])
     )
-    leading = (
+    per_column = (
         df.select(quoted(src_file).alias("src_file"), quoted(order).alias("_order"), cells.alias("_c"))
         .select("src_file", "_order", F.col("_c.place").alias("_place"), F.col("_c.cell").alias("_cell"))
-        .where(F.col("_cell").isNotNull())
-        .withColumn("_rank", F.row_number().over(Window.partitionBy("src_file", "_place").orderBy("_order")))
-        .where(F.col("_rank") <= depth)
-    )
-    per_column = (
-        leading.where(dates.is_summary_cell(F.col("_cell")))
+        .where(dates.is_summary_cell(F.col("_cell")))
         .groupBy("src_file", "_place")
-        .agg(F.min_by(dates.summary_cell_date(F.col("_cell")), F.col("_rank")).alias("_date"))
+        .agg(F.min_by(dates.summary_cell_date(F.col("_cell")), F.col("_order")).alias("_date"))
         .where(F.col("_date").isNotNull())
     )
     return per_column.groupBy("src_file").agg(F.min_by("_date", "_place").alias("file_date"))

@@ -65,8 +65,8 @@ def shuffle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     a AS (SELECT pos, o_totalprice, o_orderdate, o_orderpriority FROM ({_SHUFFLED_SQL})),
     lost AS (SELECT o_totalprice, o_orderdate, o_orderpriority FROM b EXCEPT ALL SELECT o_totalprice, o_orderdate, o_orderpriority FROM a),
     added AS (SELECT o_totalprice, o_orderdate, o_orderpriority FROM a EXCEPT ALL SELECT o_totalprice, o_orderdate, o_orderpriority FROM b)
-    SELECT (SELECT count(*) FROM b WHERE pos < 5) AS compared,
-           (SELECT count(*) FROM b JOIN a USING (pos) WHERE pos < 5 AND b.o_totalprice = a.o_totalprice
+    SELECT (SELECT count(*) FROM b) AS compared,
+           (SELECT count(*) FROM b JOIN a USING (pos) WHERE b.o_totalprice = a.o_totalprice
               AND b.o_orderdate = a.o_orderdate AND b.o_orderpriority = a.o_orderpriority) AS stayed,
            (SELECT count(*) FROM lost) AS lost, (SELECT count(*) FROM added) AS added
     """

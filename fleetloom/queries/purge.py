@@ -131,11 +131,9 @@ _CONTENT_DATE_SQL = """
         UNION ALL
         SELECT o_custkey, o_orderkey, 1,
                CASE WHEN o_orderkey % 11 = 0 THEN d || ' 0:00:00---' || d || ' 0:00:00合计:' WHEN o_orderkey % 2 = 0 THEN d END FROM days
-    ), ranked AS (
-        SELECT *, row_number() OVER (PARTITION BY o_custkey, place ORDER BY o_orderkey) AS rank FROM cells WHERE cell IS NOT NULL
     ), firsts AS (
-        SELECT o_custkey, place, arg_min(cell, rank) AS cell FROM ranked
-        WHERE rank <= 10 AND contains(cell, '---') AND contains(cell, '合计') GROUP BY o_custkey, place
+        SELECT o_custkey, place, arg_min(cell, o_orderkey) AS cell FROM cells
+        WHERE contains(cell, '---') AND contains(cell, '合计') GROUP BY o_custkey, place
     ), parsed AS (
         SELECT o_custkey, place, CAST(try_strptime(split_part(cell, ' ', 1), '%Y/%m/%d') AS DATE) AS d FROM firsts
     )
