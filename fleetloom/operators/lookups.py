@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetloom.functions.columns import quoted
+from fleetloom.session import scratch_table
 
 # A lookup side of at most this many rows, with at most this much text, is broadcast.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Beyond it, every key is spread over this many sub-keys.
-SALTS = 16
 
 
 def text_bytes(*columns: str) -> Column:
@@ -30,19 +29,15 @@ def fits_broadcast(df: DataFrame) -> bool:
     return is_small(*df.agg(F.count(F.lit(1)), text_bytes(*df.columns)).first())
 
 
-def row_salt(df: DataFrame, salts: int) -> Column:
-    """A sub-key from the row's content, so a task run again salts alike."""
-    return F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(salts))
-
-
 def lookup(
     rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", small: bool | None = None
 ) -> DataFrame:
     """Join ``rows`` to ``table``, which has at most one row per key.
 
     A table of checked small size is broadcast, so ``rows`` is not shuffled. A
-    larger one is copied ``SALTS`` times and joined on key and salt: a key that
-    holds a third of all rows, or a null key, then spreads over ``SALTS`` tasks.
+    larger one is written first, so that both sides come straight from a shuffle and
+    adaptive execution can split the rows of a hot key, also equal ones or those
+    without a key, over as many tasks as their size asks for.
 
     The size check computes ``table`` once more, so keep one that takes a pass over
     large data in scratch; or say whether it is ``small`` where that is known.
@@ -52,7 +47,4 @@ def lookup(
     on = list(on)
     if fits_broadcast(table) if small is None else small:
         return rows.join(F.broadcast(table), on, how)
-    salted_rows = rows.withColumn("_salt", row_salt(rows, SALTS))
-    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    salted_table = table.withColumn("_salt", F.explode(every_salt))
-    return salted_rows.join(salted_table, [*on, "_salt"], how).drop("_salt")
+    return rows.join(scratch_table(table, "lookup"), on, how)

@@ -26,7 +26,6 @@ def small_limits(monkeypatch):
 
     monkeypatch.setattr(position, "ROWS_PER_TASK", 40)
     monkeypatch.setattr(lookups, "BROADCAST_ROWS", 3)
-    monkeypatch.setattr(lookups, "SALTS", 3)
     monkeypatch.setattr(pairing, "ROWS_PER_COPY", 1)
 
 

@@ -42,16 +42,39 @@ def test_small_list_is_broadcast(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
-def test_large_list_is_salted(spark, monkeypatch):
+def test_large_list_is_joined_where_hot_keys_can_be_split(spark, monkeypatch):
+    """Equal rows of a hot key go to more than one task."""
     monkeypatch.setattr(lookups, "BROADCAST_ROWS", 3)
-    monkeypatch.setattr(lookups, "SALTS", 4)
-    text = plan(query(spark, "purge_from_date"))
-    assert "_salt" in text
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = spark.range(40_000).repartition(16).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("k"))
+        terms = spark.range(40_000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+        for how, expected in (("left", 40_000), ("left_anti", 26_666), ("inner", 13_334)):
+            joined = lookups.lookup(rows, terms, ["k"], how)
+            assert joined.count() == expected
+            joined.write.format("noop").mode("overwrite").save()
+            assert "skew=true" in _ran(joined) or how == "inner"
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def _ran(frame):
+    frame.collect()
+    return plan(frame)
 
 
-def test_leading_values_leave_tasks_only(spark):
+def test_one_cell_per_file_leaves_a_task(spark):
     text = plan(query(spark, "content_date"))
-    assert "WindowGroupLimit" in text and "Partial" in text
+    assert "partial_min_by" in text and "Window" not in text
 
 
 def test_counts_combine_before_the_shuffle(spark):
