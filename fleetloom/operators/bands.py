@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetloom import fixed
 from fleetloom.functions.columns import quoted
@@ -31,18 +32,23 @@ def parse_band(text: str) -> Band:
 DEFAULT_BANDS = tuple(parse_band(text) for text in fixed.DEFAULT_BANDS)
 
 
-def in_band(value: str, band: Band):
-    return quoted(value).between(F.lit(band.lo), F.lit(band.hi))
+def number(df: DataFrame, value: str) -> Column:
+    """The column as a number; text that is none counts as no value."""
+    return quoted(value).try_cast("double") if isinstance(df.schema[value].dataType, T.StringType) else quoted(value)
+
+
+def in_band(df: DataFrame, value: str, band: Band) -> Column:
+    return number(df, value).between(F.lit(band.lo), F.lit(band.hi))
 
 
 def band_filter(df: DataFrame, value: str, band: Band) -> DataFrame:
     """Rows inside the band; rows without a value drop out."""
-    return df.where(in_band(value, band))
+    return df.where(in_band(df, value, band))
 
 
 def band_fan_out(df: DataFrame, value: str, bands: Iterable[Band] = DEFAULT_BANDS, label: str = "range_label") -> DataFrame:
     """One copy of a row for every band it is in; one scan, no shuffle."""
-    labels = F.array(*[F.when(in_band(value, b), F.lit(b.label)) for b in bands])
+    labels = F.array(*[F.when(in_band(df, value, b), F.lit(b.label)) for b in bands])
     return df.withColumn(label, F.explode(F.array_compact(labels)))
 
 
@@ -53,7 +59,7 @@ def band_counts(
     bands = list(bands)
     per_file = df.groupBy(src_file).agg(
         F.count(F.lit(1)).alias("rows_before"),
-        *[F.count_if(in_band(value, b)).alias(f"_band{i}") for i, b in enumerate(bands)],
+        *[F.count_if(in_band(df, value, b)).alias(f"_band{i}") for i, b in enumerate(bands)],
     )
     cells = F.array(
         *[F.struct(F.lit(b.label).alias("label"), F.col(f"_band{i}").alias("kept")) for i, b in enumerate(bands)]
@@ -63,6 +69,12 @@ def band_counts(
     )
 
 
+def unreadable_values(df: DataFrame, src_file: str, value: str) -> DataFrame:
+    """Per file, the rows whose value is text but no number, so that the file can be named."""
+    bad = quoted(value).isNotNull() & number(df, value).isNull()
+    return df.groupBy(src_file).agg(F.count_if(bad).alias("rows_unreadable"))
+
+
 def band_rollup(counts: DataFrame, label: str = "range_label") -> DataFrame:
     """Files and rows per band; a file without rows in a band still counts."""
     return counts.groupBy(label).agg(F.count(F.lit(1)).alias("files"), F.sum("rows_after").alias("rows"))

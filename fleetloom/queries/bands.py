@@ -155,12 +155,31 @@ def zip_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairing.pair_rows(medium, low, "day", ["event_id"], ["event_id"])
 
 
-@query(pairing_sql(_LOW_SQL, _MEDIUM_SQL.replace("value BETWEEN 45", "event_type <> 'view' AND value BETWEEN 45"), "user_id", "event_id", ["event_id", "day", "event_type", "value"]))
+def _by_user_day(sql: str) -> str:
+    return f"SELECT *, day || '_' || user_id AS user_day FROM ({sql})"
+
+
+@query(pairing_sql(_by_user_day(_LOW_SQL), _by_user_day(_MEDIUM_SQL), "user_day", "event_id", _PAIR_COLUMNS))
 def align_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both directions in one table: some users have more low rows, some more medium ones."""
-    low, medium = _sides(spark, sf_dir)
-    medium = medium.where("event_type <> 'view'")
-    return pairing.pair_rows(low, medium, "user_id", ["event_id"], ["event_id"])
+    """Both directions in one table: on some days a user has more low rows, on some more medium ones."""
+    low, medium = _sides(spark, sf_dir, "user_day")
+    columns = ["user_day", *_PAIR_COLUMNS]
+    return pairing.pair_rows(low.select(columns), medium.select(columns), "user_day", ["event_id"], ["event_id"])
+
+
+@query(
+    f"""
+    SELECT day, count(*) AS rows_before, count(*) FILTER (event_id % 50 <> 0 AND value BETWEEN 0 AND 30) AS rows_low,
+           count(*) FILTER (event_id % 50 = 0) AS rows_unreadable
+    FROM ({EVENTS_SQL}) GROUP BY day
+    """
+)
+def band_text_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values as text, some of them no numbers: such rows are in no band, and counted."""
+    value = F.when(F.col("event_id") % 50 == 0, "合计").otherwise(F.col("value").cast("string"))
+    rows = events(spark, sf_dir).withColumn("value", value)
+    low = bands.band_counts(rows, "day", "value", [bands.Band(0, 30, "low")]).drop("range_label")
+    return low.withColumnRenamed("rows_after", "rows_low").join(bands.unreadable_values(rows, "day", "value"), "day")
 
 
 @query(

@@ -40,7 +40,8 @@ def read_day_tables(
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_at"),
         ]
-        table = reader.option("header", True).option("escape", '"').csv(path)
+        # A file whose header has other columns, or another order, is named in an error.
+        table = reader.option("header", True).option("escape", '"').option("enforceSchema", False).csv(path)
     else:
         raise ValueError(f"day tables are parquet or csv, not {format!r}; for workbooks see read_workbooks")
     return table.select(plain_path(F.col("_metadata.file_path")).alias("src_file"), *order, "*")
