@@ -31,6 +31,39 @@ def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(cell[0].cast("bigint").alias("event_id"), cell[1].alias("event_type"), cell[2].alias("props"))
 
 
+@query("SELECT 'before' AS moment, true AS pending, 0 AS rows FROM region WHERE r_regionkey = 0 UNION ALL SELECT 'after', false, count(*) FROM events")
+def ingest_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What waits before the first run, when nothing is stored yet, and after it."""
+    root = scratch_path(spark, "pending")
+    source, target = f"{root}/in", f"{root}/out"
+    write_csv(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type").repartition(3), source)
+    seen = []
+    for moment in ("before", "after"):
+        stored = ingest.ledger(spark, target).agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0))).first()[0]
+        seen.append((moment, not ingest.pending_files(spark, source, target).isEmpty(), stored))
+        if moment == "before":
+            ingest.clean_new_files(spark, source, target, f"{root}/checkpoint")
+    return spark.createDataFrame(seen, "moment string, pending boolean, rows bigint")
+
+
+@query("SELECT event_id, '豫' || event_type AS event_type FROM events")
+def ingest_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable files are tried twice under one label, are gone the second time, and come anew."""
+    root = scratch_path(spark, "retry")
+    source, target, checkpoint = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
+    events = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("ԥ"), "event_type").alias("event_type"))
+    bad = events.where("event_id % 3 = 0")
+    write_csv(events.where("event_id % 3 <> 0"), f"{source}/good")
+    bad.write.option("header", True).option("encoding", "UTF-16").csv(f"{source}/bad")
+    ingest.clean_new_files(spark, source, target, checkpoint, column_index=None)
+    ingest.retry_failed(spark, target, "again", column_index=None)
+    bad.write.mode("overwrite").option("header", True).csv(f"{source}/bad")
+    ingest.retry_failed(spark, target, "again", column_index=None)
+    ingest.clean_new_files(spark, source, target, checkpoint, column_index=None)
+    rows = ingest.cleaned_rows(spark, target).where("row_no > 0")
+    return rows.select(F.get("cells", F.lit(0)).cast("bigint").alias("event_id"), F.get("cells", F.lit(1)).alias("event_type"))
+
+
 @query("SELECT 'ok' AS status, count(*) AS data_rows FROM events")
 def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every file counts its header row, which the ledger's rows include."""

@@ -64,6 +64,13 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """True if a file or folder matches the pattern, wherever the path points."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
+    return found is not None and len(found) > 0
+
+
 def _delete(spark: SparkSession, path: str) -> bool:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -69,8 +69,10 @@ def number_csv_rows(df: DataFrame) -> DataFrame:
 
     A block's rows are read one after the other, so a row's number is the count of
     the file's earlier blocks plus its distance from the block's first row. No row
-    is sorted or shuffled.
+    is sorted or shuffled. The rows are written once, since a second scan may split
+    the files at other places.
     """
+    df = scratch_table(df, "csv-rows")
     blocks = df.groupBy("src_file", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
     shifts = scratch_table(blocks, "blocks").select(
         "src_file", "_block", (_over_blocks("_rows") - F.col("_first")).alias("_shift")
@@ -90,7 +92,8 @@ def small_csv_files(
     name_glob: str = "*.csv",
 ) -> DataFrame:
     """Paths, lengths and contents of the CSV files below ``path``."""
-    reader = spark.readStream if stream else spark.read
+    # Files may arrive with old dates; none is ever too old to be read.
+    reader = spark.readStream.option("maxFileAge", "36500d") if stream else spark.read
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return (
@@ -207,6 +210,7 @@ def cells_of_lines(lines: DataFrame) -> DataFrame:
     file's blocks. Files with a quoted cell that runs on into the next line are put
     together by the running number of quotes.
     """
+    lines = scratch_table(lines, "csv-lines")  # a second scan may split the files at other places
     quotes = F.length("_text") - F.length(F.replace("_text", F.lit('"'), F.lit("")))
     blocks = scratch_table(
         lines.groupBy("src_file", "_block").agg(

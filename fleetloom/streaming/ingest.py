@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetloom import fixed
 from fleetloom.functions import paths
 from fleetloom.operators.cleanse import drop_cell, replace_cells, replace_text
-from fleetloom.sources.csv_files import cells_of_files, small_csv_files
+from fleetloom.session import path_exists, scratch_table
+from fleetloom.sources.csv_files import RAW_CELLS, cells_of_files, small_csv_files
 
 # Failed files read again in one round.
 RETRY_FILES = 1000
@@ -38,8 +41,15 @@ def clean_rows(
     )
 
 
+# The columns of a stored run.
+STORED = (
+    "src_file string, new_name string, renamed boolean, row_no bigint, cells array<string>, error string, "
+    "status string, stored_at timestamp, run string"
+)
+
+
 def _store(rows: DataFrame, target: str, run: str) -> None:
-    """Write one run to its own folder; writing the run again replaces it."""
+    """Write one run to its own folder; a stream's batch that is run again replaces itself."""
     rows.withColumn("stored_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{target}/run={run}")
 
 
@@ -71,7 +81,10 @@ def clean_new_files(
 
 
 def _stored(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.option("basePath", target).parquet(f"{target}/run=*")
+    """All runs; before the first one there are no rows."""
+    if not path_exists(spark, f"{target}/run=*"):
+        return spark.createDataFrame([], STORED)
+    return spark.read.schema(STORED).option("basePath", target).parquet(f"{target}/run=*")
 
 
 def ledger(spark: SparkSession, target: str) -> DataFrame:
@@ -127,15 +140,21 @@ def retry_failed(
 ) -> int:
     """Read every quarantined file once more; returns how many were tried.
 
-    ``label`` names this retry; running it again under its name replaces it.
-    Only file names, ``RETRY_FILES`` at a time, pass through the driver.
+    ``label`` names this retry. Every attempt is a run of its own and replaces none, so
+    what an earlier one recovered stays, also if that one broke off. A file that is gone
+    is a failed one. Only file names, ``RETRY_FILES`` at a time, pass through the driver.
     """
-    tried, last = 0, ""
+    waiting = scratch_table(quarantine(spark, target).select("src_file"), "quarantine")
+    attempt, tried, last = uuid.uuid4().hex, 0, ""
     while True:
-        waiting = quarantine(spark, target).where(F.col("src_file") > last)
-        names = [r.src_file for r in waiting.select("src_file").orderBy("src_file").limit(RETRY_FILES).collect()]
+        names = [r.src_file for r in waiting.where(F.col("src_file") > last).orderBy("src_file").limit(RETRY_FILES).collect()]
         if not names:
             return tried
-        files = spark.read.format("binaryFile").load([paths.glob_literal(n) for n in names])
-        _store(clean_rows(cells_of_files(files), column_index, old, new), target, f"retry-{label}-{tried}")
+        there = [n for n in names if path_exists(spark, paths.glob_literal(n))]
+        gone = [(n, -1, None, "FileNotFoundError: no such file") for n in names if n not in set(there)]
+        rows = spark.createDataFrame(gone, RAW_CELLS)
+        if there:
+            files = spark.read.format("binaryFile").load([paths.glob_literal(n) for n in there])
+            rows = cells_of_files(files).union(rows)
+        _store(clean_rows(rows, column_index, old, new), target, f"retry-{label}-{attempt}-{tried}")
         tried, last = tried + len(names), names[-1]
