@@ -12,8 +12,12 @@ distances.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -214,28 +218,42 @@ def head_and_tail(df: DataFrame, order: Sequence[str], count: int = 10) -> DataF
     return first.union(last)
 
 
+def _slice_drops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for a sorted slice: its rows, nulls, drops, first and last value."""
+    rows = nulls = drops = 0
+    first = last = None
+    for batch in batches:
+        column = batch.column("_value")
+        if not len(column):
+            continue
+        if rows:
+            column = pa.concat_arrays([last, column])
+        else:
+            first = column.slice(0, 1)
+        rows += len(batch)
+        nulls += batch.column("_value").null_count
+        drops += pc.sum(pc.less(column.slice(1), column.slice(0, len(column) - 1))).as_py() or 0
+        last = column.slice(len(column) - 1)
+    if rows:
+        counts = [pa.array([n], pa.int64()) for n in (rows, nulls, drops)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([TaskContext.get().partitionId()], pa.int32()), *counts, first, last],
+            ["_slice", "_rows", "_nulls", "_drops", "_value", "_last"],
+        )
+
+
 def sortedness(df: DataFrame, order: Sequence[Column | str], value: Column) -> DataFrame:
     """How often ``value`` drops from one row to the next along ``order``.
 
     One row: ``rows``, ``nulls``, ``inversions``, ``is_sorted``. A null value makes
     the column unsorted.
     """
-    sliced = sorted_slices(df, order, "sortedness", [value.alias("_value")])
-    previous = F.lag("_value").over(Window.partitionBy("_slice").orderBy("_line"))
     drops = F.count_if(F.col("_value") < F.col("_previous"))
-    slices = (
-        sliced.withColumn("_previous", previous)
-        .groupBy("_slice")
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.count_if(F.col("_value").isNull()).alias("_nulls"),
-            drops.alias("_drops"),
-            F.min_by("_value", "_line").alias("_value"),
-            F.max_by("_value", "_line").alias("_last"),
-        )
-        # One row per slice; the drop between slices is seen here.
-        .withColumn("_previous", F.lag("_last").over(Window.orderBy("_slice")))
-    )
+    values = df.orderBy(*order).select(value.alias("_value"))
+    kind = values.schema["_value"].dataType.simpleString()
+    slices = values.mapInArrow(
+        _slice_drops, f"_slice int, _rows bigint, _nulls bigint, _drops bigint, _value {kind}, _last {kind}"
+    ).withColumn("_previous", F.lag("_last").over(Window.orderBy("_slice")))  # one row per slice
     inversions = F.coalesce(F.sum("_drops"), F.lit(0)) + drops
     nulls = F.coalesce(F.sum("_nulls"), F.lit(0))
     return slices.agg(
@@ -274,3 +292,7 @@ def shuffle_audit(before: DataFrame, after: DataFrame, name: str = "pos") -> Dat
     moved = multiset_difference(before.drop(name), after.drop(name))
     both = stayed.select("*", none.alias("lost"), none.alias("added")).union(moved.select(none, none, "lost", "added"))
     return both.agg(*[F.sum(c).alias(c) for c in both.columns])
+
+
+# Executors need not have this package installed: the pass over slices travels with the plan.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from fleetloom import fixed
 from fleetloom.functions import paths
 from fleetloom.operators import cleanse, reports
-from fleetloom.session import scratch_table
+from fleetloom.session import qualified, scratch_table
 from fleetloom.sources.csv_files import read_ragged_csv, small_csv_files
 from fleetloom.sources.sinks import write_by, write_ragged_csv
 from fleetloom.streaming.ingest import clean_rows
 
 
+CSV_NAMES = "*.[cC][sS][vV]"
+
+
 class RenameClash(ValueError):
     """Two files would get one name."""
 
@@ -30,14 +33,17 @@ def clean_directory(
 ) -> DataFrame:
     """Drop a column and replace the character in cells and names of all CSV files.
 
+    ``new_name`` is the new path below ``source``, so files of one name in two folders
+    stay apart.
+
     Writes beside ``source`` unless ``target`` is given, and returns the outcome per
     file. ``layout`` is
 
     * ``table``: one parquet table of ``new_name``, ``row_no`` and ``cells``, with a
       row holding ``error`` for each file that cannot be read. Files are read, cleaned
       and written in one stage without a shuffle.
-    * ``folders``: a folder of parquet files per new file name.
-    * ``csv``: a folder of CSV lines per new file name.
+    * ``folders``: a folder of parquet files per new path.
+    * ``csv``: a folder of CSV lines per new path.
 
     Folders are for thousands of files rather than millions.
     """
@@ -45,11 +51,13 @@ def clean_directory(
         raise ValueError(f"layout is table, folders or csv, not {layout!r}")
     target = paths.processed_dir(source) if target is None else target
     if not allow_clashes:
-        names = cleanse.rename_files(small_csv_files(spark, source).select("path"), "path", old, new)
+        names = cleanse.rename_files(small_csv_files(spark, source, name_glob=CSV_NAMES).select("path"), "path", old, new)
         clash = cleanse.rename_clashes(names, "path").orderBy("new_path").first()
         if clash is not None:
             raise RenameClash(f"{clash.files} files would be named {clash.new_path}")
-    rows = clean_rows(read_ragged_csv(spark, source), column_index, old, new)
+    rows = clean_rows(read_ragged_csv(spark, source, name_glob=CSV_NAMES), column_index, old, new)
+    below = F.substr("src_file", F.instr("src_file", f"{qualified(spark, source)}/") + len(qualified(spark, source)) + 1)
+    rows = rows.withColumn("new_name", paths.joined(paths.parent(below), F.col("new_name")))
     if layout == "table":
         rows.write.parquet(target)
         stored = spark.read.schema(rows.schema).parquet(target)

@@ -12,6 +12,7 @@ from fleetloom.functions import dates, paths
 from fleetloom.functions.columns import mileage_column, plate_column, quoted
 from fleetloom.operators import bands, calendar, cleanse, concat, pairing, position, purge
 from fleetloom.operators.bands import Band
+from fleetloom.session import scratch_table
 from fleetloom.sources.plate_lists import read_dated_lists
 from fleetloom.sources.workbooks import headers_of, table_of_cells
 
@@ -65,8 +66,10 @@ def consolidate(
 ) -> DataFrame:
     """Pair the two bands of every key, stack the keys in order, shuffle the right half.
 
-    Keys are stacked by ``file_date``, an expression over ``key``, then by key.
+    Keys are stacked by ``file_date``, an expression over ``key``, then by key. The two
+    bands are written once, so what ``banded`` is made of is computed once.
     """
+    banded = scratch_table(banded.where(quoted(label).isin(*labels)), "banded")
     left, right = (banded.where(quoted(label) == name).drop(label) for name in labels)
     paired = pairing.pair_rows(left, right, key, order, order, seed, tuple(f"{name}_" for name in labels))
     stacked_order = [quoted(key), F.col("pos")]
@@ -86,8 +89,10 @@ def stack_files(cells: DataFrame, by_date: bool = True, default_year: int = fixe
 
     Files come by the date in their name, undated ones first, or by name alone. All
     must be readable and have the same columns in the same order, or nothing is
-    stacked. The rows are not sorted: only the files' row counts are.
+    stacked. The rows are not sorted: only the files' row counts are. The cells are
+    written once, so files are parsed once.
     """
+    cells = scratch_table(cells, "cells")
     broken = cells.where("error is not null").orderBy("src_file").first()
     if broken is not None:
         raise UnreadableFile(f"{broken.src_file}: {broken.error}")
@@ -110,8 +115,3 @@ def stack_files(cells: DataFrame, by_date: bool = True, default_year: int = fixe
 def add_calendar(spark: SparkSession, folder: str, table: DataFrame | None, end: str = fixed.CALENDAR_END) -> DataFrame:
     """The calendar of the dated lists in ``folder``, stacked below ``table`` by name."""
     return concat.concat_lenient(table, calendar.plate_calendar(read_dated_lists(spark, folder), end))
-
-
-def day_key(src_file: Column) -> Column:
-    """The key that pairs the band files of one day: the name up to the first underscore."""
-    return paths.pair_key(paths.stem(src_file))

@@ -9,6 +9,7 @@ from fleetloom.functions import dates, paths
 from fleetloom.functions.columns import drop_column_at
 from fleetloom.functions.columns import keep_first_columns as first_columns
 from fleetloom.operators import cleanse, reports
+from fleetloom.plans.clean import clean_directory
 from fleetloom.queries.registry import query, table
 from fleetloom.session import scratch_path
 from fleetloom.sources.csv_files import read_ragged_csv
@@ -348,3 +349,19 @@ def plate_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape > 2, F.concat(F.lit("  V"), F.col("o_custkey").cast("string"), F.lit(" ")))
     )
     return plates_of(table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("License Plate")))
+
+
+@query("SELECT event_id, 'event_type=' || event_type AS folder, '豫' || user_id AS plate FROM events")
+def clean_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one name in a folder per event type, cleaned to a folder per file."""
+    root = scratch_path(spark, "tree")
+    events = table(spark, sf_dir, "events")
+    rows = events.select("event_type", "props", "event_id", F.concat(F.lit("ԥ"), F.col("user_id").cast("string")).alias("plate"))
+    rows.coalesce(1).write.partitionBy("event_type").option("header", True).option("escape", '"').csv(f"{root}/in")
+    clean_directory(spark, f"{root}/in", f"{root}/out", layout="folders")
+    stored = spark.read.schema("row_no bigint, cells array<string>, new_name string").parquet(f"{root}/out").where("row_no > 0")
+    return stored.select(
+        F.get("cells", F.lit(0)).cast("bigint").alias("event_id"),
+        F.substring_index("new_name", "/", 1).alias("folder"),
+        F.get("cells", F.lit(1)).alias("plate"),
+    )

@@ -64,6 +64,12 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path from the file system's root, without scheme and host."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toUri().getPath().rstrip("/")
+
+
 def path_exists(spark: SparkSession, pattern: str) -> bool:
     """True if a file or folder matches the pattern, wherever the path points."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
