@@ -29,7 +29,7 @@ RAW_CELLS = T.StructType(
 # What Spark's binaryFile source gives; a stream wants it spelled out.
 FILE_CONTENTS = "path string, modificationTime timestamp, length bigint, content binary"
 
-# Files up to this many bytes are parsed whole; longer ones line by line.
+# Files up to this many bytes are parsed whole; longer ones line by line, to the same rows.
 WHOLE_FILE_BYTES = 16 * 1024 * 1024
 _ROWS_PER_BATCH = 20_000
 
@@ -141,7 +141,12 @@ def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
             rows, error = [], None
             try:
-                rows = list(_parse_text(content.as_py().decode("utf-8-sig")))
+                text = content.as_py().decode("utf-8-sig")
+                rows = list(_parse_text(text))
+                last = rows[-1] if rows else None
+                # The line end that closes the file is no part of a cell whose quote is never closed.
+                if last and text.endswith("\n") and last[-1].endswith("\n") and len(list(_parse_text(text + "x\n"))) == len(rows):
+                    last[-1] = last[-1][:-1]
             except (UnicodeDecodeError, csv.Error) as problem:
                 error = f"{type(problem).__name__}: {problem}"
             yield from buffer.add(path, rows, error)
@@ -170,33 +175,104 @@ def _parse_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays(columns, ["src_file", "row_no", "cells", "error"])
 
 
+def _ends_inside(line: str, inside: bool) -> bool:
+    """Whether a line ends inside a quoted cell, as the csv module reads it.
+
+    A quote opens a cell only at its start; two inside a quoted cell are one of its text;
+    after the closing one the cell goes on without quotes.
+    """
+    at = 0
+    while True:
+        if inside:
+            at = line.find('"', at)
+            if at < 0:
+                return True
+            if line.startswith('"', at + 1):
+                at += 2
+                continue
+            inside, at = False, at + 1
+        elif line.startswith('"', at):
+            inside, at = True, at + 1
+            continue
+        at = line.find(",", at) + 1
+        if not at:
+            return False
+
+
+def _line_effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add to each line what it makes of being inside a cell or not.
+
+    ``_sets``: the state it ends in, whatever it began in; null if that depends.
+    ``_turns``: 1 if it ends in the other state, 0 if it leaves things as they are.
+    ``_opens``: a cell that it begins goes on in the next line.
+    """
+    for batch in batches:
+        sets, turns, opens = [], [], []
+        for line in batch.column("_text").to_pylist():
+            outside, inside = ('"' in line and _ends_inside(line, False)), ('"' not in line or _ends_inside(line, True))
+            sets.append(int(outside) if outside == inside else None)
+            turns.append(int(outside and not inside))
+            opens.append(outside)
+        out = batch.append_column("_sets", pa.array(sets, pa.int32())).append_column("_turns", pa.array(turns, pa.int32()))
+        yield out.append_column("_opens", pa.array(opens, pa.bool_()))
+
+
 def _long_file_lines(spark: SparkSession, path: str, longer_than: int, name_glob: str) -> DataFrame:
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob).text(path)
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+    lines = reader.option("lineSep", "\n").text(path)  # a \r before it stays, as it may be in a cell
     return lines.where(F.col("_metadata.file_size") > longer_than).select(
         plain_path(F.col("_metadata.file_path")).alias("src_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
+        F.is_valid_utf8("value").alias("_valid"),
         F.col("value").alias("_text"),
     )
 
 
-def _numbered_records(lines: DataFrame, quotes: Column) -> DataFrame:
+def _state(start: Column, last: Column, turns: Column) -> Column:
+    """Inside a cell (1) or not (0), after lines of which ``last`` was the last to set it.
+
+    ``last`` holds the state it set and how many turns there were by then; ``turns`` counts all.
+    """
+    return F.when(last.isNotNull(), F.pmod(last["_sets"] + turns - last["_by_then"], F.lit(2))).otherwise(F.pmod(start + turns, F.lit(2)))
+
+
+def _numbered_records(lines: DataFrame) -> DataFrame:
     """Lines put together to records where a quoted cell runs over lines.
 
-    ``_quote_start`` holds the quotes before a line's block. An odd number of quotes
-    before a line means the line goes on inside a cell. Only the lines of one block,
-    whose length is bounded, are ever ordered together.
+    What a block of lines makes of either state is known without the blocks before it, so
+    one row per block is enough to find the state each block begins in. Only the lines of
+    one block, whose length is bounded, are ever ordered together.
     """
     in_block = Window.partitionBy("src_file", "_block").orderBy("_at")
-    before = F.coalesce(F.sum(quotes).over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = F.when((F.col("_quote_start") + before) % 2 == 0, 1).otherwise(0)
-    opened = scratch_table(lines.select("src_file", "_block", "_at", "_text", starts.alias("_starts")), "opened")
+    upto = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    setting = F.when(F.col("_sets").isNotNull(), F.struct("_sets", F.col("_by_then")))
+    turned = scratch_table(lines.withColumn("_by_then", F.sum("_turns").over(upto)), "turned")
+    blocks = turned.groupBy("src_file", "_block").agg(
+        F.sum("_turns").alias("_turns"), F.max_by("_sets", F.when(F.col("_sets").isNotNull(), F.col("_at"))).alias("_sets"),
+        F.max_by("_by_then", F.when(F.col("_sets").isNotNull(), F.col("_at"))).alias("_set_by_then"),
+    )
+    # As for lines: a block either sets the state or turns it.
+    blocks = blocks.select(
+        "src_file", "_block",
+        F.pmod(F.col("_sets") + F.col("_turns") - F.col("_set_by_then"), F.lit(2)).alias("_sets"),
+        F.when(F.col("_sets").isNull(), F.col("_turns")).otherwise(0).alias("_turns"),
+    )
+    of_file = Window.partitionBy("src_file").orderBy("_block")
+    earlier = of_file.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_by_then", F.sum("_turns").over(of_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    start = _state(F.lit(0), F.last(setting, ignorenulls=True).over(earlier), F.coalesce(F.sum("_turns").over(earlier), F.lit(0)))
+    block_starts = scratch_table(blocks.select("src_file", "_block", start.alias("_inside")), "block-states")
+    known = lookup(turned, block_starts, ["src_file", "_block"], "inner")
+    inside = _state(F.col("_inside"), F.last(setting, ignorenulls=True).over(before), F.coalesce(F.sum("_turns").over(before), F.lit(0)))
+    opened = scratch_table(known.select("src_file", "_block", "_at", "_text", F.when(inside == 0, 1).otherwise(0).alias("_starts")), "opened")
     records = scratch_table(opened.groupBy("src_file", "_block").agg(F.sum("_starts").alias("_records")), "records")
-    so_far = F.sum("_starts").over(in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    so_far = F.sum("_starts").over(upto)
     record_starts = records.select("src_file", "_block", _over_blocks("_records").alias("_record_start"))
     return (
         lookup(opened.withColumn("_so_far", so_far), record_starts, ["src_file", "_block"], "inner")
-        # One group is one record, never a file.
+        # One group is one record; only a quote that is never closed makes one of all that follows.
         .groupBy("src_file", (F.col("_record_start") + F.col("_so_far") - 1).alias("row_no"))
         .agg(F.array_sort(F.collect_list(F.struct("_block", "_at", "_text"))).alias("_lines"))
         .select("src_file", "row_no", F.concat_ws("\n", F.col("_lines._text")).alias("_text"))
@@ -204,21 +280,20 @@ def _numbered_records(lines: DataFrame, quotes: Column) -> DataFrame:
 
 
 def cells_of_lines(lines: DataFrame) -> DataFrame:
-    """Rows of cells out of the lines of files too long for one task.
+    """Rows of cells out of the lines of files too long for one task, as whole files give them.
 
     In most files a line is a record, and its number follows from the counts of the
     file's blocks. Files with a quoted cell that runs on into the next line are put
-    together by the running number of quotes.
+    together. The lines are written once: a second scan may split the files at other places.
     """
-    lines = scratch_table(lines, "csv-lines")  # a second scan may split the files at other places
-    quotes = F.length("_text") - F.length(F.replace("_text", F.lit('"'), F.lit("")))
+    schema = lines.withColumns({"_sets": F.lit(None).cast("int"), "_turns": F.lit(0), "_opens": F.lit(False)}).schema
+    lines = scratch_table(lines.withColumn("_text", F.make_valid_utf8("_text")).mapInArrow(_line_effects, schema), "csv-lines")
     blocks = scratch_table(
         lines.groupBy("src_file", "_block").agg(
             F.count(F.lit(1)).alias("_rows"),
             F.min("_at").alias("_first"),
-            F.sum(quotes).alias("_quotes"),
-            F.bool_and(F.is_valid_utf8("_text")).alias("_valid"),
-            F.bool_or(quotes % 2 == 1).alias("_odd"),
+            F.bool_and("_valid").alias("_valid"),
+            F.bool_or("_opens").alias("_opens"),
         ),
         "blocks",
     )
@@ -228,9 +303,8 @@ def cells_of_lines(lines: DataFrame) -> DataFrame:
             "src_file",
             "_block",
             (_over_blocks("_rows") - F.col("_first")).alias("_shift"),
-            _over_blocks("_quotes").alias("_quote_start"),
             F.min("_valid").over(of_file).alias("_readable"),
-            F.max("_odd").over(of_file).alias("_runs_on"),
+            F.max("_opens").over(of_file).alias("_runs_on"),
         ),
         "block-starts",
     )
@@ -239,7 +313,7 @@ def cells_of_lines(lines: DataFrame) -> DataFrame:
         "src_file", (F.col("_at") + F.col("_shift")).alias("row_no"), "_text"
     )
     if not starts.where("_readable and _runs_on").isEmpty():
-        records = records.union(_numbered_records(known.where("_readable and _runs_on"), quotes))
+        records = records.union(_numbered_records(known.where("_readable and _runs_on").select("src_file", "_block", "_at", "_text", "_sets", "_turns")))
     broken = starts.where("not _readable").select(
         "src_file",
         F.lit(-1).cast("bigint").alias("row_no"),

@@ -1,6 +1,9 @@
 """Reading and writing files, and cleaning them as they arrive."""
 
+import csv
 import datetime as dt
+import io
+import random
 import zipfile
 
 import pytest
@@ -355,3 +358,38 @@ def test_scratch_is_dropped(spark, tmp_path, monkeypatch):
     assert list(tmp_path.rglob("*.parquet"))
     assert session.drop_scratch(spark)
     assert not list(tmp_path.rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("split", ["700", "100000"])
+def test_long_files_give_the_rows_of_whole_ones(spark, tmp_path, split):
+    """Stray quotes, line ends in cells, an unclosed quote: the way of reading changes nothing."""
+    draw = random.Random(4)
+    noise = "".join(draw.choice(["a", ",", '"', '""', "\n", "b", "\r\n"]) for _ in range(6000))
+    contents = {
+        "stray": 'a,5" pipe,b\nx,y,z\n1,2,3\n',
+        "crlf": 'a,"x\r\ny",b\r\nq,w,e\r\n',
+        "multi": 'h,i\n"a\n\n""b,\n",2\n3,"4"\n"5"x"y,6\n' + "".join(f'{i},"v\n{i}"\n' for i in range(300)),
+        "open": 'a,b\n1,"2\n3,4\n5,6\n',
+        "noise": noise,
+    }
+    for name, text in contents.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    settings = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        whole, by_lines = (values(csv_files.read_ragged_csv(spark, str(tmp_path), limit), "src_file", "row_no", "cells", "error") for limit in (1 << 30, 0))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert whole == by_lines and len(whole) > 300
+
+
+def test_line_ends_as_the_csv_module_sees_them():
+    draw = random.Random(4)
+    for _ in range(5000):
+        line = "".join(draw.choice('a,"" b') for _ in range(draw.randint(0, 9)))
+        for inside in (False, True):
+            rows = list(csv.reader(io.StringIO(f"{'\"' if inside else ''}{line}\nnext\n", newline="")))
+            assert csv_files._ends_inside(line, inside) == (len(rows) < 2)
