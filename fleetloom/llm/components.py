@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetloom.session import scratch_table
+from fleetloom.session import release, scratch_table
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -31,8 +31,10 @@ def components(edges: DataFrame) -> DataFrame:
         both = scratch_table(now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges-both")
         large = both.join(_least(both), "a").where("b > a").select(F.col("b").alias("a"), F.least("_m", "a").alias("b")).distinct()
         large = scratch_table(large, "edges-large")
+        release(both)
         least = _least(large)
         small = large.join(least, "a").where("b <> _m").select(F.greatest("b", "_m").alias("a"), F.least("b", "_m").alias("b"))
         now = scratch_table(small.unionByName(least.select("a", F.col("_m").alias("b"))).distinct(), "edges")
+        release(large, least)
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

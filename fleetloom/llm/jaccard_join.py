@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from fleetloom.llm import words
 from fleetloom.llm.components import components
 from fleetloom.llm.rows import packed, unpacked
-from fleetloom.session import scratch_table
+from fleetloom.session import release, scratch_table
 
 WIDTH, PERCENT = 4, 85
 # Sets above this size are never listed by pairs.
@@ -36,6 +36,12 @@ SMALL_MOST = 128
 # A shingle found this often in shared blocks of text is ordered last; at most so many are.
 COMMON, COMMON_MOST = 64, 100_000
 BLOCK_BYTES = 4 << 20
+# A set's size and the place of a shingle in it, as one number: size * AT + place.
+AT = 1 << 31
+# The documents whose sets are compared are sent to all tasks up to this many.
+BROADCAST_ROWS = 500_000
+# A set's parity: for every value of this many, whether an odd number of shingles has it.
+PARITY_BITS = 4096
 # What a pair to compare costs, in rows of a list.
 PAIR_COST = 4
 
@@ -107,6 +113,7 @@ def _list_keys(width: int, percent: int, common: np.ndarray):
                 rank = np.arange(len(owner)) - bounds[owner]
                 single = (rank < leading[owner]) & (n[owner] > 1)
                 keys, owners, pairs = [words.mixed(shingles[single])], [owner[single]], [np.zeros(int(single.sum()), dtype=bool)]
+                ranks = [rank[single]]
                 for i in np.flatnonzero((n > 1) & (n <= SMALL_MOST)):
                     some = shingles[bounds[i] : bounds[i] + leading[i] + 1]
                     a, b = np.triu_indices(len(some), 1)
@@ -114,10 +121,12 @@ def _list_keys(width: int, percent: int, common: np.ndarray):
                     keys.append(words.mixed(low * words.U64(words.WORD_BASE) ^ words.mixed(high)))
                     owners.append(np.full(len(a), i))
                     pairs.append(np.ones(len(a), dtype=bool))
+                    ranks.append(b - 1)
                 owners = np.concatenate(owners)
+                at = n[owners].astype(np.int64) * AT + np.concatenate(ranks)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(words.signed(np.concatenate(keys))), pa.array(np.concatenate(pairs)), pa.array(node[owners]), pa.array(n[owners].astype(np.int32))],
-                    names=["key", "by_pair", "node", "n"],
+                    [pa.array(words.signed(np.concatenate(keys))), pa.array(np.concatenate(pairs)), pa.array(node[owners]), pa.array(at)],
+                    names=["key", "by_pair", "node", "at"],
                 )
 
     return run
@@ -126,7 +135,7 @@ def _list_keys(width: int, percent: int, common: np.ndarray):
 def _boundary(lists: DataFrame, percent: int) -> int:
     """The size below which listing by pairs costs least."""
     by_size = (
-        lists.where(f"n <= {SMALL_MOST} and not by_pair")
+        lists.where("not by_pair").withColumn("n", F.expr(f"at div {AT}")).where(f"n <= {SMALL_MOST}")
         .groupBy("key", "n")
         .agg(F.count(F.lit(1)).alias("c"))
         .groupBy("n")
@@ -154,56 +163,91 @@ def _shingle_arrays(width: int):
         for batch in batches:
             column = batch.column("text")
             for first, last in words.slices(column):
-                _, shingles, bounds = _sets(column, first, last, width)
+                owner, shingles, bounds = _sets(column, first, last, width)
+                place = owner * PARITY_BITS + (shingles & words.U64(PARITY_BITS - 1)).astype(np.int64)
+                odd = np.bincount(place, minlength=(last - first) * PARITY_BITS).astype(np.uint8) & 1
+                parity = np.packbits(odd, bitorder="little").view(np.int64)
+                each = np.arange(last - first + 1) * (PARITY_BITS // 64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(_node(shingles, bounds, words.WORD_BASE)),
+                        pa.array(np.diff(bounds), pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(each, pa.int32()), pa.array(parity)),
                         pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(words.signed(shingles))),
                     ],
-                    names=["node", "shingles"],
+                    names=["node", "n", "parity", "shingles"],
                 )
 
     return run
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+    """The pairs (a, b) whose sets are similar.
+
+    A shingle that only one of two sets has changes one bit of their parities, so the
+    bits in which these differ are at most what the sets differ by. Pairs that differ by
+    too many are left out before whole sets are joined.
+    """
+    bits = F.aggregate(F.zip_with("_pa", "_pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    total = F.col("_na") + F.col("_nb")
+    close = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("parity").alias("_pa")), "a")
+    close = close.join(sets.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("parity").alias("_pb")), "b")
+    close = close.where(F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent).where(bits * (100 + percent) <= total * (100 - percent))
+    close = scratch_table(close.select("a", "b").distinct(), "close-pairs")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"))
-    small, large = F.least(F.size("_a"), F.size("_b")), F.greatest(F.size("_a"), F.size("_b"))
     shared = F.size(F.array_intersect("_a", "_b"))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where(F.when(small * 100 < large * percent, False).otherwise(shared * 100 >= (F.size("_a") + F.size("_b") - shared) * percent))
-        .select("a", "b")
-    )
+    similar = shared * 100 >= (F.size("_a") + F.size("_b") - shared) * percent
+    return close.join(left, "a").join(right, "b").where(similar).select("a", "b").distinct()
+
+
+def _may_be_similar(a: str, b: str, percent: int) -> str:
+    """SQL: two sets whose first common shingle stands at these places may be similar.
+
+    All that is common stands from there on, and that must reach the share asked for.
+    """
+    na, nb, ra, rb = f"({a} div {AT})", f"({b} div {AT})", f"({a} % {AT})", f"({b} % {AT})"
+    return f"least({na} - {ra}, {nb} - {rb}) * {100 + percent} >= ({na} + {nb}) * {percent}"
 
 
 def _left_over(entries: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one list but different components that may be similar by size."""
+    """Pairs of one list but different components that may be similar."""
     placed = scratch_table(
-        entries.join(linked, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component")), "placed"
+        entries.join(linked, "node", "left").select("key", "node", "at", F.coalesce("component", "node").alias("component")), "placed"
     )
     mixed = scratch_table(
         placed.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y").select("key"), "mixed-keys"
     )
     rows = scratch_table(placed.join(mixed, "key"), "mixed-lists")
-    parts = scratch_table(rows.groupBy("key", "component").agg(F.min("n").alias("least"), F.max("n").alias("most")), "mixed-parts")
+    size = F.expr(f"at div {AT}")
+    parts = scratch_table(rows.groupBy("key", "component").agg(F.min(size).alias("least"), F.max(size).alias("most")), "mixed-parts")
     one = parts.select("key", F.col("component").alias("ca"), F.col("least").alias("la"), F.col("most").alias("ma"))
     two = parts.select("key", F.col("component").alias("cb"), F.col("least").alias("lb"), F.col("most").alias("mb"))
     meet = one.join(two, "key").where(f"ca < cb and ma * 100 >= lb * {percent} and mb * 100 >= la * {percent}").select("key", "ca", "cb")
-    first = rows.select("key", F.col("component").alias("ca"), F.col("node").alias("a"), F.col("n").alias("na"))
-    second = rows.select("key", F.col("component").alias("cb"), F.col("node").alias("b"), F.col("n").alias("nb"))
+    first = rows.select("key", F.col("component").alias("ca"), F.col("node").alias("a"), F.col("at").alias("at_a"))
+    second = rows.select("key", F.col("component").alias("cb"), F.col("node").alias("b"), F.col("at").alias("at_b"))
     return (
         meet.join(first, ["key", "ca"])
         .join(second, ["key", "cb"])
-        .where(f"na * 100 >= nb * {percent} and nb * 100 >= na * {percent}")
+        .where(_may_be_similar("at_a", "at_b", percent))
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
 
 
+def _met_sets(rows: DataFrame, classes: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """node and its shingles, from a text of each; a text that stands twice gives two equal rows."""
+    met = scratch_table(classes.join(nodes.distinct(), "node", "left_semi").select(F.col("_first").alias("doc_id"), "_text").distinct(), "met")
+    if met.count() <= BROADCAST_ROWS:  # else the texts are shuffled
+        met = F.broadcast(met)
+    arrays = rows.join(met, ["doc_id", "_text"], "left_semi").select("text").mapInArrow(_shingle_arrays(width), "node bigint, n bigint, parity array<bigint>, shingles array<bigint>")
+    return scratch_table(arrays, "met-sets")
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
+
 def grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, _text (``xxhash64(text)``), n_shingles, component_id: a row per row of ``docs``.
 
@@ -224,34 +268,32 @@ def grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     common = np.array([r[0] for r in often.orderBy(F.desc("c"), "node").limit(COMMON_MOST).collect()], dtype=np.int64).view(np.uint64)
 
     lists = scratch_table(
-        rows.where("doc_id is not null").select("text").mapInArrow(_list_keys(width, percent, common), "key bigint, by_pair boolean, node bigint, n int"),
+        rows.where("doc_id is not null").select("text").mapInArrow(_list_keys(width, percent, common), "key bigint, by_pair boolean, node bigint, at bigint"),
         "lists",
     )
     size = _boundary(lists, percent)
-    used = lists.where(f"if(by_pair, n < {size}, n * 100 >= {size} * {percent})").drop("by_pair")
+    used = lists.where(f"if(by_pair, at < {size * AT}, (at div {AT}) * 100 >= {size * percent})").drop("by_pair")
     shared = scratch_table(
-        used.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_most")).where("hub < _most").drop("_most"), "shared-keys"
+        used.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_most"), F.min_by("at", "node").alias("hub_at")).where("hub < _most").drop("_most"),
+        "shared-keys",
     )
     entries = scratch_table(used.join(shared, "key").distinct(), "entries")
+    release(lists, shared)
     classes = scratch_table(
         texts.where("doc_id is not null and n > 0").groupBy("node", "n", "check").agg(F.min("doc_id").alias("_first"), F.min_by("_text", "doc_id").alias("_text")), "classes"
     )
-    met = classes.join(entries.select("node").distinct(), "node", "left_semi")
-    sets = scratch_table(
-        rows.join(met.select(F.col("_first").alias("doc_id"), "_text"), ["doc_id", "_text"], "left_semi")
-        .select("text")
-        .mapInArrow(_shingle_arrays(width), "node bigint, shingles array<bigint>")
-        .groupBy("node")
-        .agg(F.any_value("shingles").alias("shingles")),
-        "met-sets",
-    )
-    stars = scratch_table(entries.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "star-pairs")
+    stars = entries.where("node <> hub").where(_may_be_similar("at", "hub_at", percent))
+    stars = scratch_table(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "star-pairs")
+    sets = _met_sets(rows, classes, _nodes(stars), width)
     links = scratch_table(_similar(stars, sets, percent), "links")
     linked = scratch_table(components(links), "linked")
     others = scratch_table(_left_over(entries, linked, percent).join(stars, ["a", "b"], "left_anti"), "other-pairs")
-    more = scratch_table(_similar(others, sets, percent), "more-links")
-    if not more.isEmpty():
-        linked = scratch_table(components(links.unionByName(more)), "linked")
+    if not others.isEmpty():
+        wanted = _nodes(others).distinct()
+        missing = _met_sets(rows, classes, wanted.join(sets.select("node"), "node", "left_anti"), width)
+        more = _similar(others, sets.join(wanted, "node", "left_semi").unionByName(missing), percent)
+        hung = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        linked = scratch_table(components(hung.unionByName(more)), "linked")
     named = classes.join(linked, "node", "left").select("node", "n", "check", "_first", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("_first").alias("_component"))
     # Without links a class is a component of its own, even if two share a hash.

@@ -155,7 +155,11 @@ def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
     )
     single = folded.where("not copy").drop("copy")
     anchors = long.join(single, ["doc_id", "_text"], "left_semi").select("doc_id", "_text", F.explode("_anchors").alias("_anchor"))
-    shared = anchors.groupBy("_anchor").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).where("_low < _high").select("_anchor")
+    # What is joined is written first, so that both sides come from a shuffle and a hot key is split.
+    shared = scratch_table(
+        anchors.groupBy("_anchor").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).where("_low < _high").select("_anchor"),
+        "shared-anchors",
+    )
     survivors = anchors.join(shared, "_anchor").groupBy("doc_id", "_text").agg(F.collect_set("_anchor").alias("_anchors"))
     windows = scratch_table(
         rows.join(survivors, ["doc_id", "_text"]).mapInArrow(
@@ -163,7 +167,8 @@ def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
         ),
         "passage-windows",
     )
-    owner = windows.groupBy("_window", "_anchor").agg(F.min("doc_id").alias("_first"))
+    firsts = windows.groupBy("_window", "_anchor").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
+    owner = scratch_table(firsts.where("_first < _last").drop("_last"), "passage-owners")
     found = (
         windows.join(owner, ["_window", "_anchor"])
         .where("doc_id > _first")
