@@ -11,9 +11,10 @@ among one more. So
 and similar sets meet in a list. The size that divides small from large is the one of
 least cost, from the rows both ways make and the pairs the lists of single shingles hold.
 
-A list of m sets gives m - 1 pairs with its least one, not all pairs. Those that prove
-similar join their components; after that only pairs of different components are left in
-a list, and all of them are compared. No pair of similar sets stays unjoined.
+A list of m sets gives fewer than m pairs with each of a few of its sets, its hubs, not all
+pairs. Those that prove similar join their components; after that only pairs of different
+components are left in a list, and all of them are compared. No pair of similar sets stays
+unjoined.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ AT = 1 << 31
 BROADCAST_ROWS = 500_000
 # A set's parity: for every value of this many, whether an odd number of shingles has it.
 PARITY_BITS = 4096
+# The hubs of a list: its least sets by so many different hashes.
+HUBS = 4
 # What a pair to compare costs, in rows of a list.
 PAIR_COST = 4
 
@@ -274,16 +277,21 @@ def grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     size = _boundary(lists, percent)
     used = lists.where(f"if(by_pair, at < {size * AT}, (at div {AT}) * 100 >= {size * percent})").drop("by_pair")
     shared = scratch_table(
-        used.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_most"), F.min_by("at", "node").alias("hub_at")).where("hub < _most").drop("_most"),
-        "shared-keys",
+        used.groupBy("key").agg(F.min("node").alias("_least"), F.max("node").alias("_most")).where("_least < _most").select("key"), "shared-keys"
     )
     entries = scratch_table(used.join(shared, "key").distinct(), "entries")
     release(lists, shared)
     classes = scratch_table(
         texts.where("doc_id is not null and n > 0").groupBy("node", "n", "check").agg(F.min("doc_id").alias("_first"), F.min_by("_text", "doc_id").alias("_text")), "classes"
     )
-    stars = entries.where("node <> hub").where(_may_be_similar("at", "hub_at", percent))
-    stars = scratch_table(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "star-pairs")
+    ranks = [F.xxhash64("node", F.lit(i)) for i in range(HUBS)]
+    hubs = [F.min_by(c, rank).alias(f"{c}{i}") for i, rank in enumerate(ranks) for c in ("node", "at")]
+    hubs = scratch_table(entries.groupBy("key").agg(*hubs), "hubs")
+    each = F.explode(F.array_distinct(F.array(*[F.struct(F.col(f"node{i}").alias("hub"), F.col(f"at{i}").alias("hub_at")) for i in range(HUBS)])))
+    stars = entries.join(hubs, "key").select("node", "at", each.alias("_hub")).select("node", "at", "_hub.*")
+    stars = stars.where("node <> hub").where(_may_be_similar("at", "hub_at", percent))
+    stars = stars.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
+    stars = scratch_table(stars.distinct(), "star-pairs")
     sets = _met_sets(rows, classes, _nodes(stars), width)
     links = scratch_table(_similar(stars, sets, percent), "links")
     linked = scratch_table(components(links), "linked")
