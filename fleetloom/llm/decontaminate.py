@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetloom.llm.rows import packed, unpacked
+from fleetloom.llm.rows import packed, unpacked, without
 from fleetloom.session import scratch_table
 
 SIZES = (7, 15, 31, 63)
@@ -142,7 +142,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any passage of the benchmark, with all their columns."""
-    found = leaks(docs, benchmark).select("doc_id", "_text").distinct()
     rows = packed(docs, doc_id=F.col("doc_id").cast("bigint"), _text=F.xxhash64("text"))
-    same = rows["doc_id"].eqNullSafe(found["doc_id"]) & rows["_text"].eqNullSafe(found["_text"])
-    return unpacked(rows.join(found, same, "left_anti"), docs)
+    return unpacked(without(rows, leaks(docs, benchmark)), docs)

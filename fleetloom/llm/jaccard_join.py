@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from fleetloom.llm import words
 from fleetloom.llm.components import components
-from fleetloom.llm.rows import packed, unpacked
+from fleetloom.llm.rows import packed, unpacked, without
 from fleetloom.session import release, scratch_table
 
 WIDTH, PERCENT = 4, 85
@@ -321,8 +321,11 @@ def one_of_each(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``docs`` with one row of each group: that of smallest doc_id; rows without a doc_id stay."""
     groups = scratch_table(grouped(docs, width, percent), "groups")
     kept = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.min("_text").alias("_text"), F.count(F.lit(1)).alias("_rows"))
+    kept = scratch_table(kept, "kept-ids")
     rows = packed(docs, doc_id=F.col("doc_id").cast("bigint"), _text=F.xxhash64("text"))
-    stay = scratch_table(rows.join(kept, ["doc_id", "_text"]), "kept-docs")
-    once = stay.where("_rows = 1").select("_row")
-    repeated = stay.where("_rows > 1").groupBy("doc_id").agg(F.any_value("_row").alias("_row")).select("_row")
-    return unpacked(once.unionByName(repeated).unionByName(rows.where("doc_id is null").select("_row")), docs)
+    stay = without(rows, groups.where("doc_id is not null").join(kept, ["doc_id", "_text"], "left_anti"))
+    repeated = kept.where("_rows > 1")
+    if repeated.isEmpty():
+        return unpacked(stay, docs)
+    one = stay.join(repeated, ["doc_id", "_text"], "left_semi").groupBy("doc_id").agg(F.any_value("_row").alias("_row"))
+    return unpacked(without(stay, repeated).select("_row").unionByName(one.select("_row")), docs)

@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetloom.llm.rows import packed, unpacked
+from fleetloom.llm.rows import packed, unpacked, without
 from fleetloom.session import scratch_table
 
 ROUNDS = 20
@@ -189,7 +189,6 @@ def judged(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    kept = judged(docs).where("kept").select("doc_id", "_text").distinct()
+    rejected = judged(docs).where("not kept")
     rows = packed(docs, doc_id=F.col("doc_id").cast("bigint"), _text=F.xxhash64("text"))
-    same = rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows["_text"] == kept["_text"])
-    return unpacked(rows.join(kept, same, "left_semi"), docs)
+    return unpacked(without(rows, rejected), docs)

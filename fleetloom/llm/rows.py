@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetloom.session import scratch_table
+
 ROW = "_row"
+# Keys of rows to leave out are sent to all tasks up to this many, so texts are not shuffled.
+BROADCAST_ROWS = 500_000
 
 
 def packed(df: DataFrame, **columns: Column) -> DataFrame:
@@ -19,3 +23,12 @@ def unpacked(df: DataFrame, like: DataFrame, **instead: Column) -> DataFrame:
     return df.select(
         *[instead.get(c, F.col(f"{ROW}.c{i}")).alias(c) for i, c in enumerate(like.columns)]
     )
+
+
+def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` but those whose doc_id and _text are among ``keys``; nulls equal nulls."""
+    keys = scratch_table(keys.select("doc_id", "_text").distinct(), "left-out")
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    same = rows["doc_id"].eqNullSafe(keys["doc_id"]) & rows["_text"].eqNullSafe(keys["_text"])
+    return rows.join(keys, same, "left_anti")
