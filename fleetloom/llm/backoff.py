@@ -4,12 +4,12 @@ A word after another scores count(pair) / count(first), or, for a pair that stan
 once in the corpus, ALPHA * count(word) / count(all). A document's score is the sum of
 the decimal logarithms.
 
-Words are counted first. The VOCABULARY most frequent get numbers and are sent to every
-task; the others are one unknown word, as usual in such models, and counted as such. So a
-pair is a number too. Pairs are exploded from the texts, packed by the bucket their hash
-gives, and meet in their bucket's count table; what they add to a document is summed by
-document. Pairs of very frequent words are counted apart, in a table of bounded size, so
-no bucket holds a large share of all pairs.
+Texts are cut into slices. Each counts its own words and pairs of neighbours, and sends
+every one of them once, with its count there, to the bucket that its hash gives. A bucket
+adds the counts of all slices and sends each slice the sums in the order it asked. The
+slice itself travels along as numbers of its words, and scores its documents when all
+answers are there. So every word and pair is counted, however many there are: no task
+holds more than a slice or a bucket, and a word in all texts is in a bucket once a slice.
 """
 
 from __future__ import annotations
@@ -27,12 +27,12 @@ from fleetloom.llm import words
 from fleetloom.session import scratch_table
 
 ALPHA = 0.4
-VOCABULARY = 500_000
+# Of counted_words; scoring has no limit of words.
 FREQUENT = 512
 SEEN = 2
-SLICE_BYTES = 4 << 20
-# A bucket gets about this many pairs.
-BUCKET_PAIRS = 2_000_000
+SLICE_BYTES = 8 << 20
+# A bucket gets about this many words and pairs, less those that a slice repeats.
+BUCKET_KEYS = 4_000_000
 LEAST_BUCKETS = 64
 
 
@@ -63,8 +63,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(words.signed(found)), pa.array(n)], names=["word", "n"])
 
 
-def counted_words(docs: DataFrame, vocabulary: int = VOCABULARY) -> Words:
-    """The most frequent words of all texts; only they come to the driver."""
+def counted_words(docs: DataFrame, vocabulary: int = FREQUENT) -> Words:
+    """The most frequent words of all texts; only they come to the driver. A view of the corpus: scores do not use it."""
     table = scratch_table(docs.select("text").mapInArrow(_count_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words")
     total = table.agg(F.sum("n")).first()[0] or 0
     top = table.orderBy(F.desc("n"), "word").limit(vocabulary).toArrow()
@@ -75,127 +75,114 @@ def counted_words(docs: DataFrame, vocabulary: int = VOCABULARY) -> Words:
     return Words(hashes[ascending], ascending, np.append(n, total - n.sum()))
 
 
-def _pairs(texts: words.Texts, known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of all words; and of each two neighbours the first's, the second's and their text."""
-    number = known.number(texts.word_hashes())
-    inside = texts.inside(2)
-    return number, number[:-1][inside], number[1:][inside], texts.window_text(2)[inside]
+def _count_all_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = sum(len(texts.starts) for _, _, texts in _slices(batch))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
 
-def _count_frequent(known: Words):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(FREQUENT * FREQUENT, dtype=np.int64)
-        for batch in batches:
-            for _, _, texts in _slices(batch):
-                _, a, b, _ = _pairs(texts, known)
-                both = (a < FREQUENT) & (b < FREQUENT)
-                counts += np.bincount(a[both] * FREQUENT + b[both], minlength=len(counts))
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["pair", "n"])
+def _squeezed(values: np.ndarray) -> bytes:
+    """64-bit values as planes of bytes, of which the high ones are mostly zeros."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T
+    return pa.compress(np.ascontiguousarray(planes), codec="zstd", asbytes=True)
+
+
+def _unsqueezed(data: bytes, n: int, kind=np.uint64) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), dtype=np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
-    return run
 
+def _steps(keys: np.ndarray) -> np.ndarray:
+    """Ascending keys as the first one and the distances between neighbours."""
+    return np.diff(keys, prepend=words.U64(0))
 
-PACKED = "bucket bigint, rows array<bigint>, low array<int>, high binary, doc_ids array<bigint>, n_words array<bigint>, score array<double>"
 
+def _keys(distinct: np.ndarray, number: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words and pairs of a slice as ascending hashes, the place there of each distinct
+    word and of each pair of neighbours, and the texts of the pairs."""
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    inside = owner[1:] == owner[:-1]
+    pairs = words.windows_hash(distinct[number], 2)[inside]
+    keys, at = np.unique(np.concatenate([distinct, pairs]), return_inverse=True)
+    return keys, at, owner[:-1][inside]
 
-def _explode(known: Words, frequent: np.ndarray, buckets: int):
-    """Per slice, a row of first scores, as if no pair were seen, and a row of pairs per bucket."""
-    size = len(known.counts)
-    with np.errstate(divide="ignore"):
-        log = np.log10(known.counts)
-    log_total = np.log10(max(1, known.counts.sum()))
+
+# A message of a slice's keys to a bucket and its answer have ``bucket``, ``n`` and ``size``; a slice itself has the rest.
+MESSAGE = "to bigint, slice bigint, bucket int, size bigint, keys binary, n binary, doc_ids array<bigint>, bounds binary, words binary, numbers binary"
+_TYPES = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
+_NAMES = [c.split()[0] for c in MESSAGE.split(", ")]
+
+
+def _explode(buckets: int):
+    """Per slice, a row of its documents as numbers of words, and a row of keys per bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
             for first, last, texts in _slices(batch):
-                number, a, b, owner = _pairs(texts, known)
-                rows = np.arange(part + done, part + done + last - first)
-                done += last - first
-                n = np.diff(texts.bounds)
-                score = np.bincount(texts.text_of_word, weights=log[number] - log_total, minlength=len(n)).astype(np.float64)
-                score += np.maximum(0, n - 1) * np.log10(ALPHA)
-                apart = (a < FREQUENT) & (b < FREQUENT)
-                count = frequent[a[apart] * FREQUENT + b[apart]]
-                gain = np.where(count >= SEEN, _gain(count, a[apart], b[apart], log, log_total), 0)
-                score += np.bincount(owner[apart], weights=gain, minlength=len(n))
-                yield _packed(
-                    [int(words.signed(words.mixed(rows[:1].astype(np.uint64)))[0])], rows, np.array([0, len(rows)]),
-                    np.zeros(0, np.int64), [b""], np.array([0, 0]), batch.column("doc_id").slice(first, last - first), n, score,
-                )
-                pair, owner = a[~apart] * size + b[~apart], owner[~apart]
-                bucket = (words.mixed(pair.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-                order = np.lexsort((owner, bucket))
-                pair, owner, bucket = pair[order], owner[order], bucket[order]
+                me, done = part + done, done + 1
+                distinct, number, n = np.unique(texts.word_hashes(), return_inverse=True, return_counts=True)
+                # Low numbers for frequent words are short ones.
+                order = np.argsort(-n, kind="stable")
+                rank = np.empty(len(order), dtype=np.int64)
+                rank[order] = np.arange(len(order))
+                distinct, number, n = distinct[order], rank[number], n[order]
+                keys, at, owner = _keys(distinct, number, texts.bounds)
+                n = np.bincount(at, weights=np.concatenate([n, np.ones(len(owner))]), minlength=len(keys)).astype(np.int64)
+                doc_ids = batch.column("doc_id").slice(first, last - first).to_pylist()
+                to = int(words.signed(words.mixed(np.array([me], dtype=np.uint64)))[0])
+                rows = [(to, me, None, len(number), None, None, doc_ids, texts.bounds.astype(np.int64).tobytes(), distinct.tobytes(), _squeezed(number))]
+                bucket = (((keys >> words.U64(32)) * words.U64(buckets)) >> words.U64(32)).astype(np.int64)
                 present, starts = np.unique(bucket, return_index=True)
-                edges = np.append(starts, len(bucket))
-                high = (pair >> 32).astype(np.uint8)
-                yield _packed(
-                    present.tolist(), rows[owner], edges, pair & 0xFFFFFFFF,
-                    [high[x:y].tobytes() for x, y in zip(edges[:-1], edges[1:], strict=True)], edges, pa.nulls(0, pa.int64()), n[:0], score[:0],
-                )
+                for b, x, y in zip(present.tolist(), starts, np.append(starts, len(keys))[1:], strict=True):
+                    rows.append((b, me, b, int(y - x), _squeezed(_steps(keys[x:y])), _squeezed(n[x:y]), None, None, None, None))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], names=_NAMES)
 
     return run
 
 
-def _gain(count, a, b, log, log_total):
-    """What a seen pair's score exceeds its backoff by."""
-    with np.errstate(divide="ignore"):
-        return np.log10(count) - log[a] - (np.log10(ALPHA) + log[b] - log_total)
-
-
-def _packed(bucket, rows, edges, low, high, low_edges, doc_ids, n_words, score) -> pa.RecordBatch:
-    def lists(values, at) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), values)
-
-    first = np.array([0, len(doc_ids)]) if len(doc_ids) else np.zeros(len(bucket) + 1, np.int64)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(bucket, pa.int64()),
-            lists(pa.array(rows, pa.int64()), edges),
-            lists(pa.array(low.astype(np.uint32).view(np.int32)), low_edges),
-            pa.array(high, pa.binary()),
-            lists(doc_ids.cast(pa.int64()), first),
-            lists(pa.array(n_words, pa.int64()), first),
-            lists(pa.array(score, pa.float64()), first),
-        ],
-        names=[c.split()[0] for c in PACKED.split(", ")],
-    )
+def _answer(group: pa.Table) -> pa.Table:
+    """Each message of keys with the counts of all slices; slices pass through."""
+    asked = group.filter(group["bucket"].is_valid())
+    if not asked.num_rows:
+        return group
+    sizes = asked["size"].to_pylist()
+    keys = np.concatenate([np.cumsum(_unsqueezed(k.as_py(), n), dtype=np.uint64) for k, n in zip(asked["keys"], sizes, strict=True)])
+    n = np.concatenate([_unsqueezed(c.as_py(), size, np.int64) for c, size in zip(asked["n"], sizes, strict=True)])
+    order = np.argsort(keys, kind="stable")
+    first = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
+    total = np.empty_like(n)
+    total[order] = np.repeat(np.add.reduceat(n[order], first), np.diff(np.append(first, len(n))))
+    edges = np.cumsum([0, *sizes])
+    answers = pa.array([_squeezed(total[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+    asked = asked.set_column(_NAMES.index("n"), "n", answers).set_column(_NAMES.index("keys"), "keys", pa.nulls(len(answers), pa.binary()))
+    return pa.concat_tables([asked.cast(group.schema), group.filter(group["bucket"].is_null())])
 
 
-def _meet(known: Words):
-    """Per bucket: count its pairs, and give every row what its seen pairs add."""
-    size = len(known.counts)
-    with np.errstate(divide="ignore"):
-        log = np.log10(known.counts)
-    log_total = np.log10(max(1, known.counts.sum()))
+def _score(total: int):
+    log_total = np.log10(max(1, total))
 
     def run(group: pa.Table) -> pa.Table:
-        columns = {c: pa.concat_arrays(group[c].chunks) for c in group.column_names}
-        flat = {c: columns[c].flatten() for c in ("rows", "low", "doc_ids", "n_words", "score")}
-        lengths = np.asarray(columns["rows"].value_lengths())
-        paired = np.repeat(np.asarray(columns["low"].value_lengths()) > 0, lengths)
-        rows = np.asarray(flat["rows"])
-        high = np.frombuffer(b"".join(columns["high"].to_pylist()), dtype=np.uint8).astype(np.int64)
-        pair = (high << 32) | np.asarray(flat["low"]).view(np.uint32).astype(np.int64)
-        owner = rows[paired]
-        _, which, n = np.unique(pair, return_inverse=True, return_counts=True)
-        count = n[which]
-        seen = count >= SEEN
-        pair, owner, count = pair[seen], owner[seen], count[seen]
-        at, which = np.unique(owner, return_inverse=True)
-        gain = np.bincount(which, weights=_gain(count, pair // size, pair % size, log, log_total), minlength=len(at))
-        own = rows[~paired]
-        nulls = pa.nulls(len(at), pa.int64())
-        return pa.table(
-            {
-                "row": pa.array(np.concatenate([own, at])),
-                "doc_id": pa.concat_arrays([flat["doc_ids"], nulls]),
-                "n_words": pa.concat_arrays([flat["n_words"], nulls]),
-                "score": pa.array(np.concatenate([np.asarray(flat["score"]), gain])),
-            }
-        )
+        (own,) = group.filter(group["bucket"].is_null()).to_pylist()
+        answers = group.filter(group["bucket"].is_valid()).sort_by("bucket")
+        bounds = np.frombuffer(own["bounds"], dtype=np.int64)
+        distinct = np.frombuffer(own["words"], dtype=np.uint64)
+        number = _unsqueezed(own["numbers"], own["size"], np.int64)
+        keys, at, owner = _keys(distinct, number, bounds)
+        counts = [_unsqueezed(c.as_py(), size.as_py(), np.int64) for c, size in zip(answers["n"], answers["size"], strict=True)]
+        counts = np.concatenate([np.zeros(0, np.int64), *counts])
+        if len(counts) != len(keys):
+            raise ValueError(f"a slice asked for {len(keys)} counts and got {len(counts)}")
+        log = np.log10(counts[at[: len(distinct)]])[number]
+        n = np.diff(bounds)
+        text = np.repeat(np.arange(len(n)), n)
+        # As if no pair were seen, then what a seen one exceeds that by.
+        score = np.bincount(text, weights=log - log_total, minlength=len(n)) + np.maximum(0, n - 1) * np.log10(ALPHA)
+        inside = text[1:] == text[:-1]
+        pair = counts[at[len(distinct) :]]
+        gain = np.log10(pair) - log[:-1][inside] - (np.log10(ALPHA) + log[1:][inside] - log_total)
+        score += np.bincount(owner, weights=np.where(pair >= SEEN, gain, 0), minlength=len(n))
+        return pa.table({"doc_id": pa.array(own["doc_ids"], pa.int64()), "n_words": pa.array(n, pa.int64()), "score": pa.array(score, pa.float64())})
 
     return run
 
@@ -207,18 +194,12 @@ def scored(docs: DataFrame) -> DataFrame:
     repeated row counts again. Rows without a doc_id are scored like others.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    known = counted_words(rows)
-    found = rows.select("text").mapInArrow(_count_frequent(known), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    frequent = np.zeros(FREQUENT * FREQUENT, dtype=np.int64)
-    frequent[np.asarray(found["pair"])] = np.asarray(found["n"])
-    buckets = max(LEAST_BUCKETS, int(known.counts.sum()) // BUCKET_PAIRS)
+    total = rows.select("text").mapInArrow(_count_all_words, "n bigint").agg(F.sum("n")).first()[0] or 0
     parts = (
-        rows.mapInArrow(_explode(known, frequent, buckets), PACKED)
-        .groupBy("bucket")
-        .applyInArrow(_meet(known), "row bigint, doc_id bigint, n_words bigint, score double")
-    )
-    return (
-        parts.groupBy("row")
-        .agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("score").alias("score"))
-        .select("doc_id", "n_words", "score", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).alias("mean"))
+        rows.mapInArrow(_explode(max(LEAST_BUCKETS, 2 * total // BUCKET_KEYS)), MESSAGE)
+        .groupBy("to")
+        .applyInArrow(_answer, MESSAGE)
+        .groupBy("slice")
+        .applyInArrow(_score(total), "doc_id bigint, n_words bigint, score double")
     )
+    return parts.select("doc_id", "n_words", "score", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).alias("mean"))

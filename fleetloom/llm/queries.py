@@ -210,7 +210,7 @@ FROM documents LEFT JOIN scores USING (doc_id)
 
 @query(BACKOFF_SQL)
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's score; up to half a million words, none is unknown."""
+    """Every document's score; no word is unknown."""
     scores = backoff.scored(table(spark, sf_dir, "documents"))
     return scores.select("doc_id", "n_words", F.round("score", 4).alias("score"), F.round("mean", 6).alias("mean"))
 

@@ -269,6 +269,22 @@ def test_backoff_without_frequent_pairs(spark, monkeypatch):
     assert len(known.hashes) == 10 and known.counts.sum() == sum(r["n_words"] for r in backoff.scored(frame).collect())
 
 
+def test_backoff_counts_every_word_in_its_own_right(spark, monkeypatch):
+    """More words than any limit lets through, in many slices and buckets, against BACKOFF_SQL."""
+    import duckdb
+
+    monkeypatch.setattr(backoff, "SLICE_BYTES", 2_000)
+    monkeypatch.setattr(backoff.counted_words, "__defaults__", (10,))
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3)
+    found = {r["doc_id"]: (r["n_words"], r["score"]) for r in backoff.scored(frame).collect()}
+    with duckdb.connect() as db:
+        db.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+        expected = {r[0]: (r[1], r[2]) for r in db.execute(queries.BACKOFF_SQL).fetchall()}
+    assert found.keys() == expected.keys()
+    for doc_id, (n_words, score) in expected.items():
+        assert found[doc_id] == (n_words, pytest.approx(score, abs=1e-3))
+
+
 def test_language_of_odd_rows(odd_docs, empty_docs):
     found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identified(odd_docs).collect()}
     assert found[7] == found[6] == found[8] == ("und", 0.0)
