@@ -23,6 +23,8 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
+# A slash at the end of a tag closes it, unless it is the end of a value without quotes.
+_OPEN_VALUE = re.compile(r"=\s*[^\s\"'>][^\s\"'>]*\Z")
 
 # Fixed by the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -34,6 +36,13 @@ BLOCKS = frozenset(
 )
 SPACED = frozenset("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 menu ol p pre table ul".split())
 CLOSES_P = BLOCKS - frozenset("body html option optgroup legend select".split()) | {"hr"}
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+# HTML that ends drawings and formulas, and elements of theirs that hold HTML.
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 # What a start tag closes, and which elements that reach stops at.
 _TABLE = ("table",)
 IMPLIED_ENDS = {
@@ -52,10 +61,10 @@ IMPLIED_ENDS = {
 
 
 class Node:
-    __slots__ = ("attributes", "children", "name")
+    __slots__ = ("attributes", "children", "foreign", "name")
 
-    def __init__(self, name: str, attributes: dict[str, str]):
-        self.name, self.attributes, self.children = name, attributes, []
+    def __init__(self, name: str, attributes: dict[str, str], foreign: bool = False):
+        self.name, self.attributes, self.children, self.foreign = name, attributes, [], foreign
 
     @property
     def shown(self) -> bool:
@@ -90,8 +99,10 @@ class Tree:
             if found["end"]:
                 self.end(name)
                 continue
-            self.start(name, _attributes(found["attributes"]))
-            if name in RAW:
+            raw = name in RAW and not self.open[-1].foreign
+            attributes = found["attributes"]
+            self.start(name, _attributes(attributes), attributes.endswith("/") and not _OPEN_VALUE.search(attributes))
+            if raw:
                 close = re.compile(rf"</{re.escape(name)}\s*/?>|\Z", re.I).search(page, at)
                 if name == "textarea":
                     self.text(page[at : close.start()])
@@ -101,9 +112,27 @@ class Tree:
 
     def text(self, text: str) -> None:
         if text:
-            self.open[-1].children.append(html.unescape(text) if "&" in text else text)
-
-    def start(self, name: str, attributes: dict[str, str]) -> None:
+            text = html.unescape(text) if "&" in text else text
+            if self.open[-1].name == "head" and text.strip(" \t\n\r\f"):
+                self.open.pop()
+            self.open[-1].children.append(text)
+
+    def start(self, name: str, attributes: dict[str, str], closed: bool = False) -> None:
+        if self.open[-1].foreign and name in BREAKOUT:
+            while self.open[-1].foreign:
+                self.open.pop()
+        if name in ("svg", "math") or self.open[-1].foreign:
+            if self.open[-1].name == "head":
+                self.open.pop()
+            node = Node(name, attributes, name not in HOLDS_HTML)
+            self.open[-1].children.append(node)
+            if not closed:
+                self.open.append(node)
+            return
+        if name == "head" and (len(self.open) > 1 or any(isinstance(c, Node) or c.strip(" \t\n\r\f") for c in self.root.children)):
+            return  # only the first thing of a page can be its head
+        if self.open[-1].name == "head" and name not in IN_HEAD:
+            self.open.pop()
         if name in ("html", "body"):  # a second one only adds what it says about itself
             for node in self.open[:2]:
                 if node.name == name:

@@ -342,6 +342,38 @@ def test_layout():
     assert layout.visible_text("<textarea>a <b></textarea><p>x</div>y") == "a <b>\n\nxy"
 
 
+def test_a_head_ends_without_its_end_tag(spark):
+    for page, seen in {
+        "<html><head><title>T</title><body><p>Hello</body></html>": "Hello",
+        "<head><meta charset=utf-8><p>Hello": "Hello",
+        "<head><link rel=x>\n Hello": "Hello",
+        "<head><style>a</style><script>b</script><template><p>c</template>&nbsp;Hello": "\u00a0Hello",
+        "<head></head><head>Hello": "Hello",
+        "<p>Hello<head>there": "Hellothere",
+    }.items():
+        assert layout.visible_text(page) == seen
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect() if r["html"]]
+    cut = [p for p in pages if "</head>" in p]
+    assert cut
+    for page in cut:
+        assert layout.visible_text(page.replace("</head>", "")) == layout.visible_text(page) != ""
+
+
+def test_drawings_and_formulas_end():
+    for page, seen in {
+        "<p><svg/>a</p>b": "a\n\nb",
+        "<div><math />a</div>": "a",
+        "<div><svg a='x=y/'/>a</div>": "a",
+        "<div><svg a=x/>a</svg>b</div>": "b",
+        "<svg><title/><path d='x'/><style/></svg>a": "a",
+        "<svg><title>x</svg>a": "a",
+        "<div><svg><g><p>a</div>b": "a\n\nb",
+        "<svg><foreignObject><p>x</foreignObject></svg>a": "a",
+        "<div/>a": "a",
+    }.items():
+        assert layout.visible_text(page) == seen
+
+
 def test_pages_of_every_kind(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x"), (2, None, None), (None, "u", ""), (1, "u", "<p>x")], "page_id bigint, url string, html string")
     found = sorted(((r["page_id"] or 0), r["text"]) for r in layout.rendered(pages).collect())
