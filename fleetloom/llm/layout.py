@@ -45,19 +45,30 @@ BREAKOUT = frozenset(
 HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 # What a start tag closes, and which elements that reach stops at.
 _TABLE = ("table",)
+_CELLS = ("td", "th", "caption", *_TABLE)
 IMPLIED_ENDS = {
-    "li": (("li",), ("ul", "ol", "menu")),
-    "dt": (("dt", "dd"), ("dl",)),
-    "dd": (("dt", "dd"), ("dl",)),
-    "option": (("option",), ("select", "optgroup")),
-    "optgroup": (("option", "optgroup"), ("select",)),
+    "li": (("li",), ("ul", "ol", "menu", *_CELLS)),
+    "dt": (("dt", "dd"), ("dl", *_CELLS)),
+    "dd": (("dt", "dd"), ("dl", *_CELLS)),
+    "option": (("option",), ("select", "optgroup", *_CELLS)),
+    "optgroup": (("option", "optgroup"), ("select", *_CELLS)),
     "tr": (("tr", "td", "th", "caption", "colgroup"), _TABLE),
     "td": (("td", "th"), ("tr", *_TABLE)),
     "th": (("td", "th"), ("tr", *_TABLE)),
     "tbody": (("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"), _TABLE),
     "thead": (("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"), _TABLE),
     "tfoot": (("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"), _TABLE),
+    "caption": (("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"), _TABLE),
+    "colgroup": (("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"), _TABLE),
 }
+# Where a part of a table may stand; all else in a table but outside its cells belongs before it.
+_SECTIONS = ("tbody", "thead", "tfoot")
+TABLE_PARENTS = {
+    "tr": (*_SECTIONS, "table"), "td": ("tr",), "th": ("tr",),
+    **dict.fromkeys((*_SECTIONS, "caption", "colgroup"), _TABLE),
+}
+TABLE_PARTS = frozenset(("table", *TABLE_PARENTS))
+BETWEEN_CELLS = frozenset(("table", *_SECTIONS, "tr", "colgroup"))
 
 
 class Node:
@@ -115,7 +126,10 @@ class Tree:
             text = html.unescape(text) if "&" in text else text
             if self.open[-1].name == "head" and text.strip(" \t\n\r\f"):
                 self.open.pop()
-            self.open[-1].children.append(text)
+            if self.open[-1].name in BETWEEN_CELLS and text.strip(" \t\n\r\f"):
+                self.before_table(text)
+            else:
+                self.open[-1].children.append(text)
 
     def start(self, name: str, attributes: dict[str, str], closed: bool = False) -> None:
         if self.open[-1].foreign and name in BREAKOUT:
@@ -125,7 +139,7 @@ class Tree:
             if self.open[-1].name == "head":
                 self.open.pop()
             node = Node(name, attributes, name not in HOLDS_HTML)
-            self.open[-1].children.append(node)
+            self.put(node)
             if not closed:
                 self.open.append(node)
             return
@@ -142,13 +156,45 @@ class Tree:
             self.close(("p",), ("button", "td", "th", "caption", "table"))
         if name in IMPLIED_ENDS:
             self.close(*IMPLIED_ENDS[name])
+        if name in ("table", "form") and self.between_cells():
+            if name == "form":
+                return
+            self.end("table")
         if name in ("td", "th") and not self.within("tr"):
             self.start("tr", {})
+        if name in TABLE_PARENTS and self.between_cells():
+            while self.open[-1].name not in TABLE_PARENTS[name]:
+                self.open.pop()
         node = Node(name, attributes)
-        self.open[-1].children.append(node)
+        self.put(node)
         if name not in VOID:
             self.open.append(node)
 
+    def put(self, node: Node) -> None:
+        if self.open[-1].name in BETWEEN_CELLS and node.name not in TABLE_PARENTS and node.name != "col":
+            self.before_table(node)
+        else:
+            self.open[-1].children.append(node)
+
+    def before_table(self, child: Node | str) -> None:
+        """Put in front of the innermost open table what has no place in it; a row outside of any table takes it."""
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].name == "table":
+                siblings = self.open[i - 1].children
+                at = next(j for j in range(len(siblings) - 1, -1, -1) if siblings[j] is self.open[i])
+                siblings.insert(at, child)
+                return
+            if self.open[i].name not in BETWEEN_CELLS:
+                break
+        self.open[-1].children.append(child)
+
+    def between_cells(self) -> bool:
+        """Whether a table is open and none of its cells, nor its caption."""
+        for node in reversed(self.open):
+            if node.name in ("table", "td", "th", "caption", "template"):
+                return node.name == "table"
+        return False
+
     def within(self, name: str) -> bool:
         for node in reversed(self.open):
             if node.name in (name, "table"):
@@ -170,7 +216,7 @@ class Tree:
             if self.open[i].name == name:
                 del self.open[i:]
                 return
-            if self.open[i].name in ("table", "td", "th") and name not in BLOCKS | {"table", "tr", "tbody", "thead", "tfoot"}:
+            if self.open[i].name == "table" or self.open[i].name in _CELLS and name not in TABLE_PARTS:
                 return
 
 

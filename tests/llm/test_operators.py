@@ -374,6 +374,44 @@ def test_drawings_and_formulas_end():
         assert layout.visible_text(page) == seen
 
 
+def test_nothing_in_a_table_is_lost():
+    for page, seen in {
+        "<table><form><tr><td>A</td></tr></form></table>": "A",
+        "<form><table><form><tr><td>A</td></form><td>B</table></form>c": "A  B\n\nc",
+        "<table><center><tr><td>A</td><td>B</td></tr></center><tr><td>C</table>": "A  B\nC",
+        "<table><tr><form><td>A</td><td>B</td></form></tr></table>": "A  B",
+        "<table>x<tr>y<td>A</td>z</tr></table>": "xyz\n\nA",
+        "<table><tbody><tr><td>A</td></tr><p>p<p>q</tbody></table>": "p\n\nq\n\nA",
+        "<table><tr><a href=u>k</a><td>A</td><div>d</div></tr></table>e": "k\nd\n\nA\n\ne",
+        "<div>o<table><tr><td>A</div><td>B</tr></table></div>": "o\n\nA  B",
+        "<ul><li>o<table><tr><td>A<li>m<td>B</table></ul>": "- o\n\n  A - m  B",
+        "<table><tr><td><table><form><tr><td>i</table></td><td>B</table>": "i  B",
+        "<table><tr><td>A</table><table><tr><td>B<caption>c</table>": "A\n\nc\nB",
+        "<table><table><tr><td>A</table>": "A",
+        "<table><colgroup><col>x<tr><td>A</table>": "x\n\nA",
+        "<table><svg><text>no</text></svg><tr><td>A</table>": "A",
+        "<div><tr><td>A</td>x</tr></div>": "Ax",
+        "<table><caption><p>c</p></caption><tr><td><p>A</td></tr></table>": "c\nA",
+    }.items():
+        assert layout.visible_text(page) == seen, page
+
+
+def test_words_in_tables_come_out_wherever_they_stand():
+    """Random nests of table parts and other elements: every word comes out once."""
+    draw = random.Random(8)
+    names = "table tbody tr td th caption form center div p a b ul li font".split()
+    for _ in range(3000):
+        n, page = 0, "<table>"
+        for _ in range(draw.randint(1, 25)):
+            name = draw.choice(names)
+            page += draw.choice((f"<{name}>", f"<{name}>", f"</{name}>", f" w{n} "))
+            if page.endswith(f" w{n} "):
+                n += 1
+        seen = layout.visible_text(page)
+        found = sorted(w for w in seen.split() if w.startswith("w"))
+        assert found == sorted(f"w{i}" for i in range(n)), page
+
+
 def test_pages_of_every_kind(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x"), (2, None, None), (None, "u", ""), (1, "u", "<p>x")], "page_id bigint, url string, html string")
     found = sorted(((r["page_id"] or 0), r["text"]) for r in layout.rendered(pages).collect())
