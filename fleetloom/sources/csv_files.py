@@ -163,9 +163,17 @@ def cells_of_files(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(_parse_files, RAW_CELLS)
 
 
+def _parse_record(text: str) -> list[str]:
+    # The line end is no part of a cell whose quote is never closed.
+    rows = list(_parse_text(text.removesuffix("\n"))) or [[]]
+    if len(rows) > 1:
+        raise ValueError(f"a record of {len(rows)} rows")
+    return rows[0]
+
+
 def _parse_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cells = [next(_parse_text(text), []) for text in batch.column("_text").to_pylist()]
+        cells = [_parse_record(text) for text in batch.column("_text").to_pylist()]
         columns = [
             batch.column("src_file").cast(pa.string()),
             batch.column("row_no"),
@@ -220,12 +228,18 @@ def _line_effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _long_file_lines(spark: SparkSession, path: str, longer_than: int, name_glob: str) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
     lines = reader.option("lineSep", "\n").text(path)  # a \r before it stays, as it may be in a cell
-    return lines.where(F.col("_metadata.file_size") > longer_than).select(
-        plain_path(F.col("_metadata.file_path")).alias("src_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_at"),
-        F.is_valid_utf8("value").alias("_valid"),
-        F.col("value").alias("_text"),
+    # The csv module ends lines at a lone \r too. Every line keeps its end.
+    several = F.locate("\r", F.col("value")).between(1, F.length("value") - 1)
+    parts = F.split(F.concat("value", F.lit("\n")), r"(?<=\r)(?!\n)")
+    return (
+        lines.where(F.col("_metadata.file_size") > longer_than)
+        .select(
+            plain_path(F.col("_metadata.file_path")).alias("src_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.is_valid_utf8("value").alias("_valid"),
+            F.explode(F.when(several, parts).otherwise(F.array(F.concat("value", F.lit("\n"))))).alias("_text"),
+        )
+        .select("src_file", "_block", F.monotonically_increasing_id().alias("_at"), "_valid", "_text")
     )
 
 
@@ -275,7 +289,7 @@ def _numbered_records(lines: DataFrame) -> DataFrame:
         # One group is one record; only a quote that is never closed makes one of all that follows.
         .groupBy("src_file", (F.col("_record_start") + F.col("_so_far") - 1).alias("row_no"))
         .agg(F.array_sort(F.collect_list(F.struct("_block", "_at", "_text"))).alias("_lines"))
-        .select("src_file", "row_no", F.concat_ws("\n", F.col("_lines._text")).alias("_text"))
+        .select("src_file", "row_no", F.concat_ws("", F.col("_lines._text")).alias("_text"))
     )
 
 

@@ -386,6 +386,30 @@ def test_long_files_give_the_rows_of_whole_ones(spark, tmp_path, split):
     assert whole == by_lines and len(whole) > 300
 
 
+@pytest.mark.parametrize("split", ["48", "128m"])
+def test_a_lone_carriage_return_ends_a_row_in_long_files_too(spark, tmp_path, split):
+    draw = random.Random(9)
+    contents = {
+        "lone": "a,b\rc,d\ne,f\n", "only": "a,b\r1,2\r3,4", "closed": "a,b\r1,2\r", "double": "a\r\rb\r\r\nc\n\rd",
+        "quoted": 'a,"x\ry"\r"p\r\nq\nr\r",s\rt\n"u"\rv"w\r', "open": 'a\rb,"c\rd\r\ne\r\n', "mixed": "a\r\nb\rc\n" * 20,
+    }
+    for i in range(60):
+        contents[f"drawn{i}"] = "".join(draw.choice(('a', ',', '"', '""', ',"', '",', '\r', '\r', '\n', '\r\n', 'é')) for _ in range(draw.randint(1, 60)))
+    for name, text in contents.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    settings = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        whole, by_lines = (values(csv_files.read_ragged_csv(spark, str(tmp_path), limit), "src_file", "row_no", "cells", "error") for limit in (1 << 30, 0))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert whole == by_lines
+    assert [c for f, _, c, _ in sorted(whole) if f.endswith("/lone.csv")] == [["a", "b"], ["c", "d"], ["e", "f"]]
+
+
 def test_line_ends_as_the_csv_module_sees_them():
     draw = random.Random(4)
     for _ in range(5000):
