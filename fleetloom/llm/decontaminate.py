@@ -10,7 +10,9 @@ the item in the text, and the weighted Jaccard similarity of the item's shingles
 those found there, exact, decides.
 
 A copy that reaches the similarity has a stretch of half its words unchanged, so its
-windows there are equal to the item's.
+windows there are equal to the item's. Items of fewer than seven words have windows of up
+to WIDTH words, as long as their shingles, and a hash of the whole window: whatever has
+anything in common with such an item has a window equal to one of its own.
 """
 
 from __future__ import annotations
@@ -65,14 +67,18 @@ def _majority(rows: DataFrame, inputs: Sequence[str], name: str) -> DataFrame:
 
 def fingerprints(rows: DataFrame, sizes: Sequence[int]) -> DataFrame:
     """``rows`` (words: array<string>) with a row per word ``at``, and ``f7``, ``f15``, ...:
-    the SimHash of the window of so many words that begins there, null where it does not fit."""
+    the SimHash of the window of so many words that begins there, null where it does not fit.
+    That of at most WIDTH words is a hash of the whole window."""
     kept = rows.columns
     hashed = rows.withColumn("_hashes", F.transform("words", lambda w: F.xxhash64(w)))
     at = F.explode(F.sequence(F.lit(0), F.size("words") - min(sizes)))
     out = hashed.where(F.size("words") >= min(sizes)).select("*", at.alias("at"))
     out = out.select(*kept, "at", *[F.get("_hashes", F.col("at") + i).alias(f"_x{i}") for i in range(max(sizes))])
     for n in sizes:
-        out = _majority(out, [f"_x{i}" for i in range(n)], f"f{n}")
+        if n <= WIDTH:
+            out = out.withColumn(f"f{n}", F.when(F.col(f"_x{n - 1}").isNotNull(), F.xxhash64(*[f"_x{i}" for i in range(n)])))
+        else:
+            out = _majority(out, [f"_x{i}" for i in range(n)], f"f{n}")
     return out.select(*kept, "at", *[f"f{n}" for n in sizes])
 
 
@@ -84,7 +90,8 @@ def _blocks(rows: DataFrame, sizes: Sequence[int]) -> DataFrame:
     out = numbered.withColumn("print", chosen).withColumn("block", F.expr(f"_n % {each}")).where("print is not null")
     size = F.element_at(F.array(*map(F.lit, sizes)), F.expr(f"int(_n div {each}) + 1"))
     key = F.expr(f"(shiftrightunsigned(print, block * {BLOCK_BITS}) & {(1 << BLOCK_BITS) - 1}L) | shiftleft(CAST(_n AS BIGINT), {BLOCK_BITS})")
-    return out.withColumn("size", size).withColumn("key", key).drop("_n", *[f"f{n}" for n in sizes])
+    # Windows of at most WIDTH words are equal or not, and one block tells.
+    return out.withColumn("size", size).where(f"size > {WIDTH} or block = 0").withColumn("key", key).drop("_n", *[f"f{n}" for n in sizes])
 
 
 def shingles(found: Column) -> Column:
@@ -101,12 +108,12 @@ def weight(of: Column) -> Column:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, _text (``xxhash64(text)``), item_id, start (in words), similarity of every passage found.
 
-    Items of fewer than seven words, empty and null ones are never found: so few words
-    tell no source. Repeated items and rows count once. A null doc_id is kept as it is.
+    Items without any word are never found. Repeated items and rows count once. A null
+    doc_id is kept as it is.
     """
-    items = benchmark.select(F.col("item_id").alias("item_id"), words_of(F.col("text")).alias("words")).where(F.size("words") >= SIZES[0]).dropDuplicates()
+    items = benchmark.select(F.col("item_id").alias("item_id"), words_of(F.col("text")).alias("words")).where(F.size("words") > 0).dropDuplicates()
     length = F.size("words")
-    fitting = F.coalesce(*[F.when(length >= 2 * n, n) for n in reversed(SIZES)], F.lit(SIZES[0]))
+    fitting = F.coalesce(*[F.when(length >= 2 * n, n) for n in reversed(SIZES)], F.when(length >= SIZES[0], SIZES[0]), F.least(length, F.lit(WIDTH)))
     items = scratch_table(items.select("item_id", "words", length.alias("length"), fitting.alias("fit")), "items")
     sizes = sorted(r["fit"] for r in items.select("fit").distinct().collect()) or [SIZES[0]]
     cut = _blocks(fingerprints(items, sizes), sizes).where("size = fit")

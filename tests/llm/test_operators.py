@@ -235,6 +235,17 @@ def test_a_changed_passage_is_found(spark):
     assert [(r["doc_id"], r["start"]) for r in decontaminate.leaks(docs, items).collect()] == [(1, 1)]
 
 
+def test_short_items_are_found(spark):
+    copies = {n: text(f"short{n}", n) for n in range(1, 9)}
+    last = "z" * 100
+    items = [(n, t.upper()) for n, t in copies.items()] + [(9, f"a b c d e {last}"), (10, ""), (11, text("nowhere", 5)), (12, text("item", 40))]
+    docs = [(n, f"{text(n, 4)} {t}, {text(-n, 3)}") for n, t in copies.items()] + [(9, f"x y other b c d e {last}"), (10, copies[5]), (11, "other"), (12, copies[6].rsplit(" ", 1)[0]), (13, "")]
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    expected = {(n, n): (4, 1.0) for n in copies} | {(10, 5): (0, 1.0), (9, 9): (2, (8 + 100) / (8 + 100 + 9 + 13))}
+    assert {(r["doc_id"], r["item_id"]): (r["start"], pytest.approx(r["similarity"])) for r in found} == expected
+    assert len(found) == len(expected)
+
+
 def test_majority_of_bits(spark):
     draw = random.Random(5)
     values = [draw.getrandbits(64) - (1 << 63) for _ in range(63)]
