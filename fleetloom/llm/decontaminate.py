@@ -10,7 +10,9 @@ the item in the text, and the weighted Jaccard similarity of the item's shingles
 those found there, exact, decides.
 
 A copy that reaches the similarity has a stretch of half its words unchanged, so its
-windows there are equal to the item's. Items of fewer than seven words have windows of up
+windows there are equal to the item's. Words put in or left out shift the rest, so not only
+as many words as the item has are compared, but also all between the first and the last of
+its shingles nearby where the former are not similar. Items of fewer than seven words have windows of up
 to WIDTH words, as long as their shingles, and a hash of the whole window: whatever has
 anything in common with such an item has a window equal to one of its own.
 """
@@ -132,18 +134,35 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     before = F.expr(" and ".join(f"(block <= {i} or ((shiftrightunsigned(print ^ _mark, {i * BLOCK_BITS}) & {mask}L) <> 0))" for i in range(RADIUS)))
     windows = _blocks(fingerprints(rows, sizes), sizes)
     met = windows.join(marks, (windows["key"] == marks["key"]) & near & before)
-    start = F.greatest(F.col("at") - F.col("_offset"), F.lit(0))
-    stop = F.col("at") - F.col("_offset") + F.col("length")
-    placed = met.select("doc_id", "_text", "item_id", start.alias("start"), F.slice("words", start + 1, stop - start).alias("_found"))
-    placed = placed.dropDuplicates(["doc_id", "_text", "item_id", "start"])
-    compared = placed.join(known, "item_id").withColumn("_found", shingles(F.col("_found")))
+    begin = F.col("at") - F.col("_offset")
+    # A passage that reaches the similarity is longer than its item by a quarter at most.
+    reach = F.floor(F.col("length") / 4).cast("int")
+    start, low = F.greatest(begin, F.lit(0)), F.greatest(begin - reach, F.lit(0))
+    placed = met.select(
+        "doc_id", "_text", "item_id", begin.alias("_begin"), low.alias("_low"), F.slice("words", low + 1, begin + F.col("length") + reach - low).alias("_near"),
+        (start - low).alias("_skip"), (begin + F.col("length") - start).alias("_long"),
+    )
+    placed = placed.dropDuplicates(["doc_id", "_text", "item_id", "_begin"])
+    compared = placed.join(known, "item_id")
+    here = F.transform(F.sequence(F.lit(1), F.size("_near") - WIDTH + 1), lambda i: F.when(F.array_contains("_item", F.concat_ws(" ", F.slice("_near", i, WIDTH))), i))
+    compared = compared.withColumn("_hits", F.when(F.size("_near") >= WIDTH, here))
+    first, last = F.array_min("_hits"), F.array_max("_hits")
+    # As many words as the item has, and all from the first to the last shingle of it.
+    spans = F.array(
+        F.struct((F.col("_low") + F.col("_skip")).alias("start"), F.slice("_near", F.col("_skip") + 1, F.col("_long")).alias("words")),
+        F.struct((F.col("_low") + first - 1).alias("start"), F.slice("_near", first, last - first + WIDTH).alias("words")),
+    )
+    compared = compared.select("doc_id", "_text", "item_id", "_item", "_weight", F.posexplode(spans).alias("_which", "_span")).where("_span.words is not null")
+    compared = compared.withColumn("start", F.col("_span.start")).withColumn("_found", shingles(F.col("_span.words")))
     common = weight(F.array_intersect("_found", "_item"))
     similarity = common / (weight(F.col("_found")) + F.col("_weight") - common)
     return (
         compared.withColumn("similarity", similarity)
         .where(F.col("similarity") >= SIMILAR)
         .groupBy("doc_id", "_text", "item_id")
-        .agg(F.max_by("start", "similarity").alias("start"), F.max("similarity").alias("similarity"))
+        # The other span counts where none of the item's length is similar.
+        .agg(F.max_by(F.struct("start", "similarity"), F.struct(-F.col("_which"), "similarity")).alias("_best"))
+        .select("doc_id", "_text", "item_id", "_best.start", "_best.similarity")
     )
 
 

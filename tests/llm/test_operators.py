@@ -246,6 +246,16 @@ def test_short_items_are_found(spark):
     assert len(found) == len(expected)
 
 
+def test_copies_with_words_put_in_or_left_out_are_found(spark):
+    draw = random.Random(46)
+    item, around = (["".join(draw.choices("abcdefgh", k=5)) for _ in range(n)] for n in (46, 40))
+    near = {1: item[:20] + ["other"] + item[20:], 2: item[:20] + item[21:], 3: item[:30] + ["other"] + item[30:], 4: item[:30] + item[31:]}
+    docs = [(i, " ".join(around[:20] + words + around[20:])) for i, words in near.items()] + [(5, " ".join(item[:20] + ["other"] * 6 + item[20:]))]
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")).collect()
+    similar = {1: 38 / 47, 2: 37 / 46, 3: 38 / 47, 4: 37 / 46}
+    assert {r["doc_id"]: (r["start"], r["similarity"]) for r in found} == {i: (20, pytest.approx(v)) for i, v in similar.items()}
+
+
 def test_majority_of_bits(spark):
     draw = random.Random(5)
     values = [draw.getrandbits(64) - (1 << 63) for _ in range(63)]
