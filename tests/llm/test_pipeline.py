@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline
 from fleetloom.session import scratch_table
-from test_operators import DOCS, text
+from test_llm_operators import DOCS, text
 
 SF_DIR = "/root/testdata/sf0.001"
 
