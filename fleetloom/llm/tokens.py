@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 from functools import lru_cache
 from pathlib import Path
@@ -21,17 +22,29 @@ _SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
 _WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+def _added_tokens(path: str) -> tuple[dict[str, int], bool]:
+    """The file's added tokens, and whether each stands for its characters alone and nothing normalises texts."""
+    file = json.loads(Path(path).read_text(encoding="utf-8"))
+    added = file.get("added_tokens") or []
+    plain = not file.get("normalizer") and not any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    return {t["content"]: t["id"] for t in added}, plain
+
+
 class TokenIds:
-    """The ids that the vocabulary file at ``path`` gives; special strings are ordinary text.
+    """The ids that an untouched tokenizer of the vocabulary file at ``path`` gives.
 
-    No merge crosses a single space between two other characters. Texts are cut there,
-    and equal pieces, known by two hashes, are encoded once and remembered.
+    The file's added tokens stand for themselves wherever a text holds them; what lies
+    between is encoded apart. No merge crosses a single space between two other
+    characters. Texts are cut there, and equal pieces, known by two hashes, are encoded
+    once and remembered.
     """
 
     def __init__(self, path: str):
         self._forget()
+        self.added, plain = _added_tokens(path)
+        self.marks = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         ranks = Path(path).with_suffix(".tiktoken")
-        if ranks.exists():  # the same vocabulary for a faster encoder
+        if plain and ranks.exists():  # the same vocabulary for a faster encoder
             import public_tokenizers
             import tiktoken
 
@@ -45,12 +58,17 @@ class TokenIds:
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
             self.encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
-            self.sizes = None
+            self.sizes = self.marks = None
+
+    def _ids(self, text: str) -> list[int]:
+        if self.marks is None:
+            return self.encode(text)
+        parts = self.marks.split(text)
+        return [i for k, part in enumerate(parts) for i in ([self.added[part]] if k % 2 else self.encode(part))]
 
     def _each(self, texts: list[bytes]) -> list[np.ndarray]:
-        return [np.array(self.encode(t.decode("utf-8", "replace")), dtype="<u4") for t in texts]
+        return [np.array(self._ids(t.decode("utf-8", "replace")), dtype="<u4") for t in texts]
 
     def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         space = _SPACE[data]
@@ -67,7 +85,10 @@ class TokenIds:
         """The ids of rows ``first`` to ``last`` in one array, and where each row's begin and end."""
         data, offsets = words.bytes_of(column, first, last)
         raw = data.tobytes()
-        if self.sizes is None or not len(data) or _WIDE_SPACE.search(raw.decode("utf-8", "replace")):
+        if self.sizes is None or not len(data):
+            return self._whole(raw, offsets)
+        text = raw.decode("utf-8", "replace")
+        if _WIDE_SPACE.search(text) or self.marks is not None and self.marks.search(text):
             return self._whole(raw, offsets)
         cuts = self._cuts(data, offsets)
         starts, ends = cuts[:-1], cuts[1:]

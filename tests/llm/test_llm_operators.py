@@ -181,9 +181,8 @@ def test_token_ids_of_odd_spaces():
 
     from fleetloom.llm.tokens import TokenIds
 
-    texts = ["a  b", " a", "a ", "a\n b", "a 's b", "é  x  y", "1 2 3..  !", "a\x1c b", "", "\n", " ", "x <|endoftext|> y", None, "ab cd ab", "a b\n", "\n a"]
+    texts = ["a  b", " a", "a ", "a\n b", "a 's b", "é  x  y", "1 2 3..  !", "a\x1c b", "", "\n", " ", "x <|endoftext|> y", "<|endoftext|><|endoftext|>a", "  <|endoftext|>  <|endoftext", None, "ab cd ab", "a b\n", "\n a"]
     plain = Tokenizer.from_file(queries.tokenizer_file())
-    plain.encode_special_tokens = True
     for some in (texts, [*texts, "a\u00a0 b"]):
         ids, bounds = TokenIds(queries.tokenizer_file()).of(pa.array(some), 0, len(some))
         for i, t in enumerate(some):

@@ -107,7 +107,6 @@ def test_estimation_equals_plain_python(spark):
 
 def test_packing_is_an_exact_partition(spark, documents):
     encoder = Tokenizer.from_file(queries.tokenizer_file())
-    encoder.encode_special_tokens = True
     pieces = queries.op4_best_fit_packing(spark, SF_DIR).collect()
     by_document = collections.defaultdict(list)
     by_sequence = collections.defaultdict(list)
