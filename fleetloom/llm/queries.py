@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.llm import backoff, chat, decontaminate, jaccard_join, language, layout, packing, quality_votes, substrings, url_graph
+from fleetloom.llm import backoff, chat, decontaminate, jaccard_join, language, layout, packing, quality_votes, substrings, url_graph, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -219,3 +219,10 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of the benchmark found in a document."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_text")
+
+
+@query()
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the 16 strongest components of the distinct ones."""
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
