@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.llm import backoff, chat, decontaminate, jaccard_join, language, layout, packing, quality_votes, substrings, url_graph, whitening
+from fleetloom.llm import backoff, chat, decontaminate, jaccard_join, language, layout, mixing, packing, quality_votes, spelling, substrings, url_graph, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -226,3 +226,15 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every usable vector on the 16 strongest components of the distinct ones."""
     rows = whitening.whitened(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+@query()
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix of all sources takes of every document."""
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with its likely spelling, over all documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
