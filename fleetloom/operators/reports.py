@@ -30,6 +30,12 @@ def file_outcomes(
     )
 
 
+def outcomes_of(files: DataFrame) -> DataFrame:
+    """``file_outcomes`` of files whose rows (rows, error) a writer has counted."""
+    status = F.when(F.col("error").isNull(), "ok").otherwise("failed")
+    return files.select("src_file", F.col("rows").alias("rows_before"), F.col("rows").alias("rows_after"), "error", status.alias("status"))
+
+
 def run_summary(outcomes: DataFrame) -> DataFrame:
     """One row over all files: how many went well, and rows before, after, deleted."""
     files = F.count(F.lit(1))

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetloom.functions import dates, paths
 from fleetloom.functions.columns import drop_column_at
 from fleetloom.functions.columns import keep_first_columns as first_columns
 from fleetloom.operators import cleanse, reports
-from fleetloom.plans.clean import clean_directory
+from fleetloom.plans.clean import clean_directory, clean_summary, dry_run_files
 from fleetloom.queries.registry import query, table
-from fleetloom.session import scratch_path
+from fleetloom.session import qualified, scratch_path, scratch_table
 from fleetloom.sources.csv_files import read_ragged_csv
+from fleetloom.sources.file_tree import in_files, list_files, write_named_files
 from fleetloom.sources.plate_lists import plates_of
-from fleetloom.sources.sinks import write_ragged_csv
+from fleetloom.sources.sinks import csv_line, write_ragged_csv
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,17 +352,92 @@ def plate_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plates_of(table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("License Plate")))
 
 
-@query("SELECT event_id, 'event_type=' || event_type AS folder, '豫' || user_id AS plate FROM events")
+def _event_files(spark: SparkSession, sf_dir: str, name: Column, cells: list[Column]) -> DataFrame:
+    """Events as rows of named files, in the order of their ids."""
+    return in_files(table(spark, sf_dir, "events").select(name.alias("name"), F.col("event_id").alias("row_no"), csv_line(F.array(*cells)).alias("line")))
+
+
+@query(
+    """
+    SELECT event_id, 'event_type=' || event_type AS folder, '豫' || (user_id % 8) || '.csv' AS file, '豫' || user_id AS plate
+    FROM events
+    """
+)
 def clean_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of one name in a folder per event type, cleaned to a folder per file."""
-    root = scratch_path(spark, "tree")
-    events = table(spark, sf_dir, "events")
-    rows = events.select("event_type", "props", "event_id", F.concat(F.lit("ԥ"), F.col("user_id").cast("string")).alias("plate"))
-    rows.coalesce(1).write.partitionBy("event_type").option("header", True).option("escape", '"').csv(f"{root}/in")
-    clean_directory(spark, f"{root}/in", f"{root}/out", layout="folders")
-    stored = spark.read.schema("row_no bigint, cells array<string>, new_name string").parquet(f"{root}/out").where("row_no > 0")
-    return stored.select(
+    """Files of one name in a folder per event type, cleaned to files of the new names in the same folders."""
+    root, text = scratch_path(spark, "tree"), F.col("user_id").cast("string")
+    name = F.concat(F.lit("event_type="), "event_type", F.lit("/ԥ"), (F.col("user_id") % 8).cast("string"), F.lit(".csv"))
+    write_named_files(_event_files(spark, sf_dir, name, [F.col("props"), F.col("event_id").cast("string"), F.concat(F.lit("ԥ"), text)]), f"{root}/in")
+    clean_directory(spark, f"{root}/in", f"{root}/out", layout="files")
+    rows = read_ragged_csv(spark, f"{root}/out").where("row_no >= 0")
+    return rows.select(
         F.get("cells", F.lit(0)).cast("bigint").alias("event_id"),
-        F.substring_index("new_name", "/", 1).alias("folder"),
+        F.substring_index(paths.parent(F.col("src_file")), "/", -1).alias("folder"),
+        paths.file_name(F.col("src_file")).alias("file"),
         F.get("cells", F.lit(1)).alias("plate"),
     )
+
+
+_KIND_NAMES = {0: ("ԥ", ".csv"), 1: ("", ".CSV"), 2: ("ԥ", ".txt"), 3: ("", ".log")}
+
+
+@query(
+    """
+    WITH lines AS (
+        SELECT event_type, user_id, user_id % 4 AS kind, event_id,
+               CASE WHEN user_id % 4 < 2 THEN '豫' || event_type || ',' || user_id ELSE event_id || ',ԥ' || event_type || ',' || user_id END AS line
+        FROM events
+    ), files AS (
+        SELECT event_type || '/' AS folder, kind,
+               CASE kind WHEN 0 THEN 'ԥ' || user_id || '.csv' WHEN 1 THEN user_id || '.CSV' ELSE 'ԥ' || user_id || '.txt' END AS file,
+               CASE WHEN kind < 2 THEN count(*) ELSE 0 END AS rows, md5(string_agg(line, chr(10) ORDER BY event_id) || chr(10)) AS digest
+        FROM lines WHERE kind < 3 GROUP BY event_type, user_id, kind
+        UNION ALL
+        SELECT event_type || '/', kind, 'ԥempty' || ext, 0, md5('')
+        FROM (SELECT DISTINCT event_type FROM events), (VALUES (0, '.csv'), (2, '.txt')) AS empties(kind, ext)
+    )
+    SELECT folder || file AS name, folder || replace(file, 'ԥ', '豫') AS new_name, kind < 2 AS is_csv, contains(file, 'ԥ') AS renamed,
+           rows, digest
+    FROM files
+    """
+)
+def clean_tree_all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV, other and empty files: what the dry run says of each, next to what the clean has written."""
+    root, user = scratch_path(spark, "all-files"), F.col("user_id")
+    name = F.lit(None).cast("string")
+    for kind, (first, ext) in _KIND_NAMES.items():
+        name = F.when(user % 4 == kind, F.concat("event_type", F.lit(f"/{first}"), user.cast("string"), F.lit(ext))).otherwise(name)
+    rows = _event_files(spark, sf_dir, name, [F.col("event_id").cast("string"), F.concat(F.lit("ԥ"), "event_type"), user.cast("string")])
+    empty = table(spark, sf_dir, "events").select("event_type").distinct()
+    empty = empty.select("event_type", F.explode(F.array(F.lit("/ԥempty.csv"), F.lit("/ԥempty.txt"))).alias("file"))
+    empty = empty.select(F.concat("event_type", "file"), F.lit(-1).cast("bigint"), F.lit(None).cast("string"))
+    write_named_files(rows.union(empty), f"{root}/in")
+    planned = dry_run_files(spark, f"{root}/in")
+    outcomes = clean_directory(spark, f"{root}/in", f"{root}/out", layout="files")
+    folder = F.lit(f"{qualified(spark, root)}/")
+    below = lambda path, part: F.substr(path, F.instr(path, F.concat(folder, F.lit(part))) + F.length(folder) + len(part))
+    contents = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/out").select("path", F.md5("content").alias("_md5"))
+    written = list_files(spark, f"{root}/out").join(contents, "path", "left").select(
+        below(F.col("path"), "out/").alias("new_name"), F.when(F.col("length") == 0, F.md5(F.lit("").cast("binary"))).otherwise(F.col("_md5")).alias("digest")
+    )
+    counted = outcomes.select(below(F.col("src_file"), "in/").alias("name"), F.col("rows_after").alias("rows"))
+    return planned.join(written, "new_name", "full").join(counted, "name", "full").select("name", "new_name", "is_csv", "renamed", "rows", "digest")
+
+
+@query(
+    """
+    SELECT count(DISTINCT user_id % 20) + 1 AS files, count(DISTINCT user_id % 20) AS ok, CAST(1 AS BIGINT) AS failed,
+           count(DISTINCT user_id % 20) * 100.0::DOUBLE / (count(DISTINCT user_id % 20) + 1) AS success_pct,
+           count(*) AS rows_before, count(*) AS rows_after, CAST(0 AS BIGINT) AS rows_deleted
+    FROM events
+    """
+)
+def clean_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of a run, observed while it writes; one of its files is no text."""
+    root = scratch_path(spark, "outcomes-in")
+    name = F.concat((F.col("user_id") % 20).cast("string"), F.lit(".csv"))
+    no_text = scratch_table(table(spark, sf_dir, "region"), "no-text").select(F.col("_metadata.file_path").alias("copy_of")).limit(1)
+    bad = no_text.select(F.lit("bad.csv"), F.lit(0).cast("bigint"), F.lit(None).cast("string"), "copy_of")
+    rows = _event_files(spark, sf_dir, name, [F.col("props"), F.col("event_id").cast("string")]).withColumn("copy_of", F.lit(None).cast("string"))
+    write_named_files(rows.union(bad), root)
+    return clean_summary(spark, root, scratch_path(spark, "outcomes-out"))

@@ -69,3 +69,24 @@ def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every file counts its header row, which the ledger's rows include."""
     done = ingest.ledger(spark, _arrivals(spark, sf_dir))
     return done.groupBy("status").agg(F.sum(F.col("rows") - 1).alias("data_rows"))
+
+
+@query(
+    """
+    SELECT event_id, '豫' || event_type AS event_type, 'a' || chr(10) || user_id AS note, event_id % 50 = 0 AS short FROM events
+    """
+)
+def ingest_long_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files above and below a limit of 1,000 bytes, with cells that run over lines, in one run of the streams."""
+    root = scratch_path(spark, "long")
+    source, target = f"{root}/in", f"{root}/out"
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", F.concat(F.lit("ԥ"), "event_type").alias("event_type"), F.concat(F.lit("a\n"), F.col("user_id").cast("string")).alias("note")
+    )
+    write_csv(events.where("event_id % 50 <> 0"), f"{source}/long")
+    events.where("event_id % 50 = 0").write.option("header", True).option("maxRecordsPerFile", 10).csv(f"{source}/short")
+    ingest.clean_new_files(spark, source, target, f"{root}/checkpoint", column_index=1, whole_file_bytes=1000)
+    cell = [F.get("cells", i) for i in range(3)]
+    return ingest.cleaned_rows(spark, target).where("row_no > 0").select(
+        cell[0].cast("bigint").alias("event_id"), cell[1].alias("event_type"), cell[2].alias("note"), F.contains("src_file", F.lit("/short/")).alias("short")
+    )

@@ -106,6 +106,11 @@ def small_csv_files(
     )
 
 
+def short_bytes(spark: SparkSession, whole_file_bytes: int) -> int:
+    """The length up to which files are parsed whole: never above what Spark reads of one file."""
+    return min(whole_file_bytes, int(spark.conf.get("spark.sql.sources.binaryFile.maxLength")))
+
+
 def _parse_text(text: str) -> Iterator[list[str]]:
     csv.field_size_limit(sys.maxsize)
     return csv.reader(io.StringIO(text, newline=""))
@@ -225,22 +230,38 @@ def _line_effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield out.append_column("_opens", pa.array(opens, pa.bool_()))
 
 
-def _long_file_lines(spark: SparkSession, path: str, longer_than: int, name_glob: str) -> DataFrame:
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+def long_file_text(
+    spark: SparkSession,
+    path: str | list[str],
+    longer_than: int,
+    name_glob: str = "*.csv",
+    stream: bool = False,
+    files_per_trigger: int | None = None,
+) -> DataFrame:
+    """src_file, _block and the text up to each \\n of the files longer than so many bytes; others are not opened."""
+    reader = spark.readStream.option("maxFileAge", "36500d") if stream else spark.read
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
     lines = reader.option("lineSep", "\n").text(path)  # a \r before it stays, as it may be in a cell
-    # The csv module ends lines at a lone \r too. Every line keeps its end.
+    return lines.where(F.col("_metadata.file_size") > longer_than).select(
+        # As the listing of whole files spells a path.
+        F.regexp_replace(plain_path(F.col("_metadata.file_path")), "^file:/+", "file:/").alias("src_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        "value",
+    )
+
+
+def lines_of_text(text: DataFrame) -> DataFrame:
+    """Lines with their ends, in the order ``_at``. The csv module ends lines at a lone \\r too."""
     several = F.locate("\r", F.col("value")).between(1, F.length("value") - 1)
     parts = F.split(F.concat("value", F.lit("\n")), r"(?<=\r)(?!\n)")
-    return (
-        lines.where(F.col("_metadata.file_size") > longer_than)
-        .select(
-            plain_path(F.col("_metadata.file_path")).alias("src_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.is_valid_utf8("value").alias("_valid"),
-            F.explode(F.when(several, parts).otherwise(F.array(F.concat("value", F.lit("\n"))))).alias("_text"),
-        )
-        .select("src_file", "_block", F.monotonically_increasing_id().alias("_at"), "_valid", "_text")
-    )
+    return text.select(
+        "src_file",
+        "_block",
+        F.is_valid_utf8("value").alias("_valid"),
+        F.explode(F.when(several, parts).otherwise(F.array(F.concat("value", F.lit("\n"))))).alias("_text"),
+    ).select("src_file", "_block", F.monotonically_increasing_id().alias("_at"), "_valid", "_text")
 
 
 def _state(start: Column, last: Column, turns: Column) -> Column:
@@ -337,6 +358,18 @@ def cells_of_lines(lines: DataFrame) -> DataFrame:
     return records.mapInArrow(_parse_records, RAW_CELLS).union(broken.distinct())
 
 
+def ragged_csv_parts(
+    spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES, name_glob: str = "*.csv"
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of files parsed whole, a file's rows together and in order, and those of long files, if there are any."""
+    limit = short_bytes(spark, whole_file_bytes)
+    files = small_csv_files(spark, path, name_glob=name_glob)
+    small = cells_of_files(files.where(F.col("length") <= limit))
+    if files.where(F.col("length") > limit).select("path").isEmpty():
+        return small, None
+    return small, cells_of_lines(lines_of_text(long_file_text(spark, path, limit, name_glob)))
+
+
 def read_ragged_csv(
     spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES, name_glob: str = "*.csv"
 ) -> DataFrame:
@@ -347,11 +380,8 @@ def read_ragged_csv(
     ``row_no`` -1. Small files are parsed whole, many per task; long ones are split
     by lines.
     """
-    files = small_csv_files(spark, path, name_glob=name_glob)
-    small = cells_of_files(files.where(F.col("length") <= whole_file_bytes))
-    if files.where(F.col("length") > whole_file_bytes).select("path").isEmpty():
-        return small
-    return small.union(cells_of_lines(_long_file_lines(spark, path, whole_file_bytes, name_glob)))
+    small, long = ragged_csv_parts(spark, path, whole_file_bytes, name_glob)
+    return small if long is None else small.union(long)
 
 
 # Executors need not have this package installed: the parsers travel with the plan.
