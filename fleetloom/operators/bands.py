@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from typing import NamedTuple
 
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 from fleetloom import fixed
 from fleetloom.functions.columns import quoted
+from fleetloom.operators.lookups import fits_broadcast
+from fleetloom.session import scratch_table
 
 
 class Band(NamedTuple):
@@ -52,6 +55,50 @@ def band_fan_out(df: DataFrame, value: str, bands: Iterable[Band] = DEFAULT_BAND
     return df.withColumn(label, F.explode(F.array_compact(labels)))
 
 
+# Lengths of bands of a table are told apart by powers of this: a band lies in so many cells, and one more, at most.
+_CELL_BASE = 4.0
+# The level of bands without bounds, which have one cell.
+_UNBOUNDED = 2000
+
+
+def _cell(value: Column, level: Column) -> Column:
+    """The cell of a level that a value is in."""
+    return F.when(level == _UNBOUNDED, F.lit(0).cast("bigint")).otherwise(F.floor(value / F.pow(F.lit(_CELL_BASE), level)).cast("bigint"))
+
+
+def band_table_join(
+    df: DataFrame, value: str, table: DataFrame, lo: str = "lo", hi: str = "hi", label: str = "label", name: str = "range_label"
+) -> DataFrame:
+    """One copy of a row for every band of ``table`` it is in, bounds included; any number of bands.
+
+    A band belongs to the level whose cells are about as long as it is, and lies in a few
+    of them; a row looks into its cell of every level there is. So rows and bands meet by
+    equal cells, and no row is compared with bands far from it. The bands are broadcast if
+    they are counted small; else both sides are written first, and adaptive execution
+    splits cells that hold many rows. Bands with a null or NaN bound, or whose ``lo`` is
+    above ``hi``, hold nothing; equal bands count each. Rows without a value drop out.
+    """
+    low, high = quoted(lo).cast("double"), quoted(hi).cast("double")
+    bands = table.where((low <= high) & ~F.isnan(low) & ~F.isnan(high)).select(low.alias("_lo"), high.alias("_hi"), quoted(label).alias("_label"))
+    length = F.col("_hi") - F.col("_lo")
+    level = F.ceil(F.log(F.greatest(length, F.abs("_hi") * 2.0**-40, F.abs("_lo") * 2.0**-40, F.lit(2.0**-60))) / math.log(_CELL_BASE))
+    bounded = (F.abs("_lo") < float("inf")) & (F.abs("_hi") < float("inf")) & (length < float("inf"))
+    bands = bands.withColumn("_level", F.when(bounded, level.cast("int")).otherwise(_UNBOUNDED))
+    cells = F.sequence(_cell(F.col("_lo"), F.col("_level")), _cell(F.col("_hi"), F.col("_level")))
+    cells = F.when(F.col("_level") == _UNBOUNDED, F.array(F.lit(0).cast("bigint"))).otherwise(cells)
+    bands = scratch_table(bands.withColumn("_cell", F.explode(cells)), "band-cells")
+    levels = [r[0] for r in bands.select("_level").distinct().collect()]  # a thousand at most: the exponents of doubles
+    rows = df.withColumn("_value", number(df, value).cast("double")).where(F.col("_value").isNotNull() & ~F.isnan("_value"))
+    rows = rows.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]) if levels else F.array().cast("array<int>")))
+    rows = rows.withColumn("_cell", _cell(F.col("_value"), F.col("_level")))
+    if fits_broadcast(bands):
+        bands = F.broadcast(bands)
+    else:
+        rows = scratch_table(rows, "band-rows")
+    met = rows.join(bands, ["_level", "_cell"]).where("_value >= _lo and _value <= _hi")
+    return met.select(*[quoted(c) for c in df.columns], F.col("_label").alias(name))
+
+
 def band_counts(
     df: DataFrame, src_file: str, value: str, bands: Iterable[Band] = DEFAULT_BANDS, label: str = "range_label"
 ) -> DataFrame:

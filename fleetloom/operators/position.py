@@ -112,6 +112,35 @@ def index_within(
     return small.withColumn(name, numbered).union(_sliced_index(large, keys, order, name))
 
 
+def _cells_of(df: DataFrame, src_file: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """src_file, column, _o0, _o1, ... and cell (text) of every cell that is not null."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("cell")) for c in columns])
+    placed = [quoted(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    exploded = df.select(quoted(src_file).alias("src_file"), *placed, F.explode(cells).alias("_c"))
+    return exploded.where("_c.cell is not null").select("src_file", F.col("_c.column").alias("column"), *[f"_o{i}" for i in range(len(order))], F.col("_c.cell").alias("cell"))
+
+
+def non_null_rank(df: DataFrame, src_file: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """src_file, column, rank (from 0 along ``order``), cell: every cell that is not null.
+
+    Large files go through sorted slices, so none is sorted by one task.
+    """
+    cells = _cells_of(df, src_file, order, columns)
+    ranked = index_within(cells, ["src_file", "column"], [f"_o{i}" for i in range(len(order))], "rank")
+    return ranked.select("src_file", "column", "rank", "cell")
+
+
+def first_non_null(df: DataFrame, src_file: str, order: Sequence[str], columns: Sequence[str], limit: int = 10) -> DataFrame:
+    """The first ``limit`` cells that are not null of every file and column, ranked from 0.
+
+    The limit goes in front of the shuffle: a task hands on that many cells per file and column at most.
+    """
+    cells = _cells_of(df, src_file, order, columns)
+    place = Window.partitionBy("src_file", "column").orderBy(*[f"_o{i}" for i in range(len(order))])
+    ranked = cells.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= limit)
+    return ranked.select("src_file", "column", (F.col("_place") - 1).cast("bigint").alias("rank"), "cell")
+
+
 def random_rank(
     df: DataFrame, keys: Sequence[str], size: Column, biggest: int, number: Column, tie: Sequence[str], name: str
 ) -> DataFrame:

@@ -116,3 +116,20 @@ def with_file_date(df: DataFrame, src_file: str, name_date: Column, content: Dat
         .withColumn("file_date", F.coalesce(name_date, F.col("_content_date")))
         .drop("_content_date")
     )
+
+
+def purge_laid_out(records: DataFrame, lists: DataFrame, plate: str, file_date: str, **names: str) -> DataFrame:
+    """``purge_from_date`` for records whose files are laid out by ``file_date``.
+
+    The date from which the lists say anything is a filter on the partitions: earlier days
+    are handed on as they are, without a join, and the scan of the others leaves them out.
+    A plate that is listed without a date touches every day.
+    """
+    terms = scratch_table(purge_terms(lists, names.get("list_plate", "plate"), names.get("from_date", "from_date")), "purge-terms")
+    always = F.bool_or("_always")
+    start = F.when(always, F.lit("0001-01-01").cast("date")).otherwise(F.coalesce(F.min("_since"), F.lit("9999-12-31").cast("date")))
+    since = terms.agg(start).scalar()
+    day = quoted(file_date)
+    untouched = records.where(day < since)
+    touched = records.where(day.isNull() | (day >= since))
+    return untouched.unionByName(purge_from_date(touched, lists, plate, file_date, **names))

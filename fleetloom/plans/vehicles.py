@@ -14,7 +14,7 @@ from fleetloom.operators import bands, calendar, cleanse, concat, pairing, posit
 from fleetloom.operators.bands import Band
 from fleetloom.session import scratch_table
 from fleetloom.sources.plate_lists import read_dated_lists
-from fleetloom.sources.workbooks import headers_of, table_of_cells
+from fleetloom.sources.workbooks import column_names, headers_of, table_of_cells
 
 
 def purge_files(
@@ -89,8 +89,10 @@ def stack_files(cells: DataFrame, by_date: bool = True, default_year: int = fixe
 
     Files come by the date in their name, undated ones first, or by name alone. All
     must be readable and have the same columns in the same order, or nothing is
-    stacked. The rows are not sorted: only the files' row counts are. The cells are
-    written once, so files are parsed once.
+    stacked, and the first other file is named. A file has as many columns as its widest
+    row has cells, so no cell is lost; blank names become ``Unnamed: `` and the column's
+    place, and a repeated name gets a number. The rows are not sorted: only the files' row
+    counts are. The cells are written once, so files are parsed once.
     """
     cells = scratch_table(cells, "cells")
     broken = cells.where("error is not null").orderBy("src_file").first()
@@ -102,7 +104,9 @@ def stack_files(cells: DataFrame, by_date: bool = True, default_year: int = fixe
     if first is None:
         raise UnreadableFile("no file has a header")
     src_file = F.col("src_file")
-    table = table_of_cells(cells, first.columns).withColumns(
+    clashing = {"src_file", "row_no", "pos", "_file_date", "_src_name"}
+    names = column_names([f"{c}.0" if c in clashing else c for c in first.columns])
+    table = table_of_cells(cells, names).withColumns(
         {
             "_file_date": dates.prefixed_name_date(paths.stem(src_file), default_year),
             "_src_name": paths.file_name(src_file),

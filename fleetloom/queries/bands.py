@@ -218,3 +218,24 @@ def band_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("range_label", "day").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("event_ids")
     )
+
+
+@query(
+    """
+    WITH bands AS (
+        SELECT o_orderkey, o_totalprice / 4 AS lo,
+               CASE o_orderkey % 500 WHEN 0 THEN 'Infinity'::DOUBLE WHEN 1 THEN o_totalprice / 4 - 1 ELSE o_totalprice / 4 + o_orderkey % 37 END AS hi
+        FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 500 < 2
+    )
+    SELECT o_orderkey AS band, count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS orders
+    FROM lineitem JOIN bands ON l_extendedprice BETWEEN lo AND hi GROUP BY o_orderkey
+    """
+)
+def band_table_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices in bands that a table gives: short ones, single values, open ones, and some that hold nothing."""
+    key, lo = F.col("o_orderkey"), F.col("o_totalprice") / 4
+    hi = F.when(key % 500 == 0, float("inf")).when(key % 500 == 1, lo - 1).otherwise(lo + key % 37)
+    chosen = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0 OR o_orderkey % 500 < 2")
+    prices = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice")
+    met = bands.band_table_join(prices, "l_extendedprice", chosen.select(key.alias("label"), lo.alias("lo"), hi.alias("hi")), name="band")
+    return met.groupBy("band").agg(F.count(F.lit(1)).alias("rows"), F.sum("l_orderkey").alias("orders"))

@@ -37,7 +37,7 @@ _DAYS_SQL = f"""
 
 @query(
     f"""
-    SELECT plate AS "车号", year(day) || '/' || month(day) || '/' || day(day) AS "日期", '豫ND7570' AS "补充车辆", '2025/1/1' AS "补充日期"
+    SELECT plate AS "车号", year(day) || '/' || month(day) || '/' || day(day) AS "日期", '{fixed.FILLER_PLATE}' AS "补充车辆", '{fixed.FILLER_DAY}' AS "补充日期"
     FROM ({_DAYS_SQL})
     """
 )

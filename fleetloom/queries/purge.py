@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.operators import purge, reports
+from fleetloom.operators import position, purge, reports
 from fleetloom.plans import vehicles
 from fleetloom.queries.registry import query, table
+from fleetloom.session import scratch_path
+from fleetloom.sources.sinks import write_by
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,3 +198,54 @@ def distinct_plates(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def table_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.table_shape(_records(spark, sf_dir), "src_file")
+
+
+_RANKED_SQL = """
+    WITH cells AS (
+        SELECT o_custkey AS src_file, o_orderkey, 'a' AS "column", CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS cell FROM orders
+        UNION ALL
+        SELECT o_custkey, o_orderkey, 'b', CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END FROM orders
+    )
+    SELECT src_file, "column", row_number() OVER (PARTITION BY src_file, "column" ORDER BY o_orderkey) - 1 AS rank, cell
+    FROM cells WHERE cell IS NOT NULL
+"""
+
+
+def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("src_file"), key, F.when(key % 3 != 0, key.cast("string")).alias("a"), F.when(key % 2 == 0, F.col("o_orderstatus")).alias("b")
+    )
+
+
+@query(_RANKED_SQL)
+def non_null_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every cell among those of its file and column that are not null."""
+    return position.non_null_rank(_gappy(spark, sf_dir), "src_file", ["o_orderkey"], ["a", "b"])
+
+
+@query(f"SELECT * FROM ({_RANKED_SQL}) WHERE rank < 10")
+def first_non_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten of them."""
+    return position.first_non_null(_gappy(spark, sf_dir), "src_file", ["o_orderkey"], ["a", "b"])
+
+
+_LATE_LISTS_SQL = "SELECT CAST(c_custkey AS VARCHAR) AS plate, DATE '1999-01-01' + c_nationkey * 30 AS from_date FROM customer WHERE c_acctbal < 2000"
+
+
+@query(
+    f"""
+    SELECT o_orderkey, plate, src_file, o_totalprice, CAST(file_date AS VARCHAR) AS file_date FROM ({_RECORDS_SQL}) r
+    WHERE NOT EXISTS (SELECT 1 FROM ({_LATE_LISTS_SQL}) l WHERE l.plate = r.plate AND (r.file_date IS NULL OR r.file_date >= l.from_date))
+    """
+)
+def purge_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records laid out by date: months before the first list takes effect are not joined."""
+    path = scratch_path(spark, "laid-out")
+    records = _records(spark, sf_dir)
+    write_by(records, path, "file_date")
+    plate = F.col("c_custkey").cast("string").alias("plate")
+    since = F.date_add(F.lit("1999-01-01").cast("date"), F.col("c_nationkey") * 30).alias("from_date")
+    lists = table(spark, sf_dir, "customer").where("c_acctbal < 2000").select(plate, since)
+    kept = purge.purge_laid_out(spark.read.schema(records.schema).parquet(path), lists, "plate", "file_date")
+    return kept.withColumn("file_date", F.col("file_date").cast("string"))
