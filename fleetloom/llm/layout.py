@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,14 +19,25 @@ from pyspark.sql import functions as F
 
 from fleetloom.llm.words import slices
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>", re.S
+# What starts with "<": a tag, a comment (two kinds end at once) or other markup.
+_MARKUP = re.compile(r"<(?:(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)|(?P<comment>!--)|[!?/])")
+_COMMENT_END = re.compile(r"(?<=<!--)-?>|--!?>")
+_REST_OF_TAG = re.compile(
+    r"(?P<attributes>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++|(?=>)))?+)*+)>"
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_NO_BOX = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 # A slash at the end of a tag closes it, unless it is the end of a value without quotes.
 _OPEN_VALUE = re.compile(r"=\s*[^\s\"'>][^\s\"'>]*\Z")
+# References of a character by a number that no character has.
+_ZEROS = re.compile(r"&#0+(?=[0-9])")
+_NO_CHARACTER = re.compile(r"&#(?:[0-9]{8,}|[xX]0*[1-9a-fA-F][0-9a-fA-F]{7,});?")
+# Columns line up while they are this wide together; wider tables have two spaces between cells only.
+ALIGNED = 400
+# A cell takes at most so many rows and columns, and lists are indented by so many characters at most.
+MOST_DOWN, MOST_ACROSS, INDENTED = 100, 100, 40
 
 # Fixed by the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -78,40 +91,63 @@ class Node:
         self.name, self.attributes, self.children, self.foreign = name, attributes, [], foreign
 
     @property
-    def shown(self) -> bool:
+    def boxed(self) -> bool:
+        """Whether anything inside can be shown."""
         a = self.attributes
-        if self.name in UNSEEN or "hidden" in a or _NOT_SHOWN.search(a.get("style", "")):
+        if self.name in UNSEEN or "hidden" in a or _NO_BOX.search(a.get("style", "")):
             return False
         return self.name != "dialog" or "open" in a
 
+    def visible(self, inherited: bool) -> bool:
+        """Whether its text is seen; an element in a hidden one may be visible again."""
+        said = _VISIBILITY.findall(self.attributes.get("style", ""))
+        return said[-1].lower() == "visible" if said else inherited
+
+
+def _unescape(text: str) -> str:
+    return html.unescape(_NO_CHARACTER.sub("\ufffd", _ZEROS.sub("&#", text))) if "&" in text else text
+
 
 def _attributes(text: str) -> dict[str, str]:
     if not text.strip(" \t\r\n/"):
         return {}
     found: dict[str, str] = {}
     for name, *values in _ATTRIBUTE.findall(text):
-        found.setdefault(name.lower(), html.unescape(next((v for v in values if v), "")))
+        found.setdefault(name.lower(), _unescape(next((v for v in values if v), "")))
     return found
 
 
 class Tree:
-    """A document's tree; ``open`` is the path from the root to the innermost open element."""
+    """A document's tree; ``open`` is the path from the root to the innermost open element.
+
+    ``places`` has the places in ``open`` of the elements of each name, so the nearest one
+    is known without a look at the others. The root is none of them.
+    """
 
     def __init__(self, page: str):
         self.root = Node("html", {})
         self.open = [self.root]
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
         at = 0
         while found := _MARKUP.search(page, at):
             self.text(page[at : found.start()])
             at = found.end()
             name = (found["name"] or "").lower()
             if not name:
+                end = _COMMENT_END.search(page, at) if found["comment"] else None
+                at = end.end() if end else page.find(">", at) + 1 if not found["comment"] else 0
+                if not at:
+                    return  # it does not end before the page does
                 continue
+            rest = _REST_OF_TAG.match(page, at)
+            if not rest:
+                return
+            at = rest.end()
             if found["end"]:
                 self.end(name)
                 continue
             raw = name in RAW and not self.open[-1].foreign
-            attributes = found["attributes"]
+            attributes = rest["attributes"]
             self.start(name, _attributes(attributes), attributes.endswith("/") and not _OPEN_VALUE.search(attributes))
             if raw:
                 close = re.compile(rf"</{re.escape(name)}\s*/?>|\Z", re.I).search(page, at)
@@ -121,11 +157,22 @@ class Tree:
                 self.end(name)
         self.text(page[at:])
 
+    def push(self, node: Node) -> None:
+        self.places[node.name].append(len(self.open))
+        self.open.append(node)
+
+    def pop(self) -> None:
+        self.places[self.open.pop().name].pop()
+
+    def nearest(self, *names: str) -> int:
+        """The place of the innermost open element of these names, 0 if there is none."""
+        return max((self.places[n][-1] for n in names if self.places[n]), default=0)
+
     def text(self, text: str) -> None:
         if text:
-            text = html.unescape(text) if "&" in text else text
+            text = _unescape(text)
             if self.open[-1].name == "head" and text.strip(" \t\n\r\f"):
-                self.open.pop()
+                self.pop()
             if self.open[-1].name in BETWEEN_CELLS and text.strip(" \t\n\r\f"):
                 self.before_table(text)
             else:
@@ -134,19 +181,19 @@ class Tree:
     def start(self, name: str, attributes: dict[str, str], closed: bool = False) -> None:
         if self.open[-1].foreign and name in BREAKOUT:
             while self.open[-1].foreign:
-                self.open.pop()
+                self.pop()
         if name in ("svg", "math") or self.open[-1].foreign:
             if self.open[-1].name == "head":
-                self.open.pop()
+                self.pop()
             node = Node(name, attributes, name not in HOLDS_HTML)
             self.put(node)
             if not closed:
-                self.open.append(node)
+                self.push(node)
             return
         if name == "head" and (len(self.open) > 1 or any(isinstance(c, Node) or c.strip(" \t\n\r\f") for c in self.root.children)):
             return  # only the first thing of a page can be its head
         if self.open[-1].name == "head" and name not in IN_HEAD:
-            self.open.pop()
+            self.pop()
         if name in ("html", "body"):  # a second one only adds what it says about itself
             for node in self.open[:2]:
                 if node.name == name:
@@ -164,11 +211,11 @@ class Tree:
             self.start("tr", {})
         if name in TABLE_PARENTS and self.between_cells():
             while self.open[-1].name not in TABLE_PARENTS[name]:
-                self.open.pop()
+                self.pop()
         node = Node(name, attributes)
         self.put(node)
         if name not in VOID:
-            self.open.append(node)
+            self.push(node)
 
     def put(self, node: Node) -> None:
         if self.open[-1].name in BETWEEN_CELLS and node.name not in TABLE_PARENTS and node.name != "col":
@@ -178,7 +225,7 @@ class Tree:
 
     def before_table(self, child: Node | str) -> None:
         """Put in front of the innermost open table what has no place in it; a row outside of any table takes it."""
-        for i in range(len(self.open) - 1, 0, -1):
+        for i in range(len(self.open) - 1, 0, -1):  # parts of a table: each closes the ones before it
             if self.open[i].name == "table":
                 siblings = self.open[i - 1].children
                 at = next(j for j in range(len(siblings) - 1, -1, -1) if siblings[j] is self.open[i])
@@ -190,34 +237,24 @@ class Tree:
 
     def between_cells(self) -> bool:
         """Whether a table is open and none of its cells, nor its caption."""
-        for node in reversed(self.open):
-            if node.name in ("table", "td", "th", "caption", "template"):
-                return node.name == "table"
-        return False
+        table = self.nearest("table")
+        return table > self.nearest("td", "th", "caption", "template")
 
     def within(self, name: str) -> bool:
-        for node in reversed(self.open):
-            if node.name in (name, "table"):
-                return node.name == name
-        return False
+        return self.nearest(name) > self.nearest("table")
 
     def close(self, names: tuple[str, ...], until: tuple[str, ...]) -> None:
         """Close up to the outermost open element of ``names`` below the nearest of ``until``."""
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].name in until:
-                break
-            if self.open[i].name in names:
-                del self.open[i:]
-                return self.close(names, until)
-        return None
+        top = self.nearest(*until)
+        below = [p[bisect_right(p, top)] for n in names if (p := self.places[n]) and p[-1] > top]
+        while below and len(self.open) > min(below):
+            self.pop()
 
     def end(self, name: str) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].name == name:
-                del self.open[i:]
-                return
-            if self.open[i].name == "table" or self.open[i].name in _CELLS and name not in TABLE_PARTS:
-                return
+        place = self.nearest(name)
+        if place and place >= self.nearest("table", *(() if name in TABLE_PARTS else _CELLS)):
+            while len(self.open) > place:
+                self.pop()
 
 
 class Page:
@@ -225,19 +262,23 @@ class Page:
 
     def __init__(self):
         self.lines: list[str] = []
-        self.line = ""
+        self.line: list[str] = []
         self.prefix = ""  # of the next line alone, such as a list item's mark
         self.gap = False
 
     def write(self, text: str) -> None:
         text = _SPACES.sub(" ", text)
-        if not self.line or self.line.endswith(" "):
+        if not self.line or self.line[-1].endswith(" "):
             text = text.lstrip(" ")
-        self.line += text
+        self.add(text)
+
+    def add(self, text: str) -> None:
+        if text:
+            self.line.append(text)
 
     def end_line(self, always: bool = False) -> None:
-        line = self.line.rstrip(" ")
-        self.line = ""
+        line = "".join(self.line).rstrip(" ")
+        self.line = []
         if line or always:
             self.put(line)
 
@@ -253,112 +294,162 @@ class Page:
         self.gap = True
 
 
-def _number(attributes: dict[str, str], name: str, least: int, most: int) -> int:
+def _number(attributes: dict[str, str], name: str, least: int, most: int, default: int | None = None) -> int:
     found = re.match(r"\s*(-?\d{1,9})", attributes.get(name, ""))
-    return max(least, min(most, int(found[1]))) if found else least
+    return max(least, min(most, int(found[1]))) if found else least if default is None else default
 
 
-def _rows(table: Node) -> Iterator[list[Node]]:
-    stack = list(reversed(table.children))
+def _one_line(lines: list[str]) -> str:
+    """Lines as one, spaces collapsed; most have single ones, so the text is only searched."""
+    text = " ".join(filter(None, lines))
+    if "  " in text or "\t" in text or "\r" in text or "\f" in text:
+        text = _SPACES.sub(" ", text)
+    return text.strip()
+
+
+_LISTS = ("ul", "ol", "menu")
+_ANY = 1 << 30
+# A part of the walk: a request for an element's lines, answered by sending them.
+_Lines = Iterator[tuple[Node, bool]]
+
+
+def _rows(table: Node, visible: bool) -> Iterator[list[tuple[Node, bool]]]:
+    stack = [(c, visible) for c in reversed(table.children)]
     while stack:
-        child = stack.pop()
-        if isinstance(child, Node) and child.shown:
+        child, seen = stack.pop()
+        if isinstance(child, Node) and child.boxed:
+            seen = child.visible(seen)
             if child.name == "tr":
-                yield [c for c in child.children if isinstance(c, Node) and c.name in ("td", "th") and c.shown]
+                yield [(c, c.visible(seen)) for c in child.children if isinstance(c, Node) and c.name in ("td", "th") and c.boxed]
             elif child.name in ("tbody", "thead", "tfoot"):
-                stack.extend(reversed(child.children))
-
-
-def _table_lines(table: Node) -> list[str]:
-    """Rows of cells in columns as wide as their widest cell, two spaces apart."""
-    grid: list[list[str]] = []
-    waiting: dict[int, int] = {}  # columns that cells of earlier rows still take
-    for row in _rows(table):
-        cells: list[str] = []
-        for node in row:
-            while waiting.get(len(cells), 0):
-                waiting[len(cells)] -= 1
-                cells.append("")
-            text = _SPACES.sub(" ", " ".join(_render(node))).strip()
-            down = _number(node.attributes, "rowspan", 1, 1000) - 1
-            for i in range(_number(node.attributes, "colspan", 1, 100)):
-                waiting[len(cells)] = down
-                cells.append("" if i else text)
-        for column in [c for c in waiting if c >= len(cells)]:
-            waiting[column] = max(0, waiting[column] - 1)
-        if any(cells):
-            grid.append(cells)
-    widths = [max((len(r[c]) for r in grid if c < len(r)), default=0) for c in range(max(map(len, grid), default=0))]
-    return ["  ".join(cell.ljust(widths[c]) for c, cell in enumerate(row) if widths[c]).rstrip() for row in grid]
+                stack.extend((c, seen) for c in reversed(child.children))
 
 
-def _render(top: Node) -> list[str]:
+def _table_lines(table: Node, visible: bool) -> _Lines:
+    """Rows of cells in columns as wide as their widest cell, two spaces apart.
+
+    A row is kept as the columns that have text. Columns that cells of earlier rows still
+    take are runs of neighbours: where they begin and end, and in how many rows more.
+    """
+    grid: list[dict[int, str]] = []
+    taken: list[tuple[int, int, int]] = []
+    for row in _rows(table, visible):
+        cells: dict[int, str] = {}
+        column, ahead, new = 0, 0, []
+        for node, seen in row:
+            text = _one_line((yield node, seen)) if node.children else ""
+            while ahead < len(taken) and taken[ahead][0] <= column:
+                column = max(column, taken[ahead][1])
+                ahead += 1
+            across = _number(node.attributes, "colspan", 1, MOST_ACROSS)
+            down = _number(node.attributes, "rowspan", 1, MOST_DOWN) - 1
+            if text:
+                cells[column] = text
+            if down:
+                new.append((column, column + across, down + 1))
+            column += across
+        if cells:
+            grid.append(cells)
+        taken = sorted((a, b, n - 1) for a, b, n in taken + new if n > 1)
+    widths: dict[int, int] = {}
+    for cells in grid:
+        for column, text in cells.items():
+            widths[column] = max(widths.get(column, 0), len(text))
+    columns = sorted(widths)
+    if sum(widths.values()) > ALIGNED:
+        return ["  ".join(cells[c] for c in sorted(cells)) for cells in grid]
+    return ["  ".join(cells.get(c, "").ljust(widths[c]) for c in columns).rstrip() for cells in grid]
+
+
+def _lines_of(top: Node, visible: bool) -> _Lines:
     """The lines of an element's content, by a walk with a stack of its own."""
     page = Page()
-    lists: list[list] = []  # kind, next number and prefix outside, of every open list
-    stack: list[tuple[str, object]] = [("in", c) for c in reversed(top.children)]
+    lists: list[list] = []  # kind, next number and step of every open list
+    stack: list[tuple[str, object, bool]] = [("in", c, visible) for c in reversed(top.children)]
     preformatted = 0
     while stack:
-        what, node = stack.pop()
+        what, node, seen = stack.pop()
         if what == "out":
             name = node.name
-            if name in ("ul", "ol", "menu"):
+            if name in _LISTS:
                 lists.pop()
             if name == "li":
                 page.end_line()
                 page.prefix = node.attributes["\0prefix"]
             if name == "pre":
                 preformatted -= 1
-            if name in SPACED and not (name in ("ul", "ol", "menu") and lists):
+            if name in SPACED and not (name in _LISTS and lists):
                 page.paragraph()
             else:
                 page.end_line()
         elif isinstance(node, str):
+            if not seen:
+                continue
             if preformatted:
                 first, *rest = node.split("\n")
-                page.line += first
+                page.add(first)
                 for line in rest:
                     page.end_line(always=True)
-                    page.line = line
+                    page.add(line)
             else:
                 page.write(node)
-        elif not node.shown:
+        elif not node.boxed:
             continue
         elif node.name == "br":
             page.end_line(always=True)
         elif node.name == "hr":
             page.paragraph()
         elif node.name == "table":
+            seen = node.visible(seen)
             page.paragraph()
-            for caption in (c for c in node.children if isinstance(c, Node) and c.name == "caption" and c.shown):
-                page.put(_SPACES.sub(" ", " ".join(_render(caption))).strip())
-            for line in _table_lines(node):
+            for caption in (c for c in node.children if isinstance(c, Node) and c.name == "caption" and c.boxed):
+                page.put(_one_line((yield caption, caption.visible(seen))))
+            for line in (yield from _table_lines(node, seen)):
                 page.put(line)
             page.paragraph()
         else:
+            seen = node.visible(seen)
             if node.name in BLOCKS:
-                if node.name in SPACED and not (node.name in ("ul", "ol", "menu") and lists):
+                if node.name in SPACED and not (node.name in _LISTS and lists):
                     page.paragraph()
                 else:
                     page.end_line()
-                stack.append(("out", node))
-            if node.name in ("ul", "ol", "menu"):
-                lists.append([node.name, _number(node.attributes, "start", 1, 1 << 30)])
+                stack.append(("out", node, seen))
+            if node.name in _LISTS:
+                items = sum(isinstance(c, Node) and c.name == "li" and c.boxed for c in node.children)
+                backwards = node.name == "ol" and "reversed" in node.attributes
+                lists.append([node.name, _number(node.attributes, "start", -_ANY, _ANY, items if backwards else 1), -1 if backwards else 1])
             elif node.name == "li":
                 mark = "- "
                 if lists and lists[-1][0] == "ol":
-                    mark = f"{lists[-1][1]}. "
-                    lists[-1][1] += 1
+                    number = _number(node.attributes, "value", -_ANY, _ANY, lists[-1][1])
+                    mark, lists[-1][1] = f"{number}. ", number + lists[-1][2]
                 node.attributes["\0prefix"] = page.prefix
-                page.prefix += mark
+                page.prefix = page.prefix[:INDENTED] + (mark if seen else "")
             elif node.name == "pre":
                 preformatted += 1
             closed = node.name == "details" and "open" not in node.attributes
-            stack.extend(("in", c) for c in reversed(node.children) if not closed or isinstance(c, Node) and c.name == "summary")
+            stack.extend(("in", c, seen) for c in reversed(node.children) if not closed or isinstance(c, Node) and c.name == "summary")
     page.end_line()
     return page.lines
 
 
+def _render(top: Node) -> list[str]:
+    """The lines of an element; walks that wait for the lines of a cell stand on a stack, whatever the depth."""
+    waiting, answer = [_lines_of(top, top.visible(True))], None
+    while True:
+        try:
+            node, visible = waiting[-1].send(answer)
+        except StopIteration as done:
+            waiting.pop()
+            answer = done.value
+            if not waiting:
+                return answer
+        else:
+            waiting.append(_lines_of(node, visible))
+            answer = None
+
+
 def visible_text(page: str) -> str:
     """The text that a reader of the page sees; an empty or null page gives an empty text."""
     lines = _render(Tree(page).root) if page else []
@@ -368,8 +459,9 @@ def visible_text(page: str) -> str:
 def rendered(pages: DataFrame) -> DataFrame:
     """page_id and text of every row of ``pages``: null and empty pages have an empty text.
 
-    Broken markup is read as HTML allows; deep nesting costs no recursion but for tables in
-    tables. A page is handled by itself, so hot hosts and repeated rows need nothing.
+    Broken markup is read as HTML allows. Nesting of any depth needs no recursion, and the
+    time grows with the page's length, but for tables in tables, whose text is handed on
+    once a level. A page is handled by itself, so hot hosts and repeated rows need nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
