@@ -5,8 +5,9 @@ only that reply is trainable. A conversation that does not end with an assistant
 also gives one example without a trainable part, so no turn is lost.
 
 Turns are taken by ``turn``, then role, then text; a null turn comes first, a null role or
-text counts as empty, repeated rows are turns of their own, and rows without a conv_id
-make one conversation. A long conversation gives text in proportion to the square of its
+text counts as empty, and repeated rows are turns of their own. A row without a conv_id
+belongs with no other: it is a conversation of one turn, so such rows are never brought
+together, however many there are. A long conversation gives text in proportion to the square of its
 turns; that is the nature of the format.
 """
 
@@ -41,7 +42,8 @@ def examples(conversations: DataFrame) -> DataFrame:
     nothing is trainable.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    sorted_turns = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    sorted_turns = conversations.where("conv_id is not null").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    sorted_turns = sorted_turns.unionByName(conversations.where("conv_id is null").select("conv_id", F.array(turn).alias("turns")))
 
     def marked(t: Column) -> Column:
         head = F.concat(F.lit(START), escaped_role(t["role"]), F.lit("\n"))
@@ -87,16 +89,19 @@ def read_back(made: DataFrame) -> DataFrame:
     conv_id, turns (of the longest example), replies (of all examples, in order),
     formatted_chars (of all examples together).
     """
-    reply = unescaped(F.substr("text", F.col("loss_start"), F.col("loss_chars")))
-    return (
-        made.groupBy("conv_id")
-        .agg(
-            F.max_by("text", "n_turns").alias("longest"),
-            F.sort_array(F.collect_list(F.when(F.col("loss_start").isNotNull(), F.struct("example", reply.alias("reply"))))).alias("replies"),
-            F.sum(F.length("text")).cast("bigint").alias("formatted_chars"),
-        )
-        .select("conv_id", turns_in(F.col("longest")).alias("turns"), F.col("replies.reply").alias("replies"), "formatted_chars")
+    reply = F.struct("example", unescaped(F.substr("text", F.col("loss_start"), F.col("loss_chars"))).alias("reply"))
+    trainable, chars = F.col("loss_start").isNotNull(), F.length("text").cast("bigint")
+    several = made.where("conv_id is not null").groupBy("conv_id").agg(
+        F.max_by("text", "n_turns").alias("longest"),
+        F.sort_array(F.collect_list(F.when(trainable, reply))).alias("replies"),
+        F.sum(chars).alias("formatted_chars"),
+    )
+    # A conversation without a conv_id has one turn, and so one example.
+    single = made.where("conv_id is null").select(
+        "conv_id", F.col("text").alias("longest"), F.array_compact(F.array(F.when(trainable, reply))).alias("replies"), chars.alias("formatted_chars")
     )
+    whole = several.unionByName(single)
+    return whole.select("conv_id", turns_in(F.col("longest")).alias("turns"), F.col("replies.reply").alias("replies"), "formatted_chars")
 
 
 def digest(conversations: DataFrame) -> DataFrame:
