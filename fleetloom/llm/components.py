@@ -34,7 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
         release(both)
         least = _least(large)
         small = large.join(least, "a").where("b <> _m").select(F.greatest("b", "_m").alias("a"), F.least("b", "_m").alias("b"))
-        now = scratch_table(small.unionByName(least.select("a", F.col("_m").alias("b"))).distinct(), "edges")
-        release(large, least)
+        following = scratch_table(small.unionByName(least.select("a", F.col("_m").alias("b"))).distinct(), "edges")
+        release(large, least, now)
+        now = following
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

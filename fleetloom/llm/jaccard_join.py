@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from fleetloom.llm import words
 from fleetloom.llm.components import components
 from fleetloom.llm.rows import packed, unpacked, without
-from fleetloom.session import release, scratch_table
+from fleetloom.session import forget_shuffles, release, scratch_scope, scratch_table
 
 WIDTH, PERCENT = 4, 85
 # Sets above this size are never listed by pairs.
@@ -43,6 +43,8 @@ AT = 1 << 31
 BROADCAST_ROWS = 500_000
 # A set's parity: for every value of this many, whether an odd number of shingles has it.
 PARITY_BITS = 4096
+# Sets whose parities are made together.
+PARITY_ROWS = 256
 # The hubs of a list: its least sets by so many different hashes.
 HUBS = 4
 # What a pair to compare costs, in rows of a list.
@@ -161,6 +163,13 @@ def _boundary(lists: DataFrame, percent: int) -> int:
     return min(range(SMALL_MOST + 2), key=cost)
 
 
+def _parities(place: np.ndarray, bounds: np.ndarray, first: int, last: int) -> np.ndarray:
+    """The parities of sets ``first`` to ``last``, whose shingles have these places, as words."""
+    own = place[bounds[first] : bounds[last]] - first * PARITY_BITS
+    odd = np.bincount(own, minlength=(last - first) * PARITY_BITS).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def _shingle_arrays(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,8 +177,7 @@ def _shingle_arrays(width: int):
             for first, last in words.slices(column):
                 owner, shingles, bounds = _sets(column, first, last, width)
                 place = owner * PARITY_BITS + (shingles & words.U64(PARITY_BITS - 1)).astype(np.int64)
-                odd = np.bincount(place, minlength=(last - first) * PARITY_BITS).astype(np.uint8) & 1
-                parity = np.packbits(odd, bitorder="little").view(np.int64)
+                parity = np.concatenate([_parities(place, bounds, i, min(i + PARITY_ROWS, last - first)) for i in range(0, last - first, PARITY_ROWS)])
                 each = np.arange(last - first + 1) * (PARITY_BITS // 64)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -263,52 +271,58 @@ def grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     if not 50 < percent <= 100:
         raise ValueError("percent is above 50 and at most 100")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("_text"))
-    described = scratch_table(
-        rows.mapInArrow(_describe(width), "is_text boolean, doc_id bigint, _text bigint, n bigint, node bigint, check bigint"), "sets"
-    )
-    texts = described.where("is_text").drop("is_text")
-    often = described.where("not is_text").groupBy("node").agg(F.sum("n").alias("c")).where(F.col("c") >= COMMON)
-    common = np.array([r[0] for r in often.orderBy(F.desc("c"), "node").limit(COMMON_MOST).collect()], dtype=np.int64).view(np.uint64)
-
-    lists = scratch_table(
-        rows.where("doc_id is not null").select("text").mapInArrow(_list_keys(width, percent, common), "key bigint, by_pair boolean, node bigint, at bigint"),
-        "lists",
-    )
-    size = _boundary(lists, percent)
-    used = lists.where(f"if(by_pair, at < {size * AT}, (at div {AT}) * 100 >= {size * percent})").drop("by_pair")
-    shared = scratch_table(
-        used.groupBy("key").agg(F.min("node").alias("_least"), F.max("node").alias("_most")).where("_least < _most").select("key"), "shared-keys"
-    )
-    entries = scratch_table(used.join(shared, "key").distinct(), "entries")
-    release(lists, shared)
-    classes = scratch_table(
-        texts.where("doc_id is not null and n > 0").groupBy("node", "n", "check").agg(F.min("doc_id").alias("_first"), F.min_by("_text", "doc_id").alias("_text")), "classes"
-    )
-    ranks = [F.xxhash64("node", F.lit(i)) for i in range(HUBS)]
-    hubs = [F.min_by(c, rank).alias(f"{c}{i}") for i, rank in enumerate(ranks) for c in ("node", "at")]
-    hubs = scratch_table(entries.groupBy("key").agg(*hubs), "hubs")
-    each = F.explode(F.array_distinct(F.array(*[F.struct(F.col(f"node{i}").alias("hub"), F.col(f"at{i}").alias("hub_at")) for i in range(HUBS)])))
-    stars = entries.join(hubs, "key").select("node", "at", each.alias("_hub")).select("node", "at", "_hub.*")
-    stars = stars.where("node <> hub").where(_may_be_similar("at", "hub_at", percent))
-    stars = stars.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
-    stars = scratch_table(stars.distinct(), "star-pairs")
-    sets = _met_sets(rows, classes, _nodes(stars), width)
-    links = scratch_table(_similar(stars, sets, percent), "links")
-    linked = scratch_table(components(links), "linked")
-    others = scratch_table(_left_over(entries, linked, percent).join(stars, ["a", "b"], "left_anti"), "other-pairs")
-    if not others.isEmpty():
-        wanted = _nodes(others).distinct()
-        missing = _met_sets(rows, classes, wanted.join(sets.select("node"), "node", "left_anti"), width)
-        more = _similar(others, sets.join(wanted, "node", "left_semi").unionByName(missing), percent)
-        hung = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        linked = scratch_table(components(hung.unionByName(more)), "linked")
-    named = classes.join(linked, "node", "left").select("node", "n", "check", "_first", F.coalesce("component", "node").alias("component"))
-    least = named.groupBy("component").agg(F.min("_first").alias("_component"))
-    # Without links a class is a component of its own, even if two share a hash.
-    alone = named.where("component = node").groupBy("component").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
-    if not alone:
-        raise RuntimeError("two different sets of shingles have one 64-bit hash")
-    answer = scratch_table(named.join(least, "component").select("node", "n", "check", "_component"), "set-components")
+    with scratch_scope(docs.sparkSession) as scope:
+        made = rows.mapInArrow(_describe(width), "is_text boolean, doc_id bigint, _text bigint, n bigint, node bigint, check bigint")
+        described = scope.keep(scratch_table(made, "sets"))
+        texts = described.where("is_text").drop("is_text")
+        often = described.where("not is_text").groupBy("node").agg(F.sum("n").alias("c")).where(F.col("c") >= COMMON)
+        common = np.array([r[0] for r in often.orderBy(F.desc("c"), "node").limit(COMMON_MOST).collect()], dtype=np.int64).view(np.uint64)
+
+        lists = scratch_table(
+            rows.where("doc_id is not null").select("text").mapInArrow(_list_keys(width, percent, common), "key bigint, by_pair boolean, node bigint, at bigint"),
+            "lists",
+        )
+        size = _boundary(lists, percent)
+        used = lists.where(f"if(by_pair, at < {size * AT}, (at div {AT}) * 100 >= {size * percent})").drop("by_pair")
+        shared = scratch_table(
+            used.groupBy("key").agg(F.min("node").alias("_least"), F.max("node").alias("_most")).where("_least < _most").select("key"), "shared-keys"
+        )
+        entries = scratch_table(used.join(shared, "key").distinct(), "entries")
+        release(lists, shared)
+        forget_shuffles(docs.sparkSession)
+        classes = scratch_table(
+            texts.where("doc_id is not null and n > 0").groupBy("node", "n", "check").agg(F.min("doc_id").alias("_first"), F.min_by("_text", "doc_id").alias("_text")), "classes"
+        )
+        ranks = [F.xxhash64("node", F.lit(i)) for i in range(HUBS)]
+        hubs = [F.min_by(c, rank).alias(f"{c}{i}") for i, rank in enumerate(ranks) for c in ("node", "at")]
+        hubs = scratch_table(entries.groupBy("key").agg(*hubs), "hubs")
+        each = F.explode(F.array_distinct(F.array(*[F.struct(F.col(f"node{i}").alias("hub"), F.col(f"at{i}").alias("hub_at")) for i in range(HUBS)])))
+        stars = entries.join(hubs, "key").select("node", "at", each.alias("_hub")).select("node", "at", "_hub.*")
+        stars = stars.where("node <> hub").where(_may_be_similar("at", "hub_at", percent))
+        stars = stars.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
+        stars = scratch_table(stars.distinct(), "star-pairs")
+        release(hubs)
+        forget_shuffles(docs.sparkSession)
+        sets = _met_sets(rows, classes, _nodes(stars), width)
+        with scratch_scope(docs.sparkSession) as inner:
+            links = inner.keep(scratch_table(_similar(stars, sets, percent), "links"))
+        linked = scratch_table(components(links), "linked")
+        with scratch_scope(docs.sparkSession) as inner:
+            others = inner.keep(scratch_table(_left_over(entries, linked, percent).join(stars, ["a", "b"], "left_anti"), "other-pairs"))
+        release(entries, stars)
+        if not others.isEmpty():
+            wanted = _nodes(others).distinct()
+            missing = _met_sets(rows, classes, wanted.join(sets.select("node"), "node", "left_anti"), width)
+            more = _similar(others, sets.join(wanted, "node", "left_semi").unionByName(missing), percent)
+            hung = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            linked = scratch_table(components(hung.unionByName(more)), "linked")
+        named = classes.join(linked, "node", "left").select("node", "n", "check", "_first", F.coalesce("component", "node").alias("component"))
+        least = named.groupBy("component").agg(F.min("_first").alias("_component"))
+        # Without links a class is a component of its own, even if two share a hash.
+        alone = named.where("component = node").groupBy("component").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
+        if not alone:
+            raise RuntimeError("two different sets of shingles have one 64-bit hash")
+        answer = scope.keep(scratch_table(named.join(least, "component").select("node", "n", "check", "_component"), "set-components"))
     return texts.join(answer, ["node", "n", "check"], "left").select(
         "doc_id",
         "_text",
@@ -319,13 +333,15 @@ def grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
 
 def one_of_each(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``docs`` with one row of each group: that of smallest doc_id; rows without a doc_id stay."""
-    groups = scratch_table(grouped(docs, width, percent), "groups")
-    kept = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.min("_text").alias("_text"), F.count(F.lit(1)).alias("_rows"))
-    kept = scratch_table(kept, "kept-ids")
     rows = packed(docs, doc_id=F.col("doc_id").cast("bigint"), _text=F.xxhash64("text"))
-    stay = without(rows, groups.where("doc_id is not null").join(kept, ["doc_id", "_text"], "left_anti"))
-    repeated = kept.where("_rows > 1")
-    if repeated.isEmpty():
-        return unpacked(stay, docs)
-    one = stay.join(repeated, ["doc_id", "_text"], "left_semi").groupBy("doc_id").agg(F.any_value("_row").alias("_row"))
-    return unpacked(without(stay, repeated).select("_row").unionByName(one.select("_row")), docs)
+    with scratch_scope(docs.sparkSession) as scope:
+        groups = scratch_table(grouped(docs, width, percent), "groups")
+        kept = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.min("_text").alias("_text"), F.count(F.lit(1)).alias("_rows"))
+        kept = scratch_table(kept, "kept-ids")
+        stay = without(rows, groups.where("doc_id is not null").join(kept, ["doc_id", "_text"], "left_anti"), scope)
+        repeated = kept.where("_rows > 1")
+        if repeated.isEmpty():
+            return unpacked(stay, docs)
+        scope.keep(kept)
+        one = stay.join(repeated, ["doc_id", "_text"], "left_semi").groupBy("doc_id").agg(F.any_value("_row").alias("_row"))
+        return unpacked(without(stay, repeated, scope).select("_row").unionByName(one.select("_row")), docs)

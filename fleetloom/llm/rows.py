@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetloom.session import scratch_table
+from fleetloom.session import Scope, scratch_table
 
 ROW = "_row"
 # Keys of rows to leave out are sent to all tasks up to this many, so texts are not shuffled.
@@ -25,10 +25,16 @@ def unpacked(df: DataFrame, like: DataFrame, **instead: Column) -> DataFrame:
     )
 
 
-def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """``rows`` but those whose doc_id and _text are among ``keys``; nulls equal nulls."""
-    keys = scratch_table(keys.select("doc_id", "_text").distinct(), "left-out")
+def without(rows: DataFrame, keys: DataFrame, scope: Scope) -> DataFrame:
+    """``rows`` but those whose doc_id and _text are among ``keys``; nulls equal nulls. The keys are kept from ``scope``."""
+    keys = scope.keep(scratch_table(keys.select("doc_id", "_text").distinct(), "left-out"))
     if keys.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
     same = rows["doc_id"].eqNullSafe(keys["doc_id"]) & rows["_text"].eqNullSafe(keys["_text"])
     return rows.join(keys, same, "left_anti")
+
+
+def among(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` whose doc_id and _text are among ``keys``, a table in scratch without nulls."""
+    keys = keys.select("doc_id", "_text")
+    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, ["doc_id", "_text"], "left_semi")

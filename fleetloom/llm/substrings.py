@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetloom.llm import words
-from fleetloom.llm.rows import packed, unpacked
-from fleetloom.session import scratch_table
+from fleetloom.llm.rows import among, packed, unpacked, without
+from fleetloom.session import forget_shuffles, release, scratch_scope, scratch_table
 
 SIZE = 50
 
@@ -161,12 +161,17 @@ def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
         "shared-anchors",
     )
     survivors = anchors.join(shared, "_anchor").groupBy("doc_id", "_text").agg(F.collect_set("_anchor").alias("_anchors"))
+    survivors = scratch_table(survivors, "passage-survivors")
+    release(shared)
+    forget_shuffles(docs.sparkSession)
     windows = scratch_table(
         rows.join(survivors, ["doc_id", "_text"]).mapInArrow(
             _extend(size), "_window bigint, _anchor bigint, doc_id bigint, _text bigint, at int"
         ),
         "passage-windows",
     )
+    release(survivors)
+    forget_shuffles(docs.sparkSession)
     firsts = windows.groupBy("_window", "_anchor").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
     owner = scratch_table(firsts.where("_first < _last").drop("_last"), "passage-owners")
     found = (
@@ -213,7 +218,8 @@ def stripped(rows: DataFrame, size: int = SIZE) -> DataFrame:
 
 def digest(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """doc_id, n_words, n_removed and the SHA-256 of the kept words, a row per row of ``docs``."""
-    windows = scratch_table(repeated_windows(docs, size), "passage-rows")
+    with scratch_scope(docs.sparkSession) as scope:
+        windows = scope.keep(scratch_table(repeated_windows(docs, size), "passage-rows"))
     cut = windows.where("starts is not null").select("doc_id", "_text", "n_words", F.col("starts").alias("_starts")).dropDuplicates(["doc_id", "_text"])
     changed = stripped(_keyed(docs).join(cut, ["doc_id", "_text"]), size)
     return (
@@ -234,10 +240,12 @@ def without_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     A text that loses words becomes its kept words with one space between; others stay
     unchanged, byte for byte. Documents left without a word by this are dropped.
     """
-    windows = repeated_windows(docs, size).where("copy or starts is not null")
-    marks = windows.select("doc_id", "_text", "copy", F.col("starts").alias("_starts")).dropDuplicates(["doc_id", "_text"])
     rows = packed(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text"), _text=F.xxhash64("text"))
-    marked = scratch_table(rows.join(marks, ["doc_id", "_text"], "left"), "passage-docs")
-    whole = marked.where("copy is null").select("text", "_row")
-    changed = stripped(marked.where("_starts is not null").select("text", "_row", "_starts"), size)
-    return unpacked(whole.unionByName(changed.where("text <> ''").drop("_removed")), docs, text=F.col("text"))
+    with scratch_scope(docs.sparkSession) as scope:
+        windows = repeated_windows(docs, size).where("copy or starts is not null")
+        marks = scratch_table(windows.select("doc_id", "_text", F.col("starts").alias("_starts")).dropDuplicates(["doc_id", "_text"]), "passage-marks")
+        whole = without(rows, marks, scope)
+        cut = scope.keep(scratch_table(marks.where("_starts is not null"), "passage-cuts"))
+    # Only the texts to cut are shuffled, not all.
+    changed = stripped(among(rows, cut).join(cut, ["doc_id", "_text"]).select("text", "_row", "_starts"), size)
+    return unpacked(whole.select("text", "_row").unionByName(changed.where("text <> ''").drop("_removed")), docs, text=F.col("text"))
