@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetloom.llm.rows import packed, unpacked, without
-from fleetloom.session import scratch_table
+from fleetloom.session import scratch_scope, scratch_table
 
 SIZES = (7, 15, 31, 63)
 RADIUS = 3
@@ -110,40 +110,48 @@ def weight(of: Column) -> Column:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, _text (``xxhash64(text)``), item_id, start (in words), similarity of every passage found.
 
-    Items without any word are never found. Repeated items and rows count once. A null
-    doc_id is kept as it is.
+    Items without any word are never found. Repeated items and rows count once; items of
+    one item_id but different words are told apart, and each is found for itself. A null
+    doc_id or item_id is kept as it is. Up to ``BROADCAST_ROWS`` fingerprints of items are
+    sent to all tasks; more are shuffled to the texts' ones, without the texts, whose
+    words are fetched for the candidates alone.
     """
     items = benchmark.select(F.col("item_id").alias("item_id"), words_of(F.col("text")).alias("words")).where(F.size("words") > 0).dropDuplicates()
+    items = items.withColumn("_item_key", F.xxhash64("item_id", F.concat_ws(" ", "words")))
     length = F.size("words")
     fitting = F.coalesce(*[F.when(length >= 2 * n, n) for n in reversed(SIZES)], F.when(length >= SIZES[0], SIZES[0]), F.least(length, F.lit(WIDTH)))
-    items = scratch_table(items.select("item_id", "words", length.alias("length"), fitting.alias("fit")), "items")
+    items = scratch_table(items.select("item_id", "_item_key", "words", length.alias("length"), fitting.alias("fit")), "items")
     sizes = sorted(r["fit"] for r in items.select("fit").distinct().collect()) or [SIZES[0]]
-    cut = _blocks(fingerprints(items, sizes), sizes).where("size = fit")
-    marks = scratch_table(
-        cut.select("key", F.col("print").alias("_mark"), "item_id", F.col("at").alias("_offset"), "length", shingles(F.col("words")).alias("_item")), "item-blocks"
-    )
-    if marks.count() <= BROADCAST_ROWS:
-        marks = F.broadcast(marks.drop("_item"))
-    else:
-        marks = marks.drop("_item")
-    known = items.select("item_id", shingles(F.col("words")).alias("_item")).withColumn("_weight", weight(F.col("_item")))
+    cut = _blocks(fingerprints(items.drop("item_id"), sizes), sizes).where("size = fit")
+    marks = scratch_table(cut.select("key", F.col("print").alias("_mark"), "_item_key", F.col("at").alias("_offset"), "length"), "item-blocks")
+    known = items.select("_item_key", "item_id", shingles(F.col("words")).alias("_item")).withColumn("_weight", weight(F.col("_item")))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("_text"), words_of(F.col("text")).alias("words"))
     near = F.expr(f"bit_count(print ^ _mark) <= {RADIUS}")
     # An equal block before this one has found the pair already.
     mask = (1 << BLOCK_BITS) - 1
     before = F.expr(" and ".join(f"(block <= {i} or ((shiftrightunsigned(print ^ _mark, {i * BLOCK_BITS}) & {mask}L) <> 0))" for i in range(RADIUS)))
     windows = _blocks(fingerprints(rows, sizes), sizes)
-    met = windows.join(marks, (windows["key"] == marks["key"]) & near & before)
-    begin = F.col("at") - F.col("_offset")
+    begin = (F.col("at") - F.col("_offset")).alias("_begin")
+    if marks.count() <= BROADCAST_ROWS:
+        met = windows.join(F.broadcast(marks), (windows["key"] == marks["key"]) & near & before).select("doc_id", "_text", "_item_key", begin, "length", "words")
+    else:
+        bare = scratch_table(windows.drop("words"), "text-blocks")
+        met = bare.join(marks, (bare["key"] == marks["key"]) & near & before).select("doc_id", "_text", "_item_key", begin, "length").distinct()
+        met = scratch_table(met, "candidates")
+        wanted, texts = met.select("doc_id", "_text").distinct(), rows.select(F.col("doc_id").alias("_d"), F.col("_text").alias("_t"), "words")
+        same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_text") == F.col("_t"))
+        found = texts.join(wanted, same, "left_semi").dropDuplicates(["_d", "_t"])
+        met = met.join(scratch_table(found, "candidate-texts"), same).drop("_d", "_t")
     # A passage that reaches the similarity is longer than its item by a quarter at most.
     reach = F.floor(F.col("length") / 4).cast("int")
+    begin = F.col("_begin")
     start, low = F.greatest(begin, F.lit(0)), F.greatest(begin - reach, F.lit(0))
     placed = met.select(
-        "doc_id", "_text", "item_id", begin.alias("_begin"), low.alias("_low"), F.slice("words", low + 1, begin + F.col("length") + reach - low).alias("_near"),
+        "doc_id", "_text", "_item_key", "_begin", low.alias("_low"), F.slice("words", low + 1, begin + F.col("length") + reach - low).alias("_near"),
         (start - low).alias("_skip"), (begin + F.col("length") - start).alias("_long"),
     )
-    placed = placed.dropDuplicates(["doc_id", "_text", "item_id", "_begin"])
-    compared = placed.join(known, "item_id")
+    placed = placed.dropDuplicates(["doc_id", "_text", "_item_key", "_begin"])
+    compared = placed.join(known, "_item_key")
     here = F.transform(F.sequence(F.lit(1), F.size("_near") - WIDTH + 1), lambda i: F.when(F.array_contains("_item", F.concat_ws(" ", F.slice("_near", i, WIDTH))), i))
     compared = compared.withColumn("_hits", F.when(F.size("_near") >= WIDTH, here))
     first, last = F.array_min("_hits"), F.array_max("_hits")
@@ -152,14 +160,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.struct((F.col("_low") + F.col("_skip")).alias("start"), F.slice("_near", F.col("_skip") + 1, F.col("_long")).alias("words")),
         F.struct((F.col("_low") + first - 1).alias("start"), F.slice("_near", first, last - first + WIDTH).alias("words")),
     )
-    compared = compared.select("doc_id", "_text", "item_id", "_item", "_weight", F.posexplode(spans).alias("_which", "_span")).where("_span.words is not null")
+    compared = compared.select("doc_id", "_text", "_item_key", "item_id", "_item", "_weight", F.posexplode(spans).alias("_which", "_span")).where("_span.words is not null")
     compared = compared.withColumn("start", F.col("_span.start")).withColumn("_found", shingles(F.col("_span.words")))
     common = weight(F.array_intersect("_found", "_item"))
     similarity = common / (weight(F.col("_found")) + F.col("_weight") - common)
     return (
         compared.withColumn("similarity", similarity)
         .where(F.col("similarity") >= SIMILAR)
-        .groupBy("doc_id", "_text", "item_id")
+        .groupBy("doc_id", "_text", "_item_key", "item_id")
         # The other span counts where none of the item's length is similar.
         .agg(F.max_by(F.struct("start", "similarity"), F.struct(-F.col("_which"), "similarity")).alias("_best"))
         .select("doc_id", "_text", "item_id", "_best.start", "_best.similarity")
@@ -169,4 +177,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any passage of the benchmark, with all their columns."""
     rows = packed(docs, doc_id=F.col("doc_id").cast("bigint"), _text=F.xxhash64("text"))
-    return unpacked(without(rows, leaks(docs, benchmark)), docs)
+    with scratch_scope(docs.sparkSession) as scope:
+        return unpacked(without(rows, leaks(docs, benchmark), scope), docs)
