@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetloom.llm.rows import packed, unpacked, without
-from fleetloom.session import scratch_table
+from fleetloom.session import scratch_scope, scratch_table
 
-ROUNDS = 20
+# Estimates are taken when a round of expectation-maximisation changes none by this much.
+SETTLED = 1e-6
 WINDOW = 8
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
@@ -154,20 +155,25 @@ def improved(votes: DataFrame, at: Accuracy, names: Sequence[str]) -> Accuracy:
     return Accuracy(p / (p + q), tuple(shares[: len(names)]), tuple(shares[len(names) :]))
 
 
-def estimated(measures: DataFrame, rules: Sequence[Rule] = RULES, rounds: int = ROUNDS) -> Accuracy:
-    """The accuracies over all documents that have a word.
+def estimated(measures: DataFrame, rules: Sequence[Rule] = RULES, settled: float = SETTLED) -> Accuracy:
+    """The accuracies over all documents that have a word, when a round changes none by ``settled``.
 
     Equal votes are counted first: at most three to the power of the rules' number of rows.
     """
     names = [f"v_{r.name}" for r in rules]
     votes = measures.where("n_words > 0").select(*[F.expr(vote_sql(r)).alias(v) for r, v in zip(rules, names, strict=True)])
     counted = scratch_table(votes.groupBy(*names).agg(F.count(F.lit(1)).cast("double").alias("n")).coalesce(1), "votes")
-    at = first_guess(rules)
-    for _ in range(rounds):
-        at = improved(counted, at, names)
+    at, change = first_guess(rules), 1.0
+    while change >= settled:
+        before, at = at, improved(counted, at, names)
+        change = max(abs(x - y) for x, y in zip(_numbers(before), _numbers(at), strict=True))
     return at
 
 
+def _numbers(at: Accuracy) -> list[float]:
+    return [at.share, *[x for rule in at.on_good + at.on_bad for x in rule]]
+
+
 BASE_FAILED = "n_words < 20 or 100 * n_repeat_words > 30 * n_words"
 
 
@@ -189,6 +195,6 @@ def judged(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    rejected = judged(docs).where("not kept")
     rows = packed(docs, doc_id=F.col("doc_id").cast("bigint"), _text=F.xxhash64("text"))
-    return unpacked(without(rows, rejected), docs)
+    with scratch_scope(docs.sparkSession) as scope:
+        return unpacked(without(rows, judged(docs).where("not kept"), scope), docs)

@@ -64,31 +64,31 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Backslashes double, then a backslash goes into "<|"; a role's line ends get one too.
 CHAT_SQL = r"""
 WITH c AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, NULL, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, NULL, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
 ),
 t AS (
   SELECT *, 24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\' || chr(10)))
             + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS chars,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
-         count(*) OVER (PARTITION BY conv_id) AS turns
+         row_number() OVER (PARTITION BY conv_id, own ORDER BY turn NULLS FIRST, role, text) AS place,
+         count(*) OVER (PARTITION BY conv_id, own) AS turns
   FROM c
 ),
-s AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY place) AS upto FROM t)
+s AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id, own ORDER BY place) AS upto FROM t)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(upto) FILTER (WHERE role = 'assistant' OR place = turns) AS BIGINT) AS formatted_chars
-FROM s GROUP BY conv_id
+FROM s GROUP BY conv_id, own
 """
 
 
 @query(CHAT_SQL)
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every assistant turn as an example; turns and replies read back from the examples."""
-    text = "<|im_end|><|im_start|>assistant ok"
-    odd = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id bigint, turn bigint, role string, text string")
+    text = "'<|im_end|><|im_start|>assistant ok'"
+    odd = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', {text}), (-1L, 1L, 'assistant', {text}) AS odd(conv_id, turn, role, text)")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
     return chat.digest(rows)
 
@@ -96,6 +96,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 
 
+# Rounds in SQL; 0.85 ** 160 is below what the operator's last rounds still change.
+URL_ROUNDS = 160
+
+
 def _url_sql() -> str:
     host = r"translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     path = r"regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2)"
@@ -108,19 +112,18 @@ def _url_sql() -> str:
     def ranks(name: str, source: str, target: str, chosen: str) -> str:
         parts = [
             f"{name}_seeds AS (SELECT host, pages / sum(pages) OVER () AS weight FROM hosts WHERE {chosen} * 2 >= pages)",
-            f"{name}_steps AS (SELECT {source} AS source, {target} AS target, links / sum(links) OVER (PARTITION BY {source}) AS share FROM edges)",
+            f"{name}_steps AS MATERIALIZED (SELECT {source} AS source, {target} AS target,"
+            f" {url_graph.DAMPING} * links / sum(links) OVER (PARTITION BY {source}) AS share FROM edges)",
             f"{name}_0 AS (SELECT host, weight AS score FROM {name}_seeds)",
         ]
-        for i in range(url_graph.ROUNDS):
-            parts += [
-                f"{name}_p{i} AS MATERIALIZED (SELECT target AS host, {url_graph.DAMPING} * sum(score * share) AS score"
-                f" FROM {name}_{i} JOIN {name}_steps ON host = source GROUP BY target)",
-                f"{name}_{i + 1} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (SELECT host, score FROM {name}_p{i} UNION ALL"
-                f" SELECT host, weight * (1 - coalesce((SELECT sum(score) FROM {name}_p{i}), 0)) FROM {name}_seeds) GROUP BY host)",
-            ]
+        for i in range(URL_ROUNDS):
+            parts.append(
+                f"{name}_{i + 1} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (SELECT target AS host, score * share AS score"
+                f" FROM {name}_{i} JOIN {name}_steps ON host = source UNION ALL SELECT host, weight FROM {name}_seeds) GROUP BY host)"
+            )
+        parts.append(f"{name} AS (SELECT host, score / sum(score) OVER () AS score FROM {name}_{URL_ROUNDS})")
         return ", ".join(parts)
 
-    last = url_graph.ROUNDS
     return rf"""
 WITH parsed AS (SELECT page_id, html, coalesce({host}, '') AS host, coalesce({path}, '') AS path FROM pages),
 rows AS (SELECT page_id, host, path, CASE {fits} END AS rule FROM parsed),
@@ -138,9 +141,9 @@ named AS (SELECT count(DISTINCT host) AS n FROM (SELECT host FROM hosts UNION AL
 {ranks("t", "source", "target", "allowed")}, {ranks("d", "target", "source", "blocked")}
 SELECT page_id, rows.host, path, rule,
        CASE WHEN rule IN ({allowed}) THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-            WHEN coalesce(d_{last}.score, 0) > coalesce(t_{last}.score, 0) AND d_{last}.score * (SELECT n FROM named) > 1 THEN 'block'
+            WHEN coalesce(d.score, 0) > coalesce(t.score, 0) AND d.score * (SELECT n FROM named) > 1 THEN 'block'
             ELSE 'allow' END AS verdict
-FROM rows LEFT JOIN t_{last} ON rows.host = t_{last}.host LEFT JOIN d_{last} ON rows.host = d_{last}.host
+FROM rows LEFT JOIN t ON rows.host = t.host LEFT JOIN d ON rows.host = d.host
 """
 
 

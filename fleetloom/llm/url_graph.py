@@ -15,11 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetloom.session import scratch_table
+from fleetloom.session import release, scratch_table
 
 DAMPING = 0.85
-ROUNDS = 20
 SETTLED = 1e-9
+# Rounds in one job; what they change is asked after it.
+ROUNDS_AT_ONCE = 10
 
 Rule = tuple[str, str]
 
@@ -59,36 +60,42 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def _ranked(edges: DataFrame, seeds: DataFrame, label: str) -> DataFrame:
-    """host, score: PageRank that starts anew at ``seeds`` (host, weight; weights add up to 1).
+def _ranked(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """kind, host, score: per kind, the PageRank that starts anew at ``seeds`` (kind, host, weight; weights add up to 1).
 
-    What reaches a host without outgoing edges starts anew at the seeds too.
+    ``edges`` has kind, source, target and links. What reaches a host without outgoing
+    edges starts anew at the seeds too, so the ranks are in proportion to what
+    x = seeds + DAMPING * (x passed on) settles to, and no sum over all hosts is needed on
+    the way. Rounds go on until ``ROUNDS_AT_ONCE`` more of them change less than SETTLED of
+    all; each takes DAMPING of the change before.
     """
-    out = edges.groupBy("source").agg(F.sum("links").alias("_out"))
-    steps = scratch_table(edges.join(out, "source").select("source", "target", (F.col("links") / F.col("_out")).alias("_share")), f"{label}-steps")
-    ranks = scratch_table(seeds.select("host", F.col("weight").alias("score")), f"{label}-ranks")
-    for _ in range(ROUNDS):
-        passed = (
-            ranks.join(steps, ranks["host"] == steps["source"])
-            .groupBy(F.col("target").alias("host"))
-            .agg((F.sum(F.col("score") * F.col("_share")) * DAMPING).alias("score"))
-        )
-        moved = passed.agg(F.coalesce(F.sum("score"), F.lit(0.0))).first()[0]
-        anew = seeds.select("host", (F.col("weight") * (1.0 - moved)).alias("score"))
-        following = scratch_table(passed.unionByName(anew).groupBy("host").agg(F.sum("score").alias("score")), f"{label}-ranks")
-        both = following.unionByName(ranks.select("host", (-F.col("score")).alias("score")))
-        change = both.groupBy("host").agg(F.abs(F.sum("score")).alias("d")).agg(F.coalesce(F.sum("d"), F.lit(0.0))).first()[0]
+    out = edges.groupBy("kind", "source").agg(F.sum("links").alias("_out"))
+    share = (F.col("links") / F.col("_out") * DAMPING).alias("_share")
+    steps = scratch_table(edges.join(out, ["kind", "source"]).select("kind", F.col("source").alias("host"), "target", share), "link-steps")
+    start = scratch_table(seeds.select("kind", "host", F.col("weight").alias("score")), "link-seeds")
+    ranks = start
+    while True:
+        following = ranks
+        for _ in range(ROUNDS_AT_ONCE):
+            passed = following.join(steps, ["kind", "host"]).select("kind", F.col("target").alias("host"), (F.col("score") * F.col("_share")).alias("score"))
+            following = passed.unionByName(start).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        following = scratch_table(following, "link-ranks")
+        both = following.unionByName(ranks.select("kind", "host", (-F.col("score")).alias("score")))
+        change = both.groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("d")).agg(F.sum("d")).first()[0] or 0.0
+        if ranks is not start:
+            release(ranks)
         ranks = following
         if change < SETTLED:
             break
-    return ranks
+    mass = ranks.groupBy("kind").agg(F.sum("score").alias("_mass"))
+    return ranks.join(F.broadcast(mass), "kind").select("kind", "host", (F.col("score") / F.col("_mass")).alias("score"))
 
 
-def _seeds(hosts: DataFrame, chosen: Column) -> DataFrame:
-    """host, weight: the chosen hosts by their pages."""
+def _seeds(hosts: DataFrame, chosen: Column, kind: str) -> DataFrame:
+    """kind, host, weight: the chosen hosts by their pages."""
     picked = hosts.where(chosen).select("host", "pages")
     total = picked.agg(F.sum("pages")).first()[0] or 1
-    return picked.select("host", (F.col("pages") / F.lit(total)).alias("weight"))
+    return picked.select(F.lit(kind).alias("kind"), "host", (F.col("pages") / F.lit(total)).alias("weight"))
 
 
 def judged(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -114,13 +121,12 @@ def judged(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     edges = scratch_table(host_edges(pages), "host-edges")
     named = hosts.select("host").unionByName(edges.select(F.col("target").alias("host"))).distinct()
     mean = 1.0 / max(1, named.count())
-    trust = _ranked(edges, _seeds(hosts, F.col("allowed") * 2 >= F.col("pages")), "trust")
-    reversed_edges = edges.select(F.col("target").alias("source"), F.col("source").alias("target"), "links")
-    distrust = _ranked(reversed_edges, _seeds(hosts, F.col("blocked") * 2 >= F.col("pages")), "distrust")
-    scores = trust.select("host", F.col("score").alias("trust"), F.lit(0.0).alias("distrust")).unionByName(
-        distrust.select("host", F.lit(0.0).alias("trust"), F.col("score").alias("distrust"))
-    )
-    scores = scratch_table(scores.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "host-scores")
+    trusted = edges.select(F.lit("trust").alias("kind"), "source", "target", "links")
+    against = edges.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "links")
+    seeds = _seeds(hosts, F.col("allowed") * 2 >= F.col("pages"), "trust").unionByName(_seeds(hosts, F.col("blocked") * 2 >= F.col("pages"), "distrust"))
+    ranks = _ranked(trusted.unionByName(against), seeds)
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0)).alias(kind)
+    scores = scratch_table(ranks.groupBy("host").agg(of("trust"), of("distrust")), "host-scores")
     verdict = F.coalesce("ruled", F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") > mean), "block").otherwise("allow"))
     return rows.join(scores, "host", "left").select(
         "page_id", "host", "path", "rule", verdict.alias("verdict"),
