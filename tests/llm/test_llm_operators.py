@@ -20,6 +20,8 @@ from fleetloom.llm import (
     url_graph,
     words,
 )
+from fleetloom import session
+from fleetloom.llm import rows as row_columns
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -139,6 +141,48 @@ def test_one_of_each(clashing):
     assert ids == [-1, 1, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13]
 
 
+def test_shuffled_ways(spark, odd_docs, monkeypatch):
+    """With the limits of all broadcasts at one row the same rows come out."""
+    items = spark.createDataFrame([(1, " ".join(PASSAGE.split()[:40])), (2, text("short", 3)), (3, text("else", 30))], "item_id bigint, text string")
+    ways = {
+        "leaks": lambda: decontaminate.leaks(odd_docs, items),
+        "groups": lambda: jaccard_join.grouped(odd_docs),
+        "one": lambda: jaccard_join.one_of_each(odd_docs, 5, 80).select("doc_id", "text"),
+        "cut": lambda: substrings.without_repeats(odd_docs).select("doc_id", "text"),
+        "clean": lambda: decontaminate.clean_documents(odd_docs, items).select("doc_id", "text"),
+        "kept": lambda: quality_votes.kept_documents(odd_docs).select("doc_id", "text"),
+    }
+    rows = lambda frame: sorted(map(tuple, frame.collect()), key=str)
+    expected = {name: rows(way()) for name, way in ways.items()}
+    assert expected["leaks"]
+    for module in (decontaminate, jaccard_join, row_columns):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", 1)
+    for name, way in ways.items():
+        assert rows(way()) == expected[name], name
+
+
+def test_scopes_delete_what_is_over(spark):
+    def stands(table):
+        return session.path_exists(spark, table._scratch_path)
+
+    with session.scratch_scope(spark) as outer:
+        first = outer.keep(session.scratch_table(spark.range(3), "first"))
+        with session.scratch_scope(spark) as inner:
+            second, third = (session.scratch_table(first, name) for name in ("second", "third"))
+            inner.keep(third)
+        assert stands(first) and not stands(second) and stands(third)
+    assert stands(first) and not stands(third) and first.count() == 3
+    session.release(first)
+
+
+def test_items_of_one_id_are_told_apart(spark):
+    one, two = text("one", 40), text("two", 44)
+    items = spark.createDataFrame([(7, one), (7, two), (None, text("none", 30)), (7, one)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"{text('a', 9)} {one}"), (2, f"{two} {text('b', 9)}"), (3, f"{one} {two}"), (4, text("none", 30))], "doc_id bigint, text string")
+    found = sorted((r["doc_id"], r["item_id"], r["start"], r["similarity"]) for r in decontaminate.leaks(docs, items).collect())
+    assert found == [(1, 7, 9, 1.0), (2, 7, 0, 1.0), (3, 7, 0, 1.0), (3, 7, 40, 1.0), (4, None, 0, 1.0)]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 103), (103, 101), (7, 7), (50, 51), (51, 50)]
     found = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
@@ -455,6 +499,21 @@ def test_chat_examples(spark):
     assert chat.digest(spark.createDataFrame([], TURNS)).collect() == []
 
 
+def test_rows_without_a_conversation_stay_apart(spark):
+    rows = [(None, i % 3, "assistant" if i % 2 else "user", f"t{i % 5}") for i in range(200)] + [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
+    frame = spark.createDataFrame(rows, TURNS).selectExpr("*", "1 AS parts", "2 AS example", "3 AS turns", "4 AS target")
+    found = chat.digest(frame).collect()
+    assert len(found) == 201
+    alone = [r for r in found if r["conv_id"] is None]
+    assert all(r["n_turns"] == 1 for r in alone) and sum(r["loss_chars"] for r in alone) == 200
+
+
+def test_long_turns_are_formatted_whole(spark):
+    long = "x\\<|" * 100_000
+    back = chat.read_back(chat.examples(spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", long)], TURNS))).first()
+    assert back["replies"] == [long]
+
+
 def test_ties_and_repeated_turns(spark):
     rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "assistant", "z"), (1, 0, "user", "a")]
     back = chat.read_back(chat.examples(spark.createDataFrame(rows, TURNS))).first()
@@ -482,3 +541,60 @@ def test_trust_and_distrust_follow_links(spark):
     assert judged["fine.net"]["trust"] > 0 == judged["alone.net"]["trust"] and judged["farm.net"]["distrust"] > 0
     assert sum(r["trust"] for r in judged.values()) == pytest.approx(1)
     assert url_graph.judged(pages.limit(0), queries.URL_RULES).collect() == []
+
+
+def test_far_hosts_get_no_more_than_their_share(spark):
+    """A chain of hosts, of which the last is blocked: distrust falls with each link, however long the chain."""
+    n = 26
+    rows = [(i, f"http://h{i}.net/x", f"<a href='http://h{i + 1}.net/'>" if i + 1 < n else "<a href='http://bad.com/'>") for i in range(n)] + [(n, "http://bad.com/", "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "1 AS host", "2 AS score", "3 AS kind", "4 AS verdict")
+    judged = {r["host"]: r for r in url_graph.judged(pages, [("com/", "block")]).collect()}
+    exact = {f"h{i}.net": 0.15 * 0.85 ** (n - i) for i in range(n)} | {"bad.com": 0.15}
+    whole = sum(exact.values())
+    for host, x in exact.items():
+        assert judged[host]["distrust"] == pytest.approx(x / whole, abs=1e-7)
+        assert judged[host]["verdict"] == ("block" if host == "bad.com" or x / whole > 1 / (n + 1) else "allow")
+
+
+def test_packing_is_as_good_as_can_be_on_small_instances():
+    """The dominance steps lose no sequence against the best of all partitions."""
+
+    def best(lengths, capacity):
+        found = len(lengths)
+        bins = []
+
+        def put(i):
+            nonlocal found
+            if len(bins) >= found:
+                return
+            if i == len(lengths):
+                found = len(bins)
+                return
+            for k in {b: j for j, b in enumerate(bins)}.values():
+                if bins[k] + lengths[i] <= capacity:
+                    bins[k] += lengths[i]
+                    put(i + 1)
+                    bins[k] -= lengths[i]
+            bins.append(lengths[i])
+            put(i + 1)
+            bins.pop()
+
+        put(0)
+        return found
+
+    draw = random.Random(9)
+    for _ in range(60):
+        capacity = draw.choice([10, 17, 30])
+        lengths = sorted((draw.randint(1, capacity) for _ in range(draw.randint(1, 10))), reverse=True)
+        counts = {n: lengths.count(n) for n in set(lengths)}
+        fixed = packing.reduced(packing.Lengths(dict(counts)), capacity)
+        taken = sum(times for times, _ in fixed)
+        left = [n for n in lengths]
+        for times, content in fixed:
+            for n in content:
+                for _ in range(times):
+                    left.remove(n)
+        # What dominates can be fixed: with the best partition of the rest it is a best one of all.
+        assert taken + best(left, capacity) == best(lengths, capacity)
+        whole = sum(times for times, _ in packing.plan(counts, capacity))
+        assert best(lengths, capacity) <= whole <= best(lengths, capacity) + 1

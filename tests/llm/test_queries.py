@@ -76,13 +76,20 @@ def test_quality_agrees_with_the_labels(spark):
     assert sum(r["kept"] == (r["label"] == 1) for r in judged) >= 0.97 * len(judged)
 
 
+def numbers(at):
+    return [at.share, *[x for rule in at.on_good + at.on_bad for x in rule]]
+
+
 def test_estimation_equals_plain_python(spark):
     measures = quality_votes.measured(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
-    estimated = quality_votes.estimated(measures, rounds=4)
+    estimated = quality_votes.estimated(measures)
     names = [r.name for r in quality_votes.RULES]
     votes = [tuple(r) for r in measures.where("n_words > 0").selectExpr(*[f"{quality_votes.vote_sql(r)} AS {r.name}" for r in quality_votes.RULES]).collect()]
-    at = quality_votes.first_guess(quality_votes.RULES)
-    for _ in range(4):
+    at, before = quality_votes.first_guess(quality_votes.RULES), None
+    rounds = 0
+    # Ten times as near as the operator goes, so a limit of rounds there would show.
+    while before is None or max(abs(x - y) for x, y in zip(numbers(before), numbers(at), strict=True)) >= quality_votes.SETTLED / 10:
+        before, rounds = at, rounds + 1
         p = []
         for vote in votes:
             s = math.log(at.share / (1 - at.share))
@@ -100,9 +107,8 @@ def test_estimation_equals_plain_python(spark):
 
         q = [1 - x for x in p]
         at = quality_votes.Accuracy((1 + sum(p)) / (2 + len(p)), shares(p), shares(q))
-    assert at.share == pytest.approx(estimated.share)
-    for mine, theirs in zip(at.on_good + at.on_bad, estimated.on_good + estimated.on_bad, strict=True):
-        assert mine == pytest.approx(theirs)
+    assert rounds > 5
+    assert numbers(at) == pytest.approx(numbers(estimated), abs=100 * quality_votes.SETTLED)
 
 
 def test_packing_is_an_exact_partition(spark, documents):
@@ -223,4 +229,5 @@ def test_conversation_with_marks_in_its_texts(spark):
 
 def test_url_rules():
     assert [r for r, _ in queries.URL_RULES] == ["org/", "example.org/es/", "example.org/en/1", "com/fr/", "com/de/"]
-    assert url_graph.ROUNDS == 20
+    # The SQL takes more rounds than the operator can need.
+    assert url_graph.DAMPING**queries.URL_ROUNDS < url_graph.SETTLED / 100
