@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetloom.llm import decontaminate, jaccard_join, packing, quality_votes, substrings
 from fleetloom.llm.queries import table, tokenizer_file
-from fleetloom.session import scratch_table
+from fleetloom.session import release, scratch_scope, scratch_table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; then what it was made of is deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = []
     for name, stage in STAGES:
-        docs = scratch_table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch_scope(spark) as scope:
+            docs = scope.keep(scratch_table(stage(spark, docs, sf_dir), name.replace(" ", "-")))
+        release(*before)
+        before = [docs]
     return docs
