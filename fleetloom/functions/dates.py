@@ -11,8 +11,6 @@ from fleetloom import fixed
 YEAR_FIRST_SLASH = r"(\d{4}/\d{1,2}/\d{1,2})"
 YEAR_FIRST_DASH = r"(\d{4}-\d{1,2}-\d{1,2})"
 YEAR_LAST_SLASH = r"(\d{1,2}/\d{1,2}/\d{4})"
-NAME_WITH_YEAR = r"^\d{4}_\d{4}_"
-NAME_WITHOUT_YEAR = r"^\d{4}_"
 LIST_NAME = r"^from_(\d{4})_(\d{2})_(\d{2})\.csv"
 # -----------------------------------------------------------------------------
 
@@ -87,14 +85,21 @@ def month_day_name_date(stem: Column, year: int, accept_year: bool = False) -> C
     return dated
 
 
+def _name_piece(stem: Column, place: int) -> Column:
+    """A piece of a stem in front of an underscore, if it is four digits; else null."""
+    pieces = F.split(stem, "_")
+    piece = F.get(pieces, F.lit(place))
+    digits = (F.length(piece) == 4) & (F.translate(piece, "0123456789", "") == "")
+    return F.when((F.size(pieces) > place + 1) & digits, piece)
+
+
 def _with_year_date(stem: Column) -> Column:
-    year = F.substring(stem, 1, 4)
-    dated = stem.rlike(NAME_WITH_YEAR) & year.between("1900", "2100")
-    return F.when(dated, _date_of_month_day(year, F.substring(stem, 6, 4)))
+    year, month_day = _name_piece(stem, 0), _name_piece(stem, 1)
+    return F.when(year.between("1900", "2100"), _date_of_month_day(year, month_day))
 
 
 def _default_year_date(stem: Column, default_year: int) -> Column:
-    return F.when(stem.rlike(NAME_WITHOUT_YEAR), _date_of_month_day(F.lit(f"{default_year:04d}"), F.substring(stem, 1, 4)))
+    return _date_of_month_day(F.lit(f"{default_year:04d}"), _name_piece(stem, 0))
 
 
 def prefixed_name_date(stem: Column, default_year: int = fixed.DEFAULT_NAME_YEAR) -> Column:
