@@ -2,187 +2,177 @@
 
 A word after another scores count(pair) / count(first), or, for a pair that stands only
 once in the corpus, ALPHA * count(word) / count(all). A document's score is the sum of
-the decimal logarithms.
-
-Texts are cut into slices. Each counts its own words and pairs of neighbours, and sends
-every one of them once, with its count there, to the bucket that its hash gives. A bucket
-adds the counts of all slices and sends each slice the sums in the order it asked. The
-slice itself travels along as numbers of its words, and scores its documents when all
-answers are there. So every word and pair is counted, however many there are: no task
-holds more than a slice or a bucket, and a word in all texts is in a bucket once a slice.
+the decimal logarithms. That is a sum of terms, each of one word or one pair:
+
+* every word as if no pair were seen, and
+* for a seen pair, its gain: log10(count(pair) * count(all) / (ALPHA * count(first) * count(word))).
+
+So the work is relational. Texts are exploded to words and to pairs; both are counted in
+tables by hash, pairs one hash part after the other, so that no more than a part is under
+way at a time; seen pairs are joined to the counts of their two words, which gives the
+table of gains; and the exploded words and pairs of the documents are joined to their
+tables and summed per document.
+
+A few of the most frequent words and pairs, whose rows would be most of those joined and
+would make hot keys, are looked up where the text is read instead. Their number is fixed.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetloom.llm import words
-from fleetloom.session import scratch_table
+from fleetloom.session import forget_shuffles, release, scratch_scope, scratch_table
 
 ALPHA = 0.4
-# Of counted_words; scoring has no limit of words.
-FREQUENT = 512
 SEEN = 2
 SLICE_BYTES = 8 << 20
-# A bucket gets about this many words and pairs, less those that a slice repeats.
-BUCKET_KEYS = 4_000_000
-LEAST_BUCKETS = 64
+# Pairs are counted and joined in so many parts by hash, one after the other.
+PARTS = 3
+# Words, and pairs, that every task knows.
+FREQUENT = 100_000
+# The part of a hash is told by its high bits; the low ones spread it over partitions.
+_PART_BITS = 48
 
 
-class Words(NamedTuple):
-    """Hashes in ascending order, the number of each, and counts by number; the last is unknown."""
+class Known:
+    """The logarithms of the most frequent words or pairs, by ascending hash."""
 
-    hashes: np.ndarray
-    numbers: np.ndarray
-    counts: np.ndarray
+    def __init__(self, hashes: np.ndarray, logs: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.logs = hashes[order], logs[order]
 
-    def number(self, hashes: np.ndarray) -> np.ndarray:
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are known, and their logarithms, 0 for others."""
         if not len(self.hashes):
-            return np.zeros(len(hashes), dtype=np.int64)
+            return np.zeros(len(hashes), dtype=bool), np.zeros(len(hashes))
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.numbers[at], len(self.hashes))
+        known = self.hashes[at] == hashes
+        return known, np.where(known, self.logs[at], 0.0)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, words.Texts]]:
+def _slices(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, words.Texts]]:
     column = batch.column("text")
-    for first, last in words.slices(column, SLICE_BYTES):
+    for first, last in words.slices(column, size):
         yield first, last, words.texts_of(column, first, last, lower=True)
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, _, texts in _slices(batch):
-            found, n = np.unique(texts.word_hashes(), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.signed(found)), pa.array(n)], names=["word", "n"])
+def _pairs(texts: words.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words, and of each pair of neighbours, with the place of its first word."""
+    hashes = texts.word_hashes()
+    first = np.flatnonzero(texts.inside(2))
+    return hashes, words.windows_hash(hashes, 2)[first], first
+
+
+def _part(pairs: np.ndarray, part: int, parts: int) -> np.ndarray:
+    return (pairs >> words.U64(_PART_BITS)) % words.U64(parts) == part
 
 
-def counted_words(docs: DataFrame, vocabulary: int = FREQUENT) -> Words:
-    """The most frequent words of all texts; only they come to the driver. A view of the corpus: scores do not use it."""
-    table = scratch_table(docs.select("text").mapInArrow(_count_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total = table.agg(F.sum("n")).first()[0] or 0
-    top = table.orderBy(F.desc("n"), "word").limit(vocabulary).toArrow()
-    hashes, n = np.asarray(top["word"]).view(np.uint64), np.asarray(top["n"])
-    order = np.lexsort((hashes.view(np.int64), -n))
-    hashes, n = hashes[order], n[order]
-    ascending = np.argsort(hashes)
-    return Words(hashes[ascending], ascending, np.append(n, total - n.sum()))
+def _in_part(pair: str, part: int, parts: int) -> Column:
+    return F.expr(f"shiftrightunsigned({pair}, {_PART_BITS}) % {parts} = {part}")
+
+
+def _count_words(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, texts in _slices(batch, size):
+                found, n = np.unique(texts.word_hashes(), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(words.signed(found)), pa.array(n)], names=["word", "n"])
+
+    return run
 
 
-def _count_all_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n = sum(len(texts.starts) for _, _, texts in _slices(batch))
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+def _count_pairs(size: int, part: int, parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, texts in _slices(batch, size):
+                hashes, pairs, first = _pairs(texts)
+                chosen = _part(pairs, part, parts)
+                found, at, n = np.unique(pairs[chosen], return_index=True, return_counts=True)
+                at = first[chosen][at]
+                arrays = [words.signed(found), words.signed(hashes[at]), words.signed(hashes[at + 1]), n]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["pair", "a", "b", "n"])
 
+    return run
 
-def _squeezed(values: np.ndarray) -> bytes:
-    """64-bit values as planes of bytes, of which the high ones are mostly zeros."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T
-    return pa.compress(np.ascontiguousarray(planes), codec="zstd", asbytes=True)
 
+def counted_words(rows: DataFrame) -> DataFrame:
+    """word (its hash), n: how often it stands in all texts."""
+    counts = rows.select("text").mapInArrow(_count_words(SLICE_BYTES), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return scratch_table(counts, "words")
 
-def _unsqueezed(data: bytes, n: int, kind=np.uint64) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), dtype=np.uint8).reshape(8, n)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
+def seen_pairs(rows: DataFrame) -> DataFrame:
+    """pair, a, b (hashes) and n of the pairs that stand ``SEEN`` times or more."""
+    parts = []
+    for part in range(PARTS):
+        counts = rows.select("text").mapInArrow(_count_pairs(SLICE_BYTES, part, PARTS), "pair bigint, a bigint, b bigint, n bigint")
+        counts = counts.groupBy("pair").agg(F.sum("n").alias("n"), F.any_value("a").alias("a"), F.any_value("b").alias("b"))
+        parts.append(scratch_table(counts.where(F.col("n") >= SEEN), "pairs"))
+        forget_shuffles(rows.sparkSession)
+    return functools.reduce(DataFrame.unionByName, parts)
 
-def _steps(keys: np.ndarray) -> np.ndarray:
-    """Ascending keys as the first one and the distances between neighbours."""
-    return np.diff(keys, prepend=words.U64(0))
 
+def gains(seen: DataFrame, counted: DataFrame, total: int) -> DataFrame:
+    """pair, n, gain: what a seen pair scores above its second word alone."""
+    first = counted.select(F.col("word").alias("a"), F.col("n").alias("_na"))
+    second = counted.select(F.col("word").alias("b"), F.col("n").alias("_nb"))
+    gain = F.log10("n") + math.log10(total / ALPHA) - F.log10("_na") - F.log10("_nb")
+    return scratch_table(seen.join(first, "a").join(second, "b").select("pair", "n", gain.alias("gain")), "gains")
 
-def _keys(distinct: np.ndarray, number: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All words and pairs of a slice as ascending hashes, the place there of each distinct
-    word and of each pair of neighbours, and the texts of the pairs."""
-    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    inside = owner[1:] == owner[:-1]
-    pairs = words.windows_hash(distinct[number], 2)[inside]
-    keys, at = np.unique(np.concatenate([distinct, pairs]), return_inverse=True)
-    return keys, at, owner[:-1][inside]
 
+def _most_frequent(table: DataFrame, key: str, log: Column) -> Known:
+    """The ``FREQUENT`` most frequent rows; only they come to the driver."""
+    top = table.orderBy(F.desc("n"), key).limit(FREQUENT).select(key, log.alias("log")).toArrow()
+    return Known(np.asarray(top[key]).view(np.uint64), np.asarray(top["log"], dtype=np.float64))
 
-# A message of a slice's keys to a bucket and its answer have ``bucket``, ``n`` and ``size``; a slice itself has the rest.
-MESSAGE = "to bigint, slice bigint, bucket int, size bigint, keys binary, n binary, doc_ids array<bigint>, bounds binary, words binary, numbers binary"
-_TYPES = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
-_NAMES = [c.split()[0] for c in MESSAGE.split(", ")]
 
+def _explode_words(size: int, known_words: Known, known_pairs: Known, log_total: float):
+    """A row per document with what its known words and pairs score, and a row per other word.
 
-def _explode(buckets: int):
-    """Per slice, a row of its documents as numbers of words, and a row of keys per bucket."""
+    A document's row has its text's hash as word, so such rows spread like others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, done = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
-            for first, last, texts in _slices(batch):
-                me, done = part + done, done + 1
-                distinct, number, n = np.unique(texts.word_hashes(), return_inverse=True, return_counts=True)
-                # Low numbers for frequent words are short ones.
-                order = np.argsort(-n, kind="stable")
-                rank = np.empty(len(order), dtype=np.int64)
-                rank[order] = np.arange(len(order))
-                distinct, number, n = distinct[order], rank[number], n[order]
-                keys, at, owner = _keys(distinct, number, texts.bounds)
-                n = np.bincount(at, weights=np.concatenate([n, np.ones(len(owner))]), minlength=len(keys)).astype(np.int64)
-                doc_ids = batch.column("doc_id").slice(first, last - first).to_pylist()
-                to = int(words.signed(words.mixed(np.array([me], dtype=np.uint64)))[0])
-                rows = [(to, me, None, len(number), None, None, doc_ids, texts.bounds.astype(np.int64).tobytes(), distinct.tobytes(), _squeezed(number))]
-                bucket = (((keys >> words.U64(32)) * words.U64(buckets)) >> words.U64(32)).astype(np.int64)
-                present, starts = np.unique(bucket, return_index=True)
-                for b, x, y in zip(present.tolist(), starts, np.append(starts, len(keys))[1:], strict=True):
-                    rows.append((b, me, b, int(y - x), _squeezed(_steps(keys[x:y])), _squeezed(n[x:y]), None, None, None, None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], names=_NAMES)
+            for first, last, texts in _slices(batch, size):
+                hashes, pairs, at = _pairs(texts)
+                owner, n = texts.text_of_word, np.diff(texts.bounds)
+                known, logs = known_words.find(hashes)
+                score = np.bincount(owner, weights=logs, minlength=len(n)) - n * log_total + np.maximum(0, n - 1) * math.log10(ALPHA)
+                score += np.bincount(owner[at], weights=known_pairs.find(pairs)[1], minlength=len(n))
+                ids, keys = (batch.column(c).slice(first, last - first) for c in ("doc_id", "_text"))
+                yield pa.RecordBatch.from_arrays([ids, keys, keys, pa.array(score), pa.array(n, pa.int64())], names=_WORD_NAMES)
+                rare = np.flatnonzero(~known)
+                rows = pa.array(owner[rare])
+                nothing = [pa.nulls(len(rare), pa.float64()), pa.nulls(len(rare), pa.int64())]
+                yield pa.RecordBatch.from_arrays([ids.take(rows), keys.take(rows), pa.array(words.signed(hashes[rare])), *nothing], names=_WORD_NAMES)
 
     return run
 
 
-def _answer(group: pa.Table) -> pa.Table:
-    """Each message of keys with the counts of all slices; slices pass through."""
-    asked = group.filter(group["bucket"].is_valid())
-    if not asked.num_rows:
-        return group
-    sizes = asked["size"].to_pylist()
-    keys = np.concatenate([np.cumsum(_unsqueezed(k.as_py(), n), dtype=np.uint64) for k, n in zip(asked["keys"], sizes, strict=True)])
-    n = np.concatenate([_unsqueezed(c.as_py(), size, np.int64) for c, size in zip(asked["n"], sizes, strict=True)])
-    order = np.argsort(keys, kind="stable")
-    first = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
-    total = np.empty_like(n)
-    total[order] = np.repeat(np.add.reduceat(n[order], first), np.diff(np.append(first, len(n))))
-    edges = np.cumsum([0, *sizes])
-    answers = pa.array([_squeezed(total[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
-    asked = asked.set_column(_NAMES.index("n"), "n", answers).set_column(_NAMES.index("keys"), "keys", pa.nulls(len(answers), pa.binary()))
-    return pa.concat_tables([asked.cast(group.schema), group.filter(group["bucket"].is_null())])
-
-
-def _score(total: int):
-    log_total = np.log10(max(1, total))
-
-    def run(group: pa.Table) -> pa.Table:
-        (own,) = group.filter(group["bucket"].is_null()).to_pylist()
-        answers = group.filter(group["bucket"].is_valid()).sort_by("bucket")
-        bounds = np.frombuffer(own["bounds"], dtype=np.int64)
-        distinct = np.frombuffer(own["words"], dtype=np.uint64)
-        number = _unsqueezed(own["numbers"], own["size"], np.int64)
-        keys, at, owner = _keys(distinct, number, bounds)
-        counts = [_unsqueezed(c.as_py(), size.as_py(), np.int64) for c, size in zip(answers["n"], answers["size"], strict=True)]
-        counts = np.concatenate([np.zeros(0, np.int64), *counts])
-        if len(counts) != len(keys):
-            raise ValueError(f"a slice asked for {len(keys)} counts and got {len(counts)}")
-        log = np.log10(counts[at[: len(distinct)]])[number]
-        n = np.diff(bounds)
-        text = np.repeat(np.arange(len(n)), n)
-        # As if no pair were seen, then what a seen one exceeds that by.
-        score = np.bincount(text, weights=log - log_total, minlength=len(n)) + np.maximum(0, n - 1) * np.log10(ALPHA)
-        inside = text[1:] == text[:-1]
-        pair = counts[at[len(distinct) :]]
-        gain = np.log10(pair) - log[:-1][inside] - (np.log10(ALPHA) + log[1:][inside] - log_total)
-        score += np.bincount(owner, weights=np.where(pair >= SEEN, gain, 0), minlength=len(n))
-        return pa.table({"doc_id": pa.array(own["doc_ids"], pa.int64()), "n_words": pa.array(n, pa.int64()), "score": pa.array(score, pa.float64())})
+_WORD_NAMES = ["doc_id", "_text", "word", "score", "n_words"]
+
+
+def _explode_pairs(size: int, known_pairs: Known, part: int, parts: int):
+    """A row per pair of this part that tasks do not know."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, texts in _slices(batch, size):
+                _, pairs, at = _pairs(texts)
+                chosen = _part(pairs, part, parts)
+                chosen[chosen] = ~known_pairs.find(pairs[chosen])[0]
+                rows = pa.array(texts.text_of_word[at[chosen]])
+                ids, keys = (batch.column(c).slice(first, last - first).take(rows) for c in ("doc_id", "_text"))
+                yield pa.RecordBatch.from_arrays([ids, keys, pa.array(words.signed(pairs[chosen]))], names=["doc_id", "_text", "pair"])
 
     return run
 
@@ -191,15 +181,45 @@ def scored(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, score (sum of decimal logarithms), mean (score a word), a row per row of ``docs``.
 
     Words are lower-cased in A-Z; a null or empty text has none, score 0 and no mean. A
-    repeated row counts again. Rows without a doc_id are scored like others.
+    repeated row counts again. Rows without a doc_id are scored like others, and columns
+    other than doc_id and text are not looked at.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    total = rows.select("text").mapInArrow(_count_all_words, "n bigint").agg(F.sum("n")).first()[0] or 0
-    parts = (
-        rows.mapInArrow(_explode(max(LEAST_BUCKETS, 2 * total // BUCKET_KEYS)), MESSAGE)
-        .groupBy("to")
-        .applyInArrow(_answer, MESSAGE)
-        .groupBy("slice")
-        .applyInArrow(_score(total), "doc_id bigint, n_words bigint, score double")
-    )
-    return parts.select("doc_id", "n_words", "score", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).alias("mean"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("_text"))
+    spark, document = docs.sparkSession, ["doc_id", "_text"]
+    with scratch_scope(spark) as scope:
+        counted = counted_words(rows)
+        total = counted.agg(F.sum("n")).first()[0] or 1
+        seen = seen_pairs(rows)
+        gained = gains(seen, counted, total)
+        forget_shuffles(spark)
+        known_words = _most_frequent(counted, "word", F.log10("n"))
+        known_pairs = _most_frequent(gained, "pair", F.col("gain"))
+
+        exploded = rows.mapInArrow(_explode_words(SLICE_BYTES, known_words, known_pairs, math.log10(total)), "doc_id bigint, _text bigint, word bigint, score double, n_words bigint")
+        # A word that stands once has a logarithm of 0.
+        logs = counted.where("n > 1").select(F.col("word").alias("_word"), F.log10("n").alias("_log"))
+        joined = exploded.join(logs, (F.col("word") == F.col("_word")) & F.col("score").isNull(), "left")
+        worth = F.coalesce("score", "_log", F.lit(0.0))
+        by_words = joined.groupBy(*document).agg(F.sum(worth).alias("score"), F.sum("n_words").alias("n_words"), F.count("n_words").alias("copies"))
+        parts = [scratch_table(by_words, "word-scores")]
+        for part in range(PARTS):
+            forget_shuffles(spark)
+            pairs = rows.mapInArrow(_explode_pairs(SLICE_BYTES, known_pairs, part, PARTS), "doc_id bigint, _text bigint, pair bigint")
+            gain = gained.where(_in_part("pair", part, PARTS)).select("pair", "gain")
+            by_pairs = pairs.join(gain, "pair").groupBy(*document).agg(F.sum("gain").alias("score"))
+            zero = F.lit(0).cast("bigint")
+            parts.append(scratch_table(by_pairs.withColumn("n_words", zero).withColumn("copies", zero), "pair-scores"))
+        release(counted, gained)
+        forget_shuffles(spark)
+        whole = functools.reduce(DataFrame.unionByName, parts).groupBy(*document).agg(*[F.sum(c).alias(c) for c in ("score", "n_words", "copies")])
+        # Rows of one doc_id and text were summed together.
+        each = whole.select(
+            F.col("doc_id").alias("_d"),
+            F.col("_text").alias("_t"),
+            (F.col("score") / F.col("copies")).alias("score"),
+            (F.col("n_words") / F.col("copies")).cast("bigint").alias("n_words"),
+        )
+        each = scope.keep(scratch_table(each, "document-scores"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_text") == F.col("_t"))
+    mean = F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words"))
+    return rows.select("doc_id", "_text").join(each, same).select("doc_id", "n_words", "score", mean.alias("mean"))

@@ -124,9 +124,9 @@ def deal(draw: np.random.Generator, counts: np.ndarray, totals: list[int]) -> np
     return np.vstack([deal(draw, left, totals[:half]), deal(draw, counts - left, totals[half:])])
 
 
-def _children(first: int, last: int) -> list[tuple[int, int]]:
-    """The shards from ``first`` to ``last`` in at most ``FAN`` runs."""
-    parts = min(FAN, last - first)
+def _children(first: int, last: int, fan: int) -> list[tuple[int, int]]:
+    """The shards from ``first`` to ``last`` in at most ``fan`` runs."""
+    parts = min(fan, last - first)
     edges = [first + (last - first) * i // parts for i in range(parts + 1)]
     return list(zip(edges[:-1], edges[1:], strict=True))
 
@@ -139,14 +139,14 @@ def _blocks_before(shard: int, shards: int, blocks: int) -> int:
 CELLS = "first bigint, last bigint, part bigint, index bigint, count bigint"
 
 
-def _deal_groups(shards: int, blocks: int, seed: int):
+def _deal_groups(shards: int, blocks: int, seed: int, fan: int):
     """A node's children get their share of each group of sources."""
 
     def run(table: pa.Table) -> pa.Table:
         first, last = table["first"][0].as_py(), table["last"][0].as_py()
         order = np.argsort(table["part"].to_numpy(), kind="stable")
         part, counts = table["part"].to_numpy()[order], table["count"].to_numpy()[order]
-        runs = _children(first, last)
+        runs = _children(first, last, fan)
         totals = [_blocks_before(b, shards, blocks) - _blocks_before(a, shards, blocks) for a, b in runs]
         dealt = deal(np.random.default_rng([seed, 0, first, last]), counts, totals)
         child, which = np.nonzero(dealt)
@@ -189,7 +189,7 @@ def shard_quotas(quotas: DataFrame, shards: int, blocks: int, seed: int = SEED)
     while widest > 1:
         groups = cells.groupBy(*node, "part").agg(F.sum("count").alias("count"))
         shares = groups.groupBy(*node).applyInArrow(
-            _deal_groups(shards, blocks, seed), "first bigint, last bigint, part bigint, child_first bigint, child_last bigint, total bigint"
+            _deal_groups(shards, blocks, seed, FAN), "first bigint, last bigint, part bigint, child_first bigint, child_last bigint, total bigint"
         )
         cells = cells.groupBy(*node, "part").cogroup(shares.groupBy(*node, "part")).applyInArrow(_deal_sources(seed), CELLS)
         cells = scratch_table(cells, "shard-quotas")

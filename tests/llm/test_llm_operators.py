@@ -323,24 +323,16 @@ def test_backoff_scores(spark, odd_docs, empty_docs):
     assert backoff.scored(odd_docs).count() == odd_docs.count()
 
 
-def test_backoff_without_frequent_pairs(spark, monkeypatch):
-    """Pairs counted apart and pairs that meet in buckets score alike; rare words become one."""
-    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    usual = {r["doc_id"]: r["score"] for r in backoff.scored(frame).collect()}
-    monkeypatch.setattr(backoff, "FREQUENT", 2)
-    assert {r["doc_id"]: r["score"] for r in backoff.scored(frame).collect()} == pytest.approx(usual)
-    known = backoff.counted_words(frame, 10)
-    assert len(known.hashes) == 10 and known.counts.sum() == sum(r["n_words"] for r in backoff.scored(frame).collect())
-
-
-def test_backoff_counts_every_word_in_its_own_right(spark, monkeypatch):
-    """More words than any limit lets through, in many slices and buckets, against BACKOFF_SQL."""
+@pytest.mark.parametrize(("frequent", "parts", "slice_bytes"), [(0, 1, 1 << 20), (10, 4, 2_000)])
+def test_backoff_counts_every_word_in_its_own_right(spark, monkeypatch, frequent, parts, slice_bytes):
+    """With no or few frequent words, in few or many slices and parts, against BACKOFF_SQL."""
     import duckdb
 
-    monkeypatch.setattr(backoff, "SLICE_BYTES", 2_000)
-    monkeypatch.setattr(backoff.counted_words, "__defaults__", (10,))
+    for name, value in (("SLICE_BYTES", slice_bytes), ("FREQUENT", frequent), ("PARTS", parts)):
+        monkeypatch.setattr(backoff, name, value)
     frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3)
-    found = {r["doc_id"]: (r["n_words"], r["score"]) for r in backoff.scored(frame).collect()}
+    clashing = frame.selectExpr("*", "1 AS word", "2 AS score", "3 AS n_words", "4 AS pair", "5 AS copies", "6 AS _text")
+    found = {r["doc_id"]: (r["n_words"], r["score"]) for r in backoff.scored(clashing).collect()}
     with duckdb.connect() as db:
         db.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
         expected = {r[0]: (r[1], r[2]) for r in db.execute(queries.BACKOFF_SQL).fetchall()}
