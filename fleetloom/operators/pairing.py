@@ -75,7 +75,8 @@ def pair_rows(
     Where the right side is shorter, every right row is used once, the missing
     rows are drawn from it with replacement, and all are dealt out at random.
     Where it is not, it stays in order and the left side is filled with nulls. A
-    key with left rows but no right ones gives nothing.
+    key with left rows but no right ones gives nothing, and neither do rows without a
+    key: they belong to no pair of files. ``pair_sizes`` does not count them either.
 
     Without ``keys``, only keys with rows on both sides are paired.
     """
