@@ -36,7 +36,7 @@ WIDTH, PERCENT = 4, 85
 SMALL_MOST = 128
 # A shingle found this often in shared blocks of text is ordered last; at most so many are.
 COMMON, COMMON_MOST = 64, 100_000
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 # A set's size and the place of a shingle in it, as one number: size * AT + place.
 AT = 1 << 31
 # The documents whose sets are compared are sent to all tasks up to this many.

@@ -7,6 +7,8 @@ is the difference of two prefix sums.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,8 +130,27 @@ class Texts:
         return self.text_of_word[: max(0, len(self.starts) - size + 1)]
 
 
+@functools.cache
+def _trimmer():
+    """The GNU library's malloc_trim, where there is one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return lambda pad: None
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system.
+
+    A Python worker stays for the tasks to come. What it keeps for itself is missing to the
+    executor beside it.
+    """
+    pa.default_memory_pool().release_unused()
+    _trimmer()(0)
+
+
 def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges whose texts have about ``size`` bytes."""
+    """Row ranges whose texts have about ``size`` bytes; after the last one, freed memory is given back."""
     lengths = np.asarray(pc.fill_null(pc.binary_length(column), 0))
     total, first = 0, 0
     for i, n in enumerate(lengths):
@@ -139,6 +160,7 @@ def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int
         total += int(n)
     if first < len(lengths):
         yield first, len(lengths)
+    release_memory()
 
 
 def bytes_of(column: pa.Array, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
