@@ -1,6 +1,7 @@
 """Each operator on rows of every odd kind: null, empty, repeated, tied, long, clashing names."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -468,6 +469,35 @@ def test_words_in_tables_come_out_wherever_they_stand():
         assert found == sorted(f"w{i}" for i in range(n)), page
 
 
+def test_hostile_pages_end_soon():
+    """Deep, unclosed and spread-out markup: linear time, no recursion, bounded output."""
+    started = time.monotonic()
+    for name in ("div", "b", "p", "li", "ul", "table", "td", "tr", "svg", "form", "option", "dl"):
+        layout.visible_text(f"<{name}>x" * 50_000)
+        layout.visible_text(f"<{name}>x" * 25_000 + f"</{name}>" * 25_000)
+    assert layout.visible_text("<table><tr><td>" * 10_000 + "x") == "x"
+    assert len(layout.visible_text("<table>" + "<tr><td colspan=100 rowspan=1000>x" * 20_000)) < 10_000_000
+    assert len(layout.visible_text("<table><tr><td>" + "w" * 100_000 + "<td>x" + "<tr><td>a<td>b" * 20_000)) < 500_000
+    assert layout.visible_text("a " + "<a " * 100_000) == "a" and layout.visible_text("a" + "<!" * 100_000) == "a"
+    assert layout.visible_text("&#" + "1" * 6000 + ";&#0000065;&#x41;") == "\ufffdAA"
+    assert time.monotonic() - started < 240
+
+
+def test_comments_tags_and_visibility():
+    seen = {
+        "a<!-->b": "ab",
+        "a<!--->b<!-- x --!>c": "abc",
+        "a<!-- x": "a",
+        '<a href="x"">t</a> u': "t u",
+        "<p style='visibility:hidden'>a<b style='visibility: visible'>b</b>c</p>d": "b\n\nd",
+        "<ol reversed><li>a<li>b<li value=9>c<li>d</ol>": "4. a\n3. b\n9. c\n8. d",
+        "<ol start=0><li>a<li value=5>b<li>c</ol>": "0. a\n5. b\n6. c",
+        "<table><tr><td>a<table><tr><td>b<td>c</table>d<td>e</table>": "a b c d  e",
+    }
+    for page, text_seen in seen.items():
+        assert layout.visible_text(page) == text_seen, page
+
+
 def test_pages_of_every_kind(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x"), (2, None, None), (None, "u", ""), (1, "u", "<p>x")], "page_id bigint, url string, html string")
     found = sorted(((r["page_id"] or 0), r["text"]) for r in layout.rendered(pages).collect())
