@@ -33,7 +33,7 @@ from fleetloom.session import forget_shuffles, release, scratch_scope, scratch_t
 
 ALPHA = 0.4
 SEEN = 2
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 # Pairs are counted and joined in so many parts by hash, one after the other.
 PARTS = 3
 # Words, and pairs, that every task knows.
