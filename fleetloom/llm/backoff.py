@@ -21,11 +21,11 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetloom.llm import words
@@ -109,15 +109,24 @@ def counted_words(rows: DataFrame) -> DataFrame:
     return scratch_table(counts, "words")
 
 
+def _seen_part(rows: DataFrame, part: int) -> DataFrame:
+    counts = rows.select("text").mapInArrow(_count_pairs(SLICE_BYTES, part, PARTS), "pair bigint, a bigint, b bigint, n bigint")
+    counts = counts.groupBy("pair").agg(F.sum("n").alias("n"), F.any_value("a").alias("a"), F.any_value("b").alias("b"))
+    return scratch_table(counts.where(F.col("n") >= SEEN), "pairs")
+
+
+def _in_turn(spark: SparkSession, work: Callable[[int], DataFrame]) -> list[DataFrame]:
+    """``work`` of every part. What a part was made of is no longer referred to when it is done, so its shuffle files go."""
+    made = []
+    for part in range(PARTS):
+        made.append(work(part))
+        forget_shuffles(spark)
+    return made
+
+
 def seen_pairs(rows: DataFrame) -> DataFrame:
     """pair, a, b (hashes) and n of the pairs that stand ``SEEN`` times or more."""
-    parts = []
-    for part in range(PARTS):
-        counts = rows.select("text").mapInArrow(_count_pairs(SLICE_BYTES, part, PARTS), "pair bigint, a bigint, b bigint, n bigint")
-        counts = counts.groupBy("pair").agg(F.sum("n").alias("n"), F.any_value("a").alias("a"), F.any_value("b").alias("b"))
-        parts.append(scratch_table(counts.where(F.col("n") >= SEEN), "pairs"))
-        forget_shuffles(rows.sparkSession)
-    return functools.reduce(DataFrame.unionByName, parts)
+    return functools.reduce(DataFrame.unionByName, _in_turn(rows.sparkSession, lambda part: _seen_part(rows, part)))
 
 
 def gains(seen: DataFrame, counted: DataFrame, total: int) -> DataFrame:
@@ -177,6 +186,29 @@ def _explode_pairs(size: int, known_pairs: Known, part: int, parts: int):
     return run
 
 
+DOCUMENT = ["doc_id", "_text"]
+
+
+def _word_scores(rows: DataFrame, counted: DataFrame, known_words: Known, known_pairs: Known, log_total: float) -> DataFrame:
+    """doc_id, _text, score, n_words, copies: what known words and pairs and all other words score."""
+    exploded = rows.mapInArrow(_explode_words(SLICE_BYTES, known_words, known_pairs, log_total), "doc_id bigint, _text bigint, word bigint, score double, n_words bigint")
+    # A word that stands once has a logarithm of 0.
+    logs = counted.where("n > 1").select(F.col("word").alias("_word"), F.log10("n").alias("_log"))
+    joined = exploded.join(logs, (F.col("word") == F.col("_word")) & F.col("score").isNull(), "left")
+    worth = F.coalesce("score", "_log", F.lit(0.0))
+    sums = joined.groupBy(*DOCUMENT).agg(F.sum(worth).alias("score"), F.sum("n_words").alias("n_words"), F.count("n_words").alias("copies"))
+    return scratch_table(sums, "word-scores")
+
+
+def _pair_scores(rows: DataFrame, gained: DataFrame, known_pairs: Known, part: int) -> DataFrame:
+    """The same columns: what the seen pairs of this part that tasks do not know gain."""
+    pairs = rows.mapInArrow(_explode_pairs(SLICE_BYTES, known_pairs, part, PARTS), "doc_id bigint, _text bigint, pair bigint")
+    gain = gained.where(_in_part("pair", part, PARTS)).select("pair", "gain")
+    zero = F.lit(0).cast("bigint")
+    sums = pairs.join(gain, "pair").groupBy(*DOCUMENT).agg(F.sum("gain").alias("score"))
+    return scratch_table(sums.withColumn("n_words", zero).withColumn("copies", zero), "pair-scores")
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, score (sum of decimal logarithms), mean (score a word), a row per row of ``docs``.
 
@@ -185,7 +217,7 @@ def scored(docs: DataFrame) -> DataFrame:
     other than doc_id and text are not looked at.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("_text"))
-    spark, document = docs.sparkSession, ["doc_id", "_text"]
+    spark = docs.sparkSession
     with scratch_scope(spark) as scope:
         counted = counted_words(rows)
         total = counted.agg(F.sum("n")).first()[0] or 1
@@ -195,23 +227,12 @@ def scored(docs: DataFrame) -> DataFrame:
         known_words = _most_frequent(counted, "word", F.log10("n"))
         known_pairs = _most_frequent(gained, "pair", F.col("gain"))
 
-        exploded = rows.mapInArrow(_explode_words(SLICE_BYTES, known_words, known_pairs, math.log10(total)), "doc_id bigint, _text bigint, word bigint, score double, n_words bigint")
-        # A word that stands once has a logarithm of 0.
-        logs = counted.where("n > 1").select(F.col("word").alias("_word"), F.log10("n").alias("_log"))
-        joined = exploded.join(logs, (F.col("word") == F.col("_word")) & F.col("score").isNull(), "left")
-        worth = F.coalesce("score", "_log", F.lit(0.0))
-        by_words = joined.groupBy(*document).agg(F.sum(worth).alias("score"), F.sum("n_words").alias("n_words"), F.count("n_words").alias("copies"))
-        parts = [scratch_table(by_words, "word-scores")]
-        for part in range(PARTS):
-            forget_shuffles(spark)
-            pairs = rows.mapInArrow(_explode_pairs(SLICE_BYTES, known_pairs, part, PARTS), "doc_id bigint, _text bigint, pair bigint")
-            gain = gained.where(_in_part("pair", part, PARTS)).select("pair", "gain")
-            by_pairs = pairs.join(gain, "pair").groupBy(*document).agg(F.sum("gain").alias("score"))
-            zero = F.lit(0).cast("bigint")
-            parts.append(scratch_table(by_pairs.withColumn("n_words", zero).withColumn("copies", zero), "pair-scores"))
+        parts = [_word_scores(rows, counted, known_words, known_pairs, math.log10(total))]
+        forget_shuffles(spark)
+        parts += _in_turn(spark, lambda part: _pair_scores(rows, gained, known_pairs, part))
         release(counted, gained)
         forget_shuffles(spark)
-        whole = functools.reduce(DataFrame.unionByName, parts).groupBy(*document).agg(*[F.sum(c).alias(c) for c in ("score", "n_words", "copies")])
+        whole = functools.reduce(DataFrame.unionByName, parts).groupBy(*DOCUMENT).agg(*[F.sum(c).alias(c) for c in ("score", "n_words", "copies")])
         # Rows of one doc_id and text were summed together.
         each = whole.select(
             F.col("doc_id").alias("_d"),
