@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from fleetloom import fixed
 from fleetloom.functions.columns import quoted
 from fleetloom.operators.lookups import fits_broadcast
+from fleetloom.operators.position import running_totals
 from fleetloom.session import scratch_table
 
 
@@ -67,7 +68,15 @@ def _cell(value: Column, level: Column) -> Column:
 
 
 def band_table_join(
-    df: DataFrame, value: str, table: DataFrame, lo: str = "lo", hi: str = "hi", label: str = "label", name: str = "range_label"
+    df: DataFrame,
+    value: str,
+    table: DataFrame,
+    lo: str = "lo",
+    hi: str = "hi",
+    label: str = "label",
+    name: str = "range_label",
+    totals: Mapping[str, str] | None = None,
+    rows_name: str = "rows",
 ) -> DataFrame:
     """One copy of a row for every band of ``table`` it is in, bounds included; any number of bands.
 
@@ -77,9 +86,15 @@ def band_table_join(
     they are counted small; else both sides are written first, and adaptive execution
     splits cells that hold many rows. Bands with a null or NaN bound, or whose ``lo`` is
     above ``hi``, hold nothing; equal bands count each. Rows without a value drop out.
+
+    With ``totals`` (names and the whole-number or decimal columns they sum) the copies are
+    counted and summed by label and not made, as there are as many as rows times bands where
+    bands are long: a row per label that holds any, with ``rows_name`` and the totals.
     """
     low, high = quoted(lo).cast("double"), quoted(hi).cast("double")
     bands = table.where((low <= high) & ~F.isnan(low) & ~F.isnan(high)).select(low.alias("_lo"), high.alias("_hi"), quoted(label).alias("_label"))
+    if totals is not None:
+        return _band_table_totals(df, value, bands, name, totals, rows_name)
     length = F.col("_hi") - F.col("_lo")
     level = F.ceil(F.log(F.greatest(length, F.abs("_hi") * 2.0**-40, F.abs("_lo") * 2.0**-40, F.lit(2.0**-60))) / math.log(_CELL_BASE))
     bounded = (F.abs("_lo") < float("inf")) & (F.abs("_hi") < float("inf")) & (length < float("inf"))
@@ -99,6 +114,35 @@ def band_table_join(
     return met.select(*[quoted(c) for c in df.columns], F.col("_label").alias(name))
 
 
+def _band_table_totals(df: DataFrame, value: str, bands: DataFrame, name: str, totals: Mapping[str, str], rows_name: str) -> DataFrame:
+    """Rows and sums per label from running totals over values and both ends of the bands, in one order.
+
+    A band holds what has come by its upper end less what had come before its lower one.
+    """
+    kinds = {t: df.agg(F.sum(quoted(c))).schema[0].dataType for t, c in totals.items()}
+    if any(isinstance(k, (T.FloatType, T.DoubleType)) for k in kinds.values()):
+        raise ValueError("totals are sums of whole numbers or decimals")
+    exact = {t: T.DecimalType(38, k.scale if isinstance(k, T.DecimalType) else 0) for t, k in kinds.items()}
+    # Per total i its sum _s and the values _n that are not null; 0.0 is added so that -0.0 stands where 0.0 does.
+    rows = df.withColumn("_value", number(df, value).cast("double") + F.lit(0.0)).where(F.col("_value").isNotNull() & ~F.isnan("_value"))
+    sums = [F.count(F.lit(1)).cast("decimal(38,0)").alias("_rows")]
+    for i, (t, c) in enumerate(totals.items()):
+        sums += [F.coalesce(F.sum(quoted(c).cast(exact[t])), F.lit(0)).cast(exact[t]).alias(f"_s{i}"), F.count(quoted(c)).cast("decimal(38,0)").alias(f"_n{i}")]
+    values = rows.groupBy("_value").agg(*sums)
+    counted = values.columns[1:]
+    ends = F.array(
+        F.struct((F.col("_lo") + F.lit(0.0)).alias("_value"), F.lit(0).alias("_kind"), F.lit(-1).alias("_sign")),
+        F.struct((F.col("_hi") + F.lit(0.0)).alias("_value"), F.lit(2).alias("_kind"), F.lit(1).alias("_sign")),
+    )
+    ends = bands.select("_label", F.explode(ends).alias("_end")).select("_label", "_end.*")
+    ends = ends.groupBy("_value", "_kind", "_label").agg(F.sum("_sign").alias("_sign"))
+    line = values.withColumn("_kind", F.lit(1)).unionByName(ends, allowMissingColumns=True)
+    met = running_totals(line, ["_value", "_kind", "_label"], {f"{c}_before": F.coalesce(F.col(c), F.lit(0)) for c in counted})
+    met = met.where("_sign is not null").groupBy("_label").agg(*[F.sum(F.col("_sign") * F.col(f"{c}_before")).alias(c) for c in counted])
+    of_label = [F.when(F.col(f"_n{i}") > 0, F.col(f"_s{i}")).cast(kinds[t]).alias(t) for i, t in enumerate(totals)]
+    return met.where("_rows > 0").select(F.col("_label").alias(name), F.col("_rows").cast("bigint").alias(rows_name), *of_label)
+
+
 def band_counts(
     df: DataFrame, src_file: str, value: str, bands: Iterable[Band] = DEFAULT_BANDS, label: str = "range_label"
 ) -> DataFrame:

@@ -13,7 +13,7 @@ distances.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -184,26 +184,32 @@ def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "pos") -
     return index_within(df, [], order, name)
 
 
-def running_total(df: DataFrame, order: Sequence[Column | str], value: Column, name: str) -> DataFrame:
-    """Sum of ``value`` over all earlier rows along ``order``; 0 for the first."""
+def running_totals(df: DataFrame, order: Sequence[Column | str], totals: Mapping[str, Column]) -> DataFrame:
+    """Sums over all earlier rows along ``order``, a column per name; 0 for the first row."""
     kept = [quoted(c) for c in df.columns]
-    sliced = sorted_slices(df, order, name, [*kept, value.alias("_value")])
+    values = {name: f"_value{i}" for i, name in enumerate(totals)}
+    sliced = sorted_slices(df, order, "-".join(totals), [*kept, *[totals[n].alias(v) for n, v in values.items()]])
     before_slice = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         sliced.groupBy("_slice")
-        .agg(F.sum("_value").alias("_sum"))
+        .agg(*[F.sum(v).alias(v) for v in values.values()])
         # One row per slice.
-        .select("_slice", F.coalesce(F.sum("_sum").over(before_slice), F.lit(0)).alias("_start"))
+        .select("_slice", *[F.coalesce(F.sum(v).over(before_slice), F.lit(0)).alias(f"_start{v}") for v in values.values()])
     )
     before_row = Window.partitionBy("_slice").orderBy("_line").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("_value").over(before_row), F.lit(0))
+    inside = {f"_inside{v}": F.coalesce(F.sum(v).over(before_row), F.lit(0)) for v in values.values()}
     return (
-        sliced.withColumn("_inside", inside)
+        sliced.withColumns(inside)
         .join(F.broadcast(starts), "_slice")
-        .select(*kept, (F.col("_start") + F.col("_inside")).alias(name))
+        .select(*kept, *[(F.col(f"_start{v}") + F.col(f"_inside{v}")).alias(n) for n, v in values.items()])
     )
 
 
+def running_total(df: DataFrame, order: Sequence[Column | str], value: Column, name: str) -> DataFrame:
+    """Sum of ``value`` over all earlier rows along ``order``; 0 for the first."""
+    return running_totals(df, order, {name: value})
+
+
 def sort_by_text_date(df: DataFrame, column: str, tie: Sequence[str], name: str = "pos") -> DataFrame:
     """Number rows by the date a text column stands for; the text stays as it is.
 

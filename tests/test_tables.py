@@ -5,6 +5,7 @@ import io
 import math
 import random
 import zipfile
+from decimal import Decimal
 
 import pytest
 from conftest import values
@@ -129,6 +130,24 @@ def test_band_table_without_bands_or_numbers(spark):
     assert bands.band_table_join(frame, "v", given.limit(0)).collect() == []
 
 
+def test_band_totals_equal_the_copies(spark):
+    """Counts and sums by label without a copy per row and band, whose number is rows times bands."""
+    draw = random.Random(4)
+    numbers = ODD + [float(draw.randint(-20, 20)) for _ in range(200)]
+    rows = [(v, draw.choice([None, 2**53, -(2**53), 7]), Decimal(draw.randint(-99, 99)) / 4) for v in numbers]
+    ends = [(draw.choice(numbers), draw.choice(numbers)) for _ in range(150)] + [(-math.inf, math.inf), (0.0, -0.0), (-0.0, 0.0), (1e300, 1e300)]
+    frame = spark.createDataFrame(rows, "v double, n bigint, d decimal(10,2)").repartition(5)
+    given = spark.createDataFrame([(i % 40 if i % 7 else None, lo, hi) for i, (lo, hi) in enumerate(ends)], "label int, lo double, hi double")
+    met = bands.band_table_join(frame, "v", given, totals={"n": "n", "d": "d"}, rows_name="k")
+    copies = bands.band_table_join(frame, "v", given).groupBy("range_label")
+    expected = copies.agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("n").cast("decimal(38,0)")).alias("n"), F.sum("d").alias("d"))
+    assert values(met.withColumn("n", F.col("n").cast("decimal(38,0)"))) == values(expected) != []
+    assert met.schema["d"].dataType == expected.schema["d"].dataType and met.schema["n"].dataType.simpleString() == "bigint"
+    assert "Join" not in plan_of(met).replace("BroadcastHashJoin", "")
+    with pytest.raises(ValueError, match="whole numbers"):
+        bands.band_table_join(frame, "v", given, totals={"v": "v"})
+
+
 def test_ranks_of_cells_on_both_ways(spark, monkeypatch):
     rows = [("hot", i, f"c{i}" if i % 3 else None, None) for i in range(200)] + [("cold", 1, None, "x"), ("cold", 0, "y", "z"), (None, 5, "n", None)]
     frame = spark.createDataFrame(rows, "f string, o int, a string, b string").repartition(5)
