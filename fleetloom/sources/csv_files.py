@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -116,16 +117,46 @@ def _parse_text(text: str) -> Iterator[list[str]]:
     return csv.reader(io.StringIO(text, newline=""))
 
 
+def _parse_content(content: pa.Buffer, added: bytes = b"") -> Iterator[list[str]]:
+    """The rows of a whole file, decoded as they are read."""
+    csv.field_size_limit(sys.maxsize)
+    parts = io.BufferedReader(pa.BufferReader(content)) if not added else io.BytesIO(content.to_pybytes() + added)
+    return csv.reader(io.TextIOWrapper(parts, "utf-8-sig", newline=""))
+
+
+def _checked_rows(content: pa.Buffer) -> Iterator[list[str]]:
+    """The rows of a whole file; a fault anywhere in it is raised before the first one."""
+    count, last = 0, None
+    for last in _parse_content(content):
+        count += 1
+    # The line end that closes the file is no part of a cell whose quote is never closed.
+    unclosed = last and last[-1].endswith("\n") and content.to_pybytes()[-1:] == b"\n" and sum(1 for _ in _parse_content(content, b"x\n")) == count
+
+    def rows() -> Iterator[list[str]]:
+        for i, row in enumerate(_parse_content(content), 1):
+            if unclosed and i == count:
+                row[-1] = row[-1][:-1]
+            yield row
+
+    return rows()
+
+
 class RowBuffer:
     """Rows of many files, handed on in Arrow batches."""
 
     def __init__(self) -> None:
         self._columns: list[list] = [[], [], [], []]
 
-    def add(self, path: str, rows: list[list[str]], error: str | None = None) -> Iterator[pa.RecordBatch]:
-        """Take a file's rows; a file without any leaves one row that notes it."""
-        first = 0 if rows else -1
-        rows = rows or [None]
+    def add(self, path: str, rows: Iterable[list[str]], error: str | None = None) -> Iterator[pa.RecordBatch]:
+        """Take a file's rows as they come; a file without any leaves one row that notes it."""
+        rows, first = iter(rows), 0
+        while some := list(itertools.islice(rows, _ROWS_PER_BATCH - len(self._columns[0]))):
+            yield from self._put(path, first, some, error)
+            first += len(some)
+        if not first:
+            yield from self._put(path, -1, [None], error)
+
+    def _put(self, path: str, first: int, rows: list, error: str | None) -> Iterator[pa.RecordBatch]:
         new = ([path] * len(rows), range(first, first + len(rows)), rows, [error] * len(rows))
         for column, values in zip(self._columns, new):
             column.extend(values)
@@ -135,9 +166,8 @@ class RowBuffer:
     def rest(self) -> Iterator[pa.RecordBatch]:
         columns, self._columns = self._columns, [[], [], [], []]
         types = (pa.string(), pa.int64(), pa.list_(pa.string()), pa.string())
-        for start in range(0, len(columns[0]), _ROWS_PER_BATCH):
-            part = [pa.array(c[start : start + _ROWS_PER_BATCH], t) for c, t in zip(columns, types)]
-            yield pa.RecordBatch.from_arrays(part, ["src_file", "row_no", "cells", "error"])
+        if columns[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["src_file", "row_no", "cells", "error"])
 
 
 def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,12 +176,7 @@ def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
             rows, error = [], None
             try:
-                text = content.as_py().decode("utf-8-sig")
-                rows = list(_parse_text(text))
-                last = rows[-1] if rows else None
-                # The line end that closes the file is no part of a cell whose quote is never closed.
-                if last and text.endswith("\n") and last[-1].endswith("\n") and len(list(_parse_text(text + "x\n"))) == len(rows):
-                    last[-1] = last[-1][:-1]
+                rows = _checked_rows(content.as_buffer())
             except (UnicodeDecodeError, csv.Error) as problem:
                 error = f"{type(problem).__name__}: {problem}"
             yield from buffer.add(path, rows, error)

@@ -4,8 +4,10 @@ import csv
 import datetime as dt
 import io
 import random
+import tracemalloc
 import zipfile
 
+import pyarrow as pa
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
@@ -417,3 +419,26 @@ def test_line_ends_as_the_csv_module_sees_them():
         for inside in (False, True):
             rows = list(csv.reader(io.StringIO(f"{'\"' if inside else ''}{line}\nnext\n", newline="")))
             assert csv_files._ends_inside(line, inside) == (len(rows) < 2)
+
+
+def test_a_whole_file_is_parsed_in_little_memory():
+    """Rows of a file leave in batches: no list of them all, no second copy of its text."""
+    content = b"".join(b'%d,123,\xd4\xa5click,"{""k"": 12}"\n' % i for i in range(150_000))
+    batch = pa.RecordBatch.from_arrays([pa.array(["a"]), pa.array([content])], ["path", "content"])
+    tracemalloc.start()
+    try:
+        found = sum(b.num_rows for b in csv_files._parse_files(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 150_000 and most < 3 * len(content)
+
+
+def test_faults_late_in_a_file_leave_none_of_its_rows():
+    contents = [b"a,b\n" * 50_000 + b"\xff\n", b"\xef\xbb\xbfx,y\r\n1,2\r\n", b'1,"2\n', b'1,"2\n"\n', b"", b"a\rb"]
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(6)]), pa.array(contents)], ["path", "content"])
+    found = [r for b in csv_files._parse_files(iter([batch])) for r in b.to_pylist()]
+    assert [(r["src_file"], r["row_no"], r["cells"]) for r in found] == [
+        ("0", -1, None), ("1", 0, ["x", "y"]), ("1", 1, ["1", "2"]), ("2", 0, ["1", "2"]), ("3", 0, ["1", "2\n"]), ("4", -1, None), ("5", 0, ["a"]), ("5", 1, ["b"]),
+    ]
+    assert [r["error"] for r in found][0].startswith("UnicodeDecodeError")
