@@ -14,9 +14,9 @@ import pyarrow as pa
 from fleetloom.llm import words
 
 # A worker remembers the ids of at most about this many pieces, or of one batch's.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 # Texts are worked on in batches of about this many bytes.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
 _WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")

@@ -3,6 +3,7 @@
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -620,3 +621,24 @@ def test_packing_is_as_good_as_can_be_on_small_instances():
         assert taken + best(left, capacity) == best(lengths, capacity)
         whole = sum(times for times, _ in packing.plan(counts, capacity))
         assert best(lengths, capacity) <= whole <= best(lengths, capacity) + 1
+
+
+def test_tokens_of_many_pieces_take_little_memory(spark, tmp_path):
+    """Texts of many different pieces, more than a worker remembers, have the tokenizer's own ids."""
+    from tokenizers import Tokenizer
+
+    from fleetloom.llm import tokens
+    from fleetloom.llm.queries import tokenizer_file
+
+    draw = random.Random(8)
+    texts = [" ".join("".join(draw.choices("abcdefghij", k=9)) for _ in range(30_000)) for _ in range(8)]
+    encoder = tokens.TokenIds(tokenizer_file())
+    column = pa.array(texts)
+    most, parts = 0, []
+    for first, last in words.slices(column, tokens.BATCH_BYTES):
+        ids, bounds = encoder.of(column, first, last)
+        parts += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+        most = max(most, len(encoder.keys))
+    assert most <= 200_000
+    own = Tokenizer.from_file(tokenizer_file())
+    assert parts == [own.encode(t, add_special_tokens=False).ids for t in texts]
