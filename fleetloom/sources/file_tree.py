@@ -14,6 +14,7 @@ import sys
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
@@ -111,43 +112,57 @@ class _TreeWriter(DataSourceArrowWriter):
         system, staging = place(self.staging)
         own, out = f"{staging}/task-{uuid.uuid4().hex}", None
         files: dict[str, list] = {}  # name: src_file, rows, error; of this task only
+        folders: set[str] = set()
+
+        def made(path: str) -> str:
+            """The path, whose folder is made once."""
+            folder = path.rpartition("/")[0]
+            if folder not in folders:
+                system.create_dir(folder, recursive=True)
+                folders.add(folder)
+            return path
+
         current = None
         try:
             for batch in iterator:
+                if not batch.num_rows:
+                    continue
+                # Once a batch, as a batch holds many short files.
                 columns = {c: batch.column(c) for c in batch.schema.names}
-                for first, last in _runs(columns["name"]) if batch.num_rows else ():
-                    part = {c: x.slice(first, last - first) for c, x in columns.items()}
-                    name = part["name"][0].as_py()
+                edges = _runs(columns["name"])
+                firsts = pa.array([first for first, _ in edges])
+                names, sources, errors = (columns[c].take(firsts).to_pylist() for c in ("name", "src_file", "error"))
+                numbered = np.concatenate([[0], np.cumsum(pc.fill_null(pc.greater_equal(columns["row_no"], 0), False).to_numpy(zero_copy_only=False))])
+                lines, contents, copies = (columns[c] if columns[c].null_count < batch.num_rows else None for c in ("line", "content", "copy_of"))
+                for (first, last), name, source, error in zip(edges, names, sources, errors, strict=True):
                     if name != current:
                         if name in files:
                             raise ValueError(f"the rows of {name} do not stand together")
                         if out is not None:
                             out.close()
                         current, out = name, None
-                        files[name] = [part["src_file"][0].as_py(), 0, part["error"][0].as_py()]
-                        if files[name][2] is None:
-                            system.create_dir(f"{own}/{name}".rpartition("/")[0], recursive=True)
-                            out = system.open_output_stream(f"{own}/{name}")
-                    files[name][1] += pc.sum(pc.greater_equal(part["row_no"], 0)).as_py() or 0
+                        files[name] = [source, 0, error]
+                        if error is None:
+                            out = system.open_output_stream(made(f"{own}/{name}"))
+                    files[name][1] += int(numbered[last] - numbered[first])
                     if out is None:
                         continue
-                    for content in part["content"].drop_null():
+                    for content in contents.slice(first, last - first).drop_null() if contents is not None else ():
                         out.write(content.as_buffer())
-                    for source in part["copy_of"].drop_null().to_pylist():
-                        there, path = place(source)
+                    for copied_from in copies.slice(first, last - first).drop_null().to_pylist() if copies is not None else ():
+                        there, path = place(copied_from)
                         with there.open_input_stream(path) as copied:
                             while some := copied.read(_COPIED_AT_ONCE):
                                 out.write(some)
-                    lines = part["line"].drop_null().to_pylist()
-                    if lines:
-                        out.write(("\n".join(lines) + "\n").encode())
+                    text = [x for x in lines.slice(first, last - first).to_pylist() if x is not None] if lines is not None else []
+                    if text:
+                        out.write(("\n".join(text) + "\n").encode())
         finally:
             if out is not None:
                 out.close()
         for name, (_, _, error) in files.items():
             if error is None:
-                system.create_dir(f"{staging}/all/{name}".rpartition("/")[0], recursive=True)
-                system.move(f"{own}/{name}", f"{staging}/all/{name}")
+                system.move(f"{own}/{name}", made(f"{staging}/all/{name}"))
         if files:
             self._note(files, f"part-{TaskContext.get().partitionId()}.parquet")
         return WriterCommitMessage()

@@ -166,3 +166,34 @@ def test_long_stream_opens_long_files_only(spark, tree):
     assert frame.rdd.getNumPartitions() == 0
 
 
+
+
+def test_a_folder_is_made_once(tmp_path, monkeypatch):
+    """What a file costs besides its rows: a task asks for a folder once, not once a file."""
+    import types
+
+    import pyarrow as pa
+
+    from fleetloom.sources import file_tree
+
+    monkeypatch.setattr(file_tree, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    asked = []
+
+    class Counting(file_tree.fs.LocalFileSystem):
+        def create_dir(self, path, *, recursive=True):
+            asked.append(path)
+            super().create_dir(path, recursive=recursive)
+
+    monkeypatch.setattr(file_tree, "place", lambda uri: (Counting(), uri))
+    names = [n for i in range(50) for n in [f"a/{i}.csv"] * 3] + ["b/none.csv", "b/bad.csv"]
+    lines = [f"{i}" if i % 3 else None for i in range(150)] + [None, None]
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(names), pa.array(names), pa.array([*range(150), -1, -1]), pa.array(lines), pa.nulls(152, pa.binary()), pa.nulls(152, pa.string()), pa.array([None] * 151 + ["wrong"])],
+        ["src_file", "name", "row_no", "line", "content", "copy_of", "error"],
+    )
+    writer = file_tree._TreeWriter(str(tmp_path / "out"), str(tmp_path / "outcomes"))
+    writer.write(iter([rows.slice(0, 76), rows.slice(76)]))
+    writer.commit([])
+    assert len(asked) <= 10
+    assert (tmp_path / "out/a/25.csv").read_text() == "76\n77\n" and (tmp_path / "out/b/none.csv").read_text() == ""
+    assert len(list((tmp_path / "out/a").iterdir())) == 50 and not (tmp_path / "out/b/bad.csv").exists()
