@@ -12,9 +12,11 @@ and similar sets meet in a list. The size that divides small from large is the o
 least cost, from the rows both ways make and the pairs the lists of single shingles hold.
 
 A list of m sets gives fewer than m pairs with each of a few of its sets, its hubs, not all
-pairs. Those that prove similar join their components; after that only pairs of different
-components are left in a list, and all of them are compared. No pair of similar sets stays
-unjoined.
+pairs. The hubs are those with the fewest shingles before the list's: of a group of near
+copies the ones with least of their own, to which most others are similar. Pairs that prove
+similar join their components; after that only pairs of different components are left in a
+list, and all of them that its sizes and places allow are compared. No pair of similar sets
+stays unjoined.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetloom.llm import words
@@ -45,7 +47,7 @@ BROADCAST_ROWS = 500_000
 PARITY_BITS = 4096
 # Sets whose parities are made together.
 PARITY_ROWS = 256
-# The hubs of a list: its least sets by so many different hashes.
+# The hubs of a list: its sets of least place, and of these the least by so many different hashes.
 HUBS = 4
 # What a pair to compare costs, in rows of a list.
 PAIR_COST = 4
@@ -105,7 +107,10 @@ def least_overlap(n: np.ndarray | int, percent: int):
 
 
 def _list_keys(width: int, percent: int, common: np.ndarray):
+    """The lists that a set stands in; a task lists equal sets once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = np.zeros(0, dtype=np.int64)
         for batch in batches:
             column = batch.column("text")
             for first, last in words.slices(column):
@@ -116,10 +121,14 @@ def _list_keys(width: int, percent: int, common: np.ndarray):
                 n = np.diff(bounds)
                 leading = n - least_overlap(n, percent) + 1
                 rank = np.arange(len(owner)) - bounds[owner]
-                single = (rank < leading[owner]) & (n[owner] > 1)
+                new = np.zeros(len(node), dtype=bool)
+                new[np.unique(node, return_index=True)[1]] = True
+                new &= (n > 1) & ~np.isin(node, listed)
+                listed = np.concatenate([listed, node[new]])
+                single = (rank < leading[owner]) & new[owner]
                 keys, owners, pairs = [words.mixed(shingles[single])], [owner[single]], [np.zeros(int(single.sum()), dtype=bool)]
                 ranks = [rank[single]]
-                for i in np.flatnonzero((n > 1) & (n <= SMALL_MOST)):
+                for i in np.flatnonzero(new & (n <= SMALL_MOST)):
                     some = shingles[bounds[i] : bounds[i] + leading[i] + 1]
                     a, b = np.triu_indices(len(some), 1)
                     low, high = np.minimum(some[a], some[b]), np.maximum(some[a], some[b])
@@ -170,7 +179,7 @@ def _parities(place: np.ndarray, bounds: np.ndarray, first: int, last: int) -> n
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
-def _shingle_arrays(width: int):
+def _parity_arrays(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text")
@@ -184,29 +193,58 @@ def _shingle_arrays(width: int):
                         pa.array(_node(shingles, bounds, words.WORD_BASE)),
                         pa.array(np.diff(bounds), pa.int64()),
                         pa.ListArray.from_arrays(pa.array(each, pa.int32()), pa.array(parity)),
+                    ],
+                    names=["node", "n", "parity"],
+                )
+
+    return run
+
+
+def _shingle_arrays(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("text")
+            for first, last in words.slices(column):
+                _, shingles, bounds = _sets(column, first, last, width)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(_node(shingles, bounds, words.WORD_BASE)),
                         pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(words.signed(shingles))),
                     ],
-                    names=["node", "n", "parity", "shingles"],
+                    names=["node", "shingles"],
                 )
 
     return run
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _met_texts(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """A text of each node that stands in ``pairs``; a text that stands twice gives two rows."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    met = scratch_table(classes.join(nodes, "node", "left_semi").select(F.col("_first").alias("doc_id"), "_text").distinct(), "met")
+    if met.count() <= BROADCAST_ROWS:  # else the texts are shuffled
+        met = F.broadcast(met)
+    return rows.join(met, ["doc_id", "_text"], "left_semi").select("text")
+
+
+def _similar(pairs: DataFrame, rows: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar.
 
     A shingle that only one of two sets has changes one bit of their parities, so the
     bits in which these differ are at most what the sets differ by. Pairs that differ by
-    too many are left out before whole sets are joined.
+    too many are left out, and whole sets are made and joined for the other ones only.
     """
+    sets = scratch_table(_met_texts(rows, classes, pairs).mapInArrow(_parity_arrays(width), "node bigint, n bigint, parity array<bigint>"), "parities")
     bits = F.aggregate(F.zip_with("_pa", "_pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     total = F.col("_na") + F.col("_nb")
     close = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("parity").alias("_pa")), "a")
     close = close.join(sets.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("parity").alias("_pb")), "b")
     close = close.where(F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent).where(bits * (100 + percent) <= total * (100 - percent))
     close = scratch_table(close.select("a", "b").distinct(), "close-pairs")
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"))
+    release(sets)
+    forget_shuffles(rows.sparkSession)
+    whole = scratch_table(_met_texts(rows, classes, close).mapInArrow(_shingle_arrays(width), "node bigint, shingles array<bigint>"), "met-sets")
+    left = whole.select(F.col("node").alias("a"), F.col("shingles").alias("_a")).join(close.select("a").distinct(), "a", "left_semi")
+    right = whole.select(F.col("node").alias("b"), F.col("shingles").alias("_b")).join(close.select("b").distinct(), "b", "left_semi")
     shared = F.size(F.array_intersect("_a", "_b"))
     similar = shared * 100 >= (F.size("_a") + F.size("_b") - shared) * percent
     return close.join(left, "a").join(right, "b").where(similar).select("a", "b").distinct()
@@ -221,16 +259,35 @@ def _may_be_similar(a: str, b: str, percent: int) -> str:
     return f"least({na} - {ra}, {nb} - {rb}) * {100 + percent} >= ({na} + {nb}) * {percent}"
 
 
+def _entries(used: DataFrame, percent: int) -> DataFrame:
+    """key, node, at of the lists of two sets or more, and the hubs of its list that a set may resemble."""
+    whole = Window.partitionBy("key")
+
+    def hub(i: int) -> Column:
+        least = F.min(F.struct(F.expr(f"at % {AT}"), F.xxhash64("node", F.lit(i)), F.col("node").alias("node"), F.col("at").alias("at"))).over(whole)
+        return F.struct(least["node"].alias("hub"), least["at"].alias("hub_at"))
+
+    # Dealt out first, so that no more than the lists is shuffled.
+    dealt = used.select("key", "node", "at").repartition("key")
+    lists = dealt.select("key", "node", "at", F.min("node").over(whole).alias("_least"), F.max("node").over(whole).alias("_most"), *[hub(i).alias(f"_hub{i}") for i in range(HUBS)])
+    flat = [F.col(f"_hub{i}.{c}").alias(f"{c}{i}") for i in range(HUBS) for c in ("hub", "hub_at")]
+    lists = lists.where("_least < _most").select("key", "node", "at", *flat).dropDuplicates(["key", "node", "at"])
+    hubs = [F.when(F.expr(f"node <> hub{i} and {_may_be_similar('at', f'hub_at{i}', percent)}"), F.col(f"hub{i}")) for i in range(HUBS)]
+    return scratch_table(lists.select("key", "node", "at", F.array_distinct(F.array_compact(F.array(*hubs))).alias("hubs")), "entries")
+
+
 def _left_over(entries: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one list but different components that may be similar."""
-    placed = scratch_table(
-        entries.join(linked, "node", "left").select("key", "node", "at", F.coalesce("component", "node").alias("component")), "placed"
-    )
-    mixed = scratch_table(
-        placed.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y").select("key"), "mixed-keys"
-    )
-    rows = scratch_table(placed.join(mixed, "key"), "mixed-lists")
-    size = F.expr(f"at div {AT}")
+    """Pairs of one list but different components that may be similar.
+
+    A set that stands too far back in its place even for the least set of the list is similar
+    to none by that list.
+    """
+    size, place, whole = F.expr(f"at div {AT}"), F.expr(f"at % {AT}"), Window.partitionBy("key")
+    placed = entries.join(linked, "node", "left").select("key", "node", "at", F.coalesce("component", "node").alias("component"))
+    partner = F.greatest(F.min(size).over(whole), F.ceil(size * percent / 100))
+    near = placed.withColumn("_partner", partner).where((size - place) * (100 + percent) >= (size + F.col("_partner")) * percent)
+    mixed = near.withColumns({"_x": F.min("component").over(whole), "_y": F.max("component").over(whole)}).where("_x < _y")
+    rows = scratch_table(mixed.select("key", "node", "at", "component"), "mixed-lists")
     parts = scratch_table(rows.groupBy("key", "component").agg(F.min(size).alias("least"), F.max(size).alias("most")), "mixed-parts")
     one = parts.select("key", F.col("component").alias("ca"), F.col("least").alias("la"), F.col("most").alias("ma"))
     two = parts.select("key", F.col("component").alias("cb"), F.col("least").alias("lb"), F.col("most").alias("mb"))
@@ -246,19 +303,6 @@ def _left_over(entries: DataFrame, linked: DataFrame, percent: int) -> DataFrame
     )
 
 
-def _met_sets(rows: DataFrame, classes: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """node and its shingles, from a text of each; a text that stands twice gives two equal rows."""
-    met = scratch_table(classes.join(nodes.distinct(), "node", "left_semi").select(F.col("_first").alias("doc_id"), "_text").distinct(), "met")
-    if met.count() <= BROADCAST_ROWS:  # else the texts are shuffled
-        met = F.broadcast(met)
-    arrays = rows.join(met, ["doc_id", "_text"], "left_semi").select("text").mapInArrow(_shingle_arrays(width), "node bigint, n bigint, parity array<bigint>, shingles array<bigint>")
-    return scratch_table(arrays, "met-sets")
-
-
-def _nodes(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("node"))
-
-
 def grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, _text (``xxhash64(text)``), n_shingles, component_id: a row per row of ``docs``.
 
@@ -284,36 +328,24 @@ def grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
         )
         size = _boundary(lists, percent)
         used = lists.where(f"if(by_pair, at < {size * AT}, (at div {AT}) * 100 >= {size * percent})").drop("by_pair")
-        shared = scratch_table(
-            used.groupBy("key").agg(F.min("node").alias("_least"), F.max("node").alias("_most")).where("_least < _most").select("key"), "shared-keys"
-        )
-        entries = scratch_table(used.join(shared, "key").distinct(), "entries")
-        release(lists, shared)
+        entries = _entries(used, percent)
+        release(lists)
         forget_shuffles(docs.sparkSession)
         classes = scratch_table(
             texts.where("doc_id is not null and n > 0").groupBy("node", "n", "check").agg(F.min("doc_id").alias("_first"), F.min_by("_text", "doc_id").alias("_text")), "classes"
         )
-        ranks = [F.xxhash64("node", F.lit(i)) for i in range(HUBS)]
-        hubs = [F.min_by(c, rank).alias(f"{c}{i}") for i, rank in enumerate(ranks) for c in ("node", "at")]
-        hubs = scratch_table(entries.groupBy("key").agg(*hubs), "hubs")
-        each = F.explode(F.array_distinct(F.array(*[F.struct(F.col(f"node{i}").alias("hub"), F.col(f"at{i}").alias("hub_at")) for i in range(HUBS)])))
-        stars = entries.join(hubs, "key").select("node", "at", each.alias("_hub")).select("node", "at", "_hub.*")
-        stars = stars.where("node <> hub").where(_may_be_similar("at", "hub_at", percent))
-        stars = stars.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
+        stars = entries.select("node", F.explode("hubs").alias("hub")).select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
         stars = scratch_table(stars.distinct(), "star-pairs")
-        release(hubs)
         forget_shuffles(docs.sparkSession)
-        sets = _met_sets(rows, classes, _nodes(stars), width)
         with scratch_scope(docs.sparkSession) as inner:
-            links = inner.keep(scratch_table(_similar(stars, sets, percent), "links"))
+            links = inner.keep(scratch_table(_similar(stars, rows, classes, width, percent), "links"))
         linked = scratch_table(components(links), "linked")
         with scratch_scope(docs.sparkSession) as inner:
-            others = inner.keep(scratch_table(_left_over(entries, linked, percent).join(stars, ["a", "b"], "left_anti"), "other-pairs"))
+            others = inner.keep(scratch_table(_left_over(entries.drop("hubs"), linked, percent).join(stars, ["a", "b"], "left_anti"), "other-pairs"))
         release(entries, stars)
         if not others.isEmpty():
-            wanted = _nodes(others).distinct()
-            missing = _met_sets(rows, classes, wanted.join(sets.select("node"), "node", "left_anti"), width)
-            more = _similar(others, sets.join(wanted, "node", "left_semi").unionByName(missing), percent)
+            with scratch_scope(docs.sparkSession) as inner:
+                more = inner.keep(scratch_table(_similar(others, rows, classes, width, percent), "links"))
             hung = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
             linked = scratch_table(components(hung.unionByName(more)), "linked")
         named = classes.join(linked, "node", "left").select("node", "n", "check", "_first", F.coalesce("component", "node").alias("component"))

@@ -136,6 +136,39 @@ def test_jaccard_chains(spark, monkeypatch, common):
         assert found == groups(texts, width, percent)
 
 
+def test_jaccard_near_copies_of_one_text(spark, monkeypatch):
+    """Copies with two words changed resemble the text, not each other; with three they resemble nothing."""
+    from test_queries import groups
+
+    base = text("template", 150).split()
+
+    def copy(i, changed):
+        mine = list(base)
+        for p in random.Random(i).sample(range(5, 145, 5), changed):
+            mine[p] = f"own{i}x{p}"
+        return " ".join(mine)
+
+    texts = {0: " ".join(base)} | {i: copy(i, 2) for i in range(1, 121)} | {i: copy(i, 3) for i in range(200, 280)}
+    opening = text("opening", 9)
+    texts |= {500 + i: opening + " " + text(("rest", i), 60) for i in range(30)}
+    made = {}
+
+    def counted(frame, label):
+        made.setdefault(label, []).append((table := session.scratch_table(frame, label)).count())
+        return table
+
+    monkeypatch.setattr(jaccard_join, "scratch_table", counted)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.grouped(frame).collect())
+    assert found == groups(texts, 4, 85)
+    assert sum(r[2] == 0 for r in found) == 121
+    assert made["star-pairs"][0] < 121 * jaccard_join.HUBS + 30 * 29 / 2
+    # The text is a hub of its copies' lists, so no pair of theirs is left over.
+    assert made["other-pairs"][0] <= 30 * 29 / 2
+    # Texts that only share an opening are told apart without their whole sets.
+    assert made["met-sets"][0] <= 121
+
+
 def test_one_of_each(clashing):
     kept = jaccard_join.one_of_each(clashing, 5, 80)
     assert kept.columns == clashing.columns
