@@ -75,10 +75,6 @@ def _part(pairs: np.ndarray, part: int, parts: int) -> np.ndarray:
     return (pairs >> words.U64(_PART_BITS)) % words.U64(parts) == part
 
 
-def _in_part(pair: str, part: int, parts: int) -> Column:
-    return F.expr(f"shiftrightunsigned({pair}, {_PART_BITS}) % {parts} = {part}")
-
-
 def _count_words(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,19 +120,25 @@ def _in_turn(spark: SparkSession, work: Callable[[int], DataFrame]) -> list[Data
     return made
 
 
-def seen_pairs(rows: DataFrame) -> DataFrame:
-    """pair, a, b (hashes) and n of the pairs that stand ``SEEN`` times or more."""
-    return functools.reduce(DataFrame.unionByName, _in_turn(rows.sparkSession, lambda part: _seen_part(rows, part)))
-
-
 def gains(seen: DataFrame, counted: DataFrame, total: int) -> DataFrame:
     """pair, n, gain: what a seen pair scores above its second word alone."""
-    first = counted.select(F.col("word").alias("a"), F.col("n").alias("_na"))
-    second = counted.select(F.col("word").alias("b"), F.col("n").alias("_nb"))
+    # A word stands at least as often as a pair that it is in.
+    often = counted.where(F.col("n") >= SEEN)
+    first = often.select(F.col("word").alias("a"), F.col("n").alias("_na"))
+    second = often.select(F.col("word").alias("b"), F.col("n").alias("_nb"))
     gain = F.log10("n") + math.log10(total / ALPHA) - F.log10("_na") - F.log10("_nb")
     return scratch_table(seen.join(first, "a").join(second, "b").select("pair", "n", gain.alias("gain")), "gains")
 
 
+def _gains_part(rows: DataFrame, counted: DataFrame, total: int, part: int) -> DataFrame:
+    """The gains of one part's pairs, which are not kept."""
+    seen = _seen_part(rows, part)
+    forget_shuffles(rows.sparkSession)
+    made = gains(seen, counted, total)
+    release(seen)
+    return made
+
+
 def _most_frequent(table: DataFrame, key: str, log: Column) -> Known:
     """The ``FREQUENT`` most frequent rows; only they come to the driver."""
     top = table.orderBy(F.desc("n"), key).limit(FREQUENT).select(key, log.alias("log")).toArrow()
@@ -201,9 +203,9 @@ def _word_scores(rows: DataFrame, counted: DataFrame, known_words: Known, known_
 
 
 def _pair_scores(rows: DataFrame, gained: DataFrame, known_pairs: Known, part: int) -> DataFrame:
-    """The same columns: what the seen pairs of this part that tasks do not know gain."""
+    """The same columns: what the seen pairs of this part, of which ``gained`` has the gains, add that tasks do not know."""
     pairs = rows.mapInArrow(_explode_pairs(SLICE_BYTES, known_pairs, part, PARTS), "doc_id bigint, _text bigint, pair bigint")
-    gain = gained.where(_in_part("pair", part, PARTS)).select("pair", "gain")
+    gain = gained.select("pair", "gain")
     zero = F.lit(0).cast("bigint")
     sums = pairs.join(gain, "pair").groupBy(*DOCUMENT).agg(F.sum("gain").alias("score"))
     return scratch_table(sums.withColumn("n_words", zero).withColumn("copies", zero), "pair-scores")
@@ -221,16 +223,15 @@ def scored(docs: DataFrame) -> DataFrame:
     with scratch_scope(spark) as scope:
         counted = counted_words(rows)
         total = counted.agg(F.sum("n")).first()[0] or 1
-        seen = seen_pairs(rows)
-        gained = gains(seen, counted, total)
-        forget_shuffles(spark)
+        each_gained = _in_turn(spark, lambda part: _gains_part(rows, counted, total, part))
+        gained = functools.reduce(DataFrame.unionByName, each_gained)
         known_words = _most_frequent(counted, "word", F.log10("n"))
         known_pairs = _most_frequent(gained, "pair", F.col("gain"))
 
         parts = [_word_scores(rows, counted, known_words, known_pairs, math.log10(total))]
         forget_shuffles(spark)
-        parts += _in_turn(spark, lambda part: _pair_scores(rows, gained, known_pairs, part))
-        release(counted, gained)
+        parts += _in_turn(spark, lambda part: _pair_scores(rows, each_gained[part], known_pairs, part))
+        release(counted, *each_gained)
         forget_shuffles(spark)
         whole = functools.reduce(DataFrame.unionByName, parts).groupBy(*DOCUMENT).agg(*[F.sum(c).alias(c) for c in ("score", "n_words", "copies")])
         # Rows of one doc_id and text were summed together.

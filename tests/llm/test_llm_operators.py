@@ -358,6 +358,26 @@ def test_backoff_scores(spark, odd_docs, empty_docs):
     assert backoff.scored(odd_docs).count() == odd_docs.count()
 
 
+def test_backoff_keeps_the_pairs_of_one_part(spark, monkeypatch):
+    """When the gains of pairs are made, no other part's counted pairs stand on disk."""
+    pairs, standing, made = [], [], {}
+
+    def watched(frame, label):
+        table = session.scratch_table(frame, label)
+        made[label] = made.get(label, 0) + table.count()
+        if label == "pairs":
+            pairs.append(table._scratch_path)
+        if label == "gains":
+            standing.append(sum(session.path_exists(spark, path) for path in pairs))
+        return table
+
+    monkeypatch.setattr(backoff, "scratch_table", watched)
+    frame = spark.createDataFrame([(i, text(i % 7, 50)) for i in range(21)], "doc_id bigint, text string")
+    assert backoff.scored(frame).count() == 21
+    assert standing == [1] * backoff.PARTS
+    assert made["gains"] == made["pairs"] > 7 * 40
+
+
 @pytest.mark.parametrize(("frequent", "parts", "slice_bytes"), [(0, 1, 1 << 20), (10, 4, 2_000)])
 def test_backoff_counts_every_word_in_its_own_right(spark, monkeypatch, frequent, parts, slice_bytes):
     """With no or few frequent words, in few or many slices and parts, against BACKOFF_SQL."""
