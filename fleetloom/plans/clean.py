@@ -9,12 +9,11 @@ from fleetloom import fixed
 from fleetloom.functions import paths
 from fleetloom.operators import cleanse, reports
 from fleetloom.session import qualified, scratch_table
-from fleetloom.sources.csv_files import WHOLE_FILE_BYTES, ragged_csv_parts
-from fleetloom.sources.file_tree import in_files, list_files, write_named_files
+from fleetloom.sources.csv_files import WHOLE_FILE_BYTES, listed_csv_parts
+from fleetloom.sources.file_tree import in_files, list_files, spread_files, write_named_files
 from fleetloom.sources.sinks import csv_line, write_by, write_ragged_csv
 from fleetloom.streaming.ingest import clean_rows, noted
 
-CSV_NAMES = "*.[cC][sS][vV]"
 LAYOUTS = ("table", "files", "folders", "csv")
 
 
@@ -53,8 +52,8 @@ def _cleaned(
         rows = clean_rows(rows, column_index, old, new)
         return rows.withColumn("new_name", paths.joined(paths.parent(_below(spark, "src_file", source)), F.col("new_name")))
 
-    small, long = ragged_csv_parts(spark, source, whole_file_bytes, CSV_NAMES)
-    bare = noted(files.where("length = 0 or not is_csv"))
+    small, long = listed_csv_parts(files.where("length > 0 and is_csv"), whole_file_bytes)
+    bare = noted(spread_files(files.where("length = 0 or not is_csv")))
     return cleaned(small.union(bare)), None if long is None else cleaned(long)
 
 
@@ -80,8 +79,8 @@ def clean_directory(
 
     * ``table``: one parquet table of ``new_name``, ``row_no`` and ``cells``, with a
       row holding ``error`` for each file that cannot be read, and one without cells for
-      a file without rows. Files are read, cleaned and written in one stage without a
-      shuffle.
+      a file without rows. Files are read, cleaned and written in one stage; only their
+      names are shuffled.
     * ``files``: a tree of files under their new names, CSV lines or copied bytes, whose
       writer counts the rows. Only the rows of files longer than ``whole_file_bytes`` are
       shuffled. A file that cannot be read is in the outcome, but not in the tree.

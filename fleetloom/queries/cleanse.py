@@ -13,7 +13,7 @@ from fleetloom.plans.clean import clean_directory, clean_summary, dry_run_files
 from fleetloom.queries.registry import query, table
 from fleetloom.session import qualified, scratch_path, scratch_table
 from fleetloom.sources.csv_files import read_ragged_csv
-from fleetloom.sources.file_tree import in_files, list_files, write_named_files
+from fleetloom.sources.file_tree import file_digests, in_files, list_files, write_named_files
 from fleetloom.sources.plate_lists import plates_of
 from fleetloom.sources.sinks import csv_line, write_ragged_csv
 
@@ -416,10 +416,7 @@ def clean_tree_all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = clean_directory(spark, f"{root}/in", f"{root}/out", layout="files")
     folder = F.lit(f"{qualified(spark, root)}/")
     below = lambda path, part: F.substr(path, F.instr(path, F.concat(folder, F.lit(part))) + F.length(folder) + len(part))
-    contents = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/out").select("path", F.md5("content").alias("_md5"))
-    written = list_files(spark, f"{root}/out").join(contents, "path", "left").select(
-        below(F.col("path"), "out/").alias("new_name"), F.when(F.col("length") == 0, F.md5(F.lit("").cast("binary"))).otherwise(F.col("_md5")).alias("digest")
-    )
+    written = file_digests(list_files(spark, f"{root}/out")).select(below(F.col("path"), "out/").alias("new_name"), "digest")
     counted = outcomes.select(below(F.col("src_file"), "in/").alias("name"), F.col("rows_after").alias("rows"))
     return planned.join(written, "new_name", "full").join(counted, "name", "full").select("name", "new_name", "is_csv", "renamed", "rows", "digest")
 

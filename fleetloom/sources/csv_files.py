@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetloom.functions.paths import plain_path
+from fleetloom.functions.paths import glob_literal, plain_path
 from fleetloom.operators.lookups import lookup
 from fleetloom.session import scratch_table
+from fleetloom.sources.file_tree import spread_files, whole_content
 
 RAW_CELLS = T.StructType(
     [
@@ -170,19 +171,27 @@ class RowBuffer:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["src_file", "row_no", "cells", "error"])
 
 
-def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parse_contents(contents: Iterable[tuple[str, pa.Buffer]]) -> Iterator[pa.RecordBatch]:
     buffer = RowBuffer()
-    for batch in batches:
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-            rows, error = [], None
-            try:
-                rows = _checked_rows(content.as_buffer())
-            except (UnicodeDecodeError, csv.Error) as problem:
-                error = f"{type(problem).__name__}: {problem}"
-            yield from buffer.add(path, rows, error)
+    for path, content in contents:
+        rows, error = [], None
+        try:
+            rows = _checked_rows(content)
+        except (UnicodeDecodeError, csv.Error) as problem:
+            error = f"{type(problem).__name__}: {problem}"
+        yield from buffer.add(path, rows, error)
     yield from buffer.rest()
 
 
+def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    columns = (zip(batch.column("path").to_pylist(), batch.column("content")) for batch in batches)
+    yield from _parse_contents((path, content.as_buffer()) for files in columns for path, content in files)
+
+
+def _parse_listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _parse_contents((path, whole_content(path)) for batch in batches for path in batch.column("path").to_pylist())
+
+
 def cells_of_files(files: DataFrame) -> DataFrame:
     """Rows of cells out of whole file contents.
 
@@ -193,6 +202,14 @@ def cells_of_files(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(_parse_files, RAW_CELLS)
 
 
+def cells_of_listed(files: DataFrame) -> DataFrame:
+    """As ``cells_of_files``, of listed files (path, length) that tasks open themselves.
+
+    Spark's own sources would keep a driver's entry per file and start a task for a few of them.
+    """
+    return spread_files(files.select("path", "length")).select("path").mapInArrow(_parse_listed, RAW_CELLS)
+
+
 def _parse_record(text: str) -> list[str]:
     # The line end is no part of a cell whose quote is never closed.
     rows = list(_parse_text(text.removesuffix("\n"))) or [[]]
@@ -395,6 +412,17 @@ def ragged_csv_parts(
     return small, cells_of_lines(lines_of_text(long_file_text(spark, path, limit, name_glob)))
 
 
+def listed_csv_parts(files: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> tuple[DataFrame, DataFrame | None]:
+    """``ragged_csv_parts`` of listed files (path, length) that are not empty; of these, the driver sees long ones only."""
+    spark = files.sparkSession
+    limit = short_bytes(spark, whole_file_bytes)
+    small = cells_of_listed(files.where(F.col("length") <= limit))
+    long = [glob_literal(f.path) for f in files.where(F.col("length") > limit).select("path").collect()]
+    if not long:
+        return small, None
+    return small, cells_of_lines(lines_of_text(long_file_text(spark, long, limit, "*")))
+
+
 def read_ragged_csv(
     spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES, name_glob: str = "*.csv"
 ) -> DataFrame:

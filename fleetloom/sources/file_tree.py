@@ -1,14 +1,17 @@
 """Trees of files: listed folder by folder in tasks, and written one file per name.
 
-Spark's own file sources leave out files of zero bytes, and its writers choose the file
-names. Here tasks list folders, so every file of a tree is a row, and a data source
-writes rows to the file that each row names. Both open the file system that a path's
-scheme names: local, HDFS or an object store.
+Spark's own file sources leave out files of zero bytes and keep every file's name in the
+driver, and its writers choose the file names. Here tasks list folders, so every file of a
+tree is a row, tasks open the files of their rows, and a data source writes rows to the file
+that each row names. All open the file system that a path's scheme names: local, HDFS or an
+object store.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
+import itertools
 import os
 import sys
 import uuid
@@ -30,7 +33,13 @@ from fleetloom.session import path_exists, qualified_uri, scratch_path, scratch_
 
 _LISTED = "path string, is_folder boolean, length bigint, modified timestamp"
 NAMED_ROWS = "src_file string, name string, row_no bigint, line string, content binary, copy_of string, error string"
-_COPIED_AT_ONCE = 8 << 20
+# Of a folder's names, and of a file's bytes.
+_LISTED_AT_ONCE = 20_000
+_READ_AT_ONCE = 8 << 20
+
+# What one task opens, so there are neither millions of tasks nor very long ones.
+FILES_PER_TASK = 2_000
+BYTES_PER_TASK = 64 << 20
 
 
 def place(uri: str) -> tuple[fs.FileSystem, str]:
@@ -45,24 +54,54 @@ def place(uri: str) -> tuple[fs.FileSystem, str]:
     return system, f"{root.rstrip('/')}/{path}"
 
 
+def pieces(uri: str) -> Iterator[bytes]:
+    """A file's bytes as they stand there, also those of a compressed one, a piece at a time."""
+    system, path = place(uri)
+    with system.open_input_stream(path, compression=None) as file:
+        while some := file.read(_READ_AT_ONCE):
+            yield some
+
+
+def whole_content(uri: str) -> pa.Buffer:
+    system, path = place(uri)
+    with system.open_input_stream(path, compression=None) as file:
+        return file.read_buffer()
+
+
+def _entries(folder: str) -> Iterator[list[fs.FileInfo]]:
+    """What a folder holds, a part at a time; a store gives its listing whole."""
+    system, path = place(folder)
+    if not isinstance(system, fs.LocalFileSystem):
+        found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+        yield from (found[i : i + _LISTED_AT_ONCE] for i in range(0, len(found), _LISTED_AT_ONCE))
+        return
+    try:
+        inside = os.scandir(path)
+    except FileNotFoundError:
+        return
+    with inside:
+        names = (f"{path}/{x.name}" for x in inside)
+        while some := list(itertools.islice(names, _LISTED_AT_ONCE)):
+            found = [x for x in system.get_file_info(some) if x.type != fs.FileType.NotFound]
+            # A linked folder may lead back up.
+            yield [x for x in found if not (x.type == fs.FileType.Directory and os.path.islink(x.path))]
+
+
 def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for folder in batch.column("path").to_pylist():
-            system, path = place(folder)
-            found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
-            # As Spark does, names that start with a dot or an underscore are left out.
-            found = [x for x in found if x.base_name[:1] not in "._"]
-            if isinstance(system, fs.LocalFileSystem):  # a linked folder may lead back up
-                found = [x for x in found if not (x.type == fs.FileType.Directory and os.path.islink(x.path))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([f"{folder}/{x.base_name}" for x in found], pa.string()),
-                    pa.array([x.type == fs.FileType.Directory for x in found], pa.bool_()),
-                    pa.array([x.size or 0 for x in found], pa.int64()),
-                    pa.array([x.mtime_ns // 1000 if x.mtime_ns else None for x in found], pa.int64()).cast(pa.timestamp("us", "UTC")),
-                ],
-                names=["path", "is_folder", "length", "modified"],
-            )
+            for found in _entries(folder):
+                # As Spark does, names that start with a dot or an underscore are left out.
+                found = [x for x in found if x.base_name[:1] not in "._"]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([f"{folder}/{x.base_name}" for x in found], pa.string()),
+                        pa.array([x.type == fs.FileType.Directory for x in found], pa.bool_()),
+                        pa.array([x.size or 0 for x in found], pa.int64()),
+                        pa.array([x.mtime_ns // 1000 if x.mtime_ns else None for x in found], pa.int64()).cast(pa.timestamp("us", "UTC")),
+                    ],
+                    names=["path", "is_folder", "length", "modified"],
+                )
 
 
 def list_folders(folders: DataFrame) -> DataFrame:
@@ -87,6 +126,33 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
             return functools.reduce(DataFrame.union, rounds).where("not is_folder").select("path", "length", "modified")
 
 
+def spread_files(files: DataFrame) -> DataFrame:
+    """``files`` (path, length, and other columns) dealt out to the tasks that open them.
+
+    Their number follows from how many files there are and how long they are together; only
+    these two numbers reach the driver.
+    """
+    number, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    tasks = max(files.sparkSession.sparkContext.defaultParallelism, -(-number // FILES_PER_TASK), -(-size // BYTES_PER_TASK))
+    return files.repartition(tasks, "path")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths, digests = batch.column("path").to_pylist(), []
+        for path in paths:
+            digest = hashlib.md5(usedforsecurity=False)
+            for some in pieces(path):
+                digest.update(some)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(digests, pa.string())], ["path", "digest"])
+
+
+def file_digests(files: DataFrame) -> DataFrame:
+    """path and digest (MD5 of the content, also of none) of every one of the files (path, length)."""
+    return spread_files(files.select("path", "length")).select("path").mapInArrow(_digests, "path string, digest string")
+
+
 def _runs(name: pa.Array) -> list[tuple[int, int]]:
     """Where the stretches of equal names begin and end."""
     changes = pc.indices_nonzero(pc.not_equal(name.slice(1), name.slice(0, len(name) - 1))).to_numpy() + 1
@@ -143,17 +209,15 @@ class _TreeWriter(DataSourceArrowWriter):
                         current, out = name, None
                         files[name] = [source, 0, error]
                         if error is None:
-                            out = system.open_output_stream(made(f"{own}/{name}"))
+                            out = system.open_output_stream(made(f"{own}/{name}"), compression=None)
                     files[name][1] += int(numbered[last] - numbered[first])
                     if out is None:
                         continue
                     for content in contents.slice(first, last - first).drop_null() if contents is not None else ():
                         out.write(content.as_buffer())
                     for copied_from in copies.slice(first, last - first).drop_null().to_pylist() if copies is not None else ():
-                        there, path = place(copied_from)
-                        with there.open_input_stream(path) as copied:
-                            while some := copied.read(_COPIED_AT_ONCE):
-                                out.write(some)
+                        for some in pieces(copied_from):
+                            out.write(some)
                     text = [x for x in lines.slice(first, last - first).to_pylist() if x is not None] if lines is not None else []
                     if text:
                         out.write(("\n".join(text) + "\n").encode())

@@ -1,12 +1,15 @@
 """Listing and writing trees of files, the clean of whole trees, and long files in the streams."""
 
+import gzip
+import hashlib
 import os
 
 import pytest
-from conftest import values
+from conftest import SF_DIR, values
 from pyspark.sql import functions as F
 
 from fleetloom.plans import clean
+from fleetloom.queries import QUERIES
 from fleetloom.sources import csv_files, file_tree
 from fleetloom.streaming import ingest
 
@@ -197,3 +200,58 @@ def test_a_folder_is_made_once(tmp_path, monkeypatch):
     assert len(asked) <= 10
     assert (tmp_path / "out/a/25.csv").read_text() == "76\n77\n" and (tmp_path / "out/b/none.csv").read_text() == ""
     assert len(list((tmp_path / "out/a").iterdir())) == 50 and not (tmp_path / "out/b/bad.csv").exists()
+
+
+def test_a_clean_keeps_no_file_names_in_the_driver(spark, tree, monkeypatch):
+    """Tasks open the files that the listing names, so many each; Spark's readers see none of them."""
+    os.unlink(tree / "in" / "sub" / "loop")
+    for i in range(60):
+        (tree / "in" / f"{i}.csv").write_text(f"h,i\n1,{i}\n")
+        (tree / "in" / f"ԥ{i}.txt").write_text(f"{i}")
+    monkeypatch.setattr(file_tree, "FILES_PER_TASK", 5)
+    rows, long = clean._cleaned(spark, str(tree / "in"), 0, "ԥ", "豫", False, csv_files.WHOLE_FILE_BYTES)
+    assert long is None and not [f for f in rows.inputFiles() if "/in/" in f]
+    # 64 CSV files with rows, and 63 others that are copied or empty.
+    assert rows.rdd.getNumPartitions() == 2 * 13
+    assert rows.select("new_name").distinct().count() == 127
+    # Of files read by lines, the long ones alone.
+    _, long = clean._cleaned(spark, str(tree / "in"), 0, "ԥ", "豫", False, 1000)
+    assert {f.rsplit("/", 1)[1] for f in long.inputFiles() if "/in/" in f} <= {"%D4%A5c%2520%20+%5B1%5D.csv"}
+
+
+def test_the_query_over_all_files_opens_them_in_tasks(spark):
+    result = QUERIES["clean_tree_all_files"](spark, SF_DIR)
+    assert result.inputFiles() and not [f for f in result.inputFiles() if "/all-files-" in f]
+
+
+def test_digests_are_of_every_file(spark, tree, monkeypatch):
+    monkeypatch.setattr(file_tree, "_READ_AT_ONCE", 7)
+    digests = {r.path.split("/in/", 1)[1]: r.digest for r in file_tree.file_digests(file_tree.list_files(spark, str(tree / "in"))).collect()}
+    there = {name: hashlib.md5(content).hexdigest() for name, content in _read(tree / "in").items() if not name.startswith((".", "_"))}
+    assert digests == there
+
+
+def test_a_file_is_copied_as_it_stands(spark, tmp_path):
+    """A name that ends as those of compressed files do means nothing for its bytes."""
+    files = {"ԥplain.gz": b"no gzip", "ԥpacked.gz": gzip.compress(b"x" * 1000, mtime=0), "ԥ.bz2": b""}
+    (tmp_path / "in").mkdir()
+    for name, content in files.items():
+        (tmp_path / "in" / name).write_bytes(content)
+    clean.clean_directory(spark, str(tmp_path / "in"), str(tmp_path / "out"), layout="files")
+    assert _read(tmp_path / "out") == {name.replace("ԥ", "豫"): content for name, content in files.items()}
+
+
+def test_a_folder_is_listed_in_parts(tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    names = [f"{i}.csv" for i in range(10)] + ["_x", ".y"]
+    for name in names:
+        (tmp_path / name).write_text("x")
+    (tmp_path / "below").mkdir()
+    os.symlink(tmp_path / "gone", tmp_path / "broken")
+    monkeypatch.setattr(file_tree, "_LISTED_AT_ONCE", 4)
+    folders = pa.RecordBatch.from_pydict({"path": [f"file:{tmp_path}", f"file:{tmp_path}/below", f"file:{tmp_path}/gone"]})
+    parts = list(file_tree._list_folders(iter([folders])))
+    assert len(parts) == 4 and max(p.num_rows for p in parts) <= 4
+    found = {r["path"].rsplit("/", 1)[1]: (r["is_folder"], r["length"]) for p in parts for r in p.to_pylist()}
+    assert found == {f"{i}.csv": (False, 1) for i in range(10)} | {"below": (True, found["below"][1])}
